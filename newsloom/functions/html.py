@@ -162,12 +162,16 @@ def element(html: Column, opening: Column, tag: Column) -> Column:
     return F.when(after.isNotNull(), inner_to_close(after, tag))
 
 
-def attribute(tag_text: Column, name: Column | str) -> Column:
-    """Value of an attribute inside one opening tag."""
+def raw_attribute(tag_text: Column, name: Column | str) -> Column:
+    """Value of an attribute inside one opening tag, references not decoded."""
     name = F.lit(name) if isinstance(name, str) else name
     pattern = F.concat(F.lit(r"(?is)\s"), name, F.lit("\\s*=\\s*(?:\"([^\"]*)\"|'([^']*)'|([^\\s\"'>]+))"))
-    value = F.concat(*[F.call_function("regexp_extract", tag_text, pattern, F.lit(g)) for g in (1, 2, 3)])
-    return blank_to_null(unescape_entities(value))
+    return blank_to_null(F.concat(*[
+        F.call_function("regexp_extract", tag_text, pattern, F.lit(g)) for g in (1, 2, 3)]))
+
+
+def attribute(tag_text: Column, name: Column | str) -> Column:
+    return unescape_entities(raw_attribute(tag_text, name))
 
 
 def opening_tag(tag: str, attr: str | None = None, value: str | None = None,
@@ -308,15 +312,16 @@ def pick(html: Column, rule: Column) -> Column:
     ``child`` names a tag to look for inside the element; ``attr`` asks for an attribute instead of
     text; ``every`` joins all text nodes instead of taking the first.
     """
-    inner = element(html, rule["opening"], rule["tag"])
     child_opening = F.concat(F.lit("(?i)<"), rule["child"], F.lit(r"(?:\s[^>]*)?>"))
-    child = F.when(inner.isNotNull(), element(inner, child_opening, rule["child"]))
-    target = F.when(rule["child"].isNull(), inner).otherwise(child)
+    outer = element(html, rule["opening"], rule["tag"])
+    inner = F.when(rule["child"].isNull(), outer).otherwise(
+        let(outer, lambda found: element(found, child_opening, rule["child"])))
     tag_text = F.when(rule["child"].isNull(), extract(html, rule["opening"], 0)).otherwise(
-        extract(inner, child_opening, 0))
-    return F.when(rule["opening"].isNull(), F.lit(None)).when(
-        rule["attr"].isNotNull(), attribute(tag_text, rule["attr"])
-    ).when(rule["every"], all_text(target)).otherwise(first_text(target))
+        extract(outer, child_opening, 0))
+    text = let(inner, lambda found: F.when(rule["every"], drop_tags(found)).otherwise(
+        extract(found, FIRST_TEXT)))
+    value = F.when(rule["attr"].isNotNull(), raw_attribute(tag_text, rule["attr"])).otherwise(text)
+    return F.when(rule["opening"].isNotNull(), let(value, unescape_entities))
 
 
 def pick_all(html: Column, rule: Column) -> Column:

@@ -52,7 +52,7 @@ def lead_sentences(text: Column, n: int = 4, longer_than: int | None = None) ->
 
 def sentences(text: Column) -> Column:
     """Sentences with their closing marks, trimmed; pieces without a letter or digit dropped."""
-    pieces = F.transform(F.regexp_extract_all(text, F.lit("[^.!?]+[.!?]*"), F.lit(0)), clean_space)
+    pieces = F.transform(F.regexp_extract_all(text, F.lit("[^.!?]+[.!?]*"), F.lit(0)), lambda s: clean_space(s))
     return F.filter(pieces, lambda s: s.rlike(r"[\p{L}\p{N}]"))
 
 
@@ -64,9 +64,12 @@ def tokens(text: Column) -> Column:
 def run_starts(ordered: Column, key: Callable[[Column], Column] = lambda x: x) -> Column:
     """0-based positions where a new run of equal keys begins in a sorted array."""
     return F.array_compact(F.transform(
-        ordered,
-        lambda x, i: F.when((i == 0) | (key(x) != key(F.get(ordered, i - 1))), i),
-    ))
+        ordered, lambda x, i: F.when(~key(x).eqNullSafe(key(F.get(ordered, i - 1))), i)))
+
+
+def run_lengths(ordered: Column, starts: Column) -> Column:
+    return F.transform(
+        starts, lambda start, j: F.coalesce(F.get(starts, j + 1), F.size(ordered)) - start)
 
 
 def term_counts(terms: Column) -> Column:
@@ -75,11 +78,7 @@ def term_counts(terms: Column) -> Column:
     The whole histogram stays inside the row, so counting terms per article needs no shuffle.
     """
     def measure(ordered: Column) -> Column:
-        return let(run_starts(ordered), lambda starts: F.transform(
-            starts,
-            lambda start, j: F.struct(
-                F.get(ordered, start).alias("term"),
-                (F.coalesce(F.get(starts, j + 1), F.size(ordered)) - start).alias("n"),
-            ),
-        ))
+        return let(run_starts(ordered), lambda starts: F.transform(starts, lambda start, j: F.struct(
+            F.get(ordered, start).alias("term"),
+            (F.coalesce(F.get(starts, j + 1), F.size(ordered)) - start).alias("n"))))
     return let(F.sort_array(terms), measure)

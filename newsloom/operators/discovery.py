@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from newsloom.functions.text import STOPWORDS, let, run_starts, sentences, term_counts, tokens
+from newsloom.functions.text import STOPWORDS, let, run_lengths, run_starts, sentences, term_counts, tokens
 from newsloom.session import is_small
 
 # The usual BM25 constants (Robertson and Zaragoza 2009).
@@ -19,14 +19,24 @@ B = 0.75
 
 
 def top_terms(text: Column, k: int, stopwords: Sequence[str] = STOPWORDS) -> Column:
-    """``array<struct<term, n, score>>``: the ``k`` most frequent terms, ties by term."""
+    """``array<struct<term, n, score>>``: the ``k`` most frequent terms, ties by term.
+
+    Stopwords go before the sort, and only terms that reach the ``k``-th count are ranked.
+    """
     def rank(words: Column) -> Column:
-        counts = term_counts(words)
-        if stopwords:
-            counts = F.filter(counts, lambda c: ~c["term"].isin(list(stopwords)))
-        best = F.slice(F.sort_array(F.transform(
-            counts, lambda c: F.struct((-c["n"]).alias("minus_n"), c["term"].alias("term")))), 1, k)
-        return F.transform(best, lambda c: F.struct(
+        kept = F.filter(words, lambda w: ~w.isin(list(stopwords))) if stopwords else words
+        return let(F.sort_array(kept), lambda ordered: let(
+            run_starts(ordered), lambda starts: let(
+                run_lengths(ordered, starts), lambda lengths: best(words, ordered, starts, lengths))))
+
+    def best(words: Column, ordered: Column, starts: Column, lengths: Column) -> Column:
+        def ranked(least: Column) -> Column:
+            return F.sort_array(F.array_compact(F.transform(starts, lambda start, j: F.when(
+                F.get(lengths, j) >= least,
+                F.struct((-F.get(lengths, j)).alias("minus_n"), F.get(ordered, start).alias("term"))))))
+
+        least = F.coalesce(F.get(F.sort_array(lengths, False), F.lit(k - 1)), F.lit(1))
+        return F.transform(F.slice(let(least, ranked), 1, k), lambda c: F.struct(
             c["term"].alias("term"), (-c["minus_n"]).alias("n"),
             (-c["minus_n"] / F.size(words)).alias("score")))
 
@@ -43,37 +53,47 @@ def keywords(df: DataFrame, k: int = 10, stopwords: Sequence[str] = STOPWORDS, d
 def summary(text: Column, n: int = 3) -> Column:
     """The ``n`` sentences whose terms are most frequent in the article, in text order.
 
-    A sentence scores the mean count of its terms (Luhn 1958). All work stays inside the row.
+    A sentence scores the mean count of its terms (Luhn 1958). All work stays inside the row: the
+    terms, tagged with their sentence, are sorted to count them; the counts, packed behind their
+    sentence in one long, are sorted to sum them. Both sorts compare plain values.
     """
-    def score(found: Column) -> Column:
+    mark, low = "\x01", F.lit(2**32 - 1)
+
+    def counts(ordered: Column) -> Column:
+        def spread(starts: Column) -> Column:
+            def pack(w: Column, count: Column) -> Column:
+                sentence = F.substring_index(w, mark, -1).cast("long")
+                return F.shiftleft(sentence, 32) + count
+
+            return let(run_lengths(ordered, starts), lambda lengths: F.flatten(F.transform(
+                starts, lambda start, j: F.transform(
+                    F.slice(ordered, start + 1, F.get(lengths, j)),
+                    lambda w: pack(w, F.get(lengths, j))))))
+
+        terms = F.transform(ordered, lambda w: F.substring_index(w, mark, 1))
+        return let(let(terms, lambda t: run_starts(t)), spread)
+
+    def means(counted: Column) -> Column:
+        def mean(starts: Column) -> Column:
+            def one(start: Column, length: Column) -> Column:
+                total = F.aggregate(F.slice(counted, start + 1, length), F.lit(0).cast("long"),
+                                    lambda acc, x: acc + x.bitwiseAND(low))
+                sentence = F.shiftright(F.get(counted, start), 32).cast("int")
+                return F.struct((-total / length).alias("minus_mean"), sentence.alias("sentence"))
+
+            return let(run_lengths(counted, starts), lambda lengths: F.transform(
+                starts, lambda start, j: one(start, F.get(lengths, j))))
+
+        return let(run_starts(counted, lambda x: F.shiftright(x, 32)), mean)
+
+    def choose(found: Column) -> Column:
         words = F.flatten(F.transform(found, lambda s, i: F.transform(
-            tokens(s), lambda t: F.struct(t.alias("term"), i.alias("sentence")))))
-
-        def with_counts(ordered: Column) -> Column:
-            def spread(starts: Column) -> Column:
-                def run(start: Column, j: Column) -> Column:
-                    length = F.coalesce(F.get(starts, j + 1), F.size(ordered)) - start
-                    return F.transform(F.slice(ordered, start + 1, length), lambda w: F.struct(
-                        w["sentence"].alias("sentence"), length.alias("n")))
-                return F.flatten(F.transform(starts, run))
-            return let(run_starts(ordered, lambda w: w["term"]), spread)
-
-        def means(counted: Column) -> Column:
-            def per_sentence(starts: Column) -> Column:
-                def mean(start: Column, j: Column) -> Column:
-                    length = F.coalesce(F.get(starts, j + 1), F.size(counted)) - start
-                    total = F.aggregate(F.slice(counted, start + 1, length), F.lit(0).cast("long"),
-                                        lambda acc, w: acc + w["n"])
-                    return F.struct((-total / length).alias("minus_mean"),
-                                    F.get(counted, start)["sentence"].alias("sentence"))
-                return F.transform(starts, mean)
-            return let(run_starts(counted, lambda w: w["sentence"]), per_sentence)
-
-        ranked = F.sort_array(let(F.sort_array(let(F.sort_array(words), with_counts)), means))
-        chosen = F.sort_array(F.transform(F.slice(ranked, 1, n), lambda r: r["sentence"]))
-        return F.array_join(F.transform(chosen, lambda i: F.get(found, i)), " ")
-
-    return let(sentences(text), score)
+            tokens(s), lambda t: F.concat(t, F.lit(mark), i.cast("string")))))
+        ranked = F.sort_array(let(F.sort_array(let(F.sort_array(words), counts)), means))
+        best = F.sort_array(F.transform(F.slice(ranked, 1, n), lambda r: r["sentence"]))
+        return F.array_join(F.transform(best, lambda i: F.get(found, i)), " ")
+
+    return let(sentences(text), choose)
 
 
 def summarise(df: DataFrame, n: int = 3, doc: str = "doc_id", text: str = "text") -> DataFrame:

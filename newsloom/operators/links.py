@@ -42,16 +42,16 @@ def extract_cards(pages: DataFrame, listings: DataFrame) -> DataFrame:
     lay = F.col("lay")
     body = F.col("body")
     areas = F.when(lay["container"].isNull(), F.array(body)).otherwise(
-        H.elements(body, lay["container.opening"], lay["container.tag"]))
+        H.elements(body, lay["container"]["opening"], lay["container"]["tag"]))
     # A layout whose blurp sits behind the card keeps everything up to the next card.
-    behind = F.split(body, lay["card.opening"])
+    behind = F.split(body, lay["card"]["opening"])
     cards = (
         F.when(lay["children"].isNotNull(), F.flatten(F.transform(
             F.col("areas"), lambda a: H.child_elements(a, lay["children"]))))
         .when(lay["after_blurp"].isNotNull(), F.transform(
             F.slice(behind, 2, F.size(behind)), lambda p: F.concat(F.lit("<card>"), p)))
         .otherwise(F.flatten(F.transform(
-            F.col("areas"), lambda a: H.outer_elements(a, lay["card.opening"], lay["card.tag"]))))
+            F.col("areas"), lambda a: H.outer_elements(a, lay["card"]["opening"], lay["card"]["tag"]))))
     )
     found = (
         page.withColumn("body", H.strip_markup(F.col("html")))

@@ -58,14 +58,14 @@ def extract_articles(pages: DataFrame, sources: DataFrame, run_date: Column,
     cleaned = known.withColumn("page", H.strip_markup(F.col("html"))).drop("html")
     page, region = F.col("page"), F.col("region")
     parts = cleaned.withColumn("region", F.when(rule["text"] != "main", F.coalesce(
-        H.element(page, rule["body.opening"], rule["body.tag"]),
+        H.element(page, rule["body"]["opening"], rule["body"]["tag"]),
         F.when(rule["body"].isNull(), H.article_region(page)))))
     texts = parts.withColumn("text", body_text(region, page, rule))
     tags = F.coalesce(
         A.tag_list(H.pick(page, rule["tags_text"])), H.pick_all(page, rule["tags_list"]))
     day = F.when(
         rule["date_follows"],
-        F.get(F.split(page, rule["date.opening"], 2), F.lit(1)),
+        F.get(F.split(page, rule["date"]["opening"], 2), F.lit(1)),
     ).otherwise(H.pick(page, rule["date"]))
     fields = texts.select(
         "page_id", "source", "rule", "card", "text",
@@ -74,7 +74,7 @@ def extract_articles(pages: DataFrame, sources: DataFrame, run_date: Column,
         blank_to_null(clean_space(H.pick(page, rule["blurp"]))).alias("described"),
         F.when(rule["blurp_else"] == "paragraph", H.first_text(F.get(
             H.paragraphs(region), F.lit(0)))).alias("first_paragraph"),
-        F.coalesce(card["date_text"], day).alias("date_text"),
+        D.clean_date_text(F.coalesce(card["date_text"], day), rule["date_clean"]).alias("date_text"),
         F.coalesce(card["imgurl"], H.pick(page, rule["image"])).alias("imgurl"),
         clean_space(H.pick(page, rule["category_page"])).alias("page_category"),
         url_category(H.pick(page, rule["category_link"]), True).alias("linked_category"),
@@ -90,8 +90,7 @@ def extract_articles(pages: DataFrame, sources: DataFrame, run_date: Column,
     dated = fields.select(
         "*", category.alias("category"),
         D.default_date(
-            D.parse_date(D.clean_date_text(F.col("date_text"), rule["date_clean"])),
-            rule["date_default"], run_date).alias("date"),
+            D.parse_date(F.col("date_text")), rule["date_default"], run_date).alias("date"),
         A.blurp(card["blurp"], F.col("described"), F.col("text"), F.col("first_paragraph"),
                 F.when(rule["blurp_else"] == "summary", summary(F.col("text"))),
                 rule["blurp_else"]).alias("blurp"),

@@ -22,7 +22,7 @@ from newsloom.operators import links as L
 from newsloom.operators import sinks, tables
 from newsloom.plans.articles import build_articles
 from newsloom.plans.recommend import recommend
-from newsloom.session import shared_dir
+from newsloom.session import shared_dir, spread
 from newsloom.sources import changes as C
 from newsloom.sources import pages as P
 from newsloom.sources.sites import at, site_table
@@ -51,11 +51,16 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def _pages(spark, sf):
-    return P.read_pages(spark, f"{sf}/pages.parquet")
+    return spread(P.read_pages(spark, f"{sf}/pages.parquet"))
+
+
+def _as_text(query):
+    """Dates and timestamps of the result as text, which both engines print alike."""
+    return lambda spark, sf: tables.encode_temporal(query(spark, sf))
 
 
 def _documents(spark, sf):
-    return _table(spark, sf, "documents")
+    return spread(_table(spark, sf, "documents"))
 
 
 def _nav(spark, sf):
@@ -306,9 +311,8 @@ def clean_date_text(spark, sf):
         .when(mode == "drop", F.concat(F.lit("\n\t"), "text", F.lit("\n")))
         .otherwise(F.concat(F.lit("By A Writer | "), "text", F.lit(" | News")))
     )
-    cleaned = D.clean_date_text(noisy, mode)
-    return _dated(spark, sf).select(
-        "o_orderkey", cleaned.alias("text"), D.parse_date(cleaned).alias("day"))
+    cleaned = _dated(spark, sf).select("o_orderkey", D.clean_date_text(noisy, mode).alias("text"))
+    return cleaned.withColumn("day", D.parse_date(F.col("text")))
 
 
 def default_date(spark, sf):
@@ -502,7 +506,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "a02_with_source": with_source,
     "a03_select_source": select_source,
     "a04_read_changes": read_changes,
-    "a05_decode_attributes": decode_attributes,
+    "a05_decode_attributes": _as_text(decode_attributes),
     "b01_extract_links": extract_links,
     "b02_slice_cards": slice_cards,
     "b03_resolve_url": resolve_url,
@@ -529,21 +533,21 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "c09_clean_space": clean_space,
     "c10_unescape_entities": unescape_entities,
     "c10_unescape_html5": unescape_html5,
-    "d01_parse_date": parse_date,
-    "d02_clean_date_text": clean_date_text,
-    "d03_default_date": default_date,
+    "d01_parse_date": _as_text(parse_date),
+    "d02_clean_date_text": _as_text(clean_date_text),
+    "d03_default_date": _as_text(default_date),
     "d04_blurp": blurp,
     "d05_lead_sentences": lead_sentences,
     "d06_category": category,
     "d07_normalise_tags": normalise_tags,
     "d08_filter_titles": filter_titles,
     "d08_filter_titles_documents": filter_titles_documents,
-    "d09_conform_union": conform_union,
-    "d10_build_articles": build_articles_query,
+    "d09_conform_union": _as_text(conform_union),
+    "d10_build_articles": _as_text(build_articles_query),
     "e01_upsert_latest": upsert_latest,
     "e02_apply_changes": apply_changes,
     "e03_apply_changes_stream": apply_changes_stream_query,
-    "e04_to_search_doc": to_search_doc,
+    "e04_to_search_doc": _as_text(to_search_doc),
     "e05_change_counts": change_counts,
     "e06_write_jsonl": write_jsonl,
     "e07_write_feed": write_feed,
@@ -551,9 +555,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "f01_keywords": keywords,
     "f02_summary": summary,
     "f03_trending": trending,
-    "f03_trending_daily": trending_daily,
+    "f03_trending_daily": _as_text(trending_daily),
     "f03_trending_hourly": trending_hourly,
-    "f03_trending_stream": trending_stream_query,
+    "f03_trending_stream": _as_text(trending_stream_query),
     "f04_search": search,
     "f05_recommend": recommend_query,
 }

@@ -354,3 +354,16 @@ ORACLE = {
       hits AS ({bm25("SELECT CAST(rn AS INTEGER) AS query_id, term FROM q0 WHERE rn <= 10", 5)})
       SELECT query_id AS term_rank, q0.term, rank, doc_id, score FROM hits JOIN q0 ON q0.rn = hits.query_id""",
 }
+
+
+def dates_as_text(name: str, column: str, layout: str = "%Y-%m-%d") -> None:
+    ORACLE[name] = f"SELECT * REPLACE (strftime({column}, '{layout}') AS {column}) FROM ({ORACLE[name]})"
+
+
+for _name, _column in (
+    ("a05_decode_attributes", "date"), ("d01_parse_date", "day"), ("d02_clean_date_text", "day"),
+    ("d03_default_date", "day"), ("d09_conform_union", "date"), ("d10_build_articles", "date"),
+    ("e04_to_search_doc", "date"), ("f03_trending_daily", "day"),
+):
+    dates_as_text(_name, _column)
+dates_as_text("f03_trending_stream", "window_start", "%Y-%m-%d %H:%M:%S")

@@ -41,6 +41,18 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give every core a share of an input that has fewer splits than there are cores.
+
+    A table of one small file is one task whatever its rows cost. Real tables have more splits
+    than cores and pass through unchanged.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.isStreaming or df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores)
+
+
 def is_small(df: DataFrame, max_rows: int = 100_000, max_bytes: int = 64 << 20) -> bool:
     """Whether ``df`` stays under both bounds, found by counting its rows and bytes."""
     size = df.limit(max_rows + 1).agg(

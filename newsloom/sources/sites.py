@@ -222,7 +222,8 @@ def _table(spark: SparkSession, rows: Iterable[Mapping], schema: str) -> DataFra
     names = spark.createDataFrame([], schema).schema
     flags = {f.name for f in names if f.dataType.simpleString() == "boolean"}
     return spark.createDataFrame(
-        [tuple(row.get(n, False if n in flags else None) for n in names.names) for row in rows], names)
+        [tuple(row.get(n, False if n in flags else None) for n in names.names) for row in rows], names
+    ).coalesce(1)
 
 
 def site_table(spark: SparkSession, sites: Iterable[Mapping] = SITES) -> DataFrame:
