@@ -36,7 +36,8 @@ FIRST_TEXT = "(?:^|>)([^<]+)"
 def extract(text: Column, pattern: Column | str, group: int = 1) -> Column:
     """``regexp_extract`` that also takes a pattern column; null when nothing matches."""
     pattern = F.lit(pattern) if isinstance(pattern, str) else pattern
-    return blank_to_null(F.call_function("regexp_extract", text, pattern, F.lit(group)))
+    found = F.call_function("regexp_extract", text, pattern, F.lit(group))
+    return let(found, lambda v: blank_to_null(v))
 
 
 def strip_markup(html: Column, tags: tuple[str, ...] = ("script", "style", "iframe")) -> Column:
@@ -49,38 +50,39 @@ def drop_tags(html: Column) -> Column:
     return F.regexp_replace(html, TAG, "")
 
 
+def _entity_table() -> str:
+    """``;name=letter`` for every HTML 4 name, the frequent ones first."""
+    names = {**name2codepoint, "apos": 0x27}
+    common = ["amp", "quot", "lt", "gt", "apos", "nbsp"]
+    return "".join(f";{n}={chr(names[n])}" for n in common + [n for n in names if n not in common])
+
+
 def unescape_entities(text: Column) -> Column:
     """Decode named (HTML 4) and numeric character references, each exactly once.
 
-    Only references closed by ``;`` count, as in common HTML parsers.
+    Only references closed by ``;`` count, as in common HTML parsers. The names are looked up in
+    one string, which keeps the plan small and stays inside the JVM.
     """
-    names = {**name2codepoint, "apos": 0x27}
-    common = ["amp", "quot", "lt", "gt", "apos", "nbsp"]
-    order = common + [n for n in names if n not in common]
-    table = F.str_to_map(
-        F.lit("\x01".join(f"{n}\x02{chr(names[n])}" for n in order)), F.lit("\x01"), F.lit("\x02")
-    )
-
-    def decode(piece: Column) -> Column:
-        name = F.regexp_extract(piece, r"^(#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]*);", 1)
-        rest = F.substr(piece, F.length(name) + 2)
+    table = F.lit(_entity_table())
+    reference = r"^(#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]*);"
+
+    def letter(name: Column) -> Column:
         number = F.when(
             F.lower(F.substring(name, 2, 1)) == "x", F.conv(F.substr(name, F.lit(3)), 16, 10)
         ).otherwise(F.substr(name, F.lit(2))).cast("int")
-        valid = ((number > 0) & (number < 0xD800)) | ((number > 0xDFFF) & (number <= 0x10FFFF))
-        letter = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32BE")
-        return (
-            F.when(name == "", F.concat(F.lit("&"), piece))
-            .when(~name.startswith("#"), F.coalesce(
-                F.concat(F.try_element_at(table, name), rest), F.concat(F.lit("&"), piece)))
-            .when(valid, F.concat(letter, rest))
-            .otherwise(F.concat(F.lit("&"), piece))
-        )
+        number = F.when(number.between(1, 0xD7FF) | number.between(0xE000, 0x10FFFF), number)
+        coded = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32BE")
+        place = F.call_function("instr", table, F.concat(F.lit(";"), name, F.lit("=")))
+        named = F.when(place > 0, F.substr(table, place + F.length(name) + 2, F.lit(1)))
+        return F.when(name.startswith("#"), coded).when(name != "", named)
+
+    def decode(piece: Column, i: Column) -> Column:
+        found = let(F.regexp_extract(piece, reference, 1), lambda name: F.concat(
+            letter(name), F.substr(piece, F.length(name) + 2)))
+        return F.when(i == 0, piece).otherwise(F.coalesce(found, F.concat(F.lit("&"), piece)))
 
-    pieces = F.split(text, "&")
-    decoded = F.array_join(
-        F.transform(pieces, lambda p, i: F.when(i == 0, p).otherwise(decode(p))), "")
-    return F.when(text.contains("&"), decoded).otherwise(text)
+    return let(text, lambda t: F.when(
+        t.contains("&"), F.array_join(F.transform(F.split(t, "&"), decode), "")).otherwise(t))
 
 
 @F.pandas_udf(StringType())
@@ -158,16 +160,16 @@ def child_elements(html: Column, tag: Column) -> Column:
 
 def element(html: Column, opening: Column, tag: Column) -> Column:
     """Inner HTML of the first element that ``opening`` matches; null when there is none."""
-    after = F.get(F.split(html, opening, 2), F.lit(1))
-    return F.when(after.isNotNull(), inner_to_close(after, tag))
+    return inner_to_close(F.get(F.split(html, opening, 2), F.lit(1)), tag)
 
 
 def raw_attribute(tag_text: Column, name: Column | str) -> Column:
     """Value of an attribute inside one opening tag, references not decoded."""
     name = F.lit(name) if isinstance(name, str) else name
     pattern = F.concat(F.lit(r"(?is)\s"), name, F.lit("\\s*=\\s*(?:\"([^\"]*)\"|'([^']*)'|([^\\s\"'>]+))"))
-    return blank_to_null(F.concat(*[
-        F.call_function("regexp_extract", tag_text, pattern, F.lit(g)) for g in (1, 2, 3)]))
+    value = let(tag_text, lambda t: F.concat(*[
+        F.call_function("regexp_extract", t, pattern, F.lit(g)) for g in (1, 2, 3)]))
+    return let(value, lambda v: blank_to_null(v))
 
 
 def attribute(tag_text: Column, name: Column | str) -> Column:
@@ -197,7 +199,10 @@ def all_text(inner: Column) -> Column:
 
 
 def direct_text(inner: Column) -> Column:
-    """Only the text nodes that are children of the element itself, not of nested tags."""
+    """Only the text nodes that are children of the element itself, not of nested tags.
+
+    Character references stay as they are.
+    """
     state = F.struct(F.lit(0).alias("depth"), F.lit("").alias("text"))
 
     def step(s: Column, part: Column) -> Column:
@@ -212,7 +217,7 @@ def direct_text(inner: Column) -> Column:
         )
 
     text = F.aggregate(F.split(inner, "(?=<)"), state, step)["text"]
-    return unescape_entities(F.when(inner.contains("<"), text).otherwise(inner))
+    return F.when(inner.contains("<"), text).otherwise(inner)
 
 
 def paragraphs(html: Column) -> Column:
@@ -222,18 +227,33 @@ def paragraphs(html: Column) -> Column:
         F.slice(pieces, 2, F.size(pieces)), lambda p: F.regexp_extract(p, PARAGRAPH_END, 1))
 
 
+def joined_text(html: Column, mode: Column | str) -> Column:
+    """Text of the paragraphs joined with nothing.
+
+    ``all``: every text node, trimmed; ``first``: the first node of each paragraph; ``direct``: the
+    nodes outside nested tags; ``region``: every text node of ``html``, trimmed.
+    """
+    mode = F.lit(mode) if isinstance(mode, str) else mode
+    raw = let(paragraphs(html), lambda found: (
+        F.when(mode == "first", F.array_join(
+            F.transform(found, lambda p: F.regexp_extract(p, FIRST_TEXT, 1)), ""))
+        .when(mode == "direct", F.array_join(F.transform(found, lambda p: direct_text(p)), ""))
+        .when(mode == "region", drop_tags(html))
+        .otherwise(drop_tags(F.array_join(found, "")))))
+    text = unescape_entities(raw)
+    return F.when(mode.isin("first", "direct"), text).otherwise(clean_space(text))
+
+
 def body_text_all(html: Column) -> Column:
-    return clean_space(all_text(F.array_join(paragraphs(html), "")))
+    return joined_text(html, "all")
 
 
 def body_text_first(html: Column) -> Column:
-    """The first text node of each paragraph, joined with nothing."""
-    return unescape_entities(F.array_join(
-        F.transform(paragraphs(html), lambda p: F.regexp_extract(p, FIRST_TEXT, 1)), ""))
+    return joined_text(html, "first")
 
 
 def body_text_direct(html: Column) -> Column:
-    return F.array_join(F.transform(paragraphs(html), direct_text), "")
+    return joined_text(html, "direct")
 
 
 def article_region(html: Column) -> Column:
@@ -250,14 +270,15 @@ def blocks(html: Column) -> Column:
     def measure(piece: Column) -> Column:
         links = F.array_join(
             F.regexp_extract_all(piece, F.lit(r"(?is)<a\s[^>]*>(.*?)(?:</a\s*>|\z)"), F.lit(1)), " ")
-        text = clean_space(all_text(piece))
-        return F.struct(text.alias("text"), count(text).alias("words"),
-                        count(clean_space(all_text(links))).alias("linked"))
+        both = F.transform(F.array(piece, links), lambda x: clean_space(unescape_entities(drop_tags(x))))
+        return let(both, lambda t: F.struct(
+            F.get(t, F.lit(0)).alias("text"), count(F.get(t, F.lit(0))).alias("words"),
+            count(F.get(t, F.lit(1))).alias("linked")))
 
-    return F.filter(F.transform(F.split(html, BLOCK_EDGE), measure), lambda b: b["text"] != "")
+    return F.filter(F.transform(F.split(html, BLOCK_EDGE), lambda p: measure(p)), lambda b: b["text"] != "")
 
 
-def dense_text(html: Column) -> Column:
+def dense_blocks(found: Column) -> Column:
     """Blocks that shallow text features call content (Kohlschuetter et al., WSDM 2010, alg. 2).
 
     A block is judged by its word count and link density and by those of both neighbours.
@@ -268,30 +289,37 @@ def dense_text(html: Column) -> Column:
     def words(b: Column) -> Column:
         return F.coalesce(b["words"], F.lit(0))
 
-    def keep(found: Column) -> Column:
-        def is_content(block: Column, i: Column) -> Column:
-            before, after = F.get(found, i - 1), F.get(found, i + 1)
-            plain_before = (words(block) > 16) | (words(after) > 15) | (words(before) > 4)
-            linked_before = (words(block) > 40) | (words(after) > 17)
-            return (share(block) <= 1 / 3) & F.when(share(before) <= 5 / 9, plain_before).otherwise(linked_before)
+    def is_content(block: Column, i: Column) -> Column:
+        before, after = F.get(found, i - 1), F.get(found, i + 1)
+        plain_before = (words(block) > 16) | (words(after) > 15) | (words(before) > 4)
+        linked_before = (words(block) > 40) | (words(after) > 17)
+        return (share(block) <= 1 / 3) & F.when(share(before) <= 5 / 9, plain_before).otherwise(linked_before)
+
+    return F.filter(found, is_content)
+
 
-        return F.array_join(F.transform(F.filter(found, is_content), lambda b: b["text"]), "\n\n")
+def block_text(found: Column) -> Column:
+    return F.array_join(F.transform(found, lambda b: b["text"]), "\n\n")
 
-    return let(blocks(html), keep)
+
+def dense_text(html: Column) -> Column:
+    return let(blocks(html), lambda found: block_text(dense_blocks(found)))
 
 
 def main_text(html: Column) -> Column:
     """Main text whatever the layout: every block of ``<article>``, else the dense blocks."""
     article = element(html, F.lit(opening_tag("article")), F.lit("article"))
-    whole = F.array_join(F.transform(blocks(article), lambda b: b["text"]), "\n\n")
-    return F.when(article.isNotNull(), whole).otherwise(dense_text(html))
+    return let(article, lambda inner: let(
+        blocks(F.coalesce(inner, html)),
+        lambda found: block_text(F.when(inner.isNotNull(), found).otherwise(dense_blocks(found)))))
 
 
 def page_title(html: Column) -> Column:
-    def heading(tag: str) -> Column:
-        return blank_to_null(clean_space(all_text(
-            F.regexp_extract(html, rf"(?is)<{tag}(?:\s[^>]*)?>(.*?)(?:</{tag}\s*>|\z)", 1))))
-    return F.coalesce(heading("h1"), heading("title"))
+    """The first heading, else the page title."""
+    raw = F.array(*[
+        F.regexp_extract(html, rf"(?is)<{tag}(?:\s[^>]*)?>(.*?)(?:</{tag}\s*>|\z)", 1) for tag in ("h1", "title")])
+    clean = F.transform(raw, lambda t: clean_space(unescape_entities(drop_tags(t))))
+    return F.get(F.filter(clean, lambda t: t != ""), F.lit(0))
 
 
 def meta_content(html: Column, attr: str, value: str, contains: bool = False,
@@ -303,7 +331,8 @@ def meta_content(html: Column, attr: str, value: str, contains: bool = False,
 def lead_image(html: Column, base: Column, attrs: tuple[str, ...] = ("data-original", "src")) -> Column:
     """Absolute URL of the first image, the lazy-load attribute before the plain one."""
     image = extract(html, r"(?i)<(?:amp-)?img\s[^>]*>", 0)
-    return resolve_url(F.coalesce(*[attribute(image, a) for a in attrs]), base)
+    found = let(image, lambda tag: F.coalesce(*[raw_attribute(tag, a) for a in attrs]))
+    return let(unescape_entities(found), lambda href: resolve_url(href, base))
 
 
 def pick(html: Column, rule: Column) -> Column:
@@ -312,25 +341,31 @@ def pick(html: Column, rule: Column) -> Column:
     ``child`` names a tag to look for inside the element; ``attr`` asks for an attribute instead of
     text; ``every`` joins all text nodes instead of taking the first.
     """
-    child_opening = F.concat(F.lit("(?i)<"), rule["child"], F.lit(r"(?:\s[^>]*)?>"))
-    outer = element(html, rule["opening"], rule["tag"])
-    inner = F.when(rule["child"].isNull(), outer).otherwise(
-        let(outer, lambda found: element(found, child_opening, rule["child"])))
-    tag_text = F.when(rule["child"].isNull(), extract(html, rule["opening"], 0)).otherwise(
-        extract(outer, child_opening, 0))
-    text = let(inner, lambda found: F.when(rule["every"], drop_tags(found)).otherwise(
-        extract(found, FIRST_TEXT)))
-    value = F.when(rule["attr"].isNotNull(), raw_attribute(tag_text, rule["attr"])).otherwise(text)
-    return F.when(rule["opening"].isNotNull(), let(value, unescape_entities))
+    child = F.concat(F.lit("(?i)<"), rule["child"], F.lit(r"(?:\s[^>]*)?>"))
+
+    def inside(area: Column, opening: Column, tag: Column) -> Column:
+        text = let(element(area, opening, tag), lambda found: F.when(
+            rule["every"], drop_tags(found)).otherwise(extract(found, FIRST_TEXT)))
+        return F.when(rule["attr"].isNotNull(), raw_attribute(extract(area, opening, 0), rule["attr"])).otherwise(text)
+
+    outer = F.when(rule["child"].isNull(), html).otherwise(element(html, rule["opening"], rule["tag"]))
+    value = let(outer, lambda area: inside(
+        area, F.coalesce(child, rule["opening"]), F.coalesce(rule["child"], rule["tag"])))
+    return F.when(rule["opening"].isNotNull(), unescape_entities(value))
+
+
+def pick_each(html: Column, rules: list[Column]) -> Column:
+    """``pick`` for several rules at once, as an array in the same order: one expression for all."""
+    return F.transform(F.array(*rules), lambda rule: pick(html, rule))
 
 
 def pick_all(html: Column, rule: Column) -> Column:
     """First text of every element at a rule, as an array; null when the source has no such rule."""
-    child_opening = F.concat(F.lit("(?i)<"), rule["child"], F.lit(r"(?:\s[^>]*)?>"))
+    child = F.concat(F.lit("(?i)<"), rule["child"], F.lit(r"(?:\s[^>]*)?>"))
 
     def inner_text(inner: Column) -> Column:
-        child = F.when(rule["child"].isNull(), inner).otherwise(element(inner, child_opening, rule["child"]))
-        return first_text(child)
+        area = F.when(rule["child"].isNull(), inner).otherwise(element(inner, child, rule["child"]))
+        return unescape_entities(extract(area, FIRST_TEXT))
 
     return F.when(rule["opening"].isNotNull(), F.array_compact(
-        F.transform(elements(html, rule["opening"], rule["tag"]), inner_text)))
+        F.transform(elements(html, rule["opening"], rule["tag"]), lambda p: inner_text(p))))

@@ -30,15 +30,7 @@ def card_table(pages: DataFrame, sources: DataFrame, listings: DataFrame) -> Dat
 
 def body_text(region: Column, page: Column, rule: Column) -> Column:
     """Body text in the way the source asks for."""
-    mode = rule["text"]
-    text = (
-        F.when(mode == "first", H.body_text_first(region))
-        .when(mode == "direct", H.body_text_direct(region))
-        .when(mode == "region", clean_space(H.all_text(region)))
-        .when(mode == "main", H.main_text(page))
-        .otherwise(H.body_text_all(region))
-    )
-    return F.coalesce(F.when(rule["brackets"], strip_brackets(text)).otherwise(text), F.lit(""))
+    return F.when(rule["text"] == "main", H.main_text(page)).otherwise(H.joined_text(region, rule["text"]))
 
 
 def extract_articles(pages: DataFrame, sources: DataFrame, run_date: Column,
@@ -46,7 +38,8 @@ def extract_articles(pages: DataFrame, sources: DataFrame, run_date: Column,
     """One row per article page, in the common schema plus ``page_id``.
 
     With ``cards``, only pages that a card leads to are articles, and the card's fields come first.
-    Without, every page is an article. Each page is scanned once; rules differ by row.
+    Without, every page is an article. Each page is scanned once; the rules that differ by source
+    arrive as columns, so the plan stays the same size whatever the number of sources.
     """
     known = with_source(pages, sources).where(F.col("source").isNotNull())
     if cards is None:
@@ -54,54 +47,61 @@ def extract_articles(pages: DataFrame, sources: DataFrame, run_date: Column,
     else:
         known = attach_card(known, cards.select(
             "title", "url", "blurp", "date_text", "imgurl", "category"))
-    rule, card = F.col("rule"), F.col("card")
-    cleaned = known.withColumn("page", H.strip_markup(F.col("html"))).drop("html")
-    page, region = F.col("page"), F.col("region")
-    parts = cleaned.withColumn("region", F.when(rule["text"] != "main", F.coalesce(
-        H.element(page, rule["body"]["opening"], rule["body"]["tag"]),
-        F.when(rule["body"].isNull(), H.article_region(page)))))
-    texts = parts.withColumn("text", body_text(region, page, rule))
-    tags = F.coalesce(
-        A.tag_list(H.pick(page, rule["tags_text"])), H.pick_all(page, rule["tags_list"]))
-    day = F.when(
-        rule["date_follows"],
-        F.get(F.split(page, rule["date"]["opening"], 2), F.lit(1)),
-    ).otherwise(H.pick(page, rule["date"]))
-    fields = texts.select(
-        "page_id", "source", "rule", "card", "text",
-        canonical_url(F.col("url")).alias("url"),
-        A.first_present(card["title"], clean_space(H.pick(page, rule["title"])), H.page_title(page)).alias("title"),
-        blank_to_null(clean_space(H.pick(page, rule["blurp"]))).alias("described"),
+    rule, card, page, region = F.col("rule"), F.col("card"), F.col("page"), F.col("region")
+    cleaned = known.select(
+        "page_id", canonical_url(F.col("url")).alias("url"), "source", "rule", "card",
+        H.strip_markup(F.col("html")).alias("page"))
+    own_body = F.when(rule["body"].isNotNull(), H.element(page, rule["body"]["opening"], rule["body"]["tag"]))
+    parts = cleaned.withColumn("region", F.when(rule["text"] != "main", F.when(
+        rule["body"].isNull(), H.article_region(page)).otherwise(own_body)))
+    picks = ["title", "blurp", "date", "image", "category_page", "category_link", "tags_text"]
+    picked = parts.select(
+        "*",
+        H.pick_each(page, [rule[name] for name in picks]).alias("picked"),
+        H.pick_all(page, rule["tags_list"]).alias("listed_tags"),
+        H.page_title(page).alias("page_title"),
+        body_text(region, page, rule).alias("text"),
         F.when(rule["blurp_else"] == "paragraph", H.first_text(F.get(
-            H.paragraphs(region), F.lit(0)))).alias("first_paragraph"),
-        D.clean_date_text(F.coalesce(card["date_text"], day), rule["date_clean"]).alias("date_text"),
-        F.coalesce(card["imgurl"], H.pick(page, rule["image"])).alias("imgurl"),
-        clean_space(H.pick(page, rule["category_page"])).alias("page_category"),
-        url_category(H.pick(page, rule["category_link"]), True).alias("linked_category"),
-        F.when(rule["tags_lower"], F.transform(tags, F.lower)).otherwise(tags).alias("found_tags"),
+            H.paragraphs(F.coalesce(region, H.article_region(page))), F.lit(0)))).alias("first_paragraph"),
+        F.when(rule["date_follows"], F.get(F.split(page, rule["date"]["opening"], 2), F.lit(1))).alias("behind"),
     )
-    own_segment = url_category(F.col("url"), rule["slash"])
+
+    def field(name: str) -> Column:
+        return F.get("picked", F.lit(picks.index(name)))
+
+    text = F.when(rule["brackets"], strip_brackets(F.col("text"))).otherwise(F.col("text"))
+    tags = F.coalesce(A.tag_list(field("tags_text")), F.col("listed_tags"))
+    fields = picked.select(
+        "page_id", "url", "source", "rule", "card", "first_paragraph",
+        F.coalesce(text, F.lit("")).alias("text"),
+        A.first_present(card["title"], clean_space(field("title")), F.col("page_title")).alias("title"),
+        blank_to_null(clean_space(field("blurp"))).alias("described"),
+        F.coalesce(card["date_text"], F.col("behind"), field("date")).alias("date_found"),
+        F.coalesce(card["imgurl"], field("image")).alias("imgurl"),
+        F.coalesce(clean_space(field("category_page")), url_category(field("category_link"), True)).alias("page_category"),
+        F.when(rule["tags_lower"], F.transform(tags, lambda t: F.lower(t))).otherwise(tags).alias("found_tags"),
+        F.coalesce(card["category"], url_category(F.col("url"), rule["slash"])).alias("segment"),
+    ).withColumn("date_text", D.clean_date_text(F.col("date_found"), rule["date_clean"]))
     category = F.when(~rule["no_category"], A.category(
-        rule["category"],
-        F.coalesce(F.col("page_category"), F.col("linked_category")),
-        F.coalesce(card["category"], own_segment),
-        F.when(rule["category_first_tag"], F.get("found_tags", F.lit(0))),
-        rule["category_map"]))
+        rule["category"], F.col("page_category"), F.col("segment"),
+        F.when(rule["category_first_tag"], F.get("found_tags", F.lit(0))), rule["category_map"]))
     dated = fields.select(
-        "*", category.alias("category"),
-        D.default_date(
-            D.parse_date(F.col("date_text")), rule["date_default"], run_date).alias("date"),
+        "page_id", "title", "url", "source", "text", "imgurl", "found_tags", "rule",
+        category.alias("category"),
+        D.default_date(D.parse_date(F.col("date_text")), rule["date_default"], run_date).alias("date"),
         A.blurp(card["blurp"], F.col("described"), F.col("text"), F.col("first_paragraph"),
                 F.when(rule["blurp_else"] == "summary", summary(F.col("text"))),
                 rule["blurp_else"]).alias("blurp"),
     )
-    kept = dated.where(~rule["skip_reviews"] | ~A.is_review(F.col("title")))
-    final_tags = F.when(
+    final = dated.withColumn("tags", F.when(
         rule["tags_with_category"],
         F.array_compact(F.array_append(F.col("found_tags"), F.col("category"))),
-    ).otherwise(F.col("found_tags"))
-    final = kept.withColumn("tags", final_tags)
-    return final.select("page_id", *A.conform(final).columns)
+    ).otherwise(F.col("found_tags")))
+    # A page is an article or it is not: at most one struct per row. Tests on the fields stay above
+    # the generator, so that Spark never repeats the extraction inside a filter near the scan.
+    wanted = ~rule["skip_reviews"] | ~A.is_review(F.col("title"))
+    return final.select("page_id", F.explode(F.when(wanted, F.array(
+        F.struct(*A.ARTICLE.names)))).alias("article")).select("page_id", "article.*")
 
 
 def build_articles(pages: DataFrame, sources: DataFrame, run_date: Column,
