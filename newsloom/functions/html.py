@@ -71,7 +71,7 @@ def unescape_entities(text: Column) -> Column:
             F.lower(F.substring(name, 2, 1)) == "x", F.conv(F.substr(name, F.lit(3)), 16, 10)
         ).otherwise(F.substr(name, F.lit(2))).cast("int")
         number = F.when(number.between(1, 0xD7FF) | number.between(0xE000, 0x10FFFF), number)
-        coded = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32BE")
+        coded = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
         place = F.call_function("instr", table, F.concat(F.lit(";"), name, F.lit("=")))
         named = F.when(place > 0, F.substr(table, place + F.length(name) + 2, F.lit(1)))
         return F.when(name.startswith("#"), coded).when(name != "", named)
@@ -93,7 +93,8 @@ def unescape_html5(text: pd.Series) -> pd.Series:
 
 def inner_to_close(piece: Column, tag: Column) -> Column:
     """What lies before the closing tag that matches an element opened just before ``piece``."""
-    edges = F.split(piece, F.concat(F.lit("(?i)(?=</?"), tag, F.lit(r"[\s>/])")))
+    # The blank in front keeps the first part free of tags, also when the piece starts with one.
+    edges = F.split(F.concat(F.lit(" "), piece), F.concat(F.lit("(?i)(?=</?"), tag, F.lit(r"[\s>/])")))
 
     def cut(parts: Column) -> Column:
         state = F.struct(F.lit(0).alias("i"), F.lit(1).alias("depth"), F.lit(0).alias("end"))
@@ -110,8 +111,8 @@ def inner_to_close(piece: Column, tag: Column) -> Column:
 
         return let(
             F.aggregate(parts, state, step),
-            lambda s: F.array_join(
-                F.slice(parts, 1, F.when(s["end"] > 0, s["end"]).otherwise(s["i"])), ""),
+            lambda s: F.substr(F.array_join(
+                F.slice(parts, 1, F.when(s["end"] > 0, s["end"]).otherwise(s["i"])), ""), F.lit(2)),
         )
 
     return let(edges, cut)
@@ -207,7 +208,7 @@ def direct_text(inner: Column) -> Column:
 
     def step(s: Column, part: Column) -> Column:
         name = F.lower(F.regexp_extract(part, r"^</?([A-Za-z][A-Za-z0-9]*)", 1))
-        plain = (name == "") | name.isin(VOID) | part.rlike("^<[^>]*/>")
+        plain = (name == "") | name.isin(VOID)
         depth = s["depth"] + (
             F.when(plain, F.lit(0)).when(part.startswith("</"), F.lit(-1)).otherwise(F.lit(1)))
         body = F.when(name == "", part).otherwise(F.regexp_replace(part, "^<[^>]*>", ""))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from newsloom.functions import dates as D
 from newsloom.functions import html as H
 from newsloom.functions.text import blank_to_null, clean_space, strip_brackets
-from newsloom.functions.urls import canonical_url, url_category
+from newsloom.functions.urls import canonical_url, resolve_url, url_category
 from newsloom.operators import articles as A
 from newsloom.operators.discovery import summary
 from newsloom.operators.links import attach_card, dedupe_links, extract_cards, resolve_links
@@ -77,7 +77,7 @@ def extract_articles(pages: DataFrame, sources: DataFrame, run_date: Column,
         A.first_present(card["title"], clean_space(field("title")), F.col("page_title")).alias("title"),
         blank_to_null(clean_space(field("blurp"))).alias("described"),
         F.coalesce(card["date_text"], F.col("behind"), field("date")).alias("date_found"),
-        F.coalesce(card["imgurl"], field("image")).alias("imgurl"),
+        resolve_url(F.coalesce(card["imgurl"], field("image")), F.col("url")).alias("imgurl"),
         F.coalesce(clean_space(field("category_page")), url_category(field("category_link"), True)).alias("page_category"),
         F.when(rule["tags_lower"], F.transform(tags, lambda t: F.lower(t))).otherwise(tags).alias("found_tags"),
         F.coalesce(card["category"], url_category(F.col("url"), rule["slash"])).alias("segment"),

@@ -14,9 +14,9 @@ SEQUENCE_DIGITS = 40
 def explode_changes(df: DataFrame, column: str = "value") -> DataFrame:
     """One row per change from JSON batches: ``event_name, seq, keys, image``.
 
-    ``seq`` is the record's sequence number, zero-padded so that text order is number order.
+    A batch that is not JSON fails the job rather than vanish. ``seq`` is the record's sequence number, zero-padded so that text order is number order.
     """
-    batch = df.select(F.from_json(F.col(column), CHANGE_BATCH).alias("batch"))
+    batch = df.select(F.from_json(F.col(column), CHANGE_BATCH, {"mode": "FAILFAST"}).alias("batch"))
     record = batch.select(F.explode("batch.Records").alias("r"))
     return record.select(
         F.col("r.eventName").alias("event_name"),
@@ -26,10 +26,11 @@ def explode_changes(df: DataFrame, column: str = "value") -> DataFrame:
     )
 
 
-def read_changes(spark: SparkSession, path: str, streaming: bool = False, one_batch_per_file: bool = False) -> DataFrame:
+def read_changes(spark: SparkSession, path: str, streaming: bool = False,
+                 one_batch_per_file: bool = False) -> DataFrame:
     """Change rows from JSON files that hold one batch per line, or one per file."""
     reader = spark.readStream if streaming else spark.read
-    return explode_changes(reader.option("wholetext", one_batch_per_file).text(path))
+    return explode_changes(reader.text(path, wholetext=one_batch_per_file))
 
 
 def attribute_value(av: Column) -> Column:
