@@ -11,12 +11,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from newsloom.functions.text import STOPWORDS, let, run_lengths, run_starts, sentences, term_counts, tokens
-from newsloom.session import is_small
+from newsloom.session import is_small, stage
 
 # The usual BM25 constants (Robertson and Zaragoza 2009).
 K1 = 1.2
 B = 0.75
 
+# Up to this many distinct query terms are passed to the scan as a filter.
+FEW_TERMS = 200
+
 
 def top_terms(text: Column, k: int, stopwords: Sequence[str] = STOPWORDS) -> Column:
     """``array<struct<term, n, score>>``: the ``k`` most frequent terms, ties by term.
@@ -122,20 +125,29 @@ def trending(terms: DataFrame, k: int = 10, period: str | None = None, step: int
     return grown.withColumn("rank", rank).where(F.col("rank") <= k).select(period, "rank", "term", "n", "growth")
 
 
-def postings(docs: DataFrame, doc: str = "doc_id", fields: tuple[str, ...] = ("text",)) -> DataFrame:
-    """Search index rows: ``term, doc, tf, length``, counted inside each article row."""
-    text = F.concat_ws(" ", *fields) if len(fields) > 1 else F.col(fields[0])
-    counted = docs.select(doc, let(tokens(text), lambda words: F.struct(
-        F.size(words).alias("length"), term_counts(words).alias("terms"))).alias("d"))
+def _words(fields: Sequence[str]) -> Column:
+    return tokens(F.concat_ws(" ", *fields) if len(fields) > 1 else F.col(fields[0]))
+
+
+def postings(docs: DataFrame, doc: str = "doc_id", fields: Sequence[str] = ("text",),
+             only: Sequence[str] | None = None) -> DataFrame:
+    """Search index rows: ``term, doc, tf, length``, counted inside each article row.
+
+    ``only`` limits the index to some terms; the others go before they are sorted.
+    """
+    def count(words: Column) -> Column:
+        kept = words if only is None else F.filter(words, lambda w: w.isin(list(only)))
+        return F.struct(F.size(words).alias("length"), term_counts(kept).alias("terms"))
+
+    counted = docs.select(doc, let(_words(fields), count).alias("d"))
     return counted.select(
         doc, F.col("d.length").alias("length"), F.explode("d.terms").alias("t")
     ).select("t.term", doc, F.col("t.n").alias("tf"), "length")
 
 
-def corpus_size(docs: DataFrame, fields: tuple[str, ...] = ("text",)) -> DataFrame:
+def corpus_size(docs: DataFrame, fields: Sequence[str] = ("text",)) -> DataFrame:
     """One row: the number of articles and their mean length in tokens."""
-    text = F.concat_ws(" ", *fields) if len(fields) > 1 else F.col(fields[0])
-    length = F.coalesce(F.size(tokens(text)), F.lit(0))
+    length = F.coalesce(F.size(_words(fields)), F.lit(0))
     return docs.select(length.alias("length")).agg(
         F.count("*").alias("n_docs"), F.avg("length").alias("mean_length"))
 
@@ -157,22 +169,27 @@ def query_terms(queries: DataFrame, query: str = "query_id", text: str = "text")
 def search(index: DataFrame, size: DataFrame, terms: DataFrame, k: int = 10, doc: str = "doc_id") -> DataFrame:
     """Best ``k`` articles per query by BM25: ``query_id, rank, doc, score``.
 
-    Postings meet the query terms in a broadcast join whose small side is counted first, so only
-    matching postings go on. Scores are summed per task before the shuffle, since an article's
-    terms lie together. Ranks use the score rounded to 6 places, ties by article.
+    Only postings of query terms go on. A few terms become a filter that a stored index pushes to
+    its scan; more meet the postings in a join, by broadcast when their counted size allows it.
+    The matching postings are staged, since both the term frequencies and the scores need them.
+    An article's terms lie together, so scores are summed per task before the shuffle. Ranks use
+    the score rounded to 6 places, ties by article.
     """
-    # Each side below has at most one row per row of ``terms``.
+    # Each small side below has at most one row per row of ``terms``.
     side = F.broadcast if is_small(terms) else (lambda df: df)
-    frequency = index.join(side(terms.select("term").distinct()), "term", "left_semi").groupBy("term").agg(
-        F.count("*").alias("df"))
-    total = size.select(F.col("n_docs").cast("double")).scalar()
+    wanted = terms.select("term").distinct()
+    few = [row.term for row in wanted.limit(FEW_TERMS + 1).collect()]
+    matching = (
+        index.where(F.col("term").isin(few)) if len(few) <= FEW_TERMS
+        else index.join(side(wanted), "term", "left_semi"))
+    matching = stage(matching, "matching-postings")
+    frequency = matching.groupBy("term").agg(F.count("*").alias("df"))
+    whole = size.select(F.struct("n_docs", "mean_length")).scalar()
     weighted = terms.join(frequency, "term").select(
-        "query_id", "term", F.log(1 + (total - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf"))
-    mean = size.select("mean_length").scalar()
-    norm = F.col("tf") + K1 * (1 - B + B * F.col("length") / mean)
-    scored = index.join(side(weighted), "term").select(
-        "query_id", doc, (F.col("idf") * F.col("tf") * (K1 + 1) / norm).alias("part"))
-    totals = scored.groupBy("query_id", doc).agg(F.round(F.sum("part"), 6).alias("score"))
+        "query_id", "term", F.log(1 + (whole["n_docs"] - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf"))
+    norm = F.col("tf") + K1 * (1 - B + B * F.col("length") / whole["mean_length"])
+    scored = matching.withColumn("weight", F.col("tf") * (K1 + 1) / norm).join(side(weighted), "term")
+    totals = scored.groupBy("query_id", doc).agg(F.round(F.sum(F.col("idf") * F.col("weight")), 6).alias("score"))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), doc)
     return totals.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select(
         "query_id", "rank", doc, "score")

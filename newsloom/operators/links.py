@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from newsloom.functions import html as H
-from newsloom.functions.text import blank_to_null, clean_space
+from newsloom.functions.text import blank_to_null, clean_space, let
 from newsloom.functions.urls import canonical_url, resolve_url, url_category
-from newsloom.session import broadcast_if_small, ensure_checkpoint_dir
+from newsloom.session import broadcast_if_small, ensure_checkpoint_dir, settle
 
 LINK = r"(?is)<a\s(?:[^>]*\s)?href\s*=\s*[\"']([^\"'>]*)[\"'][^>]*>(.*?)(?:</a\s*>|\z)"
 
@@ -53,33 +53,37 @@ def extract_cards(pages: DataFrame, listings: DataFrame) -> DataFrame:
         .otherwise(F.flatten(F.transform(
             F.col("areas"), lambda a: H.outer_elements(a, lay["card"]["opening"], lay["card"]["tag"]))))
     )
+    enough = F.coalesce(lay["min_cards"], F.lit(1))
     found = (
         page.withColumn("body", H.strip_markup(F.col("html")))
         .withColumn("areas", areas)
-        .withColumn("cards", cards)
-        .where(F.size("cards") >= F.coalesce(lay["min_cards"], F.lit(1)))
         .select("page_id", F.col("url").alias("page_url"), "source", "rule", "lay",
-                F.posexplode("cards").alias("pos", "card"))
+                F.posexplode(let(cards, lambda c: F.when(F.size(c) >= enough, c))).alias("pos", "card"))
         .where(lay["skip_at"].isNull() | (F.col("pos") != lay["skip_at"]))
     )
-    card = F.col("card")
-    category = url_category(F.split_part("page_url", F.lit("?"), F.lit(1)), F.col("rule.slash"))
-    return found.select(
-        "page_id", "page_url", "source", "pos",
-        H.pick(card, lay["link"]).alias("href"),
-        clean_space(H.pick(card, lay["title"])).alias("title"),
+    names = ["link", "title", "blurp", "after_blurp", "date", "image"]
+    picked = settle(found.withColumn(
+        "picked", H.pick_each(F.col("card"), [lay[n] for n in names])).drop("card"), "picked")
+
+    def field(name: str) -> Column:
+        return F.get("picked", F.lit(names.index(name)))
+
+    href = field("link")
+    kept = picked.where(
+        href.isNotNull()
+        & (lay["keep"].isNull() | F.regexp_like(href, lay["keep"]))
+        & (lay["deny"].isNull() | ~F.regexp_like(href, lay["deny"])))
+    segment = url_category(F.split_part("page_url", F.lit("?"), F.lit(1)), F.col("rule.slash"))
+    return kept.select(
+        "page_id", "page_url", "source", "pos", href.alias("href"),
+        clean_space(field("title")).alias("title"),
         F.when(F.col("pos") >= F.coalesce(lay["bare_head"], F.lit(0)), blank_to_null(clean_space(
-            F.coalesce(H.pick(card, lay["blurp"]), H.pick(card, lay["after_blurp"]))))).alias("blurp"),
-        H.pick(card, lay["date"]).alias("date_text"),
-        H.pick(card, lay["image"]).alias("imgurl"),
-        F.coalesce(F.try_element_at("rule.category_map", category), category).alias("category"),
+            F.coalesce(field("blurp"), field("after_blurp"))))).alias("blurp"),
+        field("date").alias("date_text"),
+        field("image").alias("imgurl"),
+        F.coalesce(F.try_element_at("rule.category_map", segment), segment).alias("category"),
         lay["every_visit"].alias("every_visit"),
-        lay["keep"].alias("keep"), lay["deny"].alias("deny"),
-    ).where(
-        F.col("href").isNotNull()
-        & (F.col("keep").isNull() | F.regexp_like("href", F.col("keep")))
-        & (F.col("deny").isNull() | ~F.regexp_like("href", F.col("deny")))
-    ).drop("keep", "deny")
+    )
 
 
 def slice_cards(cards: DataFrame, head: int = 2, tail_from: int = 3, pos: str = "pos",

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from newsloom.functions.text import STOPWORDS
 from newsloom.operators.discovery import corpus_size, keywords, postings, search, trending
-from newsloom.session import ensure_checkpoint_dir
 
 
 def recommend(articles: DataFrame, k_terms: int = 10, k_docs: int = 5, doc: str = "doc_id", text: str = "text",
@@ -19,10 +18,12 @@ def recommend(articles: DataFrame, k_terms: int = 10, k_docs: int = 5, doc: str
 
     Pass ``index`` (a table from ``write_postings``) to search without reading the texts again.
     """
-    top = trending(keywords(articles, k_keywords, stopwords, doc, text), k_terms)
-    ensure_checkpoint_dir(articles.sparkSession)
-    terms = top.select(F.col("rank").alias("query_id"), "term").checkpoint()  # k_terms rows
-    index = postings(articles, doc, (text,)) if index is None else index
+    spark = articles.sparkSession
+    top = trending(keywords(articles, k_keywords, stopwords, doc, text), k_terms).collect()  # k_terms rows
+    terms = spark.createDataFrame(
+        [(row["rank"], row["term"]) for row in top], "query_id int, term string").coalesce(1)
+    if index is None:
+        index = postings(articles, doc, (text,), only=[row["term"] for row in top])
     best = search(index, corpus_size(articles, (text,)), terms, k_docs, doc)
     return best.join(F.broadcast(terms), "query_id").select(
         F.col("query_id").alias("term_rank"), "term", "rank", doc, "score")

@@ -22,7 +22,7 @@ from newsloom.operators import links as L
 from newsloom.operators import sinks, tables
 from newsloom.plans.articles import build_articles
 from newsloom.plans.recommend import recommend
-from newsloom.session import shared_dir, spread
+from newsloom.session import settle, shared_dir, spread
 from newsloom.sources import changes as C
 from newsloom.sources import pages as P
 from newsloom.sources.sites import at, site_table
@@ -95,7 +95,7 @@ def _batches(spark, sf):
         return F.struct(text.cast("string").alias("S"), F.lit(None).cast("array<struct<S string>>").alias("L"),
                         F.lit(None).cast("boolean").alias("NULL"))
 
-    events = _table(spark, sf, "events")
+    events = spread(_table(spark, sf, "events"))
     key = F.create_map(F.lit("title"), av(F.concat(F.lit("user "), F.col("user_id"))))
     image = F.create_map(
         F.lit("title"), av(F.concat(F.lit("user "), F.col("user_id"))),
@@ -360,7 +360,7 @@ def normalise_tags(spark, sf):
 
 def filter_titles(spark, sf):
     titled = _clean(spark, sf).select("page_id", H.page_title(F.col("html")).alias("title"))
-    return A.filter_titles(titled)
+    return A.filter_titles(settle(titled, "title"))
 
 
 def filter_titles_documents(spark, sf):
@@ -384,7 +384,7 @@ def build_articles_query(spark, sf):
 
 def upsert_latest(spark, sf):
     titled = _clean(spark, sf).select("page_id", "url", H.page_title(F.col("html")).alias("title"))
-    return tables.upsert_latest(titled, "title", "page_id")
+    return tables.upsert_latest(settle(titled, "title"), "title", "page_id")
 
 
 def _event_changes(spark, sf):

@@ -53,6 +53,27 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores)
 
 
+def settle(df: DataFrame, *costly: str) -> DataFrame:
+    """Keep later filters above the work that makes the ``costly`` columns.
+
+    Spark pushes a test on a computed column down to the scan and so computes the column twice. It
+    never pushes a test on a generator's output below the generator, and tests on the other
+    columns still reach the scan.
+    """
+    rest = [c for c in df.columns if c not in costly]
+    return df.select(*rest, F.inline(F.array(F.struct(*costly)))).select(*df.columns)
+
+
+def stage(df: DataFrame, purpose: str) -> DataFrame:
+    """Write ``df`` once as Parquet in the shared folder and read it back.
+
+    For a result that is used several times: it is computed once, and it outlives lost executors.
+    """
+    path = shared_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def is_small(df: DataFrame, max_rows: int = 100_000, max_bytes: int = 64 << 20) -> bool:
     """Whether ``df`` stays under both bounds, found by counting its rows and bytes."""
     size = df.limit(max_rows + 1).agg(
