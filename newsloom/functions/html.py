@@ -42,8 +42,8 @@ def extract(text: Column, pattern: Column | str, group: int = 1) -> Column:
 
 def strip_markup(html: Column, tags: tuple[str, ...] = ("script", "style", "iframe")) -> Column:
     """Remove comments and the named elements with all they hold, in one pass."""
-    parts = [r"<!--.*?(?:-->|\z)"] + [rf"<{t}(?:[\s/][^>]*)?>.*?(?:</{t}\s*>|\z)" for t in tags]
-    return F.regexp_replace(html, f"(?is){'|'.join(parts)}", "")
+    parts = [r"!--.*?(?:-->|\z)"] + [rf"{t}(?:[\s/][^>]*)?>.*?(?:</{t}\s*>|\z)" for t in tags]
+    return F.regexp_replace(html, f"(?is)<(?:{'|'.join(parts)})", "")
 
 
 def drop_tags(html: Column) -> Column:

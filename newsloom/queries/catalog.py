@@ -51,7 +51,7 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def _pages(spark, sf):
-    return spread(P.read_pages(spark, f"{sf}/pages.parquet"))
+    return spread(P.read_pages(spark, f"{sf}/pages.parquet"), "page_id")
 
 
 def _as_text(query):
@@ -60,7 +60,7 @@ def _as_text(query):
 
 
 def _documents(spark, sf):
-    return spread(_table(spark, sf, "documents"))
+    return spread(_table(spark, sf, "documents"), "doc_id")
 
 
 def _nav(spark, sf):
@@ -95,7 +95,7 @@ def _batches(spark, sf):
         return F.struct(text.cast("string").alias("S"), F.lit(None).cast("array<struct<S string>>").alias("L"),
                         F.lit(None).cast("boolean").alias("NULL"))
 
-    events = spread(_table(spark, sf, "events"))
+    events = spread(_table(spark, sf, "events"), "event_id")
     key = F.create_map(F.lit("title"), av(F.concat(F.lit("user "), F.col("user_id"))))
     image = F.create_map(
         F.lit("title"), av(F.concat(F.lit("user "), F.col("user_id"))),

@@ -41,16 +41,17 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
-def spread(df: DataFrame) -> DataFrame:
+def spread(df: DataFrame, by: str) -> DataFrame:
     """Give every core a share of an input that has fewer splits than there are cores.
 
     A table of one small file is one task whatever its rows cost. Real tables have more splits
-    than cores and pass through unchanged.
+    than cores and pass through unchanged. ``by`` names a column of unique values; hashing it,
+    unlike dealing rows out in turn, needs no sort to be repeatable after a lost task.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.isStreaming or df.rdd.getNumPartitions() >= cores:
         return df
-    return df.repartition(cores)
+    return df.repartition(cores, by)
 
 
 def settle(df: DataFrame, *costly: str) -> DataFrame:

@@ -217,5 +217,5 @@ def test_broadcast_needs_a_checked_size(spark):
     assert is_small(small) and not is_small(small, max_rows=9) and not is_small(small, max_bytes=20)
     joined = spark.range(100).join(broadcast_if_small(small, max_rows=9).hint("merge"), "id")
     assert "BroadcastHashJoin" not in joined._jdf.queryExecution().executedPlan().toString()
-    assert spread(spark.range(0, 10, 1, 1)).rdd.getNumPartitions() == 4
-    assert spread(spark.range(0, 10, 1, 6)).rdd.getNumPartitions() == 6
+    assert spread(spark.range(0, 10, 1, 1), "id").rdd.getNumPartitions() == 4
+    assert spread(spark.range(0, 10, 1, 6), "id").rdd.getNumPartitions() == 6
