@@ -37,7 +37,8 @@ def extract_cards(pages: DataFrame, listings: DataFrame) -> DataFrame:
     title, blurp, date_text, imgurl, category, every_visit``.
     """
     layouts = broadcast_if_small(listings.select(F.col("source").alias("_source"), F.struct("*").alias("lay")))
-    page = pages.join(layouts, (F.col("source") == F.col("_source")) & (
+    cleaned = pages.withColumn("body", H.strip_markup(F.col("html"))).drop("html")
+    page = cleaned.join(layouts, (F.col("source") == F.col("_source")) & (
         F.col("lay.page").isNull() | F.regexp_like(F.col("url"), F.col("lay.page"))))
     lay = F.col("lay")
     body = F.col("body")
@@ -55,8 +56,7 @@ def extract_cards(pages: DataFrame, listings: DataFrame) -> DataFrame:
     )
     enough = F.coalesce(lay["min_cards"], F.lit(1))
     found = (
-        page.withColumn("body", H.strip_markup(F.col("html")))
-        .withColumn("areas", areas)
+        page.withColumn("areas", areas)
         .select("page_id", F.col("url").alias("page_url"), "source", "rule", "lay",
                 F.posexplode(let(cards, lambda c: F.when(F.size(c) >= enough, c))).alias("pos", "card"))
         .where(lay["skip_at"].isNull() | (F.col("pos") != lay["skip_at"]))

@@ -42,36 +42,35 @@ def extract_articles(pages: DataFrame, sources: DataFrame, run_date: Column,
     arrive as columns, so the plan stays the same size whatever the number of sources.
     """
     known = with_source(pages, sources).where(F.col("source").isNotNull())
-    if cards is None:
-        known = known.withColumn("card", F.lit(None).cast(NO_CARD))
-    else:
-        known = attach_card(known, cards.select(
-            "title", "url", "blurp", "date_text", "imgurl", "category"))
     rule, card, page, region = F.col("rule"), F.col("card"), F.col("page"), F.col("region")
     cleaned = known.select(
-        "page_id", canonical_url(F.col("url")).alias("url"), "source", "rule", "card",
+        "page_id", canonical_url(F.col("url")).alias("url"), "source", "rule",
         H.strip_markup(F.col("html")).alias("page"))
     own_body = F.when(rule["body"].isNotNull(), H.element(page, rule["body"]["opening"], rule["body"]["tag"]))
     parts = cleaned.withColumn("region", F.when(rule["text"] != "main", F.when(
         rule["body"].isNull(), H.article_region(page)).otherwise(own_body)))
     picks = ["title", "blurp", "date", "image", "category_page", "category_link", "tags_text"]
-    picked = parts.select(
-        "*",
+    found = parts.select(
+        "page_id", "url", "source", "rule",
         H.pick_each(page, [rule[name] for name in picks]).alias("picked"),
         H.pick_all(page, rule["tags_list"]).alias("listed_tags"),
         H.page_title(page).alias("page_title"),
-        body_text(region, page, rule).alias("text"),
+        body_text(region, page, rule).alias("body_text"),
         F.when(rule["blurp_else"] == "paragraph", H.first_text(F.get(
             H.paragraphs(F.coalesce(region, H.article_region(page))), F.lit(0)))).alias("first_paragraph"),
-        F.when(rule["date_follows"], F.get(F.split(page, rule["date"]["opening"], 2), F.lit(1))).alias("behind"),
+        F.when(rule["date_follows"], D.clean_date_text(F.get(
+            F.split(page, rule["date"]["opening"], 2), F.lit(1)), rule["date_clean"])).alias("behind"),
     )
+    # Cards join what was extracted, not the pages: the markup itself never crosses the network.
+    found = found.withColumn("card", F.lit(None).cast(NO_CARD)) if cards is None else attach_card(
+        found, cards.select("title", "url", "blurp", "date_text", "imgurl", "category"))
 
     def field(name: str) -> Column:
         return F.get("picked", F.lit(picks.index(name)))
 
-    text = F.when(rule["brackets"], strip_brackets(F.col("text"))).otherwise(F.col("text"))
+    text = F.when(rule["brackets"], strip_brackets(F.col("body_text"))).otherwise(F.col("body_text"))
     tags = F.coalesce(A.tag_list(field("tags_text")), F.col("listed_tags"))
-    fields = picked.select(
+    fields = found.select(
         "page_id", "url", "source", "rule", "card", "first_paragraph",
         F.coalesce(text, F.lit("")).alias("text"),
         A.first_present(card["title"], clean_space(field("title")), F.col("page_title")).alias("title"),
