@@ -15,6 +15,12 @@ from newsloom.operators.links import attach_card, dedupe_links, extract_cards, r
 from newsloom.operators.tables import upsert_latest
 from newsloom.sources.pages import allowed_hosts, with_source
 
+# What is still needed of a rule once the page has been read.
+LATE_RULES = (
+    "slash", "brackets", "date_clean", "date_default", "blurp_else", "category", "category_map",
+    "category_first_tag", "no_category", "tags_lower", "tags_with_category", "skip_reviews",
+)
+
 NO_CARD = (
     "struct<title string, url string, blurp string, date_text string, imgurl string, category string>"
 )
@@ -42,7 +48,8 @@ def extract_articles(pages: DataFrame, sources: DataFrame, run_date: Column,
     arrive as columns, so the plan stays the same size whatever the number of sources.
     """
     known = with_source(pages, sources).where(F.col("source").isNotNull())
-    rule, card, page, region = F.col("rule"), F.col("card"), F.col("page"), F.col("region")
+    rule, late, card = F.col("rule"), F.col("late"), F.col("card")
+    page, region = F.col("page"), F.col("region")
     cleaned = known.select(
         "page_id", canonical_url(F.col("url")).alias("url"), "source", "rule",
         H.strip_markup(F.col("html")).alias("page"))
@@ -51,7 +58,8 @@ def extract_articles(pages: DataFrame, sources: DataFrame, run_date: Column,
         rule["body"].isNull(), H.article_region(page)).otherwise(own_body)))
     picks = ["title", "blurp", "date", "image", "category_page", "category_link", "tags_text"]
     found = parts.select(
-        "page_id", "url", "source", "rule",
+        "page_id", "url", "source",
+        F.struct(*[rule[name].alias(name) for name in LATE_RULES]).alias("late"),
         H.pick_each(page, [rule[name] for name in picks]).alias("picked"),
         H.pick_all(page, rule["tags_list"]).alias("listed_tags"),
         H.page_title(page).alias("page_title"),
@@ -68,37 +76,37 @@ def extract_articles(pages: DataFrame, sources: DataFrame, run_date: Column,
     def field(name: str) -> Column:
         return F.get("picked", F.lit(picks.index(name)))
 
-    text = F.when(rule["brackets"], strip_brackets(F.col("body_text"))).otherwise(F.col("body_text"))
+    text = F.when(late["brackets"], strip_brackets(F.col("body_text"))).otherwise(F.col("body_text"))
     tags = F.coalesce(A.tag_list(field("tags_text")), F.col("listed_tags"))
     fields = found.select(
-        "page_id", "url", "source", "rule", "card", "first_paragraph",
+        "page_id", "url", "source", "late", "card", "first_paragraph",
         F.coalesce(text, F.lit("")).alias("text"),
         A.first_present(card["title"], clean_space(field("title")), F.col("page_title")).alias("title"),
         blank_to_null(clean_space(field("blurp"))).alias("described"),
         F.coalesce(card["date_text"], F.col("behind"), field("date")).alias("date_found"),
         resolve_url(F.coalesce(card["imgurl"], field("image")), F.col("url")).alias("imgurl"),
         F.coalesce(clean_space(field("category_page")), url_category(field("category_link"), True)).alias("page_category"),
-        F.when(rule["tags_lower"], F.transform(tags, lambda t: F.lower(t))).otherwise(tags).alias("found_tags"),
-        F.coalesce(card["category"], url_category(F.col("url"), rule["slash"])).alias("segment"),
-    ).withColumn("date_text", D.clean_date_text(F.col("date_found"), rule["date_clean"]))
-    category = F.when(~rule["no_category"], A.category(
-        rule["category"], F.col("page_category"), F.col("segment"),
-        F.when(rule["category_first_tag"], F.get("found_tags", F.lit(0))), rule["category_map"]))
+        F.when(late["tags_lower"], F.transform(tags, lambda t: F.lower(t))).otherwise(tags).alias("found_tags"),
+        F.coalesce(card["category"], url_category(F.col("url"), late["slash"])).alias("segment"),
+    ).withColumn("date_text", D.clean_date_text(F.col("date_found"), late["date_clean"]))
+    category = F.when(~late["no_category"], A.category(
+        late["category"], F.col("page_category"), F.col("segment"),
+        F.when(late["category_first_tag"], F.get("found_tags", F.lit(0))), late["category_map"]))
     dated = fields.select(
-        "page_id", "title", "url", "source", "text", "imgurl", "found_tags", "rule",
+        "page_id", "title", "url", "source", "text", "imgurl", "found_tags", "late",
         category.alias("category"),
-        D.default_date(D.parse_date(F.col("date_text")), rule["date_default"], run_date).alias("date"),
+        D.default_date(D.parse_date(F.col("date_text")), late["date_default"], run_date).alias("date"),
         A.blurp(card["blurp"], F.col("described"), F.col("text"), F.col("first_paragraph"),
-                F.when(rule["blurp_else"] == "summary", summary(F.col("text"))),
-                rule["blurp_else"]).alias("blurp"),
+                F.when(late["blurp_else"] == "summary", summary(F.col("text"))),
+                late["blurp_else"]).alias("blurp"),
     )
     final = dated.withColumn("tags", F.when(
-        rule["tags_with_category"],
+        late["tags_with_category"],
         F.array_compact(F.array_append(F.col("found_tags"), F.col("category"))),
     ).otherwise(F.col("found_tags")))
     # A page is an article or it is not: at most one struct per row. Tests on the fields stay above
     # the generator, so that Spark never repeats the extraction inside a filter near the scan.
-    wanted = ~rule["skip_reviews"] | ~A.is_review(F.col("title"))
+    wanted = ~late["skip_reviews"] | ~A.is_review(F.col("title"))
     return final.select("page_id", F.explode(F.when(wanted, F.array(
         F.struct(*A.ARTICLE.names)))).alias("article")).select("page_id", "article.*")
 

@@ -29,6 +29,13 @@ def unescape(text: str) -> str:
     return text
 
 
+def unescape_html5(text: str) -> str:
+    """As ``unescape``; the old names also count without their ``;``."""
+    for name, letter in (("quot", '"'), ("copy", "©"), ("middot", "·"), ("amp", "&")):
+        text = sub(text, f"&{name};?", letter)
+    return text
+
+
 def plain(html: str) -> str:
     return unescape(sub(html, "</?[A-Za-z!][^>]*>"))
 
@@ -258,7 +265,7 @@ ORACLE = {
         SELECT doc_id, chr(10) || ' ' || chr(9) || chr(160) || ' ' || text || chr(8195) || chr(12288) || ' ' || chr(13) || chr(10) AS t
         FROM documents)""",
     "c10_unescape_entities": f"SELECT page_id, {unescape('html')} AS html FROM pages",
-    "c10_unescape_html5": f"SELECT page_id, {unescape('html')} AS html FROM pages",
+    "c10_unescape_html5": f"SELECT page_id, {unescape_html5('html')} AS html FROM pages",
     "d01_parse_date": "SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day FROM orders",
     "d02_clean_date_text": f"""
       SELECT o_orderkey, CASE o_orderkey % 5 {' '.join(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsloom.functions.urls import host
@@ -21,12 +21,6 @@ def read_pages(spark: SparkSession, path: str, streaming: bool = False,
     return reader.parquet(path)
 
 
-def host_parts(url: Column) -> list[Column]:
-    """The exact host, then its last three and last two labels."""
-    name = host(url)
-    return [name, F.substring_index(name, ".", -3), F.substring_index(name, ".", -2)]
-
-
 def with_source(df: DataFrame, sources: DataFrame, url: str = "url", rules: bool = True) -> DataFrame:
     """Add ``source`` (and the struct ``rule`` of its rules) by the most specific registered host.
 
@@ -37,10 +31,12 @@ def with_source(df: DataFrame, sources: DataFrame, url: str = "url", rules: bool
     hosts = broadcast_if_small(
         sources.select(F.explode("hosts").alias("_host"), value.alias("_rule"))
         .groupBy("_host").agg(F.min_by("_rule", F.col("_rule.source")).alias("_rule")))
-    found = df
-    for level, part in enumerate(host_parts(F.col(url))):
+    # The exact host, then its last three and last two labels.
+    found = df.withColumn("_part0", host(F.col(url)))
+    for level, labels in enumerate((None, -3, -2)):
         side = hosts.select(F.col("_host").alias(f"_host{level}"), F.col("_rule").alias(f"_rule{level}"))
-        found = found.withColumn(f"_part{level}", part)
+        if labels:
+            found = found.withColumn(f"_part{level}", F.substring_index("_part0", ".", labels))
         found = found.join(side, F.col(f"_part{level}") == F.col(f"_host{level}"), "left")
     rule = F.coalesce(*[F.col(f"_rule{level}") for level in range(3)])
     found = found.withColumn("source", rule["source"])
