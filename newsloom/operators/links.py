@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from newsloom.functions import html as H
 from newsloom.functions.text import blank_to_null, clean_space, let
 from newsloom.functions.urls import canonical_url, resolve_url, url_category
-from newsloom.session import broadcast_if_small, ensure_checkpoint_dir, settle
+from newsloom.session import broadcast_if_small, ensure_checkpoint_dir, settle, stage
 
 LINK = r"(?is)<a\s(?:[^>]*\s)?href\s*=\s*[\"']([^\"'>]*)[\"'][^>]*>(.*?)(?:</a\s*>|\z)"
 
@@ -86,6 +86,20 @@ def extract_cards(pages: DataFrame, listings: DataFrame) -> DataFrame:
     )
 
 
+def next_pages(pages: DataFrame) -> DataFrame:
+    """The next listing page of each page whose source links to one: ``page_id, page_url, url``.
+
+    The link may be nothing but a query, so its query string stays.
+    """
+    rule = F.col("rule")
+    href = H.pick(H.strip_markup(F.col("html")), rule["next"])
+    base = F.when(rule["slash"] & ~F.col("url").rlike("[/?#]$|[?#]"), F.concat("url", F.lit("/"))).otherwise(F.col("url"))
+    found = settle(pages.where(rule["next"].isNotNull()).select(
+        "page_id", "rule", "url", base.alias("base"), href.alias("href")), "href")
+    return found.where(F.col("href").isNotNull() & ~F.col("href").eqNullSafe(rule["next_stop"])).select(
+        "page_id", F.col("url").alias("page_url"), resolve_url(F.col("href"), F.col("base")).alias("url"))
+
+
 def slice_cards(cards: DataFrame, head: int = 2, tail_from: int = 3, pos: str = "pos",
                 blurp: str | None = None) -> DataFrame:
     """The first ``head`` cards (without a blurp) and those from ``tail_from`` on; the gap is left out."""
@@ -134,10 +148,13 @@ def expand_frontier(links: DataFrame, held: DataFrame, seeds: DataFrame, hops: i
     """URLs reached from ``seeds`` in at most ``hops`` links and not yet held: ``url, hop``.
 
     ``links(page_url, url)`` are edges between canonical URLs. Every hop is one join on the
-    page URL; with more than one hop, each is checkpointed so that lineage stays short.
+    page URL. With more than one hop, the edges are staged, so that pages are parsed once, and
+    each hop is checkpointed, so that lineage stays short.
     """
     ensure_checkpoint_dir(links.sparkSession)
     edges = links.select("page_url", "url").where(F.col("url").isNotNull())
+    if hops > 1:
+        edges = stage(edges, "edges")
     front = seeds.select("url").distinct()
     seen = front.withColumn("hop", F.lit(0))
     for hop in range(1, hops + 1):

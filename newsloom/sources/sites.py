@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from newsloom.functions.html import opening_tag
 
@@ -22,33 +23,43 @@ def at(tag: str, attr: str | None = None, value: str | None = None, *, child: st
 
 
 # One entry per site, in alphabetical order. They must equal what the sites use.
+#   start: listing pages to begin with; next: link to the next listing page, next_stop: not this one
 #   text: all | first | direct | region | main        date_default: run | month | none
 #   date_clean: iso | month_day | iso_search | drop | byline
 #   blurp_else: what stands in for a missing blurp: lead | lead_long | paragraph | summary
 SITES = [
     {
         "source": "aljazeera", "hosts": ["aljazeera.com"],
+        "start": ["https://www.aljazeera.com/tag/technology/",
+                  "https://www.aljazeera.com/tag/Cybersecurity/",
+                  "https://www.aljazeera.com/tag/Crypto/"],
         "text": "main", "date": at("meta", "property", "article:published_time", read="content"),
         "date_clean": "iso", "date_default": "run",
         "image": at("meta", "property", "og:image", read="content"),
     },
     {
         "source": "apnews", "hosts": ["apnews.com"],
+        "start": ["https://apnews.com/hub/technology/"],
         "body": at("div", "data-key", "article"), "text": "all",
         "date_clean": "iso", "date_default": "run",
         "image": at("meta", "property", "url", contains=True, read="content"),
     },
     {
         "source": "cio", "hosts": ["cio.com"], "slash": True,
+        "start": ["https://www.cio.com/asean/category/analytics",
+                  "https://www.cio.com/asean/category/cloud-computing",
+                  "https://www.cio.com/asean/"],
         "body": at("div", "itemprop", "articleBody"), "text": "first",
         "date": at("span", "class", "pub-date", read="content"),
         "date_clean": "iso", "date_default": "month",
         "blurp": at("h3", "itemprop", "description"),
         "image": at("img", "data-original", read="data-original"),
         "tags_text": at("meta", "itemprop", "keywords", read="content"),
+        "next": at("a", "id", "load-more-index", read="href"), "next_stop": "?start=40",
     },
     {
         "source": "govinsider", "hosts": ["govinsider.asia"],
+        "start": ["https://www.govinsider.asia/"],
         "body": at("div", "class", "entry-content post-content"), "text": "first",
         "date": at("time", "class", "updated"), "date_clean": "plain", "date_default": "run",
         "blurp_else": "lead_long",
@@ -57,6 +68,10 @@ SITES = [
     },
     {
         "source": "govtech", "hosts": ["govtech.com"],
+        "start": ["https://www.govtech.com/security/",
+                  "https://www.govtech.com/biz/",
+                  "https://www.govtech.com/products/",
+                  "https://www.govtech.com/gov-experience/"],
         "body": at("div", "id", "article_body"), "text": "all",
         "date": at("span", "class", "date"), "date_clean": "plain", "date_default": "month",
         "blurp": at("p", "class", "description"),
@@ -64,6 +79,8 @@ SITES = [
     },
     {
         "source": "guardian", "hosts": ["theguardian.com"],
+        "start": ["https://www.theguardian.com/technology/all",
+                  "https://www.theguardian.com/uk/technology"],
         "text": "main", "date": at("meta", "property", "article:published_time", read="content"),
         "date_clean": "iso", "date_default": "run", "skip_reviews": True,
         "blurp": at("div", "class", "css-zjgnrw", child="p"),
@@ -73,6 +90,10 @@ SITES = [
     },
     {
         "source": "infoworld", "hosts": ["infoworld.com"],
+        "start": ["https://www.infoworld.com/category/analytics/",
+                  "https://www.infoworld.com/category/machine-learning/",
+                  "https://www.infoworld.com/category/software-development/",
+                  "https://www.infoworld.com/category/cloud-computing/"],
         "title": at("h1", "itemprop", "headline"),
         "body": at("div", "itemprop", "articleBody"), "text": "region", "brackets": True,
         "date": at("span", "class", "pub-date", read="content"),
@@ -83,6 +104,7 @@ SITES = [
     },
     {
         "source": "khaleej", "hosts": ["khaleejtimes.com"],
+        "start": ["https://www.khaleejtimes.com/technology"],
         "body": at("div", "class", "articlepage_content_zz", contains=True), "text": "all",
         "date": at("div", "class", "author_detail", every=True),
         "date_clean": "month_day", "date_default": "month",
@@ -92,6 +114,7 @@ SITES = [
     },
     {
         "source": "nytimes", "hosts": ["nytimes.com"], "slash": True,
+        "start": ["https://www.nytimes.com/section/technology"],
         "text": "main", "date": at("meta", "property", "article:published_time", read="content"),
         "date_clean": "iso", "date_default": "run", "blurp_else": "summary",
         "image": at("meta", "property", "og:image", read="content"),
@@ -99,6 +122,7 @@ SITES = [
     },
     {
         "source": "opengov", "hosts": ["opengovasia.com"],
+        "start": ["https://www.opengovasia.com"],
         "body": at("div", "class", "theme-post-content", contains=True), "text": "first",
         "date": at("span", "class", "item--type-date", contains=True),
         "date_clean": "drop", "date_default": "none", "blurp_else": "lead",
@@ -107,6 +131,8 @@ SITES = [
     },
     {
         "source": "shanghai", "hosts": ["shine.cn"],
+        "start": ["https://www.shine.cn/news/nation/",
+                  "https://www.shine.cn/biz/tech/"],
         "body": at("div", "class", "content"), "text": "all",
         "date": at("span", "class", "glyphicon glyphicon-time"),
         "date_clean": "iso_search", "date_default": "month", "date_follows": True,
@@ -115,6 +141,7 @@ SITES = [
     },
     {
         "source": "techcrunch", "hosts": ["techcrunch.com"],
+        "start": ["https://techcrunch.com/"],
         "body": at("div", "class", "article-content"), "text": "direct",
         "date_clean": "iso", "date_default": "month",
         "blurp": at("p", "id", "speakable-summary", every=True), "blurp_else": "paragraph",
@@ -124,6 +151,7 @@ SITES = [
     },
     {
         "source": "techwire", "hosts": ["techwireasia.com"],
+        "start": ["https://www.techwireasia.com"],
         "body": at("div", "class", "large-7 medium-7 columns single-content", contains=True),
         "text": "first",
         "date_clean": "byline", "date_default": "month", "blurp_else": "lead",
@@ -133,6 +161,7 @@ SITES = [
     },
     {
         "source": "yonhap", "hosts": ["en.yna.co.kr"],
+        "start": ["https://en.yna.co.kr/business/it"],
         "body": at("div", "class", "inner"), "text": "all",
         "date": at("span", "class", "txt"),
         "date_clean": "month_day", "date_default": "month", "blurp_else": "paragraph",
@@ -204,7 +233,7 @@ LISTINGS = [
 
 FIELD = "struct<opening string, tag string, child string, attr string, every boolean>"
 SITE_SCHEMA = (
-    f"source string, hosts array<string>, slash boolean, title {FIELD}, body {FIELD}, text string, "
+    f"source string, hosts array<string>, start array<string>, next {FIELD}, next_stop string, slash boolean, title {FIELD}, body {FIELD}, text string, "
     f"brackets boolean, date {FIELD}, date_follows boolean, date_clean string, date_default string, "
     f"blurp {FIELD}, blurp_else string, image {FIELD}, category string, category_page {FIELD}, "
     f"category_link {FIELD}, category_map map<string, string>, category_first_tag boolean, "
@@ -231,6 +260,11 @@ def site_table(spark: SparkSession, sites: Iterable[Mapping] = SITES) -> DataFra
     return _table(spark, sites, SITE_SCHEMA)
 
 
+def start_pages(sources: DataFrame) -> DataFrame:
+    """The listing pages each source begins with: ``source, url``."""
+    return sources.select("source", F.explode("start").alias("url"))
+
+
 def listing_table(spark: SparkSession, listings: Iterable[Mapping] = LISTINGS) -> DataFrame:
     """Card layouts: one row per layout, several for some sites."""
     return _table(spark, listings, LISTING_SCHEMA)

@@ -37,7 +37,7 @@ def read_state(spark: SparkSession, log: str, key: str = "title", seq: str = "se
 
 def compact_log(spark: SparkSession, log: str, target: str, key: str = "title", seq: str = "seq",
                 op: str = "event_name", forget_before=None) -> None:
-    """Rewrite the log to a new path with one row per key.
+    """Rewrite the log to a new path with one row per key, apart from the folders of later batches.
 
     Tombstones stay, but for those with ``seq`` under ``forget_before``: pass a bound only when no
     older change can still arrive.
@@ -46,4 +46,4 @@ def compact_log(spark: SparkSession, log: str, target: str, key: str = "title",
     if forget_before is not None:
         removed = F.coalesce(F.col(op) == "REMOVE", F.lit(False))
         latest = latest.where(~(removed & (F.col(seq) < F.lit(forget_before))))
-    latest.write.mode("errorifexists").parquet(f"{target}/batch_id=0")
+    latest.write.mode("errorifexists").parquet(f"{target}/batch_id=-1")

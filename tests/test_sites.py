@@ -5,8 +5,10 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
+from newsloom.operators.links import next_pages
 from newsloom.plans.articles import build_articles, card_table, extract_articles
-from newsloom.sources.sites import listing_table, site_table
+from newsloom.sources.pages import with_source
+from newsloom.sources.sites import listing_table, site_table, start_pages
 
 RUN = date(2024, 1, 15)
 LONG = "First point made here. Second point follows. Third one. Fourth one. Fifth is cut."
@@ -209,3 +211,27 @@ def test_keyed_table_without_cards(spark, pages):
     assert built["Same"].source == "apnews" and built["Same"].date == RUN and built["Same"].text == ""
     assert built["Undated"].date is None and built["Month"].date == date(2024, 1, 1)
     assert built["Month"].category == "u"
+
+
+def test_start_and_next_pages(spark):
+    sources = site_table(spark)
+    starts = start_pages(sources)
+    assert {r.source for r in starts.collect()} == set(CASES)
+    assert with_source(starts.drop("source"), sources, rules=False).where("source is null").count() == 0
+    more = '<a id="load-more-index" href="?start={}">More</a>'
+    rows = [(1, "https://www.cio.com/asean/category/analytics", more.format(20)),
+            (2, "https://www.cio.com/asean/category/analytics/?start=20", more.format(40)),
+            (3, "https://apnews.com/hub/technology/", more.format(20)), (4, "https://www.cio.com/asean/", "<p>none</p>")]
+    pages = with_source(spark.createDataFrame(rows, "page_id bigint, url string, html string"), sources)
+    assert [(r.page_id, r.url) for r in next_pages(pages).collect()] == [
+        (1, "https://www.cio.com/asean/category/analytics/?start=20")]
+
+
+def test_the_most_specific_host_wins(spark):
+    sources = site_table(spark, [
+        {"source": "all", "hosts": ["example.com"]}, {"source": "news", "hosts": ["news.example.com"]},
+        {"source": "exact", "hosts": ["a.b.news.example.com"]}])
+    urls = ["https://example.com/", "http://x.example.com", "https://news.example.com/a", "https://x.news.example.com/",
+            "https://A.B.news.example.com/", "https://notexample.com/", "not a url", None]
+    tagged = with_source(spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "i int, url string"), sources, rules=False)
+    assert [r.source for r in tagged.orderBy("i").collect()] == ["all", "all", "news", "news", "exact", None, None, None]
