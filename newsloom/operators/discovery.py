@@ -57,42 +57,51 @@ def summary(text: Column, n: int = 3) -> Column:
     """The ``n`` sentences whose terms are most frequent in the article, in text order.
 
     A sentence scores the mean count of its terms (Luhn 1958). All work stays inside the row: the
-    terms, tagged with their sentence, are sorted to count them; the counts, packed behind their
-    sentence in one long, are sorted to sum them. Both sorts compare plain values.
+    terms, tagged with their sentence, are sorted to count them. A term that occurs once adds one
+    to its sentence's total, so totals start at the sentence's length and only repeated terms
+    add to them, packed behind their sentence in one long and sorted. Both sorts compare plain values.
     """
     mark, low = "\x01", F.lit(2**32 - 1)
 
-    def counts(ordered: Column) -> Column:
+    def extras(ordered: Column) -> Column:
+        """``sentence << 32 | count - 1`` for each occurrence of a repeated term."""
         def spread(starts: Column) -> Column:
             def pack(w: Column, count: Column) -> Column:
-                sentence = F.substring_index(w, mark, -1).cast("long")
-                return F.shiftleft(sentence, 32) + count
+                return F.shiftleft(F.substring_index(w, mark, -1).cast("long"), 32) + (count - 1)
 
+            none = F.array().cast("array<bigint>")
             return let(run_lengths(ordered, starts), lambda lengths: F.flatten(F.transform(
-                starts, lambda start, j: F.transform(
-                    F.slice(ordered, start + 1, F.get(lengths, j)),
-                    lambda w: pack(w, F.get(lengths, j))))))
+                starts, lambda start, j: F.when(
+                    F.get(lengths, j) > 1,
+                    F.transform(F.slice(ordered, start + 1, F.get(lengths, j)), lambda w: pack(w, F.get(lengths, j))),
+                ).otherwise(none))))
 
         terms = F.transform(ordered, lambda w: F.substring_index(w, mark, 1))
         return let(let(terms, lambda t: run_starts(t)), spread)
 
-    def means(counted: Column) -> Column:
+    def means(counted: Column, lengths: Column) -> Column:
+        """``struct<-mean, sentence>`` from the sorted totals; run ``j`` belongs to sentence ``j``."""
         def mean(starts: Column) -> Column:
-            def one(start: Column, length: Column) -> Column:
-                total = F.aggregate(F.slice(counted, start + 1, length), F.lit(0).cast("long"),
+            def one(start: Column, j: Column, size: Column) -> Column:
+                total = F.aggregate(F.slice(counted, start + 1, size), F.lit(0).cast("long"),
                                     lambda acc, x: acc + x.bitwiseAND(low))
-                sentence = F.shiftright(F.get(counted, start), 32).cast("int")
-                return F.struct((-total / length).alias("minus_mean"), sentence.alias("sentence"))
+                return F.struct((-total / F.get(lengths, j)).alias("minus_mean"), j.alias("sentence"))
 
-            return let(run_lengths(counted, starts), lambda lengths: F.transform(
-                starts, lambda start, j: one(start, F.get(lengths, j))))
+            return let(run_lengths(counted, starts), lambda sizes: F.transform(
+                starts, lambda start, j: one(start, j, F.get(sizes, j))))
 
         return let(run_starts(counted, lambda x: F.shiftright(x, 32)), mean)
 
     def choose(found: Column) -> Column:
-        words = F.flatten(F.transform(found, lambda s, i: F.transform(
-            tokens(s), lambda t: F.concat(t, F.lit(mark), i.cast("string")))))
-        ranked = F.sort_array(let(F.sort_array(let(F.sort_array(words), counts)), means))
+        def rank(words: Column) -> Column:
+            lengths = F.transform(words, lambda w: F.size(w))
+            tagged = F.flatten(F.transform(words, lambda w, i: F.transform(
+                w, lambda t: F.concat(t, F.lit(mark), i.cast("string")))))
+            base = F.transform(words, lambda w, i: F.shiftleft(i.cast("long"), 32) + F.size(w))
+            totals = F.sort_array(F.concat(base, let(F.sort_array(tagged), extras)))
+            return let(totals, lambda counted: let(lengths, lambda sizes: F.sort_array(means(counted, sizes))))
+
+        ranked = let(F.transform(found, lambda s: tokens(s)), rank)
         best = F.sort_array(F.transform(F.slice(ranked, 1, n), lambda r: r["sentence"]))
         return F.array_join(F.transform(best, lambda i: F.get(found, i)), " ")
 
