@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from newsloom.functions.text import STOPWORDS
 from newsloom.operators.discovery import corpus_size, keywords, postings, search, trending
-from newsloom.session import broadcast_if_small
 
 
 def recommend(articles: DataFrame, k_terms: int = 10, k_docs: int = 5, doc: str = "doc_id", text: str = "text",
@@ -26,5 +25,6 @@ def recommend(articles: DataFrame, k_terms: int = 10, k_docs: int = 5, doc: str
     if index is None:
         index = postings(articles, doc, (text,), only=[row["term"] for row in top])
     best = search(index, corpus_size(articles, (text,)), terms, k_docs, doc)
-    return best.join(broadcast_if_small(terms), "query_id").select(
+    few = F.broadcast(terms) if len(top) <= 10_000 else terms
+    return best.join(few, "query_id").select(
         F.col("query_id").alias("term_rank"), "term", "rank", doc, "score")

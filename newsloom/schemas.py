@@ -23,6 +23,7 @@ ARTICLE = T.StructType([
 # A typed attribute value: one wrapper key per type. Text, list of text and null occur.
 ATTRIBUTE = "struct<S: string, L: array<struct<S: string>>, `NULL`: boolean>"
 
+# Field names of the change-record format.
 CHANGE_BATCH = (
     "Records array<struct<eventName: string, dynamodb: struct<SequenceNumber: string, "
     f"Keys: map<string, {ATTRIBUTE}>, NewImage: map<string, {ATTRIBUTE}>>>>"

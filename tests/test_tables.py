@@ -219,3 +219,13 @@ def test_broadcast_needs_a_checked_size(spark):
     assert "BroadcastHashJoin" not in joined._jdf.queryExecution().executedPlan().toString()
     assert spread(spark.range(0, 10, 1, 1), "id").rdd.getNumPartitions() == 4
     assert spread(spark.range(0, 10, 1, 6), "id").rdd.getNumPartitions() == 6
+
+
+def test_a_hot_url_keeps_every_card(spark):
+    url = F.when(F.col("id") % 3 == 0, "http://example.com/hot?x=1").otherwise(F.concat(F.lit("https://example.com/"), "id"))
+    cards = spark.range(300).select(url.alias("url"), F.col("id").alias("card_id"))
+    pages = spark.range(300).where("id % 3 <> 0 or id = 0").select(
+        F.when(F.col("id") == 0, "https://example.com/hot#top").otherwise(F.concat(F.lit("https://example.com/"), "id")).alias("url"))
+    joined = L.attach_card(pages, cards).select("card.card_id", "url")
+    assert joined.count() == 300 and joined.select("card_id").distinct().count() == 300
+    assert joined.where("url = 'https://example.com/hot#top'").count() == 100
