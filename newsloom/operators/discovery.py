@@ -181,6 +181,7 @@ def search(index: DataFrame, size: DataFrame, terms: DataFrame, k: int = 10, doc
     Only postings of query terms go on. A few terms become a filter that a stored index pushes to
     its scan; more meet the postings in a join, by broadcast when their counted size allows it.
     The matching postings are staged, since both the term frequencies and the scores need them.
+    ``size`` is one row, read once; a stored one spares a pass over the texts.
     An article's terms lie together, so scores are summed per task before the shuffle. Ranks use
     the score rounded to 6 places, ties by article.
     """
@@ -193,10 +194,10 @@ def search(index: DataFrame, size: DataFrame, terms: DataFrame, k: int = 10, doc
         else index.join(side(wanted), "term", "left_semi"))
     matching = stage(matching, "matching-postings")
     frequency = matching.groupBy("term").agg(F.count("*").alias("df"))
-    whole = size.select(F.struct("n_docs", "mean_length")).scalar()
+    n_docs, mean_length = size.select("n_docs", "mean_length").first()
     weighted = terms.join(frequency, "term").select(
-        "query_id", "term", F.log(1 + (whole["n_docs"] - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf"))
-    norm = F.col("tf") + K1 * (1 - B + B * F.col("length") / whole["mean_length"])
+        "query_id", "term", F.log(1 + (n_docs - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf"))
+    norm = F.col("tf") + K1 * (1 - B + B * F.col("length") / F.lit(mean_length))
     scored = matching.withColumn("weight", F.col("tf") * (K1 + 1) / norm).join(side(weighted), "term")
     totals = scored.groupBy("query_id", doc).agg(F.round(F.sum(F.col("idf") * F.col("weight")), 6).alias("score"))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), doc)
