@@ -109,3 +109,10 @@ def dedupe_exact(
 
 def op7_exact_dedup(docs: DataFrame) -> DataFrame:
     return dedupe_exact(docs)
+
+
+OP7_SQL = r"""
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256
+FROM (SELECT doc_id, t, min(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size
+  FROM (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents))
+"""

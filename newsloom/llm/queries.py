@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from newsloom.llm import decontaminate, exact, language, licences, mixture
+from newsloom.llm import decontaminate, exact, language, licences, mixture, token_store, warc
 from newsloom.llm.common import read_table
 from newsloom.session import spread
 
@@ -15,6 +16,14 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread(read_table(spark, sf_dir, "documents"), "doc_id")
 
 
+def op1_warc(spark, sf_dir):
+    return warc.op1_warc(spread(read_table(spark, sf_dir, "pages"), "page_id"))
+
+
+def op2_token_store(spark, sf_dir):
+    return token_store.op2_token_store(_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op5_decontaminate(spark, sf_dir):
     return decontaminate.op5_decontaminate(_documents(spark, sf_dir), read_table(spark, sf_dir, "benchmark"))
 
@@ -36,6 +45,10 @@ def op10_mix_sources(spark, sf_dir):
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op5_decontaminate, op7_exact_dedup, op8_language_id, op9_licence_scan, op10_mix_sources)
+    f.__name__: f for f in (op1_warc, op2_token_store, op5_decontaminate, op7_exact_dedup, op8_language_id, op9_licence_scan, op10_mix_sources)
+}
+ORACLE: dict[str, str] = {
+    "op1_warc": warc.OP1_SQL,
+    "op5_decontaminate": decontaminate.OP5_SQL,
+    "op7_exact_dedup": exact.OP7_SQL,
 }
-ORACLE: dict[str, str] = {"op5_decontaminate": decontaminate.OP5_SQL}
