@@ -20,7 +20,7 @@ def connect(sf: str) -> duckdb.DuckDBPyConnection:
 
 
 def canonical(value):
-    if value is None or value is pd.NaT or (isinstance(value, float) and math.isnan(value)):
+    if value is None or value is pd.NaT or value is pd.NA or (isinstance(value, float) and math.isnan(value)):
         return None
     if hasattr(value, "tolist"):
         value = value.tolist()
