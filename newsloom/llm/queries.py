@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from newsloom.llm import decontaminate, exact, language, licences, mixture, token_store, warc
+from newsloom.llm import decontaminate, exact, language, licences, mixture, token_store, toxicity, warc
 from newsloom.llm.common import read_table
 from newsloom.session import spread
 
@@ -28,6 +28,10 @@ def op5_decontaminate(spark, sf_dir):
     return decontaminate.op5_decontaminate(_documents(spark, sf_dir), read_table(spark, sf_dir, "benchmark"))
 
 
+def op6_toxicity(spark, sf_dir):
+    return toxicity.op6_toxicity(_documents(spark, sf_dir), read_table(spark, sf_dir, "labels"))
+
+
 def op7_exact_dedup(spark, sf_dir):
     return exact.op7_exact_dedup(_documents(spark, sf_dir))
 
@@ -45,7 +49,7 @@ def op10_mix_sources(spark, sf_dir):
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_warc, op2_token_store, op5_decontaminate, op7_exact_dedup, op8_language_id, op9_licence_scan, op10_mix_sources)
+    f.__name__: f for f in (op1_warc, op2_token_store, op5_decontaminate, op6_toxicity, op7_exact_dedup, op8_language_id, op9_licence_scan, op10_mix_sources)
 }
 ORACLE: dict[str, str] = {
     "op1_warc": warc.OP1_SQL,
