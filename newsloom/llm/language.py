@@ -159,6 +159,24 @@ def identify(
         predict, f"`{id_col}` {kind}, lang_pred string, score double")
 
 
+def keep_identified(docs: DataFrame, prototypes: dict[str, np.ndarray], min_score: float, text: str = "text") -> DataFrame:
+    """Rows of ``docs``, with all their columns, whose text is of some language with ``min_score`` or more.
+
+    Rows whose text is null, has no letter, or is less like every prototype go. Nothing is shuffled.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(np.stack([*prototypes.values()]) if prototypes else None)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in pieces(batch, text):
+                if shared.value is not None:
+                    vectors = encode(piece.column(text).to_pylist(), shared.value.shape[1])
+                    best = (_unit(vectors) @ shared.value.T).max(axis=1)
+                    yield piece.filter(pa.array((best >= min_score) & (np.abs(vectors).sum(axis=1) > 0)))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
 def op8_language_id(docs: DataFrame) -> DataFrame:
     """Predict all documents by prototypes learnt from those whose remainder by three is not 1."""
     held_out = F.coalesce(remainder("doc_id", 3) == 1, F.lit(False))

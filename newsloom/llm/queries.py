@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from newsloom.llm import chosen_path, decontaminate, exact, language, licences, mixture, token_store, toxicity, warc
+from newsloom.llm import chosen_path, decontaminate, exact, language, licences, line_templates, mixture, token_store, toxicity, warc
 from newsloom.llm.common import read_table
 from newsloom.session import spread
 
@@ -24,6 +24,10 @@ def op2_token_store(spark, sf_dir):
     return token_store.op2_token_store(_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op3_line_templates(spark, sf_dir):
+    return line_templates.op3_line_templates(_documents(spark, sf_dir))
+
+
 def op4_near_duplicates(spark, sf_dir):
     return chosen_path.op4_near_duplicates(_documents(spark, sf_dir))
 
@@ -53,10 +57,11 @@ def op10_mix_sources(spark, sf_dir):
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_warc, op2_token_store, op4_near_duplicates, op5_decontaminate, op6_toxicity, op7_exact_dedup, op8_language_id, op9_licence_scan, op10_mix_sources)
+    f.__name__: f for f in (op1_warc, op2_token_store, op3_line_templates, op4_near_duplicates, op5_decontaminate, op6_toxicity, op7_exact_dedup, op8_language_id, op9_licence_scan, op10_mix_sources)
 }
 ORACLE: dict[str, str] = {
     "op1_warc": warc.OP1_SQL,
+    "op3_line_templates": line_templates.OP3_SQL,
     "op5_decontaminate": decontaminate.OP5_SQL,
     "op7_exact_dedup": exact.OP7_SQL,
 }
