@@ -99,7 +99,9 @@ def dedupe_exact(
     no other, and then ``keep_id`` is null. An empty table gives none. Further columns are not read.
     """
     named = stage(name_texts(docs, text, id_col, block, route), "identities")
-    groups = named.groupBy("n_blocks", "name").agg(F.min("id").alias("keep_id"), F.sum("n_rows").alias("group_size"))
+    # stored, so that the join deals both sides out itself and can split a large group's rows
+    groups = stage(named.groupBy("n_blocks", "name").agg(
+        F.min("id").alias("keep_id"), F.sum("n_rows").alias("group_size")), "text-groups")
     rows = named.join(groups, ["n_blocks", "name"])
     rows = rows.withColumn("repeat", F.explode(F.sequence(F.lit(1).cast("long"), "n_rows")))
     return rows.select(
