@@ -14,16 +14,16 @@ from pyarrow import fs
 
 
 def create(folder: str, ending: str) -> tuple[str, object]:
-    """A new file's path and its open stream."""
+    """A new file's path and its open stream. Bytes are written as they are, whatever the ending."""
     path = f"{folder.rstrip('/')}/{uuid.uuid4().hex}{ending}"
     where, local = fs.FileSystem.from_uri(path)
     where.create_dir(local.rpartition("/")[0], recursive=True)
-    return path, where.open_output_stream(local)
+    return path, where.open_output_stream(local, compression=None)
 
 
 def open_stream(path: str):
     where, local = fs.FileSystem.from_uri(path)
-    return where.open_input_stream(local)
+    return where.open_input_stream(local, compression=None)
 
 
 def open_random(path: str):

@@ -79,7 +79,8 @@ def read_records(path: str) -> Iterator[tuple[dict[str, str], bytes]]:
                 raise ValueError(f"no record where one should begin in {path}")
             fields = dict(line.split(": ", 1) for line in lines[1:] if line)
             block = text.read(int(fields["Content-Length"]))
-            text.read(4)
+            if len(block) < int(fields["Content-Length"]) or text.read(4) != b"\r\n\r\n":
+                raise ValueError(f"a record breaks off in {path}")
             yield fields, block
 
 
