@@ -64,12 +64,13 @@ def unescape_entities(text: Column) -> Column:
     one string, which keeps the plan small and stays inside the JVM.
     """
     table = F.lit(_entity_table())
-    reference = r"^(#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]*);"
+    reference = r"^(#[0-9]+|#[xX][0-9A-Fa-f]+|[A-Za-z][A-Za-z0-9]*);"
 
     def letter(name: Column) -> Column:
-        number = F.when(
-            F.lower(F.substring(name, 2, 1)) == "x", F.conv(F.substr(name, F.lit(3)), 16, 10)
-        ).otherwise(F.substr(name, F.lit(2))).cast("int")
+        hexadecimal = F.lower(F.substring(name, 2, 1)) == "x"
+        digits = F.ltrim(F.substr(name, F.when(hexadecimal, 3).otherwise(2)), F.lit("0"))
+        # more digits than the last code point has are beyond it
+        number = F.when(F.length(digits) <= 7, F.when(hexadecimal, F.conv(digits, 16, 10)).otherwise(digits)).try_cast("int")
         number = F.when(number.between(1, 0xD7FF) | number.between(0xE000, 0x10FFFF), number)
         coded = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
         place = F.call_function("instr", table, F.concat(F.lit(";"), name, F.lit("=")))
@@ -164,10 +165,42 @@ def element(html: Column, opening: Column, tag: Column) -> Column:
     return inner_to_close(F.get(F.split(html, opening, 2), F.lit(1)), tag)
 
 
+def all_elements(html: Column, opening: Column, tag: Column) -> Column:
+    """Inner HTML of every element that ``opening`` matches; one inside another is part of it only."""
+    def step(s: Column, _: Column) -> Column:
+        rest = F.get(F.split(s["rest"], opening, 2), F.lit(1))
+        return let(rest, lambda r: let(inner_to_close(r, tag), lambda inner: F.when(r.isNull(), s).otherwise(F.struct(
+            F.substr(r, F.length(inner) + 1).alias("rest"), F.array_append(s["done"], inner).alias("done")))))
+
+    n = F.size(F.split(html, opening)) - 1
+    start = F.struct(html.alias("rest"), F.array().cast("array<string>").alias("done"))
+    return F.when(n > 0, F.aggregate(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), start, step)["done"])
+
+
+def at_depth(html: Column, depth: Column) -> Column:
+    """What lies exactly ``depth`` container elements below the top of ``html``. Null keeps all."""
+    names = "|".join(b for b in BLOCKS if b not in ("p", "hr"))
+    edges = F.split(html, rf"(?i)(?=<(?:/?(?:{names}))[\s>/])")
+
+    def turn(part: Column) -> Column:
+        return F.when(part.rlike(rf"(?i)^</(?:{names})[\s>/]"), -1).when(part.rlike(rf"(?i)^<(?:{names})[\s>/]"), 1).otherwise(0)
+
+    def kept(parts: Column) -> Column:
+        turns = F.transform(parts, turn)
+        zero = F.struct(F.lit(0).alias("now"), F.lit("").alias("depths"))
+        # one character per part tells its depth, up to nine; text is joined once at the end
+        depths = F.aggregate(turns, zero, lambda s, t: F.struct(
+            F.greatest(s["now"] + t, F.lit(0)).alias("now"),
+            F.concat(s["depths"], F.least(F.greatest(s["now"] + t, F.lit(0)), F.lit(9)).cast("string")).alias("depths")))["depths"]
+        return let(depths, lambda d: F.array_join(F.filter(parts, lambda p, i: F.substr(d, i + 1, F.lit(1)) == depth.cast("string")), ""))
+
+    return F.when(depth.isNull(), html).otherwise(let(edges, kept))
+
+
 def raw_attribute(tag_text: Column, name: Column | str) -> Column:
     """Value of an attribute inside one opening tag, references not decoded."""
     name = F.lit(name) if isinstance(name, str) else name
-    pattern = F.concat(F.lit(r"(?is)\s"), name, F.lit("\\s*=\\s*(?:\"([^\"]*)\"|'([^']*)'|([^\\s\"'>]+))"))
+    pattern = F.concat(F.lit(r"(?is)\s"), name, F.lit("\\s*=\\s*(?:\"([^\"]*)\"|'([^']*)'|([^\\s\"'>][^\\s>]*))"))
     value = let(tag_text, lambda t: F.concat(*[
         F.call_function("regexp_extract", t, pattern, F.lit(g)) for g in (1, 2, 3)]))
     return let(value, lambda v: blank_to_null(v))
@@ -349,7 +382,9 @@ def pick(html: Column, rule: Column) -> Column:
             rule["every"], drop_tags(found)).otherwise(extract(found, FIRST_TEXT)))
         return F.when(rule["attr"].isNotNull(), raw_attribute(extract(area, opening, 0), rule["attr"])).otherwise(text)
 
-    outer = F.when(rule["child"].isNull(), html).otherwise(element(html, rule["opening"], rule["tag"]))
+    # the first element that has the child
+    having = F.get(F.filter(all_elements(html, rule["opening"], rule["tag"]), lambda e: F.regexp_like(e, child)), F.lit(0))
+    outer = F.when(rule["child"].isNull(), html).otherwise(having)
     value = let(outer, lambda area: inside(
         area, F.coalesce(child, rule["opening"]), F.coalesce(rule["child"], rule["tag"])))
     return F.when(rule["opening"].isNotNull(), unescape_entities(value))

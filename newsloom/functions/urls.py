@@ -46,8 +46,16 @@ def canonical_url(url: Column) -> Column:
     return F.regexp_replace(without_query(url), "^http://", "https://")
 
 
+def page_address(url: Column, drop_query: Column | bool = False, force_https: Column | bool = False) -> Column:
+    """A page's address without its fragment; query and scheme stay unless a rule drops them."""
+    drop, force = (F.coalesce(x, F.lit(False)) if isinstance(x, Column) else F.lit(x) for x in (drop_query, force_https))
+    plain = F.when(drop, without_query(url)).otherwise(F.split_part(url, F.lit("#"), F.lit(1)))
+    return F.when(force, F.regexp_replace(plain, "^http://", "https://")).otherwise(plain)
+
+
 def url_category(url: Column, add_slash: Column | bool = False) -> Column:
     """Last path segment before a trailing slash; null when there is none."""
     add = F.lit(add_slash) if isinstance(add_slash, bool) else add_slash
+    # fixed value: the pattern that defines a category
     slashed = F.when(add & ~url.endswith("/"), F.concat(url, F.lit("/"))).otherwise(url)
     return blank_to_null(F.regexp_extract(slashed, "([^/]*)/$", 1))

@@ -7,26 +7,39 @@ from pyspark.sql import functions as F
 
 from newsloom.functions import html as H
 from newsloom.functions.text import blank_to_null, clean_space, let
-from newsloom.functions.urls import canonical_url, resolve_url, url_category
+from newsloom.functions.urls import page_address, resolve_url, url_category
 from newsloom.session import broadcast_if_small, ensure_checkpoint_dir, settle, stage
 
-LINK = r"(?is)<a\s(?:[^>]*\s)?href\s*=\s*[\"']([^\"'>]*)[\"'][^>]*>(.*?)(?:</a\s*>|\z)"
+ANCHOR = r"(?i)(?=<a[\s>/])"
+# An opening tag in which a value may hold ``>``: values in quotes, values without, other characters.
+ANCHOR_TAG = r"(?is)^<a\s(?:=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s\"'>][^\s>]*+)|[^=>]|=)*+>"
+HREF = r"(?is)[\s\"'/]href\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s\"'>][^\s>]*+))"
+
+
+def anchors(html: Column) -> Column:
+    """``array<struct<href, inner>>`` of every ``<a>`` with a target, references not decoded.
+
+    An anchor ends at its closing tag, at the next ``<a``, or with the page.
+    """
+    def read(piece: Column) -> Column:
+        def parts(tag: Column) -> Column:
+            href = F.concat(*[F.regexp_extract(tag, HREF, g) for g in (1, 2, 3)])
+            rest = F.substr(piece, F.length(tag) + 1)
+            return F.struct(blank_to_null(href).alias("href"), F.get(F.split(rest, r"(?i)</a[\s>]", 2), F.lit(0)).alias("inner"))
+
+        return let(F.regexp_extract(piece, ANCHOR_TAG, 0), parts)
+
+    return F.filter(F.transform(F.split(html, ANCHOR), read), lambda a: a["href"].isNotNull())
 
 
 def extract_links(pages: DataFrame) -> DataFrame:
     """One row per link of a page: ``page_id, page_url, pos, href, anchor``."""
-    body = H.strip_markup(F.col("html"))
-    found = pages.select("page_id", F.col("url").alias("page_url"), body.alias("body")).select(
-        "page_id", "page_url",
-        F.posexplode(F.arrays_zip(
-            F.regexp_extract_all("body", F.lit(LINK), F.lit(1)).alias("href"),
-            F.regexp_extract_all("body", F.lit(LINK), F.lit(2)).alias("anchor"),
-        )).alias("pos", "link"),
-    )
+    found = pages.select("page_id", F.col("url").alias("page_url"), H.strip_markup(F.col("html")).alias("body")).select(
+        "page_id", "page_url", F.posexplode(anchors(F.col("body"))).alias("pos", "link"))
     return found.select(
         "page_id", "page_url", "pos",
         H.unescape_entities(F.col("link.href")).alias("href"),
-        clean_space(H.all_text(F.col("link.anchor"))).alias("anchor"),
+        clean_space(H.all_text(F.col("link.inner"))).alias("anchor"),
     )
 
 
@@ -34,7 +47,8 @@ def extract_cards(pages: DataFrame, listings: DataFrame) -> DataFrame:
     """One row per listing card, by the card layouts of the page's source.
 
     ``pages`` carries ``source`` and ``rule``. Output: ``page_id, page_url, source, pos, href,
-    title, blurp, date_text, imgurl, category, every_visit``.
+    title, blurp, date_text, imgurl, category, every_visit, drop_query, force_https``. A layout
+    marked ``first_only`` gives its first card and no other.
     """
     layouts = broadcast_if_small(listings.select(F.col("source").alias("_source"), F.struct("*").alias("lay")))
     cleaned = pages.withColumn("body", H.strip_markup(F.col("html"))).drop("html")
@@ -60,6 +74,7 @@ def extract_cards(pages: DataFrame, listings: DataFrame) -> DataFrame:
         .select("page_id", F.col("url").alias("page_url"), "source", "rule", "lay",
                 F.posexplode(let(cards, lambda c: F.when(F.size(c) >= enough, c))).alias("pos", "card"))
         .where(lay["skip_at"].isNull() | (F.col("pos") != lay["skip_at"]))
+        .where(~lay["first_only"] | (F.col("pos") == 0))
     )
     names = ["link", "title", "blurp", "after_blurp", "date", "image"]
     picked = settle(found.withColumn(
@@ -83,6 +98,8 @@ def extract_cards(pages: DataFrame, listings: DataFrame) -> DataFrame:
         field("image").alias("imgurl"),
         F.coalesce(F.try_element_at("rule.category_map", segment), segment).alias("category"),
         lay["every_visit"].alias("every_visit"),
+        (F.col("rule.drop_query") | lay["drop_query"]).alias("drop_query"),
+        F.col("rule.force_https").alias("force_https"),
     )
 
 
@@ -171,11 +188,12 @@ def expand_frontier(links: DataFrame, held: DataFrame, seeds: DataFrame, hops: i
 
 
 def attach_card(articles: DataFrame, cards: DataFrame, url: str = "url") -> DataFrame:
-    """Bring the fields of the card that led to a page onto the page, by canonical URL.
+    """Bring the fields of the card that led to a page onto the page, by their addresses.
 
-    All fields of a card arrive in the struct ``card``. A page reached by several cards comes out
-    once per card. A hot URL is split by adaptive skew join handling.
+    Both sides come with the addresses that their source's rule makes (``page_address``); here only
+    fragments are ignored. All fields of a card arrive in the struct ``card``. A page reached by
+    several cards comes out once per card. A hot URL is split by adaptive skew join handling.
     """
-    left = articles.withColumn("_key", canonical_url(F.col(url)))
-    right = cards.select(canonical_url(F.col(url)).alias("_key"), F.struct("*").alias("card"))
+    left = articles.withColumn("_key", page_address(F.col(url)))
+    right = cards.select(page_address(F.col(url)).alias("_key"), F.struct("*").alias("card"))
     return left.join(right, "_key").drop("_key")

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from newsloom.operators.tables import to_export
+from newsloom.session import remove
+
 MAX_ROWS = 100
 
 
@@ -17,11 +20,14 @@ def write_jsonl(df: DataFrame, path: str, max_rows: int = MAX_ROWS, gzip: bool |
                 mode: str = "errorifexists") -> None:
     """One JSON object per line, at most ``max_rows`` per file, nulls written out.
 
-    gzip is on when asked for, or when the path ends in ``.gz``. Empty input writes nothing.
+    gzip is on when asked for, or when the path ends in ``.gz``. The input runs once; where it turns
+    out to be empty, the folder is taken away again. Large feeds should raise ``max_rows``.
     """
-    if df.isEmpty():
-        return
-    _writer(df, max_rows, path.endswith(".gz") if gzip is None else gzip).mode(mode).json(path)
+    seen = Observation()
+    rows = to_export(df).observe(seen, F.count(F.lit(1)).alias("n"))
+    _writer(rows, max_rows, path.endswith(".gz") if gzip is None else gzip).mode(mode).json(path)
+    if mode != "append" and not seen.get.get("n"):
+        remove(df.sparkSession, path)
 
 
 def write_feed(df: DataFrame, root: str, run_ts: str, layout: tuple[str, ...] = ("source", "run_ts"),
@@ -29,12 +35,13 @@ def write_feed(df: DataFrame, root: str, run_ts: str, layout: tuple[str, ...] =
     """One folder per source and run under ``root``.
 
     ``run_ts`` is made safe for a path (``:`` becomes ``-``). ``fmt`` overrides the default JSON
-    lines for this run. Rows are rebalanced by the layout columns before the write: small sources
-    share tasks, and a source that holds much of the data is split over many.
+    lines for this run. A run that is repeated replaces its own folders and no others. Rows are
+    rebalanced by the layout columns before the write: small sources share tasks, and a source that
+    holds much of the data is split over many.
     """
-    stamped = df.withColumn("run_ts", F.lit(run_ts.replace(":", "-")))
-    writer = _writer(stamped.hint("rebalance", *layout), max_rows, gzip)
-    writer.mode("append").partitionBy(*layout).format(fmt).save(root)
+    stamped = to_export(df).withColumn("run_ts", F.lit(run_ts.replace(":", "-")))
+    writer = _writer(stamped.hint("rebalance", *layout), max_rows, gzip).option("partitionOverwriteMode", "dynamic")
+    writer.mode("overwrite").partitionBy(*layout).format(fmt).save(root)
 
 
 def write_articles(df: DataFrame, root: str, mode: str = "overwrite") -> None:

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
+from pyspark.sql.types import ArrayType, DateType, StringType, TimestampNTZType, TimestampType
 
+from newsloom.functions.dates import format_date
+from newsloom.operators.articles import join_tags
 from newsloom.operators.links import first_per_key
 from newsloom.schemas import SEARCH_FIELDS
 
@@ -27,8 +29,21 @@ def apply_changes(changes: DataFrame, key: str = "title", seq: str | list[str] =
     return latest if keep_removed else latest.where(F.coalesce(F.col(op), F.lit("")) != "REMOVE")
 
 
+def to_export(df: DataFrame) -> DataFrame:
+    """Articles as they leave the engine: dates as ``dd/MM/yyyy`` text and lists as comma-joined text."""
+    def export(field):
+        if isinstance(field.dataType, DateType):
+            return format_date(F.col(field.name)).alias(field.name)
+        if isinstance(field.dataType, ArrayType) and isinstance(field.dataType.elementType, StringType):
+            return join_tags(F.col(field.name)).alias(field.name)
+        return F.col(field.name)
+
+    return df.select(*[export(f) for f in df.schema])
+
+
 def to_search_doc(df: DataFrame, with_source: bool = False) -> DataFrame:
-    """The fields the search index holds. ``tag`` is taken as ``tags``."""
+    """The fields the search index holds, all of them text. ``tag`` is taken as ``tags``."""
+    df = to_export(df)
     if "tags" not in df.columns and "tag" in df.columns:
         df = df.withColumnRenamed("tag", "tags")
     elif "tag" in df.columns:

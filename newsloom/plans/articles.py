@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from newsloom.functions import dates as D
 from newsloom.functions import html as H
 from newsloom.functions.text import blank_to_null, clean_space, strip_brackets
-from newsloom.functions.urls import canonical_url, resolve_url, url_category
+from newsloom.functions.urls import page_address, resolve_url, url_category
 from newsloom.operators import articles as A
 from newsloom.operators.discovery import summary
 from newsloom.operators.links import attach_card, dedupe_links, extract_cards, resolve_links
@@ -22,15 +22,16 @@ LATE_RULES = (
 )
 
 NO_CARD = (
-    "struct<title string, url string, blurp string, date_text string, imgurl string, category string>"
+    "struct<title string, url string, blurp string, date_text string, imgurl string, category string, "
+    "page_id bigint, pos int>"
 )
 
 
 def card_table(pages: DataFrame, sources: DataFrame, listings: DataFrame) -> DataFrame:
     """Cards of all listing pages with absolute URLs on the source's own hosts, each URL once."""
     cards = extract_cards(with_source(pages, sources), listings)
-    cards = resolve_links(cards).withColumn("url", canonical_url(F.col("url")))
-    cards = allowed_hosts(cards, sources)
+    address = page_address(F.col("url"), F.col("drop_query"), F.col("force_https"))
+    cards = allowed_hosts(resolve_links(cards).withColumn("url", address), sources)
     return dedupe_links(cards, "url", every_visit="every_visit")
 
 
@@ -41,7 +42,7 @@ def body_text(region: Column, page: Column, rule: Column) -> Column:
 
 def extract_articles(pages: DataFrame, sources: DataFrame, run_date: Column,
                      cards: DataFrame | None = None) -> DataFrame:
-    """One row per article page, in the common schema plus ``page_id``.
+    """One row per article page and card, in the common schema plus ``page_id, card_page, card_pos``.
 
     With ``cards``, only pages that a card leads to are articles, and the card's fields come first.
     Without, every page is an article. Each page is scanned once; the rules that differ by source
@@ -51,9 +52,11 @@ def extract_articles(pages: DataFrame, sources: DataFrame, run_date: Column,
     rule, late, card = F.col("rule"), F.col("late"), F.col("card")
     page, region = F.col("page"), F.col("region")
     cleaned = known.select(
-        "page_id", canonical_url(F.col("url")).alias("url"), "source", "rule",
+        "page_id", page_address(F.col("url"), rule["drop_query"], rule["force_https"]).alias("url"), "source", "rule",
         H.strip_markup(F.col("html")).alias("page"))
-    own_body = F.when(rule["body"].isNotNull(), H.element(page, rule["body"]["opening"], rule["body"]["tag"]))
+    # every body element counts; the line between two ends a paragraph that the first leaves open
+    own_body = F.when(rule["body"].isNotNull(), F.array_join(F.transform(
+        H.all_elements(page, rule["body"]["opening"], rule["body"]["tag"]), lambda e: H.at_depth(e, rule["body_depth"])), "<hr>"))
     parts = cleaned.withColumn("region", F.when(rule["text"] != "main", F.when(
         rule["body"].isNull(), H.article_region(page)).otherwise(own_body)))
     picks = ["title", "blurp", "date", "image", "category_page", "category_link", "tags_text"]
@@ -71,7 +74,7 @@ def extract_articles(pages: DataFrame, sources: DataFrame, run_date: Column,
     )
     # Cards join what was extracted, not the pages: the markup itself never crosses the network.
     found = found.withColumn("card", F.lit(None).cast(NO_CARD)) if cards is None else attach_card(
-        found, cards.select("title", "url", "blurp", "date_text", "imgurl", "category"))
+        found, cards.select("title", "url", "blurp", "date_text", "imgurl", "category", "page_id", "pos"))
 
     def field(name: str) -> Column:
         return F.get("picked", F.lit(picks.index(name)))
@@ -93,7 +96,8 @@ def extract_articles(pages: DataFrame, sources: DataFrame, run_date: Column,
         late["category"], F.col("page_category"), F.col("segment"),
         F.when(late["category_first_tag"], F.get("found_tags", F.lit(0))), late["category_map"]))
     dated = fields.select(
-        "page_id", "title", "url", "source", "text", "imgurl", "found_tags", "late",
+        "page_id", F.col("card.page_id").alias("card_page"), F.col("card.pos").alias("card_pos"),
+        "title", "url", "source", "text", "imgurl", "found_tags", "late",
         category.alias("category"),
         D.default_date(D.parse_date(F.col("date_text")), late["date_default"], run_date).alias("date"),
         A.blurp(card["blurp"], F.col("described"), F.col("text"), F.col("first_paragraph"),
@@ -107,11 +111,12 @@ def extract_articles(pages: DataFrame, sources: DataFrame, run_date: Column,
     # A page is an article or it is not: at most one struct per row. Tests on the fields stay above
     # the generator, so that Spark never repeats the extraction inside a filter near the scan.
     wanted = ~late["skip_reviews"] | ~A.is_review(F.col("title"))
-    return final.select("page_id", F.explode(F.when(wanted, F.array(
-        F.struct(*A.ARTICLE.names)))).alias("article")).select("page_id", "article.*")
+    return final.select("page_id", "card_page", "card_pos", F.explode(F.when(wanted, F.array(
+        F.struct(*A.ARTICLE.names)))).alias("article")).select("page_id", "card_page", "card_pos", "article.*")
 
 
 def build_articles(pages: DataFrame, sources: DataFrame, run_date: Column,
                    cards: DataFrame | None = None, key: str = "title") -> DataFrame:
-    """The article table: the latest page per key. The key's shuffle is the only one."""
-    return upsert_latest(extract_articles(pages, sources, run_date, cards), key, "page_id")
+    """The article table: the latest page per key, and of its cards the last. The key's shuffle is the only one."""
+    order = ["page_id", "card_page", "card_pos", "url", "source"]
+    return upsert_latest(extract_articles(pages, sources, run_date, cards), key, order).drop("card_page", "card_pos")

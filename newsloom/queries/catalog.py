@@ -20,14 +20,14 @@ from newsloom.operators import articles as A
 from newsloom.operators import discovery as S
 from newsloom.operators import links as L
 from newsloom.operators import sinks, tables
-from newsloom.plans.articles import build_articles
+from newsloom.plans.articles import build_articles, card_table
 from newsloom.plans.recommend import recommend
 from newsloom.session import settle, shared_dir, spread
 from newsloom.sources import changes as C
 from newsloom.sources import pages as P
-from newsloom.sources.sites import at, site_table
+from newsloom.sources.sites import at, listing_table, site_table
 from newsloom.streaming.changes import apply_changes_stream, compact_log, read_state
-from newsloom.streaming.links import dedupe_links_stream, trending_stream
+from newsloom.streaming.links import dedupe_links_stream, trending_stream, with_open_windows
 
 RUN_DATE = date(2024, 1, 15)
 
@@ -89,6 +89,12 @@ def select_source(spark, sf):
     return P.select_source(_documents(spark, sf), "src3").select("doc_id", "source", "lang", "n_chars")
 
 
+def _sequence(number):
+    """Numbers of 41 and more digits that differ in the last ones; some with leading zeros."""
+    zeros = F.when(number % 6 < 2, F.lit("00")).otherwise(F.lit(""))
+    return F.concat(zeros, F.lit("9" * 37), F.lpad(number.cast("string"), 7, "0"))
+
+
 def _batches(spark, sf):
     """Each event as a JSON batch: an upsert of its user's item, then a removal after an error."""
     def av(text):
@@ -117,15 +123,15 @@ def _batches(spark, sf):
         return F.struct(F.lit(name).alias("eventName"), F.struct(
             seq.cast("string").alias("SequenceNumber"), key.alias("Keys"), image.alias("NewImage")).alias("dynamodb"))
 
-    upsert = record("MODIFY", F.col("event_id") * 2, image)
-    removal = record("REMOVE", F.col("event_id") * 2 + 1, F.when(F.lit(False), image))
+    upsert = record("MODIFY", _sequence(F.col("event_id") * 2), image)
+    removal = record("REMOVE", _sequence(F.col("event_id") * 2 + 1), F.when(F.lit(False), image))
     records = F.when(F.col("event_type") == "error", F.array(upsert, removal)).otherwise(F.array(upsert))
     return events.select(F.to_json(F.struct(records.alias("Records"))).alias("value"))
 
 
 def read_changes(spark, sf):
     found = C.explode_changes(_batches(spark, sf))
-    return found.select("event_name", "seq", F.col("keys")["title"]["S"].alias("title"),
+    return found.select("event_name", F.col("seq.digits").alias("seq"), F.col("keys")["title"]["S"].alias("title"),
                         F.coalesce(F.size("image"), F.lit(-1)).cast("long").alias("n_fields"))
 
 
@@ -136,12 +142,15 @@ def _decoded(spark, sf):
 
 def decode_attributes(spark, sf):
     return _decoded(spark, sf).select(
-        "event_name", "seq", "key", "title", "url", "source", "date", "blurp", "text", "imgurl", "category",
+        "event_name", F.col("seq.digits").alias("seq"), "key", "title", "url", "source", "date", "blurp", "text", "imgurl", "category",
         A.join_tags(F.col("tags")).alias("tags"))
 
 
 def extract_links(spark, sf):
-    return L.extract_links(_pages(spark, sf))
+    """The pages' links, after an anchor left open and values without quotes, with a quote and with ``>``."""
+    head = F.concat(F.lit('<a class="x>y" href="/open'), "page_id", F.lit("\">one <a href='/b'>two</a><a href=/unq"), "page_id",
+                    F.lit("?a=b>three</a><a href=\"/it's\">four</a><A id=z HREF='/x?a>\"b'>five</A ><a name=\"none\">six</a><a href=/it's>seven</a>"))
+    return L.extract_links(_pages(spark, sf).withColumn("html", F.concat(head, "html")))
 
 
 def slice_cards(spark, sf):
@@ -203,8 +212,9 @@ def expand_frontier_hops(spark, sf):
 
 
 def attach_card(spark, sf):
-    cards = _chain(spark, sf).select("url", F.concat(F.lit("card "), "page_id").alias("title"))
     pages = _pages(spark, sf).select("page_id", "url")
+    cards = pages.select(F.concat(F.lit("card "), F.col("page_id") - 1).alias("title"),
+                         F.concat(U.page_address(F.col("url")), F.lit("#top")).alias("url")).where("title <> 'card -1'")
     return L.attach_card(pages, cards).select("page_id", "url", F.col("card.title").alias("card_title"))
 
 
@@ -285,7 +295,10 @@ def clean_space(spark, sf):
 
 
 def unescape_entities(spark, sf):
-    return _pages(spark, sf).select("page_id", H.unescape_entities(F.col("html")).alias("html"))
+    """The pages, with references of many digits and beyond the last code point in front."""
+    head = F.concat(F.lit("&#"), F.repeat(F.lit("0"), F.col("page_id") % 12 + 1), F.lit("65;&#X"),
+                    F.repeat(F.lit("0"), F.col("page_id") % 9), F.lit("42;&#99999999;&#x110000;"))
+    return _pages(spark, sf).select("page_id", H.unescape_entities(F.concat(head, "html")).alias("html"))
 
 
 def unescape_html5(spark, sf):
@@ -377,6 +390,77 @@ def conform_union(spark, sf):
     return both.withColumn("tags", A.join_tags(F.col("tags")))
 
 
+def _words(html):
+    """Plain words of a page, cut from its markup character by character."""
+    return F.trim(F.substring(F.regexp_replace(html, "[^A-Za-z]+", " "), 201, 120))
+
+
+def _site_pages(spark, sf):
+    """For each page a listing and an article page of a real site, the layout by ``page_id % 4``.
+
+    Articles of one site differ only by their query. Each body comes in two elements, with another
+    one, or none, nested inside; one site has two cards for a page.
+    """
+    def fill(template: str):
+        parts = template.split("{}")
+        names = [F.col("i").cast("string"), F.col("w")]
+        out = [F.lit(parts[0])]
+        for part in parts[1:]:
+            out += [names[int(part[0])], F.lit(part[1:])]
+        return F.concat(*out)
+
+    card = {
+        0: '<div data-key="feed-card-wire-story-with-image"><a href="/article/x?id={}0">go</a><h1 class="Component-h1-0-2-42">Title {}0</h1>'
+           '<p>first {}0</p><span data-source="2024-01-0{}0T10:00:00Z">d</span></div>',
+        1: '<div class="list-story"><a href="/biz/tech/{}0/"><img data-original="/img/{}0.jpg"></a><div class="list-card-text"><h2>Title {}0</h2></div></div>',
+        2: '<div class="feature-article"><a href="/security/lead{}0.html">x</a><h1><a href="/no">Lead {}0</a></h1></div>'
+           '<div class="feature-article"><a href="/security/second{}0.html">x</a><h1><a href="/no">Second {}0</a></h1></div>'
+           '<div class="sub-feature-article"><h2><a href="/security/{}0.html?src=list">Title {}0</a></h2></div>',
+        3: '<div class="menu"><h2 class="tit"><a href="/view/A{}0?section=it">Title {}0</a></h2></div>',
+    }
+    card[0] += card[0].replace("first", "second")
+    card[0] = card[0].replace("2024-01-0{}0T", "2024-01-05T")
+    article = {
+        0: '<head><meta property="og:url" content="/i/{}0.png"></head><div data-key="article"><p>A{}0 {}1</p><div data-key="article"><p>N{}0</p></div><p>B{}0</div>'
+           '<p>no</p><div data-key="article"><p>C{}0</div>',
+        1: '<span class="glyphicon glyphicon-time"></span>10:20, 2024-01-07</div><div class="caption"><p>About {}0</p></div>'
+           '<div class="content"><p>A{}0 {}1</p></div><div class="content"><p>B<b>b</b>{}0</p></div>',
+        2: '<p class="description">About {}0</p><span class="date">January 9, 2024</span><div id="feature_image"><amp-img src="//cdn/{}0.jpg"></amp-img></div>'
+           '<div id="article_body"><p>A{}0</p><p>{}1</p></div>',
+        3: '<link rel="image_src" href="/p/{}0.jpg"><span class="txt">Updated January 11, 2024 at 9</span><div class="inner"><p>A{}0</p></div><div class="inner"><p>{}1</p></div>',
+    }
+    listing = {0: "https://apnews.com/hub/technology/", 1: "https://www.shine.cn/biz/tech/",
+               2: "https://www.govtech.com/security/", 3: "https://en.yna.co.kr/business/it"}
+    address = {0: "https://apnews.com/article/x?id={}0", 1: "https://www.shine.cn/biz/tech/{}0/",
+               2: "https://www.govtech.com/security/{}0.html", 3: "https://en.yna.co.kr/view/A{}0?section=it"}
+    pages = _pages(spark, sf).select(F.col("page_id").alias("i"), _words(F.col("html")).alias("w"))
+    kind = F.col("i") % 4
+
+    def by_kind(made):
+        return F.coalesce(*[F.when(kind == k, v) for k, v in made.items()])
+
+    both = F.array(
+        F.struct((F.col("i") * 2).alias("page_id"), by_kind({k: F.lit(v) for k, v in listing.items()}).alias("url"),
+                 by_kind({k: fill("<html><body>" + v + "</body></html>") for k, v in card.items()}).alias("html")),
+        F.struct((F.col("i") * 2 + 1).alias("page_id"), by_kind({k: fill(v) for k, v in address.items()}).alias("url"),
+                 by_kind({k: fill("<html><body>" + v + "</body></html>") for k, v in article.items()}).alias("html")))
+    return pages.select(F.inline(both))
+
+
+def _site_cards(spark, sf):
+    pages, sites = _site_pages(spark, sf), site_table(spark)
+    return card_table(pages, sites, listing_table(spark))
+
+
+def extract_cards(spark, sf):
+    return _site_cards(spark, sf).select("page_id", "source", "pos", "url", "title", "blurp", "date_text", "imgurl", "category")
+
+
+def build_articles_cards(spark, sf):
+    built = build_articles(_site_pages(spark, sf), site_table(spark), F.lit(RUN_DATE), _site_cards(spark, sf))
+    return tables.to_export(built)
+
+
 def build_articles_query(spark, sf):
     built = build_articles(_pages(spark, sf), site_table(spark, TEST_SITES), F.lit(RUN_DATE))
     return built.select("title", "url", "source", "date", "category", "blurp", "text")
@@ -394,7 +478,9 @@ def _event_changes(spark, sf):
 
 
 def apply_changes(spark, sf):
-    return tables.apply_changes(_event_changes(spark, sf), "user_id")
+    """By sequence numbers of over 40 digits, whose last digits decide."""
+    changes = _event_changes(spark, sf).withColumn("order", C.sequence_order(_sequence(F.col("seq"))))
+    return tables.apply_changes(changes, "user_id", "order").drop("order")
 
 
 def apply_changes_stream_query(spark, sf):
@@ -410,8 +496,7 @@ def apply_changes_stream_query(spark, sf):
 
 
 def to_search_doc(spark, sf):
-    changes = _decoded(spark, sf).withColumn("tags", A.join_tags(F.col("tags")))
-    return tables.to_search_doc(tables.apply_changes(changes, "key"))
+    return tables.to_search_doc(tables.apply_changes(_decoded(spark, sf), "key"))
 
 
 def change_counts(spark, sf):
@@ -421,14 +506,16 @@ def change_counts(spark, sf):
 def write_jsonl(spark, sf):
     path = shared_dir(spark, "jsonl") + ".gz"
     documents = _documents(spark, sf)
-    sinks.write_jsonl(documents, path)
+    for _ in range(2):  # a repeated run replaces the first
+        sinks.write_jsonl(documents, path, mode="overwrite")
     return spark.read.schema(documents.schema).json(path)
 
 
 def write_feed(spark, sf):
     root = shared_dir(spark, "feed")
     documents = _documents(spark, sf)
-    sinks.write_feed(documents, root, "2024-01-15T00:00:00")
+    for _ in range(2):  # a repeated run replaces its own folders
+        sinks.write_feed(documents, root, "2024-01-15T00:00:00")
     return spark.read.schema(documents.drop("source").schema).json(root).select(
         "doc_id", "text", "lang", "n_chars", "source", "run_ts")
 
@@ -462,7 +549,7 @@ def trending_hourly(spark, sf):
 
 
 def trending_stream_query(spark, sf):
-    """The events as a stream, counted per day and type; the last, still open days are not emitted."""
+    """The events as a stream, counted per day and type: closed windows by the stream, open ones from the rows."""
     schema = _table(spark, sf, "events").schema
     stream = spark.readStream.schema(schema).parquet(f"{sf}/events.parquet*")
     terms = stream.select(F.col("ts").cast("timestamp").alias("ts"), F.col("event_type").alias("term"))
@@ -473,7 +560,8 @@ def trending_stream_query(spark, sf):
         .trigger(availableNow=True).start()
     )
     query.awaitTermination()
-    return spark.read.parquet(f"{root}/out")
+    rows = _table(spark, sf, "events").select(F.col("ts").cast("timestamp").alias("ts"), F.col("event_type").alias("term"))
+    return with_open_windows(spark.read.parquet(f"{root}/out"), rows, "ts")
 
 
 def dedupe_links_stream_query(spark, sf):
@@ -508,6 +596,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "a04_read_changes": read_changes,
     "a05_decode_attributes": _as_text(decode_attributes),
     "b01_extract_links": extract_links,
+    "b01_extract_cards": extract_cards,
     "b02_slice_cards": slice_cards,
     "b03_resolve_url": resolve_url,
     "b04_canonical_url": canonical_url,
@@ -543,11 +632,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "d08_filter_titles": filter_titles,
     "d08_filter_titles_documents": filter_titles_documents,
     "d09_conform_union": _as_text(conform_union),
+    "d10_build_articles_cards": build_articles_cards,
     "d10_build_articles": _as_text(build_articles_query),
     "e01_upsert_latest": upsert_latest,
     "e02_apply_changes": apply_changes,
     "e03_apply_changes_stream": apply_changes_stream_query,
-    "e04_to_search_doc": _as_text(to_search_doc),
+    "e04_to_search_doc": to_search_doc,
     "e05_change_counts": change_counts,
     "e06_write_jsonl": write_jsonl,
     "e07_write_feed": write_feed,

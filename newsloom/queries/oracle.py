@@ -1,4 +1,4 @@
-"""The same results in DuckDB SQL, written independently of the Spark code."""
+"""The same results in DuckDB SQL. Only the lists of block elements and stopwords are shared with the Spark code."""
 
 from __future__ import annotations
 
@@ -99,13 +99,12 @@ def lead(text: str) -> str:
 
 PAGES = f"SELECT page_id, url, {clean('html')} AS html FROM pages"
 REGION = f"SELECT page_id, url, html, {region('html')} AS body FROM ({PAGES})"
+# Pieces between anchors, cut with plain string functions: all links of the pages are written alike.
 LINKS = rf"""
-  SELECT page_id, page_url, CAST(i - 1 AS INTEGER) AS pos, {unescape('hrefs[i]')} AS href, {trim(plain('anchors[i]'))} AS anchor
-  FROM (SELECT page_id, page_url, hrefs, anchors, unnest(generate_series(1, len(hrefs))) AS i
-    FROM (SELECT page_id, url AS page_url,
-      regexp_extract_all(html, '(?is)<a\s(?:[^>]*\s)?href\s*=\s*["'']([^"''>]*)["''][^>]*>(.*?)</a', 1) AS hrefs,
-      regexp_extract_all(html, '(?is)<a\s(?:[^>]*\s)?href\s*=\s*["'']([^"''>]*)["''][^>]*>(.*?)</a', 2) AS anchors
-    FROM ({PAGES})))"""
+  SELECT page_id, page_url, CAST(i - 1 AS INTEGER) AS pos, {unescape("split_part(piece, '\"', 1)")} AS href,
+    {trim(plain("split_part(substr(piece, strpos(piece, '>') + 1), '</a>', 1)"))} AS anchor
+  FROM (SELECT page_id, page_url, unnest(pieces[2:]) AS piece, generate_subscripts(pieces[2:], 1) AS i FROM (
+    SELECT page_id, url AS page_url, string_split(html, '<a href="') AS pieces FROM ({PAGES})))"""
 ORIGIN = "regexp_extract(page_url, '^([a-z]+://[^/?#]*)', 1)"
 NAV = f"SELECT *, {canonical(f'{ORIGIN} || href')} AS url FROM ({LINKS})"
 CHAIN = f"""
@@ -121,12 +120,14 @@ EVENT_CHANGES = """
 STATE = f"""
   SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY seq DESC) AS rn
     FROM ({EVENT_CHANGES})) WHERE rn = 1 AND event_name <> 'REMOVE'"""
+# Digits after the leading zeros: the last seven tell the numbers apart.
+SEQ = "repeat('9', 37) || lpad(CAST(n AS VARCHAR), 7, '0')"
 CHANGES = """
   SELECT 'MODIFY' AS event_name, event_id * 2 AS n, event_id, user_id, event_type, ts, props FROM events
   UNION ALL
   SELECT 'REMOVE', event_id * 2 + 1, event_id, user_id, NULL, NULL, NULL FROM events WHERE event_type = 'error'"""
 DECODED = f"""
-  SELECT event_name, lpad(CAST(n AS VARCHAR), 40, '0') AS seq, 'user ' || user_id AS key,
+  SELECT event_name, {SEQ} AS seq, 'user ' || user_id AS key,
     CASE WHEN event_name = 'MODIFY' THEN 'user ' || user_id END AS title,
     CASE WHEN event_name = 'MODIFY' THEN 'https://example.com/' || event_id END AS url,
     CAST(NULL AS VARCHAR) AS source, CAST(ts AS DATE) AS date, CAST(NULL AS VARCHAR) AS blurp, props AS text,
@@ -164,7 +165,7 @@ def bm25(queries: str, k: int) -> str:
 
 ARTICLES = rf"""
   SELECT page_id, url, source, title, text, ad, first_p FROM (
-    SELECT page_id, {canonical('url')} AS url, {source('url')} AS source, {title('html')} AS title,
+    SELECT page_id, split_part(url, '#', 1) AS url, {source('url')} AS source, {title('html')} AS title,
       CASE {source('url')}
         WHEN 'net' THEN {text_first('body')}
         WHEN 'farm' THEN {unescape(joined(f"list_transform({paragraphs('body')}, lambda p: {DIRECT})"))}
@@ -174,6 +175,12 @@ ARTICLES = rf"""
       {unescape(rf"regexp_extract({paragraphs('body')}[1], '(?:^|>)([^<]+)', 1)")} AS first_p
     FROM ({REGION}))"""
 
+SITE = """
+  SELECT page_id AS i, page_id % 4 AS kind, trim(substr(regexp_replace(html, '[^A-Za-z]+', ' ', 'g'), 201, 120)) AS w FROM pages"""
+SITE_URL = """CASE kind WHEN 0 THEN 'https://apnews.com/article/x?id=' || i WHEN 1 THEN 'https://www.shine.cn/biz/tech/' || i || '/'
+    WHEN 2 THEN 'https://www.govtech.com/security/' || i || '.html' ELSE 'https://en.yna.co.kr/view/A' || i || '?section=it' END"""
+SITE_NAME = "CASE kind WHEN 0 THEN 'apnews' WHEN 1 THEN 'shanghai' WHEN 2 THEN 'govtech' ELSE 'yonhap' END"
+
 ORACLE = {
     "a01_read_pages": "SELECT page_id, url, length(html) AS n_chars FROM pages",
     "a02_with_source": f"""
@@ -181,10 +188,23 @@ ORACLE = {
         ELSE 'all' END AS text_mode FROM (SELECT page_id, url, {source('url')} AS source FROM pages)""",
     "a03_select_source": "SELECT doc_id, source, lang, n_chars FROM documents WHERE source = 'src3'",
     "a04_read_changes": f"""
-      SELECT event_name, lpad(CAST(n AS VARCHAR), 40, '0') AS seq, 'user ' || user_id AS title,
+      SELECT event_name, {SEQ} AS seq, 'user ' || user_id AS title,
         CASE WHEN event_name = 'REMOVE' THEN -1 ELSE 7 END::BIGINT AS n_fields FROM ({CHANGES})""",
     "a05_decode_attributes": DECODED,
-    "b01_extract_links": LINKS,
+    "b01_extract_links": f"""
+      SELECT page_id, page_url, CAST(pos + 6 AS INTEGER) AS pos, href, anchor FROM ({LINKS})
+      UNION ALL SELECT page_id, url, pos, replace(href, '#', CAST(page_id AS VARCHAR)), anchor FROM pages, (VALUES
+        (0, '/open#', 'one'), (1, '/b', 'two'), (2, '/unq#?a=b', 'three'), (3, '/it''s', 'four'), (4, '/x?a>"b', 'five'), (5, '/it''s', 'seven')
+      ) AS v(pos, href, anchor)""",
+    "b01_extract_cards": f"""
+      SELECT i * 2 AS page_id, {SITE_NAME} AS source, 0 AS pos, {SITE_URL} AS url, 'Title ' || i AS title,
+        CASE kind WHEN 0 THEN 'first ' || i END AS blurp, CASE kind WHEN 0 THEN '2024-01-05T10:00:00Z' END AS date_text,
+        CASE kind WHEN 1 THEN '/img/' || i || '.jpg' END AS imgurl,
+        CASE kind WHEN 2 THEN 'security' WHEN 3 THEN NULL ELSE 'technology' END AS category FROM ({SITE})
+      UNION ALL SELECT i * 2, 'apnews', 1, {SITE_URL}, 'Title ' || i, 'second ' || i, '2024-01-05T10:00:00Z', NULL, 'technology'
+        FROM ({SITE}) WHERE kind = 0
+      UNION ALL SELECT i * 2, 'govtech', 0, 'https://www.govtech.com/security/lead' || i || '.html', 'Lead ' || i, NULL, NULL, NULL, 'security'
+        FROM ({SITE}) WHERE kind = 2""",
     "b02_slice_cards": f"""
       SELECT page_id, page_url, pos, href, CASE WHEN pos >= 3 THEN anchor END AS anchor FROM ({LINKS}) WHERE pos <> 2""",
     "b03_resolve_url": rf"""
@@ -223,9 +243,9 @@ ORACLE = {
       h3 AS (SELECT DISTINCT e.url FROM h2 JOIN edges e ON e.page_url = h2.url
         WHERE e.url NOT IN (FROM h0 UNION ALL FROM h1 UNION ALL FROM h2))
       SELECT url, 1 AS hop FROM h1 UNION ALL SELECT url, 2 FROM h2 UNION ALL SELECT url, 3 FROM h3""",
-    "b10_attach_card": f"""
-      SELECT p.page_id, p.url, 'card ' || c.page_id AS card_title FROM pages p
-      JOIN ({CHAIN}) c ON {canonical('p.url')} = c.url""",
+    "b10_attach_card": """
+      SELECT p.page_id, p.url, 'card ' || (c.page_id - 1) AS card_title FROM pages p
+      JOIN pages c ON split_part(p.url, '#', 1) = split_part(c.url, '#', 1) WHERE c.page_id > 0""",
     "c01_strip_markup": f"SELECT page_id, html FROM ({PAGES})",
     "c02_body_text_all": f"SELECT page_id, {text_all('body')} AS text FROM ({REGION})",
     "c02_body_text_direct": f"""
@@ -264,7 +284,7 @@ ORACLE = {
       SELECT doc_id, {trim('t')} AS both, {sub('t', f'^{SPACE}+')} AS left_only FROM (
         SELECT doc_id, chr(10) || ' ' || chr(9) || chr(160) || ' ' || text || chr(8195) || chr(12288) || ' ' || chr(13) || chr(10) AS t
         FROM documents)""",
-    "c10_unescape_entities": f"SELECT page_id, {unescape('html')} AS html FROM pages",
+    "c10_unescape_entities": f"SELECT page_id, 'AB&#99999999;&#x110000;' || {unescape('html')} AS html FROM pages",
     "c10_unescape_html5": f"SELECT page_id, {unescape_html5('html')} AS html FROM pages",
     "d01_parse_date": "SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day FROM orders",
     "d02_clean_date_text": f"""
@@ -298,6 +318,15 @@ ORACLE = {
         CAST(NULL AS VARCHAR) AS text, CAST(NULL AS VARCHAR) AS imgurl, CAST(NULL AS VARCHAR) AS category,
         CAST(NULL AS VARCHAR) AS tags FROM ({PAGES})
       UNION ALL SELECT 'document ' || doc_id, NULL, source, {RUN}, NULL, text, NULL, lang, NULL FROM documents""",
+    "d10_build_articles_cards": f"""
+      SELECT i * 2 + 1 AS page_id, 'Title ' || i AS title, {SITE_URL} AS url, {SITE_NAME} AS source,
+        CASE kind WHEN 0 THEN '05/01/2024' WHEN 1 THEN '07/01/2024' WHEN 2 THEN '09/01/2024' ELSE '11/01/2024' END AS date,
+        CASE kind WHEN 0 THEN 'second ' || i WHEN 3 THEN 'A' || i ELSE 'About ' || i END AS blurp,
+        CASE kind WHEN 0 THEN 'A' || i || ' ' || w || 'N' || i || 'B' || i || 'C' || i WHEN 1 THEN 'A' || i || ' ' || w || 'Bb' || i
+          ELSE 'A' || i || w END AS text,
+        CASE kind WHEN 0 THEN 'https://apnews.com/i/' || i || '.png' WHEN 1 THEN 'https://www.shine.cn/img/' || i || '.jpg'
+          WHEN 2 THEN 'https://cdn/' || i || '.jpg' ELSE 'https://en.yna.co.kr/p/' || i || '.jpg' END AS imgurl,
+        CASE kind WHEN 2 THEN 'security' ELSE 'technology' END AS category, CAST(NULL AS VARCHAR) AS tags FROM ({SITE})""",
     "d10_build_articles": f"""
       SELECT title, url, source, date, category, blurp, text FROM (
         SELECT title, url, source, text,
@@ -315,7 +344,7 @@ ORACLE = {
     "e02_apply_changes": STATE,
     "e03_apply_changes_stream": STATE,
     "e04_to_search_doc": f"""
-      SELECT date, url, text, blurp, imgurl, title, tags, category FROM (
+      SELECT strftime(date, '%d/%m/%Y') AS date, url, text, blurp, imgurl, title, tags, category FROM (
         SELECT *, row_number() OVER (PARTITION BY key ORDER BY seq DESC) AS rn FROM ({DECODED}))
       WHERE rn = 1 AND event_name <> 'REMOVE'""",
     "e05_change_counts": f"SELECT event_name, count(*) AS n FROM ({EVENT_CHANGES}) GROUP BY event_name",
@@ -352,8 +381,7 @@ ORACLE = {
         FROM c LEFT JOIN c b ON b.term = c.term AND b.hour = c.hour - 1)
       SELECT hour, CAST(rn AS INTEGER) AS rank, term, n, growth FROM g WHERE rn <= 3""",
     "f03_trending_stream": """
-      SELECT date_trunc('day', ts)::TIMESTAMP AS window_start, event_type AS term, count(*) AS n FROM events
-      WHERE date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events) GROUP BY 1, 2""",
+      SELECT date_trunc('day', ts)::TIMESTAMP AS window_start, event_type AS term, count(*) AS n FROM events GROUP BY 1, 2""",
     "f04_search": bm25(
         r"SELECT DISTINCT item_id AS query_id, unnest(list_filter(string_split_regex(lower(text), '[^\p{L}\p{N}]+'), lambda w: w <> '')) AS term FROM benchmark", 10),
     "f05_recommend": f"""
@@ -370,7 +398,7 @@ def dates_as_text(name: str, column: str, layout: str = "%Y-%m-%d") -> None:
 for _name, _column in (
     ("a05_decode_attributes", "date"), ("d01_parse_date", "day"), ("d02_clean_date_text", "day"),
     ("d03_default_date", "day"), ("d09_conform_union", "date"), ("d10_build_articles", "date"),
-    ("e04_to_search_doc", "date"), ("f03_trending_daily", "day"),
+    ("f03_trending_daily", "day"),
 ):
     dates_as_text(_name, _column)
 dates_as_text("f03_trending_stream", "window_start", "%Y-%m-%d %H:%M:%S")

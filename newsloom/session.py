@@ -75,6 +75,12 @@ def stage(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder wherever Spark can reach it."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def is_small(df: DataFrame, max_rows: int = 100_000, max_bytes: int = 64 << 20) -> bool:
     """Whether ``df`` stays under both bounds, found by counting its rows and bytes."""
     size = df.limit(max_rows + 1).agg(

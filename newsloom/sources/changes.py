@@ -8,19 +8,29 @@ from pyspark.sql.types import ArrayType, StructType
 
 from newsloom.schemas import ARTICLE, CHANGE_BATCH
 
-SEQUENCE_DIGITS = 40
+
+def sequence_order(text: Column) -> Column:
+    """``struct<width, digits>`` that sorts as the number does, however long it is.
+
+    Leading zeros do not count; a text that is not all digits fails the job, and null stays null.
+    """
+    digits = F.ltrim(text, F.lit("0"))
+    order = F.struct(F.length(digits).alias("width"), digits.alias("digits"))
+    bad = F.raise_error(F.concat(F.lit("not a sequence number: "), text)).cast("struct<width int, digits string>")
+    return F.when(text.isNull(), F.lit(None)).when(F.regexp_like(text, F.lit("^[0-9]+$")), order).otherwise(bad)
 
 
 def explode_changes(df: DataFrame, column: str = "value") -> DataFrame:
     """One row per change from JSON batches: ``event_name, seq, keys, image``.
 
-    A batch that is not JSON fails the job rather than vanish. ``seq`` is the record's sequence number, zero-padded so that text order is number order.
+    A batch that is not JSON fails the job rather than vanish. ``seq`` is the
+    record's sequence number as a struct that sorts as the number does; its digits are ``seq.digits``.
     """
     batch = df.select(F.from_json(F.col(column), CHANGE_BATCH, {"mode": "FAILFAST"}).alias("batch"))
     record = batch.select(F.explode("batch.Records").alias("r"))
     return record.select(
         F.col("r.eventName").alias("event_name"),
-        F.lpad("r.dynamodb.SequenceNumber", SEQUENCE_DIGITS, "0").alias("seq"),
+        sequence_order(F.col("r.dynamodb.SequenceNumber")).alias("seq"),
         F.col("r.dynamodb.Keys").alias("keys"),
         F.col("r.dynamodb.NewImage").alias("image"),
     )

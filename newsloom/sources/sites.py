@@ -26,6 +26,8 @@ def at(tag: str, attr: str | None = None, value: str | None = None, *, child: st
 #   start: listing pages to begin with; next: link to the next listing page, next_stop: not this one
 #   text: all | first | direct | region | main        date_default: run | month | none
 #   date_clean: iso | month_day | iso_search | drop | byline
+#   body_depth: only paragraphs so many elements below the body count (0: its own children)
+#   drop_query, force_https: how the source's addresses are written; else they stay, but for fragments
 #   blurp_else: what stands in for a missing blurp: lead | lead_long | paragraph | summary
 SITES = [
     {
@@ -49,7 +51,7 @@ SITES = [
         "start": ["https://www.cio.com/asean/category/analytics",
                   "https://www.cio.com/asean/category/cloud-computing",
                   "https://www.cio.com/asean/"],
-        "body": at("div", "itemprop", "articleBody"), "text": "first",
+        "body": at("div", "itemprop", "articleBody"), "text": "first", "body_depth": 0,
         "date": at("span", "class", "pub-date", read="content"),
         "date_clean": "iso", "date_default": "month",
         "blurp": at("h3", "itemprop", "description"),
@@ -60,7 +62,7 @@ SITES = [
     {
         "source": "govinsider", "hosts": ["govinsider.asia"],
         "start": ["https://www.govinsider.asia/"],
-        "body": at("div", "class", "entry-content post-content"), "text": "first",
+        "body": at("div", "class", "entry-content post-content"), "text": "first", "body_depth": 0,
         "date": at("time", "class", "updated"), "date_clean": "plain", "date_default": "run",
         "blurp_else": "lead_long",
         "image": at("meta", "property", "og:image", read="content"),
@@ -122,8 +124,8 @@ SITES = [
     },
     {
         "source": "opengov", "hosts": ["opengovasia.com"],
-        "start": ["https://www.opengovasia.com"],
-        "body": at("div", "class", "theme-post-content", contains=True), "text": "first",
+        "start": ["https://www.opengovasia.com"], "force_https": True,
+        "body": at("div", "class", "theme-post-content", contains=True), "text": "first", "body_depth": 1,
         "date": at("span", "class", "item--type-date", contains=True),
         "date_clean": "drop", "date_default": "none", "blurp_else": "lead",
         "image": at("div", "class", "image", contains=True, child="img", read="src"),
@@ -153,7 +155,7 @@ SITES = [
         "source": "techwire", "hosts": ["techwireasia.com"],
         "start": ["https://www.techwireasia.com"],
         "body": at("div", "class", "large-7 medium-7 columns single-content", contains=True),
-        "text": "first",
+        "text": "first", "body_depth": 0,
         "date_clean": "byline", "date_default": "month", "blurp_else": "lead",
         "image": at("div", "class", "main-post-thumbnail", contains=True, child="img", read="src"),
         "tags_list": at("div", "class", "tags-panel", child="span", every=True),
@@ -172,7 +174,8 @@ SITES = [
 
 # Where each site's listing pages hold their cards, in the same order.
 #   page: pattern of listing URLs the layout belongs to; deny/keep/starts: link tests;
-#   skip_at: card position that is left out; bare_head: first cards that carry no blurp.
+#   skip_at: card position that is left out; bare_head: first cards that carry no blurp;
+#   first_only: the first card alone; drop_query: the card's address is written without its query.
 LISTINGS = [
     {"source": "aljazeera", "card": at("div", "class", "gc__content"),
      "link": at("a", read="href"), "title": at("a", child="span"),
@@ -192,9 +195,9 @@ LISTINGS = [
      "link": at("a", read="href"), "title": at("a"),
      "after_blurp": at("div", "class", "entry-summary", contains=True, child="p")},
     {"source": "govtech", "card": at("div", "class", "feature-article"),
-     "link": at("a", read="href"), "title": at("h1", child="a")},
+     "link": at("a", read="href"), "title": at("h1", child="a"), "first_only": True},
     {"source": "govtech", "card": at("div", "class", "sub-feature-article"),
-     "link": at("h2", child="a", read="href"), "title": at("h2", child="a")},
+     "link": at("h2", child="a", read="href"), "title": at("h2", child="a"), "drop_query": True},
     {"source": "guardian", "page": "uk/technology",
      "container": at("div", "class", "fc-item__container"), "card": at("a"),
      "link": at("a", read="href"), "keep": "technology", "deny": "/video/|/gallery/"},
@@ -203,12 +206,12 @@ LISTINGS = [
     {"source": "infoworld", "container": at("div", "class", "river-well article"), "card": at("h3"),
      "link": at("a", read="href"), "keep": "^/article/"},
     {"source": "khaleej", "card": at("div", "class", "listing_main_news"),
-     "link": at("h1", child="a", read="href"), "title": at("h1", child="a")},
+     "link": at("h1", child="a", read="href"), "title": at("h1", child="a"), "first_only": True},
     {"source": "khaleej", "container": at("div", "class", "liting_list"), "card": at("h2"),
      "link": at("a", read="href"), "title": at("a")},
     {"source": "nytimes", "card": at("h2", "class", "css-4tvmog eecsw3u0"),
      "link": at("a", read="href"), "title": at("a"),
-     "blurp": at("p", "class", "css-1jhf0lz eecsw3u1"), "every_visit": True},
+     "blurp": at("p", "class", "css-1jhf0lz eecsw3u1"), "every_visit": True, "first_only": True},
     {"source": "nytimes", "card": at("article", "class", "css-imuvyx"),
      "link": at("a", read="href"), "title": at("a"),
      "blurp": at("p", "class", "css-1jhf0lz eecsw3u3"), "every_visit": True},
@@ -238,12 +241,12 @@ SITE_SCHEMA = (
     f"blurp {FIELD}, blurp_else string, image {FIELD}, category string, category_page {FIELD}, "
     f"category_link {FIELD}, category_map map<string, string>, category_first_tag boolean, "
     f"no_category boolean, tags_text {FIELD}, tags_list {FIELD}, tags_lower boolean, "
-    "tags_with_category boolean, skip_reviews boolean"
+    "tags_with_category boolean, skip_reviews boolean, drop_query boolean, force_https boolean, body_depth int"
 )
 LISTING_SCHEMA = (
     f"source string, page string, container {FIELD}, children string, card {FIELD}, min_cards int, link {FIELD}, title {FIELD}, "
     f"blurp {FIELD}, after_blurp {FIELD}, date {FIELD}, image {FIELD}, keep string, deny string, "
-    "skip_at int, bare_head int, every_visit boolean"
+    "skip_at int, bare_head int, every_visit boolean, drop_query boolean, first_only boolean"
 )
 
 

@@ -22,3 +22,16 @@ def trending_stream(terms: DataFrame, event_time: str, window: str = "1 day", de
         .groupBy(F.window(event_time, window).alias("w"), "term").agg(F.count("*").alias("n"))
     )
     return counted.select(F.col("w.start").alias("window_start"), "term", "n")
+
+
+def with_open_windows(closed: DataFrame, rows: DataFrame, event_time: str, window: str = "1 day") -> DataFrame:
+    """The stream's closed windows, and the counts so far of those it has not closed.
+
+    ``rows`` are the stream's own rows as a table. All windows that start after the last closed one
+    are counted from them, so the scan can skip whatever is older. A stream without closed windows
+    yet gives every window from the rows.
+    """
+    last = closed.agg(F.max("window_start")).first()[0]
+    counted = rows.groupBy(F.window(event_time, window).alias("w"), "term").agg(F.count("*").alias("n"))
+    still = counted.select(F.col("w.start").alias("window_start"), "term", "n")
+    return closed.unionByName(still if last is None else still.where(F.col("window_start") > F.lit(last)))

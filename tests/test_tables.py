@@ -152,8 +152,23 @@ def test_feed_layout_and_pruning(spark, tmp_path):
     back = select_source(spark.read.json(str(tmp_path)), "big")
     assert back.count() == 100
     assert "PartitionFilters: [isnotnull(source" in back._jdf.queryExecution().executedPlan().toString()
-    sinks.write_feed(df, str(tmp_path / "p"), "2024-01-16T00:00:00", fmt="parquet")
-    assert spark.read.parquet(str(tmp_path / "p")).count() == 300
+    for run in ("2024-01-16T00:00:00", "2024-01-17T00:00:00", "2024-01-17T00:00:00"):
+        sinks.write_feed(df, str(tmp_path / "p"), run, fmt="parquet")
+    assert spark.read.parquet(str(tmp_path / "p")).count() == 600  # a repeated run replaces its own folders only
+
+
+def test_export_form(spark):
+    df = spark.createDataFrame([(date(2024, 3, 9), ["a", "b"], [1]), (None, None, None)], "date date, tags array<string>, n array<int>")
+    assert [tuple(r) for r in E.to_export(df).collect()] == [("09/03/2024", "a, b", [1]), (None, None, None)]
+
+
+def test_sequence_numbers_of_any_length(spark):
+    texts = ["9" * 40, "1" + "0" * 40, "00012", "12", "13", "0", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", C.sequence_order(F.col("t")).alias("o"))
+    order = [r.t for r in df.where("t IS NOT NULL").orderBy("o", "t").collect()]
+    assert order == ["0", "00012", "12", "13", "9" * 40, "1" + "0" * 40]
+    with pytest.raises(Exception, match="not a sequence number"):
+        spark.createDataFrame([("x1",)], "t string").select(C.sequence_order(F.col("t"))).collect()
 
 
 def test_encode_temporal(spark):
@@ -225,7 +240,7 @@ def test_a_hot_url_keeps_every_card(spark):
     url = F.when(F.col("id") % 3 == 0, "http://example.com/hot?x=1").otherwise(F.concat(F.lit("https://example.com/"), "id"))
     cards = spark.range(300).select(url.alias("url"), F.col("id").alias("card_id"))
     pages = spark.range(300).where("id % 3 <> 0 or id = 0").select(
-        F.when(F.col("id") == 0, "https://example.com/hot#top").otherwise(F.concat(F.lit("https://example.com/"), "id")).alias("url"))
+        F.when(F.col("id") == 0, "http://example.com/hot?x=1#top").otherwise(F.concat(F.lit("https://example.com/"), "id")).alias("url"))
     joined = L.attach_card(pages, cards).select("card.card_id", "url")
     assert joined.count() == 300 and joined.select("card_id").distinct().count() == 300
     assert joined.where("url = 'https://example.com/hot#top'").count() == 100
