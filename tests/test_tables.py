@@ -243,4 +243,4 @@ def test_a_hot_url_keeps_every_card(spark):
         F.when(F.col("id") == 0, "http://example.com/hot?x=1#top").otherwise(F.concat(F.lit("https://example.com/"), "id")).alias("url"))
     joined = L.attach_card(pages, cards).select("card.card_id", "url")
     assert joined.count() == 300 and joined.select("card_id").distinct().count() == 300
-    assert joined.where("url = 'https://example.com/hot#top'").count() == 100
+    assert joined.where("url = 'http://example.com/hot?x=1#top'").count() == 100
