@@ -146,86 +146,98 @@ def _links(us: list[bytes], vs: list[bytes]) -> pa.RecordBatch:
 
 
 def _bucket_links(members: DataFrame, least: float) -> DataFrame:
-    """Candidate links of buckets. ``members`` has ``b, node, sketch, far``: pairs with a far member are compared."""
+    """Candidate links of buckets. ``members`` has ``b, node, tag, sketch, far``: pairs with a far member are compared.
+
+    Members of one tag are linked already; links are given between tags.
+    """
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         us, vs = [], []
         for group in groups_of(batches, "b"):
-            nodes, far = group.column("node").to_pylist(), group.column("far").to_numpy(zero_copy_only=False).astype(bool)
+            tags, far = group.column("tag").to_pylist(), group.column("far").to_numpy(zero_copy_only=False).astype(bool)
             marks = _sketches(group.column("sketch"))
-            alike = np.zeros((len(nodes), len(nodes)), bool)
+            known = np.unique(np.array(tags, dtype=object), return_inverse=True)[1]
+            alike = known[:, None] == known[None, :]
             for i in np.flatnonzero(far):
-                alike[i] = estimate(marks, marks[i]) >= least
+                alike[i] |= estimate(marks, marks[i]) >= least
             root = stars(alike | alike.T)
-            for i, r in enumerate(root):
-                if r != i and nodes[r] != nodes[i]:
-                    us.append(nodes[r])
-                    vs.append(nodes[i])
+            new = {(tags[r], tags[i]) for i, r in enumerate(root) if tags[r] != tags[i]}
+            us += [u for u, _ in new]
+            vs += [v for _, v in new]
             if len(us) > 10_000:
                 yield _links(us, vs)
                 us, vs = [], []
         yield _links(us, vs)
 
-    dealt = members.select("b", "node", "sketch", "far").repartition("b").sortWithinPartitions("b", "node")
+    dealt = members.select("b", "node", "tag", "sketch", "far").repartition("b").sortWithinPartitions("b", "node")
     return dealt.mapInArrow(work, _LINK)
 
 
-def _leader_links(rows: DataFrame, least: float) -> DataFrame:
-    """``b, node, leader, near`` where ``near`` is the estimated similarity of a member with its bucket's leader."""
+def _near_leader(rows: DataFrame) -> DataFrame:
+    """Adds ``near``, the estimated similarity of a member with its bucket's leader, to ``b, node, tag, leader_tag``."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 near = estimate(_sketches(batch.column("sketch")), _sketches(batch.column("leader_sketch")))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("b"), batch.column("node"), batch.column("leader"), pa.array(near)],
-                    names=["b", "node", "leader", "near"])
+                    [*(batch.column(c) for c in ("b", "node", "tag", "leader_tag")), pa.array(near)],
+                    names=["b", "node", "tag", "leader_tag", "near"])
 
-    return rows.select("b", "node", "leader", "sketch", "leader_sketch").mapInArrow(
-        work, "b long, node binary, leader binary, near double")
+    return rows.select("b", "node", "tag", "leader_tag", "sketch", "leader_sketch").mapInArrow(
+        work, "b long, node binary, tag binary, leader_tag binary, near double")
 
 
 def _finish(rows: DataFrame, sizes: DataFrame, nodes: DataFrame) -> DataFrame:
     """Deal a large bucket into groups in which each far member meets every member, ``LIMIT`` of each kind at a time."""
     n_far, n_all = (F.ceil(F.col(c) / LIMIT).cast("int") for c in ("n_far", "n"))
-    own = F.xxhash64("node")
-    rows = rows.join(sizes, "b").withColumn("in_all", F.pmod(own, n_all)).withColumn("in_far", F.pmod(own, n_far))
-    everyone = rows.select("b", "node", "in_all", F.explode(F.sequence(F.lit(0), n_far - 1)).alias("in_far"), F.lit(False).alias("far"))
-    # a far member is left out of the crowd where it stands as far member anyway
-    everyone = everyone.join(rows.where("far").select("b", "node", "in_far").withColumn("there", F.lit(True)),
-                             ["b", "node", "in_far"], "left").where("there IS NULL").drop("there")
-    far = rows.where("far").select("b", "node", F.explode(F.sequence(F.lit(0), n_all - 1)).alias("in_all"), "in_far", F.lit(True).alias("far"))
-    dealt = everyone.select("b", "node", "in_all", "in_far", "far").unionByName(far)
-    return dealt.select(F.xxhash64("b", "in_far", "in_all").alias("b"), "node", "far").join(nodes.select("node", "sketch"), "node")
+    rows = rows.join(sizes, "b")
+    for column, n in (("in_all", n_all), ("in_far", n_far)):
+        rows = rows.withColumn(column, F.pmod(F.xxhash64("node"), n).cast("int"))
+    # Each member goes to every block of far members, and a far one to every block of all members
+    # too; where both lead a far member to the same group, once is enough.
+    crowd = F.transform(F.sequence(F.lit(0), n_far - 1), lambda f: F.struct(
+        f.alias("in_far"), F.col("in_all"), (F.col("far") & (f == F.col("in_far"))).alias("far")))
+    ahead = F.filter(F.transform(F.sequence(F.lit(0), n_all - 1), lambda a: F.struct(
+        F.col("in_far"), a.alias("in_all"), F.lit(True).alias("far"))), lambda g: g["in_all"] != F.col("in_all"))
+    dealt = rows.select("b", "node", "tag", F.explode(F.when(F.col("far"), F.concat(crowd, ahead)).otherwise(crowd)).alias("g"))
+    return dealt.select(F.xxhash64("b", "g.in_far", "g.in_all").alias("b"), "node", "tag", "g.far").join(
+        nodes.select("node", "sketch"), "node")
 
 
 def candidate_links(nodes: DataFrame, threshold: float, recall: float, seed: int, levels: int = LEVELS) -> DataFrame:
-    """``u, v`` of nodes that met in a bucket and seem alike, as stars."""
+    """``u, v`` of nodes that met in a bucket and seem alike, as stars.
+
+    A large bucket has a leader. Members like it are linked to it and carry its tag from then on:
+    in the buckets split off they are known to be of one class, so only pairs with a far member,
+    one of another tag and unlike the leader, are still of interest.
+    """
     least = threshold - 0.15  # over four standard errors of a sketch of 128 places
     places = root_places(runs_needed(recall, threshold, levels), threshold, seed)
     keys = F.array(*[F.xxhash64(F.lit(r), F.lit(i), F.substring("sig", 4 * i + 1, 4)) for r, i in places])
-    rows = nodes.select("node", F.explode(keys).alias("b"))
+    rows = nodes.select("node", F.col("node").alias("tag"), F.explode(keys).alias("b"))
     found = []
     for level in range(1, levels + 1):
         sizes = stage(rows.groupBy("b").agg(
             F.count("*").alias("n"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("y"),
-            F.min("node").alias("leader")).where("n > 1"), "bucket-sizes")
+            F.min(F.struct((F.col("tag") == F.col("node")).alias("own"), "node", "tag")).alias("lead")).where("n > 1"), "bucket-sizes")
         # buckets of several runs with the same members are compared once
         small = sizes.where(F.col("n") <= LIMIT).groupBy("n", "x", "y").agg(F.min("b").alias("b")).select("b")
         members = rows.join(small, "b").join(nodes.select("node", "sketch"), "node").withColumn("far", F.lit(True))
-        found.append(stage(_bucket_links(members, least).distinct(), "bucket-links"))
-        large = sizes.where(F.col("n") > LIMIT).groupBy("n", "x", "y", "leader").agg(F.min("b").alias("b")).select("b", "n", "leader") \
-            if level == levels else sizes.where(F.col("n") > LIMIT).select("b", "n", "leader")
+        found.append(stage(_bucket_links(members, least), "bucket-links"))
+        large = sizes.where(F.col("n") > LIMIT).select(
+            "b", F.col("lead.node").alias("leader"), F.col("lead.tag").alias("leader_tag"))
         if large.isEmpty():
             break
         leaders = large.join(nodes.select(F.col("node").alias("leader"), F.col("sketch").alias("leader_sketch")), "leader")
         crowd = rows.join(leaders, "b").join(nodes.select("node", "sketch"), "node")
-        crowd = stage(_leader_links(crowd, least), "large-buckets")
-        found.append(crowd.where((F.col("near") >= least) & (F.col("node") != F.col("leader"))).select(
-            F.col("leader").alias("u"), F.col("node").alias("v")).distinct())
-        # Members like the leader are in one class already. What is left are pairs with a far member.
-        crowd = crowd.withColumn("far", F.col("near") < least)
+        crowd = stage(_near_leader(crowd), "large-buckets")
+        alike = F.col("near") >= least
+        found.append(crowd.where(alike & (F.col("tag") != F.col("leader_tag"))).select(
+            F.col("leader_tag").alias("u"), F.col("tag").alias("v")))
+        crowd = crowd.withColumn("far", ~alike & (F.col("tag") != F.col("leader_tag"))).withColumn(
+            "tag", F.when(F.col("far"), F.col("tag")).otherwise(F.col("leader_tag")))
         counts = stage(crowd.groupBy("b").agg(F.count("*").alias("n"), F.sum(F.col("far").cast("long")).alias("n_far")).where("n_far > 0"), "far-sizes")
         last = counts if level == levels else counts.where(F.col("n_far") <= LIMIT)
-        found.append(stage(_bucket_links(_finish(crowd, last, nodes), least).distinct(), "bucket-links"))
+        found.append(stage(_bucket_links(_finish(crowd, last, nodes), least), "bucket-links"))
         deeper = counts.where(F.col("n_far") > LIMIT).select("b")
         if level == levels or deeper.isEmpty():
             break
@@ -233,12 +245,12 @@ def candidate_links(nodes: DataFrame, threshold: float, recall: float, seed: int
         left = crowd.where(F.col("near") < 0.95).join(deeper, "b").join(nodes.select("node", "sig"), "node")
         step = int((1 << 32) / (threshold * PLACES))
         chosen = F.filter(F.sequence(F.lit(0), F.lit(PLACES - 1)), lambda i: F.xxhash64("b", i).bitwiseAND(F.lit((1 << 32) - 1)) < step)
-        rows = stage(left.select("node", F.explode(F.transform(chosen, lambda i: F.xxhash64(
+        rows = stage(left.select("node", "tag", F.explode(F.transform(chosen, lambda i: F.xxhash64(
             F.lit(level), "b", i, F.substring(F.col("sig"), i * 4 + 1, F.lit(4))))).alias("b")), "split-buckets")
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)
-    return out.distinct()
+    return out
 
 
 def shared_counts(sets: list[np.ndarray]) -> np.ndarray:
