@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from newsloom.functions.text import STOPWORDS, let, run_lengths, run_starts, sentences, term_counts, tokens
@@ -139,16 +139,22 @@ def _words(fields: Sequence[str]) -> Column:
 
 
 def postings(docs: DataFrame, doc: str = "doc_id", fields: Sequence[str] = ("text",),
-             only: Sequence[str] | None = None) -> DataFrame:
+             only: Sequence[str] | None = None, size: Observation | None = None) -> DataFrame:
     """Search index rows: ``term, doc, tf, length``, counted inside each article row.
 
-    ``only`` limits the index to some terms; the others go before they are sorted.
+    ``only`` limits the index to some terms; the others go before they are sorted. ``size`` is told
+    the number of articles and their mean length when the index is first run, so that a search
+    need not read the texts again for them. (Not under a range partitioning, whose sampling runs
+    the rows once more.)
     """
     def count(words: Column) -> Column:
         kept = words if only is None else F.filter(words, lambda w: w.isin(list(only)))
         return F.struct(F.size(words).alias("length"), term_counts(kept).alias("terms"))
 
     counted = docs.select(doc, let(_words(fields), count).alias("d"))
+    if size is not None:
+        counted = counted.observe(size, F.count(F.lit(1)).alias("n_docs"),
+                                  F.avg(F.coalesce(F.col("d.length"), F.lit(0))).alias("mean_length"))
     return counted.select(
         doc, F.col("d.length").alias("length"), F.explode("d.terms").alias("t")
     ).select("t.term", doc, F.col("t.n").alias("tf"), "length")
@@ -175,13 +181,14 @@ def query_terms(queries: DataFrame, query: str = "query_id", text: str = "text")
         F.col(query).alias("query_id"), F.explode(F.array_distinct(tokens(F.col(text)))).alias("term"))
 
 
-def search(index: DataFrame, size: DataFrame, terms: DataFrame, k: int = 10, doc: str = "doc_id") -> DataFrame:
+def search(index: DataFrame, size: DataFrame | Observation, terms: DataFrame, k: int = 10, doc: str = "doc_id") -> DataFrame:
     """Best ``k`` articles per query by BM25: ``query_id, rank, doc, score``.
 
     Only postings of query terms go on. A few terms become a filter that a stored index pushes to
     its scan; more meet the postings in a join, by broadcast when their counted size allows it.
     The matching postings are staged, since both the term frequencies and the scores need them.
-    ``size`` is one row, read once; a stored one spares a pass over the texts.
+    ``size`` is one row, read once, or what the index tells of itself when it runs here; both a
+    stored row and the latter spare a pass over the texts.
     An article's terms lie together, so scores are summed per task before the shuffle. Ranks use
     the score rounded to 6 places, ties by article.
     """
@@ -194,7 +201,10 @@ def search(index: DataFrame, size: DataFrame, terms: DataFrame, k: int = 10, doc
         else index.join(side(wanted), "term", "left_semi"))
     matching = stage(matching, "matching-postings")
     frequency = matching.groupBy("term").agg(F.count("*").alias("df"))
-    n_docs, mean_length = size.select("n_docs", "mean_length").first()
+    if isinstance(size, Observation):
+        n_docs, mean_length = size.get.get("n_docs", 0), size.get.get("mean_length")
+    else:
+        n_docs, mean_length = size.select("n_docs", "mean_length").first()
     weighted = terms.join(frequency, "term").select(
         "query_id", "term", F.log(1 + (n_docs - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf"))
     norm = F.col("tf") + K1 * (1 - B + B * F.col("length") / F.lit(mean_length))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from newsloom.functions.text import STOPWORDS
@@ -22,9 +22,12 @@ def recommend(articles: DataFrame, k_terms: int = 10, k_docs: int = 5, doc: str
     top = trending(keywords(articles, k_keywords, stopwords, doc, text), k_terms).collect()  # k_terms rows
     terms = spark.createDataFrame(
         [(row["rank"], row["term"]) for row in top], "query_id int, term string").coalesce(1)
+    size = Observation()
     if index is None:
-        index = postings(articles, doc, (text,), only=[row["term"] for row in top])
-    best = search(index, corpus_size(articles, (text,)), terms, k_docs, doc)
+        index = postings(articles, doc, (text,), [row["term"] for row in top], size)
+    else:
+        size = corpus_size(articles, (text,))
+    best = search(index, size, terms, k_docs, doc)
     few = F.broadcast(terms) if len(top) <= 10_000 else terms
     return best.join(few, "query_id").select(
         F.col("query_id").alias("term_rank"), "term", "rank", doc, "score")

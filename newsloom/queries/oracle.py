@@ -384,6 +384,8 @@ ORACLE = {
       SELECT date_trunc('day', ts)::TIMESTAMP AS window_start, event_type AS term, count(*) AS n FROM events GROUP BY 1, 2""",
     "f04_search": bm25(
         r"SELECT DISTINCT item_id AS query_id, unnest(list_filter(string_split_regex(lower(text), '[^\p{L}\p{N}]+'), lambda w: w <> '')) AS term FROM benchmark", 10),
+    "f04_search_index": bm25(
+        r"SELECT DISTINCT item_id AS query_id, unnest(list_filter(string_split_regex(lower(text), '[^\p{L}\p{N}]+'), lambda w: w <> '')) AS term FROM benchmark", 10),
     "f05_recommend": f"""
       WITH q0 AS (SELECT term, row_number() OVER (ORDER BY n DESC, term) AS rn FROM ({TOP})),
       hits AS ({bm25("SELECT CAST(rn AS INTEGER) AS query_id, term FROM q0 WHERE rn <= 10", 5)})

@@ -1,17 +1,57 @@
 """Continuous application of a change stream to a keyed table on plain files.
 
-The table is an append-only log, one folder per micro-batch. Readers take the latest change per
-key. A batch that runs again after a failure overwrites its own folder, so it counts once.
+The table is a log: each micro-batch, reduced to its latest change per key, is a folder of its own,
+and readers take the latest change per key of all folders. A folder counts once a marker names it.
+Markers appear by a rename, so a reader sees a batch whole or not at all, and a batch that runs
+again after it was published is left as it is. A compaction is a folder too; its marker tells up to
+which batch it holds everything, and readers then take it and the later batches. So the stream goes
+on writing while the log is compacted.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from newsloom.operators.tables import apply_changes
 
+BATCHES, COMPACTED = "_batches", "_compacted"
+
+
+def _folder(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def _markers(spark: SparkSession, log: str, kind: str) -> dict[int, str]:
+    """Batch number and data folder of every marker: ``<number>-<folder>``."""
+    fs, path = _folder(spark, f"{log}/{kind}")
+    names = [s.getPath().getName() for s in fs.listStatus(path)] if fs.exists(path) else []
+    return {int(number): folder for number, _, folder in (n.partition("-") for n in names if not n.startswith("."))}
+
+
+def _publish(spark: SparkSession, log: str, kind: str, number: int, folder: str) -> None:
+    fs, path = _folder(spark, f"{log}/{kind}")
+    fs.mkdirs(path)
+    draft = _folder(spark, f"{log}/{kind}/.{folder}")[1]
+    fs.create(draft).close()
+    if not fs.rename(draft, _folder(spark, f"{log}/{kind}/{number}-{folder}")[1]):
+        raise OSError(f"could not publish batch {number} of {log}")
+
+
+def _parts(spark: SparkSession, log: str) -> tuple[list[str], int]:
+    """The folders that hold the state, and the last batch among them."""
+    compacted, batches = _markers(spark, log, COMPACTED), _markers(spark, log, BATCHES)
+    upto = max(compacted, default=-1)
+    folders = [compacted[upto]] if compacted else []
+    folders += [folder for number, folder in sorted(batches.items()) if number > upto]
+    if not folders:
+        raise ValueError(f"no batch has been published in {log}")
+    return [f"{log}/data/{f}" for f in folders], max([upto, *batches])
+
 
 def apply_changes_stream(stream: DataFrame, log: str, checkpoint: str, key: str = "title",
                          seq: str = "seq", op: str = "event_name", available_now: bool = True,
@@ -21,29 +61,42 @@ def apply_changes_stream(stream: DataFrame, log: str, checkpoint: str, key: str
     Removals stay in the log as tombstones, so an older upsert that comes late changes nothing.
     """
     def append(batch: DataFrame, batch_id: int) -> None:
-        latest = apply_changes(batch, key, seq, op, keep_removed=True)
-        latest.write.mode("overwrite").parquet(f"{log}/batch_id={batch_id}")
+        spark = batch.sparkSession
+        if batch_id in _markers(spark, log, BATCHES) or batch_id <= max(_markers(spark, log, COMPACTED), default=-1):
+            return
+        folder = uuid.uuid4().hex
+        apply_changes(batch, key, seq, op, keep_removed=True).write.parquet(f"{log}/data/{folder}")
+        _publish(spark, log, BATCHES, batch_id, folder)
 
     writer = stream.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)
     return writer.start()
 
 
+def read_log(spark: SparkSession, log: str) -> DataFrame:
+    """All changes that still count, tombstones included."""
+    return spark.read.parquet(*_parts(spark, log)[0])
+
+
 def read_state(spark: SparkSession, log: str, key: str = "title", seq: str = "seq",
                op: str = "event_name") -> DataFrame:
     """Current rows of the table."""
-    return apply_changes(spark.read.parquet(log).drop("batch_id"), key, seq, op)
+    return apply_changes(read_log(spark, log), key, seq, op)
 
 
-def compact_log(spark: SparkSession, log: str, target: str, key: str = "title", seq: str = "seq",
-                op: str = "event_name", forget_before=None) -> None:
-    """Rewrite the log to a new path with one row per key, apart from the folders of later batches.
+def compact_log(spark: SparkSession, log: str, key: str = "title", seq: str = "seq", op: str = "event_name",
+                forget_before: Column | int | str | None = None) -> None:
+    """Write one row per key for all batches published so far, and make readers start from it.
 
     Tombstones stay, but for those with ``seq`` under ``forget_before``: pass a bound only when no
-    older change can still arrive.
+    older change can still arrive. Batches that are published meanwhile stay beside the compaction.
     """
-    latest = apply_changes(spark.read.parquet(log).drop("batch_id"), key, seq, op, keep_removed=True)
+    folders, upto = _parts(spark, log)
+    latest = apply_changes(spark.read.parquet(*folders), key, seq, op, keep_removed=True)
     if forget_before is not None:
+        bound = forget_before if isinstance(forget_before, Column) else F.lit(forget_before)
         removed = F.coalesce(F.col(op) == "REMOVE", F.lit(False))
-        latest = latest.where(~(removed & (F.col(seq) < F.lit(forget_before))))
-    latest.write.mode("errorifexists").parquet(f"{target}/batch_id=-1")
+        latest = latest.where(~(removed & (F.col(seq) < bound)))
+    folder = uuid.uuid4().hex
+    latest.write.parquet(f"{log}/data/{folder}")
+    _publish(spark, log, COMPACTED, upto, folder)

@@ -14,7 +14,7 @@ from newsloom.schemas import SEARCH_FIELDS
 from newsloom.session import broadcast_if_small, is_small, shared_dir, spread
 from newsloom.sources import changes as C
 from newsloom.sources.pages import read_pages, select_source
-from newsloom.streaming.changes import apply_changes_stream, compact_log, read_state
+from newsloom.streaming.changes import apply_changes_stream, compact_log, read_log, read_state
 from newsloom.streaming.links import dedupe_links_stream, trending_stream
 
 CHANGES = "title string, seq bigint, event_name string, text string"
@@ -78,23 +78,33 @@ def test_stream_survives_restart_and_replay(spark):
     write_batches(spark, rows[200:], f"{root}/in", 3)
     run()
     assert as_set(read_state(spark, f"{root}/log")) == replay(rows)
-    # A batch that is written once more, as after a lost driver, overwrites itself.
-    before = spark.read.parquet(f"{root}/log").count()
+    # A batch that is run once more, as after a lost driver, changes nothing.
+    before = read_log(spark, f"{root}/log").count()
     stream = spark.readStream.schema(CHANGES).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
     apply_changes_stream(stream, f"{root}/log", f"{root}/second").awaitTermination()
-    assert spark.read.parquet(f"{root}/log").count() == before
+    assert read_log(spark, f"{root}/log").count() == before
     assert as_set(read_state(spark, f"{root}/log")) == replay(rows)
 
 
-def test_compaction_keeps_tombstones_until_told(spark):
+def test_compaction_keeps_tombstones_and_later_batches(spark):
     root = shared_dir(spark, "test-compact")
-    spark.createDataFrame([("a", 1, "INSERT", "x"), ("a", 5, "REMOVE", None), ("b", 2, "INSERT", "y")], CHANGES).write.parquet(f"{root}/log/batch_id=0")
-    compact_log(spark, f"{root}/log", f"{root}/kept")
-    late = spark.createDataFrame([("a", 4, "MODIFY", "late")], CHANGES)
-    late.write.parquet(f"{root}/kept/batch_id=1")
-    assert as_set(read_state(spark, f"{root}/kept")) == {("b", 2, "INSERT", "y")}
-    compact_log(spark, f"{root}/log", f"{root}/forgot", forget_before=6)
-    assert spark.read.parquet(f"{root}/forgot").count() == 1
+
+    def add(*rows):
+        spark.createDataFrame(rows, CHANGES).coalesce(1).write.mode("append").parquet(f"{root}/in")
+        stream = spark.readStream.schema(CHANGES).parquet(f"{root}/in")
+        apply_changes_stream(stream, f"{root}/log", f"{root}/checkpoint").awaitTermination()
+
+    with pytest.raises(ValueError, match="no batch"):
+        read_state(spark, f"{root}/log")
+    add(("a", 1, "INSERT", "x"), ("a", 5, "REMOVE", None), ("b", 2, "INSERT", "y"))
+    compact_log(spark, f"{root}/log")
+    add(("a", 4, "MODIFY", "late"), ("c", 3, "INSERT", "z"))
+    assert as_set(read_state(spark, f"{root}/log")) == {("b", 2, "INSERT", "y"), ("c", 3, "INSERT", "z")}
+    assert read_log(spark, f"{root}/log").count() == 4
+    compact_log(spark, f"{root}/log", forget_before=6)
+    assert read_log(spark, f"{root}/log").count() == 2
+    add(("b", 9, "REMOVE", None))
+    assert as_set(read_state(spark, f"{root}/log")) == {("c", 3, "INSERT", "z")}
 
 
 def test_change_records_from_files(spark):
