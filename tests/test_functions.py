@@ -10,6 +10,7 @@ from newsloom.functions import dates as D
 from newsloom.functions import html as H
 from newsloom.functions import text as T
 from newsloom.functions import urls as U
+from newsloom.operators.links import extract_links
 
 PAGE = """<html><head><title>Fallback</title><meta property="og:image" content="/a.png">
 <meta content='tech' property='article:section'><meta itemprop="keywords" content="a, b">
@@ -168,3 +169,42 @@ def test_default_date(spark):
     run = F.lit(date(2024, 1, 15))
     for policy, want in (("run", date(2024, 1, 15)), ("month", date(2024, 1, 1)), ("none", None)):
         assert one(spark, "junk", lambda x, p=policy: D.default_date(D.parse_date(x), p, run)) == want
+
+
+def test_every_element_once_and_only_at_a_depth(spark):
+    div = F.lit(H.opening_tag("div", "class", "c"))
+    every = lambda x: H.all_elements(x, div, F.lit("div"))
+    page = '<div class="c">a<div class="c">b</div>c</div><div>no</div><div class="c">d<div>e</div>'
+    assert one(spark, page, every) == ['a<div class="c">b</div>c', "d<div>e</div>"]
+    assert column(spark, ["<div>x</div>", "", None], every) == [None, None, None]
+    body = "<p>body.</p><aside><p>advert</p></aside><div><p>in</p><blockquote><p>quote</p></blockquote></div><p>end"
+    text = lambda depth: lambda x: H.body_text_first(H.at_depth(x, F.lit(depth)))
+    assert one(spark, body, text(0)) == "body.end"
+    assert one(spark, body, text(1)) == "advertin"
+    assert one(spark, body, text(None)) == "body.advertinquoteend"
+
+
+def test_pick_looks_into_the_first_element_with_the_child(spark):
+    rule = F.struct(F.lit(H.opening_tag("a")).alias("opening"), F.lit("a").alias("tag"), F.lit("span").alias("child"),
+                    F.lit(None).cast("string").alias("attr"), F.lit(False).alias("every"))
+    assert one(spark, '<a href="1"><img></a><a href="2"><span>title</span></a>', lambda x: H.pick(x, rule)) == "title"
+
+
+def test_references_of_any_length(spark):
+    texts = ["&#00000000065;", "&#x0000000041;", "&#99999999999999999999;", "&#x110000;", "&#0;", "&#1114111;"]
+    assert column(spark, texts, H.unescape_entities) == ["A", "A", *texts[2:5], "\U0010ffff"]
+
+
+def test_links_in_every_form(spark):
+    pages = spark.createDataFrame([(1, "http://h/", p) for p in [
+        '<a href="/a">one <a href="/b">two</a>', "<a href=/unq>x</a>", '<a href="/it\'s">y</a>', '<a title="p>q" href="/x?a>b">z</a>',
+        '<A HREF = \'/c\' >t<b>u</b></A >v', "<abbr href=/no>n</abbr><a name=k>m</a>", None]], "page_id int, url string, html string")
+    assert sorted((r.href, r.anchor) for r in extract_links(pages).collect()) == [
+        ("/a", "one"), ("/b", "two"), ("/c", "tu"), ("/it's", "y"), ("/unq", "x"), ("/x?a>b", "z")]
+
+
+def test_page_address(spark):
+    url = "http://h/p?id=1#top"
+    assert one(spark, url, U.page_address) == "http://h/p?id=1"
+    assert one(spark, url, lambda x: U.page_address(x, True, True)) == "https://h/p"
+    assert one(spark, url, lambda x: U.page_address(x, F.lit(None).cast("boolean"), F.lit(True))) == "https://h/p?id=1"
