@@ -20,7 +20,6 @@ from newsloom.functions.text import let
 from newsloom.session import broadcast_if_small, stage
 
 DEPTHS = (2, 4)
-_BLANK = r"[\x20\x09-\x0D]"
 _WITH_DIGIT = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*"
 FIELD = "<*>"
 
@@ -31,8 +30,10 @@ def line_array(text: Column) -> Column:
 
 def tokens(line: Column) -> Column:
     """Tokens of a line; those with an ASCII digit become variable fields."""
-    masked = F.regexp_replace(line, _WITH_DIGIT, FIELD)
-    return F.array_remove(F.split(masked, _BLANK + "+"), "")
+    # Most lines have neither tabs nor digits, and looking for them costs less than replacing them.
+    plain = F.when(line.rlike(r"[\x09-\x0D]"), F.regexp_replace(line, r"[\x09-\x0D]", " ")).otherwise(line)
+    masked = F.when(line.rlike("[0-9]"), F.regexp_replace(plain, _WITH_DIGIT, FIELD)).otherwise(plain)
+    return F.array_remove(F.split(masked, " "), "")
 
 
 def node(words: Column, depth: int) -> Column:
@@ -68,11 +69,12 @@ def recurring_lines(
     many = broadcast_if_small(many, max_rows=1_000_000, max_bytes=64 << 20)
 
     def whole(line: Column, i: Column) -> Column:
-        return let(tokens(line), lambda w: F.struct(i.alias("pos"), node(w, depths[0]).alias("key"), w.alias("words")))
+        return let(tokens(line), lambda w: F.struct(
+            i.alias("pos"), F.when(F.size(w) > 0, node(w, depths[0])).alias("key"), line.alias("line")))
 
     lines = source.select("id", "text_key", "doc", F.explode(F.transform(line_array(F.col("t")), whole)).alias("l"))
-    lines = lines.select("id", "text_key", "doc", "l.*").where(F.size("words") > 0).join(many, "key", "left_semi")
-    lines, found = stage(lines, "recurring-lines"), []
+    lines = lines.select("id", "text_key", "doc", "l.*").join(many, "key", "left_semi")
+    lines, found = stage(lines.withColumn("words", tokens(F.col("line"))).drop("line"), "recurring-lines"), []
     for depth in (*depths[1:], None):
         agreeing = stage(_agreeing(lines.dropDuplicates(["key", "words"]) if depth is None else lines, "key", agree), "templates")
         found.append(lines.join(agreeing, "key", "left_semi").select("id", "text_key", "pos"))
