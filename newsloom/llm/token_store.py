@@ -20,6 +20,7 @@ import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -27,7 +28,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from newsloom.llm.common import as_bytes, hash_share
+from newsloom.llm.common import as_bytes, hash_share, pieces
 from newsloom.llm.files import codec, create, open_random, train_dictionary
 from newsloom.session import shared_dir, stage
 
@@ -42,13 +43,16 @@ _ODD_STOP = re.compile(rb"[,.](?<![0-9a-z].)(?<!\xc3[\x80-\x96\x98-\xb6\xb8-\xbf
 class WordEncoder:
     """Ids of whole texts by a tokenizer that never joins what white space parts.
 
-    Words are encoded by the library once and remembered; at most ``bound`` of them are held
+    Words are encoded by the library once and remembered; about ``bound`` of them are held
     between texts. ASCII letters are lowered beforehand only where that cannot change the result:
     not beside combining marks, and not where a special token's mark stands in the text.
     """
 
-    def __init__(self, path: str, bound: int = 500_000):
+    def __init__(self, path: str, bound: int = 1_000_000):
         self.tokenizer, self.bound, self.known = Tokenizer.from_file(path), bound, {}
+        names = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(names.values()) + 1, bool)
+        self.ends[[i for name, i in names.items() if name.endswith("</w>")]] = True
 
     def words(self, text: bytes) -> list[bytes]:
         if b"\xcc" in text or b"\xcd" in text or b"<|" in text:
@@ -58,25 +62,39 @@ class WordEncoder:
             text = text.replace(b", ", b" , ").replace(b". ", b" . ").replace(b".\n", b" .\n").replace(b",\n", b" ,\n")
         return text.split()
 
-    def learn(self, words: list[bytes]) -> None:
-        new = set(words).difference(self.known)
+    def learn(self, words: set[bytes]) -> None:
+        """Words of letters alone are encoded many at a time: each of their codes ends once."""
+        new = words.difference(self.known)
         if len(self.known) + len(new) > self.bound:
             self.known.clear()
-            new = set(words)
-        new = list(new)
-        found = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in new], add_special_tokens=False)
-        for word, ids in zip(new, found):
-            ids = ids.ids
-            self.known[word] = struct.pack(f"<{len(ids)}I", *ids)
+            new = words
+        letters = [w for w in new if w.decode("utf-8", "replace").isalpha()]
+        single = list(new.difference(letters))
+        for first in range(0, len(letters), 500):
+            some = letters[first:first + 500]
+            ids = np.array(self.ids([b" ".join(some)])[0], dtype="<u4")
+            cuts = (np.flatnonzero(self.ends[ids]) + 1) * 4 if len(ids) else []
+            if len(cuts) == len(some):
+                codes = ids.tobytes()
+                self.known.update((w, codes[a:b]) for w, a, b in zip(some, [0, *cuts.tolist()], cuts.tolist()))
+            else:  # some letter becomes more than one piece in lower case
+                single += some
+        self.known.update(zip(single, (struct.pack(f"<{len(x)}I", *x) for x in self.ids(single))))
+
+    def ids(self, texts: list[bytes]) -> list[list[int]]:
+        found = self.tokenizer.encode_batch_fast([t.decode("utf-8", "replace") for t in texts], add_special_tokens=False)
+        return [f.ids for f in found]
+
+    def encode_all(self, texts: list[bytes | None]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers. A null text has none."""
+        words = [self.words(t) if t else [] for t in texts]
+        new = set().union(*words).difference(self.known)
+        if new:
+            self.learn(set().union(*words) if len(self.known) + len(new) > self.bound else new)
+        return [b"".join(map(self.known.__getitem__, w)) for w in words]
 
     def encode(self, text: bytes | None) -> bytes:
-        """Ids as little-endian unsigned 32-bit integers. A null text has none."""
-        words = self.words(text) if text else []
-        try:
-            return b"".join(map(self.known.__getitem__, words))
-        except KeyError:
-            self.learn(words)
-            return b"".join(map(self.known.__getitem__, words))
+        return self.encode_all([text])[0]
 
 
 @lru_cache(maxsize=2)
@@ -167,8 +185,9 @@ def write_store(
 
     def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = [encoder(tokenizer).encode(t)[:4 * sample_ids] for t in as_bytes(batch.column("text"))]
-            yield pa.RecordBatch.from_pydict({"ids": pa.array(ids, pa.binary())})
+            for piece in pieces(batch, "text", 1 << 20):
+                ids = [x[:4 * sample_ids] for x in encoder(tokenizer).encode_all(as_bytes(piece.column("text")))]
+                yield pa.RecordBatch.from_pydict({"ids": pa.array(ids, pa.binary())})
 
     kept = float(sample_docs) / max(1, rows.count()) * float(1 << 32)
     samples = rows.where(hash_share("id") < kept).select("text").limit(2 * sample_docs).mapInArrow(draw, "ids binary")
@@ -177,10 +196,10 @@ def write_store(
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out, files = StoreWriter(folder, shared.value, level, max_file_bytes), []
-        encode = encoder(tokenizer).encode
         for batch in batches:
-            for doc_id, t in zip(batch.column("id").to_pylist(), as_bytes(batch.column("text"))):
-                files.append(out.add(doc_id, encode(t) + tail))
+            for piece in pieces(batch, "text", 1 << 20):
+                for doc_id, ids in zip(piece.column("id").to_pylist(), encoder(tokenizer).encode_all(as_bytes(piece.column("text")))):
+                    files.append(out.add(doc_id, ids + tail))
         files = [f for f in [*files, out.close()] if f]
         for f in files:
             f["part"] = TaskContext.get().partitionId()
