@@ -19,7 +19,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.llm.common import as_bytes, pieces, words_of
@@ -172,18 +172,10 @@ def _bucket_links(members: DataFrame, least: float) -> DataFrame:
     return dealt.mapInArrow(work, _LINK)
 
 
-def _near_leader(rows: DataFrame) -> DataFrame:
-    """Adds ``near``, the estimated similarity of a member with its bucket's leader, to ``b, node, tag, leader_tag``."""
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                near = estimate(_sketches(batch.column("sketch")), _sketches(batch.column("leader_sketch")))
-                yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(c) for c in ("b", "node", "tag", "leader_tag")), pa.array(near)],
-                    names=["b", "node", "tag", "leader_tag", "near"])
-
-    return rows.select("b", "node", "tag", "leader_tag", "sketch", "leader_sketch").mapInArrow(
-        work, "b long, node binary, tag binary, leader_tag binary, near double")
+def _alike(a: str, b: str) -> Column:
+    """``estimate`` of two sketch columns, JVM-side."""
+    same = F.filter(F.sequence(F.lit(1), F.lit(PLACES)), lambda i: F.substring(F.col(a), i, F.lit(1)) == F.substring(F.col(b), i, F.lit(1)))
+    return (F.size(same) / PLACES - 1 / 256) * 256 / 255
 
 
 def _finish(rows: DataFrame, sizes: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -229,7 +221,7 @@ def candidate_links(nodes: DataFrame, threshold: float, recall: float, seed: int
             break
         leaders = large.join(nodes.select(F.col("node").alias("leader"), F.col("sketch").alias("leader_sketch")), "leader")
         crowd = rows.join(leaders, "b").join(nodes.select("node", "sketch"), "node")
-        crowd = stage(_near_leader(crowd), "large-buckets")
+        crowd = stage(crowd.select("b", "node", "tag", "leader_tag", _alike("sketch", "leader_sketch").alias("near")), "large-buckets")
         alike = F.col("near") >= least
         found.append(crowd.where(alike & (F.col("tag") != F.col("leader_tag"))).select(
             F.col("leader_tag").alias("u"), F.col("tag").alias("v")))
