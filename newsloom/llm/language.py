@@ -22,6 +22,7 @@ from newsloom.llm.common import hash_share, pieces, remainder, share
 DIMENSIONS = 1024
 SEED = 20240229
 UNKNOWN = "und"
+SCALES = 40  # powers of two that tell lengths of texts
 _GRAMS = 8192  # trigram vectors held at a time
 _CELLS = 1 << 22  # counts held at a time
 
@@ -47,12 +48,20 @@ def _gram_vectors(grams: np.ndarray, dimensions: int, seed: int) -> np.ndarray:
     return out.astype(np.float32)
 
 
-def letter_grams(text: str | None) -> np.ndarray:
-    """Trigrams of the lower-case letters as integers. Anything between letters is one edge."""
+def _letters(text: str | None) -> np.ndarray:
+    """Code points of the lower-case letters. Anything before, between or after them is one edge, 0."""
     codes = np.frombuffer((text or "").lower().encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.int64)
     codes = np.where(_letter_table()[codes], codes, 0)
     codes = np.concatenate(([0], codes, [0]))
-    codes = codes[np.concatenate(([True], (codes[1:] != 0) | (codes[:-1] != 0)))]
+    return codes[np.concatenate(([True], (codes[1:] != 0) | (codes[:-1] != 0)))]
+
+
+def letter_grams(text: str | None) -> np.ndarray:
+    """Trigrams of the lower-case letters as integers. Anything between letters is one edge."""
+    return _grams(_letters(text))
+
+
+def _grams(codes: np.ndarray) -> np.ndarray:
     return (codes[:-2] << 42) | (codes[1:-1] << 21) | codes[2:] if len(codes) > 2 else codes[:0]
 
 
@@ -61,9 +70,12 @@ def encode(texts: list[str | None], dimensions: int = DIMENSIONS, seed: int = SE
 
     Trigram vectors and counts are made in blocks, so memory does not grow with the alphabet.
     """
-    parts = [letter_grams(t) for t in texts]
-    out = np.zeros((len(texts), dimensions), dtype=np.float32)
-    rows = np.repeat(np.arange(len(texts)), [len(p) for p in parts])
+    return _encode([letter_grams(t) for t in texts], dimensions, seed)
+
+
+def _encode(parts: list[np.ndarray], dimensions: int, seed: int) -> np.ndarray:
+    out = np.zeros((len(parts), dimensions), dtype=np.float32)
+    rows = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
     grams, at = np.unique(np.concatenate(parts) if parts else np.zeros(0, np.int64), return_inverse=True)
     order = np.argsort(at, kind="stable") if len(grams) > _GRAMS else None
     if order is not None:
@@ -73,9 +85,9 @@ def encode(texts: list[str | None], dimensions: int = DIMENSIONS, seed: int = SE
         lo, hi = (0, len(at)) if order is None else np.searchsorted(at, (first, first + len(block)))
         vectors, step = _gram_vectors(block, dimensions, seed), max(1, _CELLS // len(block))
         here, which = rows[lo:hi], at[lo:hi] - first
-        for top in range(0, len(texts), step):
-            n = min(step, len(texts) - top)
-            inside = slice(None) if n == len(texts) else (here >= top) & (here < top + n)
+        for top in range(0, len(parts), step):
+            n = min(step, len(parts) - top)
+            inside = slice(None) if n == len(parts) else (here >= top) & (here < top + n)
             counts = np.bincount((here[inside] - top) * len(block) + which[inside], minlength=n * len(block))
             out[top:top + n] += counts.reshape(n, -1).astype(np.float32) @ vectors
     return out
@@ -104,9 +116,7 @@ def train_prototypes(
         raise ValueError(f"more than {max_languages} languages")
     if not found:
         return {}
-    spark = docs.sparkSession
-    sizes = F.broadcast(spark.createDataFrame([(r.lang, r.n_rows) for r in found], "lang string, n_rows long"))
-    sample = labelled.join(sizes, "lang").where(hash_share("key") < share(per_language)).select("lang", "text")
+    sample = _sampled(labelled, found, per_language)
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[str, np.ndarray] = {}
@@ -159,20 +169,111 @@ def identify(
         predict, f"`{id_col}` {kind}, lang_pred string, score double")
 
 
-def keep_identified(docs: DataFrame, prototypes: dict[str, np.ndarray], min_score: float, text: str = "text") -> DataFrame:
+def _sampled(labelled: DataFrame, counts: list, per_language: int) -> DataFrame:
+    """About ``per_language`` rows of each language, chosen by a hash of their id."""
+    sizes = F.broadcast(labelled.sparkSession.createDataFrame([(r.lang, r.n_rows) for r in counts], "lang string, n_rows long"))
+    return labelled.join(sizes, "lang").where(hash_share("key") < share(per_language)).select("lang", "text")
+
+
+def _scale(vectors: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Texts' lengths as rounded powers of two.
+
+    The length is the number of trigrams over their mean count in the text, so that repeating a
+    text does not make it longer. A sum's square is ``dimensions`` times the counts' squares.
+    """
+    squares = np.maximum((vectors.astype(np.float64) ** 2).sum(axis=1) / vectors.shape[1], 1e-9)
+    return np.rint(np.log2(np.clip(sizes.astype(np.float64) ** 2 / squares, 1.0, 2.0 ** (SCALES - 1)))).astype(np.int64)
+
+
+def known_letters(docs: DataFrame, text: str = "text", lang: str = "lang") -> np.ndarray:
+    """Code points of the letters of all labelled rows, in order. No more of them than Unicode has."""
+    def letters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = np.zeros(0x110000, dtype=bool)
+        for batch in batches:
+            for piece in pieces(batch, "text"):
+                for t in piece.column("text").to_pylist():
+                    found[_letters(t)] = True
+        yield pa.RecordBatch.from_pydict({"letter": pa.array(np.flatnonzero(found[1:]) + 1, pa.int32())})
+
+    labelled = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(text).alias("text"))
+    return np.array(sorted(r.letter for r in labelled.mapInArrow(letters, "letter int").distinct().collect()), dtype=np.int64)
+
+
+def length_bounds(
+    docs: DataFrame, prototypes: dict[str, np.ndarray], min_score: float, text: str = "text", lang: str = "lang", id_col: str = "doc_id",
+    per_language: int = 2000, spreads: float = 4.0, least: int = 30, seed: int = SEED,
+) -> np.ndarray:
+    """The least cosine to ask of a text of each scale (its length as a power of two).
+
+    The cosine of a short text is small by nature. The sample of labelled rows that teaches the
+    prototypes, whole and cut to 1, 2, 4, ... trigrams, tells its mean and standard deviation at each
+    scale; the bound is ``min_score`` or, where less, the mean without ``spreads`` deviations. A
+    scale of fewer than ``least`` texts takes the bound of the next shorter one; without any there
+    is no bound, -1.
+    """
+    labelled = docs.select(F.col(id_col).alias("key"), F.col(text).alias("text"), F.col(lang).alias("lang")) \
+        .where(F.col("lang").isNotNull() & F.col("text").isNotNull())
+    bounds, last = np.full(SCALES, -1.0), -1.0
+    counts = labelled.groupBy("lang").agg(F.count("*").alias("n_rows")).collect() if prototypes else []
+    if not counts:
+        return bounds
+    shared = docs.sparkSession.sparkContext.broadcast(np.stack([*prototypes.values()]))
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals = np.zeros((3, SCALES), dtype=np.int64)
+        for batch in batches:
+            for piece in pieces(batch, "text", 1 << 20):
+                parts = [g for t in piece.column("text").to_pylist() if len(g := letter_grams(t))]
+                cut = [g[:1 << k] for g in parts for k in range((len(g) - 1).bit_length())]
+                for some in (parts, cut):
+                    vectors = _encode(some, shared.value.shape[1], seed)
+                    scale = _scale(vectors, np.array([len(g) for g in some]))
+                    best = np.rint((_unit(vectors) @ shared.value.T).max(axis=1, initial=-1.0).astype(np.float64) * (1 << 20)).astype(np.int64)
+                    for row, value in enumerate((np.ones_like(best), best, best * best >> 20)):
+                        np.add.at(totals[row], scale, value)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(SCALES), pa.int64()), *map(pa.array, totals)], names=["scale", "n", "s", "q"])
+
+    rows = _sampled(labelled, counts, per_language).mapInArrow(sums, "scale long, n long, s long, q long") \
+        .groupBy("scale").agg(F.sum("n").alias("n"), F.sum("s").alias("s"), F.sum("q").alias("q")).orderBy("scale").collect()
+    for r in rows:
+        if r.n >= least:
+            mean = r.s / r.n / (1 << 20)
+            last = min(min_score, mean - spreads * max(r.q / r.n / (1 << 20) - mean * mean, 0.0) ** 0.5)
+        bounds[r.scale] = last
+    return bounds
+
+
+def keep_identified(
+    docs: DataFrame, prototypes: dict[str, np.ndarray], min_score: float, text: str = "text",
+    bounds: np.ndarray | None = None, letters: np.ndarray | None = None,
+) -> DataFrame:
     """Rows of ``docs``, with all their columns, whose text is of some language with ``min_score`` or more.
 
-    Rows whose text is null, has no letter, or is less like every prototype go. Nothing is shuffled.
+    Rows whose text is null, has no letter, or is less like every prototype go. With ``bounds`` (of
+    ``length_bounds``) the cosine to reach is that of the text's own length, and with ``letters``
+    (of ``known_letters``) texts of which most letters are none of these go too, however short.
+    Nothing is shuffled.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(np.stack([*prototypes.values()]) if prototypes else None)
+    context = docs.sparkSession.sparkContext
+    shared = context.broadcast((np.stack([*prototypes.values()]) if prototypes else None, bounds, letters))
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        matrix, bounds, letters = shared.value
+        known = np.ones(0x110000, dtype=bool)
+        if letters is not None:
+            known[:] = False
+            known[letters] = True
         for batch in batches:
             for piece in pieces(batch, text):
-                if shared.value is not None:
-                    vectors = encode(piece.column(text).to_pylist(), shared.value.shape[1])
-                    best = (_unit(vectors) @ shared.value.T).max(axis=1)
-                    yield piece.filter(pa.array((best >= min_score) & (np.abs(vectors).sum(axis=1) > 0)))
+                if matrix is not None:
+                    codes = [_letters(t) for t in piece.column(text).to_pylist()]
+                    parts = [_grams(c) for c in codes]
+                    vectors, sizes = _encode(parts, matrix.shape[1], SEED), np.array([len(g) for g in parts])
+                    best = (_unit(vectors) @ matrix.T).max(axis=1)
+                    enough = best >= (min_score if bounds is None else bounds[_scale(vectors, sizes)])
+                    if letters is not None:
+                        enough &= np.array([2 * known[c].sum() >= (c != 0).sum() for c in codes], dtype=bool)
+                    yield piece.filter(pa.array(enough & (np.abs(vectors).sum(axis=1) > 0)))
 
     return docs.mapInArrow(keep, docs.schema)
 
