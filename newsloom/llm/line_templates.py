@@ -4,7 +4,9 @@ A line's tokens with a digit are variable fields. Lines descend a tree of fixed
 number of tokens and their leading tokens. A node whose lines agree at most of their places is one
 template, with the places where they differ as further variable fields; the lines of other nodes
 descend to the next level and at last are templates of their own. Lines of a template that many
-documents have are dropped.
+documents have are dropped. Agreement is counted over constant tokens: not over variable fields,
+and not by the node's own leading tokens alone. Lines of variable fields alone, as rows of numbers
+are, recur only when their texts are equal.
 
 A node that few documents have needs no further look, since those below it have no more. Whether a
 node's lines agree is told by the least and the greatest token of each place, which are summed up
@@ -46,11 +48,19 @@ def _many(lines: DataFrame, key: str, min_docs: int) -> DataFrame:
     return lines.select(key, "doc").distinct().groupBy(key).agg(F.count("*").alias("n_docs")).where(F.col("n_docs") >= min_docs).select(key)
 
 
-def _agreeing(lines: DataFrame, key: str, agree: float) -> DataFrame:
-    """Keys of nodes whose lines have the same token at a share of at least ``agree`` of their places."""
+def _agreeing(lines: DataFrame, key: str, agree: float, depth: int) -> DataFrame:
+    """Keys of nodes whose lines have the same token at a share of at least ``agree`` of their places.
+
+    Places that are variable fields in every line say nothing and do not count, and the tokens that
+    make the node are the same by construction: one beyond them must be the same too.
+    """
     places = lines.select(key, F.posexplode("words").alias("place", "token"))
-    same = places.groupBy(key, "place").agg((F.min("token") == F.max("token")).cast("int").alias("same"))
-    return same.groupBy(key).agg(F.sum("same").alias("k"), F.count("*").alias("n")).where(F.col("k") >= agree * F.col("n")).select(key)
+    same = places.groupBy(key, "place").agg(F.min("token").alias("least"), F.max("token").alias("greatest"))
+    same = same.select(key, "place", (F.col("least") == F.col("greatest")).alias("same"), (F.col("greatest") != FIELD).alias("told"))
+    constant, counted = F.col("same") & F.col("told"), ~F.col("same") | F.col("told")
+    return same.groupBy(key).agg(
+        F.count_if(constant).alias("k"), F.count_if(counted).alias("n"), F.count_if(constant & (F.col("place") >= depth)).alias("beyond"),
+    ).where((F.col("k") >= agree * F.col("n")) & (F.col("beyond") > 0)).select(key)
 
 
 def recurring_lines(
@@ -74,12 +84,15 @@ def recurring_lines(
 
     lines = source.select("id", "text_key", "doc", F.explode(F.transform(line_array(F.col("t")), whole)).alias("l"))
     lines = lines.select("id", "text_key", "doc", "l.*").join(many, "key", "left_semi")
-    lines, found = stage(lines.withColumn("words", tokens(F.col("line"))).drop("line"), "recurring-lines"), []
-    for depth in (*depths[1:], None):
-        agreeing = stage(_agreeing(lines.dropDuplicates(["key", "words"]) if depth is None else lines, "key", agree), "templates")
+    lines = lines.withColumn("words", tokens(F.col("line")))
+    # A line of variable fields alone is known by its own text.
+    own = F.when(F.forall("words", lambda t: t == FIELD), F.xxhash64("line"))
+    lines, found = stage(lines.withColumn("own", own).drop("line"), "recurring-lines"), []
+    for above, depth in zip(depths, (*depths[1:], None)):
+        agreeing = stage(_agreeing(lines.dropDuplicates(["key", "words"]) if depth is None else lines, "key", agree, above), "templates")
         found.append(lines.join(agreeing, "key", "left_semi").select("id", "text_key", "pos"))
         rest = lines.join(agreeing, "key", "left_anti").drop("key")
-        deeper = F.xxhash64("words") if depth is None else node(F.col("words"), depth)
+        deeper = F.coalesce("own", F.xxhash64("words")) if depth is None else node(F.col("words"), depth)
         rest = rest.withColumn("key", deeper)
         many = _many(rest, "key", min_docs)
         lines = stage(rest.join(many, "key", "left_semi"), "recurring-lines")
@@ -121,6 +134,8 @@ def op3_line_templates(docs: DataFrame) -> DataFrame:
     return drop_recurring_lines(docs)
 
 
+# For given tables. It still counts fields and leading tokens as agreeing, so it drops lines that op 3 keeps where a table
+# has lines of fields alone, or of one token more than the node's that differ in the last.
 OP3_SQL = r"""
 WITH lines AS (
   SELECT doc_id, pos, list_transform(regexp_extract_all(line, '[^\x20\x09-\x0D]+'),

@@ -122,3 +122,17 @@ def test_line_templates_match_brute_force(documents, prose):
 
 def test_line_templates_of_nothing(documents):
     assert line_templates.drop_recurring_lines(documents([])).count() == 0
+
+
+def test_lines_do_not_agree_by_fields_or_leading_tokens_alone(documents):
+    """Rows of numbers, and lines of the same four tokens with another last one, are no template."""
+    places = ["Avignon", "Bremen", "Cadiz", "Derby", "Essen"]
+    docs = [(k, f"{k}.5 1{k} 20{k}\n7 8 9\nwe went home from {p}\nwe went {p} and back\nuser u{k} came in at {k}:00\nTotal: {k}") for k, p in enumerate(places)]
+    got = {r.doc_id: r.text for r in line_templates.drop_recurring_lines(documents(docs)).collect()}
+    assert got == {k: f"{k}.5 1{k} 20{k}\nwe went home from {p}\nwe went {p} and back" for k, p in enumerate(places)}
+
+
+def test_numbers_that_recur_word_for_word_go(documents):
+    docs = [(k, f"1 2 3\n1  2 3\n{k} 2 3") for k in range(2)] + [(5, "1 2 3"), (6, "4 4 4 4\nown"), (7, "4 4 4 4"), (8, "4 4 4 4")]
+    got = {r.doc_id: r.text for r in line_templates.drop_recurring_lines(documents(docs)).collect()}
+    assert got == {0: "1  2 3\n0 2 3", 1: "1  2 3", 5: "", 6: "own", 7: "", 8: ""}
