@@ -288,19 +288,10 @@ def _exact_links(texts: DataFrame, threshold: float) -> DataFrame:
     return dealt.mapInArrow(work, "node binary, root binary, links long")
 
 
-def near_duplicates(
-    docs: DataFrame, text: str = "text", id_col: str = "doc_id", threshold: float = 0.8, recall: float = 0.999, seed: int = 5,
-) -> DataFrame:
-    """``id_col, class_id, n_links`` for every row of ``docs``.
-
-    Two documents are linked when their sets of five-word shingles have a Jaccard similarity of
-    ``threshold`` or more; ``n_links`` counts the other rows a row is linked to, ``class_id`` is the
-    smallest id of its class, that is, of all rows it reaches by links. A pair at the threshold is
-    missed with a chance of at most ``1 - recall``; a linked pair is never wrong. A text of fewer
-    than five words is one shingle. Null texts and texts without words have no links and are a class
-    by id. A null id gets the class of its text's other rows, or null. Rows that repeat count as
-    links. An empty table gives none. Further columns are not read.
-    """
+def _node_classes(
+    docs: DataFrame, text: str, id_col: str, threshold: float, recall: float, seed: int,
+) -> tuple[DataFrame, DataFrame]:
+    """``id, text_key, node`` of every row, and ``node, label, min_id, n_links`` of every set of shingles."""
     seen = stage(sketch(docs, text, id_col), "sketches")
     nodes = stage(seen.where("node IS NOT NULL").groupBy("node").agg(
         F.count("*").alias("copies"), F.min("id").alias("min_id"), F.min(F.struct("id", "text_key")).alias("source"),
@@ -326,6 +317,23 @@ def near_duplicates(
         "node", F.coalesce("label", "node").alias("label"), "min_id",
         (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
     known = stage(known, "node-classes")
+    return seen, known
+
+
+def near_duplicates(
+    docs: DataFrame, text: str = "text", id_col: str = "doc_id", threshold: float = 0.8, recall: float = 0.999, seed: int = 5,
+) -> DataFrame:
+    """``id_col, class_id, n_links`` for every row of ``docs``.
+
+    Two documents are linked when their sets of five-word shingles have a Jaccard similarity of
+    ``threshold`` or more; ``n_links`` counts the other rows a row is linked to, ``class_id`` is the
+    smallest id of its class, that is, of all rows it reaches by links. A pair at the threshold is
+    missed with a chance of at most ``1 - recall``; a linked pair is never wrong. A text of fewer
+    than five words is one shingle. Null texts and texts without words have no links and are a class
+    by id. A null id gets the class of its text's other rows, or null. Rows that repeat count as
+    links. An empty table gives none. Further columns are not read.
+    """
+    seen, known = _node_classes(docs, text, id_col, threshold, recall, seed)
     named = known.join(known.groupBy("label").agg(F.min("min_id").alias("class_id")), "label").select("node", "class_id", "n_links")
     return seen.select("id", "node").join(named, "node", "left").select(
         F.col("id").alias(id_col),
@@ -333,5 +341,31 @@ def near_duplicates(
         F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))
 
 
+def one_of_each_class(
+    docs: DataFrame, text: str = "text", id_col: str = "doc_id", threshold: float = 0.8, recall: float = 0.999, seed: int = 5,
+) -> DataFrame:
+    """One row of ``docs``, with all its columns, of each class of ``near_duplicates``.
+
+    It is the one with the smallest id, a null id last, and among equal ids the smallest hash of the
+    text; of rows that repeat both, the one with the smallest columns. Null texts and texts without
+    words are a class by id and text.
+    """
+    seen, known = _node_classes(docs, text, id_col, threshold, recall, seed)
+    rows = seen.groupBy("id", "text_key", "node").agg(F.count("*").alias("n"))
+    firsts = rows.where("node IS NOT NULL").groupBy("node").agg(
+        F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "text_key", "n")).alias("first"))
+    firsts = firsts.join(known, "node").groupBy("label").agg(F.min("first").alias("first")).select("first.id", "first.text_key", "first.n")
+    kept = stage(firsts.unionByName(rows.where("node IS NULL").select("id", "text_key", "n")), "kept-documents").select(
+        F.col("id").alias("kept_id"), F.col("text_key").alias("kept_key"), F.col("n").alias("kept_n"))
+
+    def these(some: DataFrame) -> DataFrame:
+        same = docs[id_col].cast("long").eqNullSafe(some["kept_id"]) & F.xxhash64(docs[text]).eqNullSafe(some["kept_key"])
+        return docs.join(broadcast_if_small(some), same, "left_semi")
+
+    repeated = these(kept.where("kept_n > 1")).groupBy(F.col(id_col).alias("kept_id"), F.xxhash64(text).alias("kept_key")).agg(
+        F.min(F.struct(*docs.columns)).alias("row"))
+    return these(kept.where("kept_n = 1")).unionByName(repeated.select("row.*"))
+
+
 def op4_near_duplicates(docs: DataFrame) -> DataFrame:
     return near_duplicates(docs)
