@@ -7,7 +7,10 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from newsloom.llm import chosen_path, decontaminate, exact, language, licences, line_templates, mixture, token_store, toxicity, warc
+from newsloom.llm import (
+    chosen_path, decontaminate, exact, fill_middle, language, licences, line_templates, mixture, packing, ranked_search, token_store,
+    toxicity, warc,
+)
 from newsloom.llm.common import read_table
 from newsloom.session import spread
 
@@ -56,12 +59,28 @@ def op10_mix_sources(spark, sf_dir):
     return mixture.op10_mix_sources(_documents(spark, sf_dir))
 
 
+def op11_pack_sequences(spark, sf_dir):
+    return packing.op11_pack_sequences(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op12_ranked_search(spark, sf_dir):
+    return ranked_search.op12_ranked_search(_documents(spark, sf_dir), read_table(spark, sf_dir, "benchmark"))
+
+
+def op13_fill_middle(spark, sf_dir):
+    return fill_middle.op13_fill_middle(_documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_warc, op2_token_store, op3_line_templates, op4_near_duplicates, op5_decontaminate, op6_toxicity, op7_exact_dedup, op8_language_id, op9_licence_scan, op10_mix_sources)
+    f.__name__: f for f in (
+        op1_warc, op2_token_store, op3_line_templates, op4_near_duplicates, op5_decontaminate, op6_toxicity, op7_exact_dedup,
+        op8_language_id, op9_licence_scan, op10_mix_sources, op11_pack_sequences, op12_ranked_search, op13_fill_middle)
 }
 ORACLE: dict[str, str] = {
     "op1_warc": warc.OP1_SQL,
     "op3_line_templates": line_templates.OP3_SQL,
     "op5_decontaminate": decontaminate.OP5_SQL,
     "op7_exact_dedup": exact.OP7_SQL,
+    "op12_ranked_search": ranked_search.OP12_SQL,
+    "op13_fill_middle": fill_middle.OP13_SQL,
 }
