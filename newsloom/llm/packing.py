@@ -111,8 +111,8 @@ class ByteEncoder:
         single = {c for c in new if c[:1] == _BARE or c in (b"", b"\n")}
         breaks = {c for c in new if c[:1] == b"\n"} - single
         for lead, some in ((" ", list(new - single - breaks)), ("\n", list(breaks))):
-            for first in range(0, len(some), 500):
-                here = some[first:first + 500]
+            for first in range(0, len(some), 100):  # longer runs fall out of the processor's caches
+                here = some[first:first + 100]
                 text = b" " + b" ".join(here) if lead == " " else b"".join(here)
                 ids = np.array(self.tokenizer.encode_batch_fast([text.decode("utf-8", "replace")], add_special_tokens=False)[0].ids, dtype="<u4")
                 cuts = np.flatnonzero(self.starts[lead][ids]) * 4
