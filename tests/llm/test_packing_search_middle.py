@@ -134,7 +134,7 @@ def test_gaps_are_filled_exactly_by_one_two_or_three():
         plan = packing.plan_sequences(counts, 100)
         assert all(sum(held) == 100 for _, held in plan)
     index = packing.Complements({5: 1, 7: 2, 9: 1}, 30)
-    assert index.fill(10) is None and index.fill(14) == (7, 7) and index.fill(19) == (7, 7, 5) and index.fill(15) is None
+    assert index.fill(10) is None and index.fill(14) == (9, 5) and index.fill(19) == (7, 7, 5) and index.fill(15) is None
     index.take(7, 1)
     assert index.fill(14) == (9, 5) and index.fill(19) is None
 
