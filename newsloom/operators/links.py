@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from newsloom.functions import html as H
 from newsloom.functions.text import blank_to_null, clean_space, let
+from newsloom.functions.tree import card_regions, fields, fields_each, with_tree
 from newsloom.functions.urls import page_address, resolve_url, url_category
 from newsloom.session import broadcast_if_small, ensure_checkpoint_dir, settle, stage
 
@@ -48,37 +49,24 @@ def extract_cards(pages: DataFrame, listings: DataFrame) -> DataFrame:
 
     ``pages`` carries ``source`` and ``rule``. Output: ``page_id, page_url, source, pos, href,
     title, blurp, date_text, imgurl, category, every_visit, drop_query, force_https``. A layout
-    marked ``first_only`` gives its first card and no other.
+    marked ``first_only`` gives its first card and no other. Containers and cards may be nested in
+    their like to any depth; a card stands once, and one around another holds all of it.
     """
     layouts = broadcast_if_small(listings.select(F.col("source").alias("_source"), F.struct("*").alias("lay")))
     cleaned = pages.withColumn("body", H.strip_markup(F.col("html"))).drop("html")
-    page = cleaned.join(layouts, (F.col("source") == F.col("_source")) & (
+    page = with_tree(cleaned, "body").drop("body").join(layouts, (F.col("source") == F.col("_source")) & (
         F.col("lay.page").isNull() | F.regexp_like(F.col("url"), F.col("lay.page"))))
     lay = F.col("lay")
-    body = F.col("body")
-    areas = F.when(lay["container"].isNull(), F.array(body)).otherwise(
-        H.elements(body, lay["container"]["opening"], lay["container"]["tag"]))
-    # A layout whose blurp sits behind the card keeps everything up to the next card.
-    behind = F.split(body, lay["card"]["opening"])
-    cards = (
-        F.when(lay["children"].isNotNull(), F.flatten(F.transform(
-            F.col("areas"), lambda a: H.child_elements(a, lay["children"]))))
-        .when(lay["after_blurp"].isNotNull(), F.transform(
-            F.slice(behind, 2, F.size(behind)), lambda p: F.concat(F.lit("<card>"), p)))
-        .otherwise(F.flatten(F.transform(
-            F.col("areas"), lambda a: H.outer_elements(a, lay["card"]["opening"], lay["card"]["tag"]))))
-    )
-    enough = F.coalesce(lay["min_cards"], F.lit(1))
-    found = (
-        page.withColumn("areas", areas)
-        .select("page_id", F.col("url").alias("page_url"), "source", "rule", "lay",
-                F.posexplode(let(cards, lambda c: F.when(F.size(c) >= enough, c))).alias("pos", "card"))
+    names = ["link", "title", "blurp", "after_blurp", "date", "image"]
+    page = settle(page.withColumn("cards", card_regions("lay")), "cards").where(
+        F.size("cards") >= F.coalesce(lay["min_cards"], F.lit(1)))
+    read = fields_each("cards", [f"lay.{n}" for n in names])
+    picked = (
+        page.select("page_id", F.col("url").alias("page_url"), "source", "rule", "lay", F.posexplode(read).alias("pos", "raw"))
         .where(lay["skip_at"].isNull() | (F.col("pos") != lay["skip_at"]))
         .where(~lay["first_only"] | (F.col("pos") == 0))
     )
-    names = ["link", "title", "blurp", "after_blurp", "date", "image"]
-    picked = settle(found.withColumn(
-        "picked", H.pick_each(F.col("card"), [lay[n] for n in names])).drop("card"), "picked")
+    picked = settle(picked.withColumn("picked", F.transform("raw", H.unescape_entities)).drop("raw"), "picked")
 
     def field(name: str) -> Column:
         return F.get("picked", F.lit(names.index(name)))
@@ -109,9 +97,10 @@ def next_pages(pages: DataFrame) -> DataFrame:
     The link may be nothing but a query, so its query string stays.
     """
     rule = F.col("rule")
-    href = H.pick(H.strip_markup(F.col("html")), rule["next"])
+    pages = with_tree(pages.where(rule["next"].isNotNull()).withColumn("body", H.strip_markup(F.col("html"))), "body")
+    href = H.unescape_entities(F.get(fields(["rule.next"]), F.lit(0)))
     base = F.when(rule["slash"] & ~F.col("url").rlike("[/?#]$|[?#]"), F.concat("url", F.lit("/"))).otherwise(F.col("url"))
-    found = settle(pages.where(rule["next"].isNotNull()).select(
+    found = settle(pages.select(
         "page_id", "rule", "url", base.alias("base"), href.alias("href")), "href")
     return found.where(F.col("href").isNotNull() & ~F.col("href").eqNullSafe(rule["next_stop"])).select(
         "page_id", F.col("url").alias("page_url"), resolve_url(F.col("href"), F.col("base")).alias("url"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from newsloom.functions import dates as D
 from newsloom.functions import html as H
+from newsloom.functions import tree as R
 from newsloom.functions.text import blank_to_null, clean_space, strip_brackets
 from newsloom.functions.urls import page_address, resolve_url, url_category
 from newsloom.operators import articles as A
@@ -51,20 +52,19 @@ def extract_articles(pages: DataFrame, sources: DataFrame, run_date: Column,
     known = with_source(pages, sources).where(F.col("source").isNotNull())
     rule, late, card = F.col("rule"), F.col("late"), F.col("card")
     page, region = F.col("page"), F.col("region")
-    cleaned = known.select(
+    cleaned = R.with_tree(known.select(
         "page_id", page_address(F.col("url"), rule["drop_query"], rule["force_https"]).alias("url"), "source", "rule",
-        H.strip_markup(F.col("html")).alias("page"))
-    # every body element counts; the line between two ends a paragraph that the first leaves open
-    own_body = F.when(rule["body"].isNotNull(), F.array_join(F.transform(
-        H.all_elements(page, rule["body"]["opening"], rule["body"]["tag"]), lambda e: H.at_depth(e, rule["body_depth"])), "<hr>"))
+        H.strip_markup(F.col("html")).alias("page")), "page")
+    # every body element counts, one inside another with it; the line between two ends a paragraph that the first leaves open
+    own_body = F.array_join(F.transform(R.inner_markup("rule.body"), lambda e: H.at_depth(e, rule["body_depth"])), "<hr>")
     parts = cleaned.withColumn("region", F.when(rule["text"] != "main", F.when(
         rule["body"].isNull(), H.article_region(page)).otherwise(own_body)))
     picks = ["title", "blurp", "date", "image", "category_page", "category_link", "tags_text"]
     found = parts.select(
         "page_id", "url", "source",
         F.struct(*[rule[name].alias(name) for name in LATE_RULES]).alias("late"),
-        H.pick_each(page, [rule[name] for name in picks]).alias("picked"),
-        H.pick_all(page, rule["tags_list"]).alias("listed_tags"),
+        F.struct(F.transform(R.fields([f"rule.{name}" for name in picks]), H.unescape_entities).alias("one"),
+                 F.transform(R.texts_of("rule.tags_list"), H.unescape_entities).alias("tags")).alias("found"),
         H.page_title(page).alias("page_title"),
         body_text(region, page, rule).alias("body_text"),
         F.when(rule["blurp_else"] == "paragraph", H.first_text(F.get(
@@ -77,10 +77,10 @@ def extract_articles(pages: DataFrame, sources: DataFrame, run_date: Column,
         found, cards.select("title", "url", "blurp", "date_text", "imgurl", "category", "page_id", "pos"))
 
     def field(name: str) -> Column:
-        return F.get("picked", F.lit(picks.index(name)))
+        return F.get("found.one", F.lit(picks.index(name)))
 
     text = F.when(late["brackets"], strip_brackets(F.col("body_text"))).otherwise(F.col("body_text"))
-    tags = F.coalesce(A.tag_list(field("tags_text")), F.col("listed_tags"))
+    tags = F.coalesce(A.tag_list(field("tags_text")), F.col("found.tags"))
     fields = found.select(
         "page_id", "url", "source", "late", "card", "first_paragraph",
         F.coalesce(text, F.lit("")).alias("text"),

@@ -22,6 +22,7 @@ from newsloom.operators import links as L
 from newsloom.operators import sinks, tables
 from newsloom.plans.articles import build_articles, card_table
 from newsloom.plans.recommend import recommend
+from newsloom.queries.site_pages import site_pages
 from newsloom.session import settle, shared_dir, spread, stage
 from newsloom.sources import changes as C
 from newsloom.sources import pages as P
@@ -390,61 +391,8 @@ def conform_union(spark, sf):
     return both.withColumn("tags", A.join_tags(F.col("tags")))
 
 
-def _words(html):
-    """Plain words of a page, cut from its markup character by character."""
-    return F.trim(F.substring(F.regexp_replace(html, "[^A-Za-z]+", " "), 201, 120))
-
-
 def _site_pages(spark, sf):
-    """For each page a listing and an article page of a real site, the layout by ``page_id % 4``.
-
-    Articles of one site differ only by their query. Each body comes in two elements, with another
-    one, or none, nested inside; one site has two cards for a page.
-    """
-    def fill(template: str):
-        parts = template.split("{}")
-        names = [F.col("i").cast("string"), F.col("w")]
-        out = [F.lit(parts[0])]
-        for part in parts[1:]:
-            out += [names[int(part[0])], F.lit(part[1:])]
-        return F.concat(*out)
-
-    card = {
-        0: '<div data-key="feed-card-wire-story-with-image"><a href="/article/x?id={}0">go</a><h1 class="Component-h1-0-2-42">Title {}0</h1>'
-           '<p>first {}0</p><span data-source="2024-01-0{}0T10:00:00Z">d</span></div>',
-        1: '<div class="list-story"><a href="/biz/tech/{}0/"><img data-original="/img/{}0.jpg"></a><div class="list-card-text"><h2>Title {}0</h2></div></div>',
-        2: '<div class="feature-article"><a href="/security/lead{}0.html">x</a><h1><a href="/no">Lead {}0</a></h1></div>'
-           '<div class="feature-article"><a href="/security/second{}0.html">x</a><h1><a href="/no">Second {}0</a></h1></div>'
-           '<div class="sub-feature-article"><h2><a href="/security/{}0.html?src=list">Title {}0</a></h2></div>',
-        3: '<div class="menu"><h2 class="tit"><a href="/view/A{}0?section=it">Title {}0</a></h2></div>',
-    }
-    card[0] += card[0].replace("first", "second")
-    card[0] = card[0].replace("2024-01-0{}0T", "2024-01-05T")
-    article = {
-        0: '<head><meta property="og:url" content="/i/{}0.png"></head><div data-key="article"><p>A{}0 {}1</p><div data-key="article"><p>N{}0</p></div><p>B{}0</div>'
-           '<p>no</p><div data-key="article"><p>C{}0</div>',
-        1: '<span class="glyphicon glyphicon-time"></span>10:20, 2024-01-07</div><div class="caption"><p>About {}0</p></div>'
-           '<div class="content"><p>A{}0 {}1</p></div><div class="content"><p>B<b>b</b>{}0</p></div>',
-        2: '<p class="description">About {}0</p><span class="date">January 9, 2024</span><div id="feature_image"><amp-img src="//cdn/{}0.jpg"></amp-img></div>'
-           '<div id="article_body"><p>A{}0</p><p>{}1</p></div>',
-        3: '<link rel="image_src" href="/p/{}0.jpg"><span class="txt">Updated January 11, 2024 at 9</span><div class="inner"><p>A{}0</p></div><div class="inner"><p>{}1</p></div>',
-    }
-    listing = {0: "https://apnews.com/hub/technology/", 1: "https://www.shine.cn/biz/tech/",
-               2: "https://www.govtech.com/security/", 3: "https://en.yna.co.kr/business/it"}
-    address = {0: "https://apnews.com/article/x?id={}0", 1: "https://www.shine.cn/biz/tech/{}0/",
-               2: "https://www.govtech.com/security/{}0.html", 3: "https://en.yna.co.kr/view/A{}0?section=it"}
-    pages = _pages(spark, sf).select(F.col("page_id").alias("i"), _words(F.col("html")).alias("w"))
-    kind = F.col("i") % 4
-
-    def by_kind(made):
-        return F.coalesce(*[F.when(kind == k, v) for k, v in made.items()])
-
-    both = F.array(
-        F.struct((F.col("i") * 2).alias("page_id"), by_kind({k: F.lit(v) for k, v in listing.items()}).alias("url"),
-                 by_kind({k: fill("<html><body>" + v + "</body></html>") for k, v in card.items()}).alias("html")),
-        F.struct((F.col("i") * 2 + 1).alias("page_id"), by_kind({k: fill(v) for k, v in address.items()}).alias("url"),
-                 by_kind({k: fill("<html><body>" + v + "</body></html>") for k, v in article.items()}).alias("html")))
-    return pages.select(F.inline(both))
+    return site_pages(_pages(spark, sf))
 
 
 def _site_cards(spark, sf):

@@ -175,11 +175,42 @@ ARTICLES = rf"""
       {unescape(rf"regexp_extract({paragraphs('body')}[1], '(?:^|>)([^<]+)', 1)")} AS first_p
     FROM ({REGION}))"""
 
-SITE = """
-  SELECT page_id AS i, page_id % 4 AS kind, trim(substr(regexp_replace(html, '[^A-Za-z]+', ' ', 'g'), 201, 120)) AS w FROM pages"""
-SITE_URL = """CASE kind WHEN 0 THEN 'https://apnews.com/article/x?id=' || i WHEN 1 THEN 'https://www.shine.cn/biz/tech/' || i || '/'
-    WHEN 2 THEN 'https://www.govtech.com/security/' || i || '.html' ELSE 'https://en.yna.co.kr/view/A' || i || '?section=it' END"""
-SITE_NAME = "CASE kind WHEN 0 THEN 'apnews' WHEN 1 THEN 'shanghai' WHEN 2 THEN 'govtech' ELSE 'yonhap' END"
+# Sites in alphabetical order, dealt by ``page_id % 14``; a page's own link comes before the others.
+SITE_NAMES = "aljazeera apnews cio govinsider govtech guardian infoworld khaleej nytimes opengov shanghai techcrunch techwire yonhap".split()
+SITE_HOSTS = ("www.aljazeera.com apnews.com www.cio.com www.govinsider.asia www.govtech.com www.theguardian.com www.infoworld.com "
+              "www.khaleejtimes.com www.nytimes.com www.opengovasia.com www.shine.cn techcrunch.com www.techwireasia.com en.yna.co.kr").split()
+
+
+def by_site(values: dict[int, str], other: str = "NULL") -> str:
+    return "CASE kind " + " ".join(f"WHEN {k} THEN {v}" for k, v in values.items()) + f" ELSE {other} END"
+
+
+SITE_ORIGIN = by_site({k: f"'https://{h}'" for k, h in enumerate(SITE_HOSTS)})
+SITE_FOLDER = by_site({5: "'/technology'", 6: "'/article'"}, "''")
+SITE_TITLE = unescape(r"regexp_extract(html, '<title>([^<]*)', 1)") + " || ' ' || page_id"
+SITE_LINKS = f"""
+  SELECT page_id AS i, page_id % 14 AS kind, 0 AS pos, '/story/' || page_id AS href, {trim(SITE_TITLE)} AS anchor FROM pages
+  UNION ALL SELECT page_id, page_id % 14, pos + 1, href, anchor FROM ({LINKS})"""
+SITE_CARDS = f"""
+  SELECT i * 2 AS page_id, kind, {by_site({k: f"'{n}'" for k, n in enumerate(SITE_NAMES)})} AS source,
+    CAST(CASE WHEN kind IN (4, 10) THEN pos * 2 ELSE pos END AS INTEGER) AS pos, {SITE_ORIGIN} || {SITE_FOLDER} || href AS url,
+    CASE WHEN kind NOT IN (5, 6) THEN anchor END AS title,
+    {by_site({1: "'first ' || anchor", 2: "CASE WHEN pos > 2 THEN 'About ' || anchor END", 0: "'About ' || anchor", 3: "'About ' || anchor",
+              8: "'About ' || anchor"})} AS blurp,
+    {by_site({1: "'2024-01-05T10:00:00Z'", 11: "'2024-01-06T07:00:00'", 12: "'By Ann | 8 January, 2024'"})} AS date_text,
+    CASE kind WHEN 10 THEN '/img' || href || '.jpg' END AS imgurl,
+    {by_site({0: "'technology'", 1: "'technology'", 2: "'analytics'", 3: "'www.govinsider.asia'", 4: "'security'", 6: "'analytics'", 8: "'technology'",
+              10: "'technology'", 11: "'techcrunch.com'"})} AS category
+  FROM ({SITE_LINKS}) WHERE NOT (kind = 2 AND pos = 2)"""
+SITE_ARTICLES = rf"""
+  SELECT page_id AS i, page_id % 14 AS kind, html, {trim(SITE_TITLE)} AS t,
+    {unescape(rf"regexp_extract({paragraphs('body')}[1], '(?:^|>)([^<]+)', 1)")} AS first_p,
+    CASE WHEN page_id % 14 IN (0, 5, 8) THEN array_to_string({block_texts('body')}, chr(10) || chr(10))
+      WHEN page_id % 14 IN (2, 3, 9, 12) THEN {text_first('body')}
+      WHEN page_id % 14 = 6 THEN {sub(trim(plain('body')), r'\[.*\]')}
+      WHEN page_id % 14 = 11 THEN {unescape(joined(f"list_transform({paragraphs('body')}, lambda p: {DIRECT})"))}
+      ELSE {text_all('body')} END AS text
+  FROM ({REGION})"""
 
 ORACLE = {
     "a01_read_pages": "SELECT page_id, url, length(html) AS n_chars FROM pages",
@@ -197,14 +228,8 @@ ORACLE = {
         (0, '/open#', 'one'), (1, '/b', 'two'), (2, '/unq#?a=b', 'three'), (3, '/it''s', 'four'), (4, '/x?a>"b', 'five'), (5, '/it''s', 'seven')
       ) AS v(pos, href, anchor)""",
     "b01_extract_cards": f"""
-      SELECT i * 2 AS page_id, {SITE_NAME} AS source, 0 AS pos, {SITE_URL} AS url, 'Title ' || i AS title,
-        CASE kind WHEN 0 THEN 'first ' || i END AS blurp, CASE kind WHEN 0 THEN '2024-01-05T10:00:00Z' END AS date_text,
-        CASE kind WHEN 1 THEN '/img/' || i || '.jpg' END AS imgurl,
-        CASE kind WHEN 2 THEN 'security' WHEN 3 THEN NULL ELSE 'technology' END AS category FROM ({SITE})
-      UNION ALL SELECT i * 2, 'apnews', 1, {SITE_URL}, 'Title ' || i, 'second ' || i, '2024-01-05T10:00:00Z', NULL, 'technology'
-        FROM ({SITE}) WHERE kind = 0
-      UNION ALL SELECT i * 2, 'govtech', 0, 'https://www.govtech.com/security/lead' || i || '.html', 'Lead ' || i, NULL, NULL, NULL, 'security'
-        FROM ({SITE}) WHERE kind = 2""",
+      SELECT * EXCLUDE (kind, rn) FROM (SELECT *, row_number() OVER (PARTITION BY url ORDER BY page_id, pos) AS rn FROM ({SITE_CARDS}))
+      WHERE rn = 1 OR kind IN (0, 1, 8, 12)""",
     "b02_slice_cards": f"""
       SELECT page_id, page_url, pos, href, CASE WHEN pos >= 3 THEN anchor END AS anchor FROM ({LINKS}) WHERE pos <> 2""",
     "b03_resolve_url": rf"""
@@ -319,14 +344,21 @@ ORACLE = {
         CAST(NULL AS VARCHAR) AS tags FROM ({PAGES})
       UNION ALL SELECT 'document ' || doc_id, NULL, source, {RUN}, NULL, text, NULL, lang, NULL FROM documents""",
     "d10_build_articles_cards": f"""
-      SELECT i * 2 + 1 AS page_id, 'Title ' || i AS title, {SITE_URL} AS url, {SITE_NAME} AS source,
-        CASE kind WHEN 0 THEN '05/01/2024' WHEN 1 THEN '07/01/2024' WHEN 2 THEN '09/01/2024' ELSE '11/01/2024' END AS date,
-        CASE kind WHEN 0 THEN 'second ' || i WHEN 3 THEN 'A' || i ELSE 'About ' || i END AS blurp,
-        CASE kind WHEN 0 THEN 'A' || i || ' ' || w || 'N' || i || 'B' || i || 'C' || i WHEN 1 THEN 'A' || i || ' ' || w || 'Bb' || i
-          ELSE 'A' || i || w END AS text,
-        CASE kind WHEN 0 THEN 'https://apnews.com/i/' || i || '.png' WHEN 1 THEN 'https://www.shine.cn/img/' || i || '.jpg'
-          WHEN 2 THEN 'https://cdn/' || i || '.jpg' ELSE 'https://en.yna.co.kr/p/' || i || '.jpg' END AS imgurl,
-        CASE kind WHEN 2 THEN 'security' ELSE 'technology' END AS category, CAST(NULL AS VARCHAR) AS tags FROM ({SITE})""",
+      WITH a AS (
+        SELECT i, kind, text, t, first_p, CASE kind WHEN 5 THEN {title('html')} WHEN 6 THEN 'Headline ' || i ELSE t END AS title
+        FROM ({SITE_ARTICLES})
+      ), r AS (SELECT *, row_number() OVER (PARTITION BY title ORDER BY i DESC) AS rn FROM a
+        WHERE title IS NOT NULL AND (kind <> 5 OR (title NOT LIKE '%review%' AND lower(title) NOT LIKE '%best%')))
+      SELECT i * 2 + 1 AS page_id, title, {SITE_ORIGIN} || {SITE_FOLDER} || '/story/' || i AS url,
+        {by_site({k: f"'{n}'" for k, n in enumerate(SITE_NAMES)})} AS source,
+        {by_site({k: f"'{d:02}/01/2024'" for k, d in enumerate((2, 5, 3, 4, 9, 2, 3, 10, 2, 4, 7, 6, 8, 11))})} AS date,
+        nullif({by_site({0: "'About ' || t", 1: "'first ' || t", 2: "'Described ' || i", 3: "'About ' || t", 4: "'About ' || i", 5: "'Stand'", 6: "'Described ' || i",
+                  7: "'Sum ' || i", 8: "'About ' || t", 9: lead('text'), 10: "'About ' || i", 11: "'A firm ' || i", 12: lead('text'), 13: 'first_p'})}, '') AS blurp,
+        text, {SITE_ORIGIN} || CASE kind WHEN 10 THEN '/img/story/' || i || '.jpg' ELSE '/p/' || i || '.png' END AS imgurl,
+        {by_site({2: "'analytics'", 3: "'Security'", 4: "'security'", 5: "'Tech'", 6: "'analytics'", 8: "'business'", 9: "'Big Data'", 11: "NULL", 12: "'cloud ' || i"},
+                 "'technology'")} AS category,
+        {by_site({2: "'data, cloud ' || i", 5: "'AI, Law ' || i || ', Tech'", 6: "'Data, Cloud ' || i", 11: "'seed, ai ' || i", 12: "'cloud ' || i"})} AS tags
+      FROM r WHERE rn = 1""",
     "d10_build_articles": f"""
       SELECT title, url, source, date, category, blurp, text FROM (
         SELECT title, url, source, text,
