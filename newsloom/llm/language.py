@@ -9,7 +9,9 @@ prototype with the largest cosine. The work per document is one small matrix pro
 from __future__ import annotations
 
 import unicodedata
+from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import cache, lru_cache
 
 import numpy as np
@@ -18,13 +20,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.llm.common import hash_share, pieces, remainder, share
+from newsloom.session import stage
 
 DIMENSIONS = 1024
 SEED = 20240229
 UNKNOWN = "und"
 SCALES = 40  # powers of two that tell lengths of texts
 _GRAMS = 8192  # trigram vectors held at a time
-_CELLS = 1 << 22  # counts held at a time
+_CELLS = 1 << 20  # counts held at a time
+_SLICE = 1 << 18  # characters of text encoded at a time
+_PIECE = 1 << 20  # bytes of text decoded at a time
 
 
 @cache
@@ -48,29 +53,80 @@ def _gram_vectors(grams: np.ndarray, dimensions: int, seed: int) -> np.ndarray:
     return out.astype(np.float32)
 
 
-def _letters(text: str | None) -> np.ndarray:
-    """Code points of the lower-case letters. Anything before, between or after them is one edge, 0."""
-    codes = np.frombuffer((text or "").lower().encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.int64)
-    codes = np.where(_letter_table()[codes], codes, 0)
-    codes = np.concatenate(([0], codes, [0]))
-    return codes[np.concatenate(([True], (codes[1:] != 0) | (codes[:-1] != 0)))]
+def _letters(text: str | None) -> Iterator[tuple[np.ndarray, int]]:
+    """Code points of the lower-case letters, a slice of the text at a time, and how many of them are new.
+
+    Anything before, between or after letters is one edge, 0. A slice starts with the last two codes
+    of the one before, so that the trigrams of all slices are those of the whole text.
+    """
+    text, start, carry = text or "", 0, np.zeros(0, np.int64)
+    while start < len(text) or not start:
+        end = start + _SLICE
+        if end < len(text):
+            end = max(text.rfind(" ", start, end), start) + 1 if text.rfind(" ", start, end) > start else end
+        codes = np.frombuffer(text[start:end].lower().encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.int64)
+        codes[~_letter_table()[codes]] = 0
+        if end >= len(text):
+            codes = np.append(codes, 0)
+        before = carry[-1:] if len(carry) else np.ones(1, np.int64)  # the first edge stays
+        if not len(carry):
+            codes = np.concatenate(([0], codes))
+        codes = codes[(codes != 0) | (np.concatenate((before, codes[:-1])) != 0)]
+        held = np.concatenate((carry, codes))
+        yield held, len(codes)
+        carry, start = held[-2:], max(end, 1)
 
 
 def letter_grams(text: str | None) -> np.ndarray:
     """Trigrams of the lower-case letters as integers. Anything between letters is one edge."""
-    return _grams(_letters(text))
+    return np.concatenate([_grams(c) for c, _ in _letters(text)])
 
 
 def _grams(codes: np.ndarray) -> np.ndarray:
     return (codes[:-2] << 42) | (codes[1:-1] << 21) | codes[2:] if len(codes) > 2 else codes[:0]
 
 
+def _measure(texts: list[str | None], dimensions: int, seed: int, known: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each text the sum of its trigrams' vectors, their number, and how many letters are ``known`` less the others.
+
+    About ``_SLICE`` characters are worked on at a time, so memory grows neither with the number of
+    texts nor with their lengths.
+    """
+    out, sizes, balance = np.zeros((len(texts), dimensions), np.float32), np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64)
+    rows: list[int] = []
+    parts: list[np.ndarray] = []
+    held = 0
+
+    def flush() -> None:
+        np.add.at(out, rows, _encode(parts, dimensions, seed))
+        rows.clear()
+        parts.clear()
+
+    for i, text in enumerate(texts):
+        for codes, new in _letters(text):
+            grams = _grams(codes)
+            sizes[i] += len(grams)
+            if known is not None:
+                fresh = codes[len(codes) - new:]
+                fresh = fresh[fresh != 0]
+                balance[i] += 2 * int(known[fresh].sum()) - len(fresh)
+            rows.append(i)
+            parts.append(grams)
+            held += len(grams)
+            if held >= 2 * _SLICE:
+                flush()
+                held = 0
+    if rows:
+        flush()
+    return out, sizes, balance
+
+
 def encode(texts: list[str | None], dimensions: int = DIMENSIONS, seed: int = SEED) -> np.ndarray:
     """One row per text: the sum of its trigrams' vectors. A text without letters is all zero.
 
     Trigram vectors and counts are made in blocks, so memory does not grow with the alphabet.
     """
-    return _encode([letter_grams(t) for t in texts], dimensions, seed)
+    return _measure(texts, dimensions, seed)[0]
 
 
 def _encode(parts: list[np.ndarray], dimensions: int, seed: int) -> np.ndarray:
@@ -108,20 +164,30 @@ def train_prototypes(
     whole numbers, so a rerun gives the same prototypes. More than ``max_languages`` different
     values are an error, since a prototype of each goes to every task. An empty table gives none.
     """
-    labelled = docs.select(F.col(id_col).alias("key"), F.col(text).alias("text"), F.col(lang).alias("lang")) \
+    labelled = _labelled(docs, text, lang, id_col)
+    found = _bounded(labelled.groupBy("lang").agg(F.count("*").alias("n_rows")), max_languages)
+    return _train(_sampled(labelled, found, per_language), dimensions, seed) if found else {}
+
+
+def _labelled(docs: DataFrame, text: str, lang: str, id_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).alias("key"), F.col(text).alias("text"), F.col(lang).alias("lang")) \
         .where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = labelled.groupBy("lang").agg(F.count("*").alias("n_rows")).limit(max_languages + 1)
-    found = counts.collect()
+
+
+def _bounded(counts: DataFrame, max_languages: int) -> list:
+    """Rows ``lang, n_rows`` of all languages. A prototype of each goes to every task, so very many are an error."""
+    found = counts.limit(max_languages + 1).collect()
     if len(found) > max_languages:
         raise ValueError(f"more than {max_languages} languages")
-    if not found:
-        return {}
-    sample = _sampled(labelled, found, per_language)
+    return found
+
 
+def _train(sample: DataFrame, dimensions: int, seed: int) -> dict[str, np.ndarray]:
+    """Prototypes of the languages of a sample ``lang, text``."""
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[str, np.ndarray] = {}
         for batch in batches:
-            for piece in pieces(batch, "text"):
+            for piece in pieces(batch, "text", _PIECE):
                 vectors = np.rint(_unit(encode(piece.column("text").to_pylist(), dimensions, seed)) * (1 << 24))
                 names = np.array(piece.column("lang").to_pylist(), dtype=object)
                 for name in set(names):
@@ -155,7 +221,7 @@ def identify(
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, matrix = shared.value
         for batch in batches:
-            for piece in pieces(batch, "text"):
+            for piece in pieces(batch, "text", _PIECE):
                 vectors = encode(piece.column("text").to_pylist(), dimensions, seed)
                 known = np.abs(vectors).sum(axis=1) > 0
                 cosines = _unit(vectors) @ matrix.T if names else np.zeros((len(vectors), 1))
@@ -185,55 +251,91 @@ def _scale(vectors: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.rint(np.log2(np.clip(sizes.astype(np.float64) ** 2 / squares, 1.0, 2.0 ** (SCALES - 1)))).astype(np.int64)
 
 
-def known_letters(docs: DataFrame, text: str = "text", lang: str = "lang") -> np.ndarray:
-    """Code points of the letters of all labelled rows, in order. No more of them than Unicode has."""
-    def letters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = np.zeros(0x110000, dtype=bool)
-        for batch in batches:
-            for piece in pieces(batch, "text"):
-                for t in piece.column("text").to_pylist():
-                    found[_letters(t)] = True
-        yield pa.RecordBatch.from_pydict({"letter": pa.array(np.flatnonzero(found[1:]) + 1, pa.int32())})
-
-    labelled = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(text).alias("text"))
-    return np.array(sorted(r.letter for r in labelled.mapInArrow(letters, "letter int").distinct().collect()), dtype=np.int64)
+@dataclass(frozen=True)
+class Model:
+    """What labelled rows teach: prototypes, the least cosine to ask at each scale, and the letters' code points."""
 
+    prototypes: dict[str, np.ndarray]
+    bounds: np.ndarray
+    letters: np.ndarray
 
-def length_bounds(
-    docs: DataFrame, prototypes: dict[str, np.ndarray], min_score: float, text: str = "text", lang: str = "lang", id_col: str = "doc_id",
-    per_language: int = 2000, spreads: float = 4.0, least: int = 30, seed: int = SEED,
-) -> np.ndarray:
-    """The least cosine to ask of a text of each scale (its length as a power of two).
 
-    The cosine of a short text is small by nature. The sample of labelled rows that teaches the
-    prototypes, whole and cut to 1, 2, 4, ... trigrams, tells its mean and standard deviation at each
-    scale; the bound is ``min_score`` or, where less, the mean without ``spreads`` deviations. A
-    scale of fewer than ``least`` texts takes the bound of the next shorter one; without any there
-    is no bound, -1.
+def learn(
+    docs: DataFrame, min_score: float, text: str = "text", lang: str = "lang", id_col: str = "doc_id",
+    per_language: int = 2000, max_languages: int = 4096, spreads: float = 4.0, least: int = 30,
+    dimensions: int = DIMENSIONS, seed: int = SEED,
+) -> Model:
+    """Learn from the labelled rows of ``docs``: prototypes, bounds and letters.
+
+    One pass counts the rows of each language and finds the letters of all of them, another draws the
+    sample of about ``per_language`` rows a language. The cosine of a short text is small by nature.
+    The sample, whole and cut to 1, 2, 4, ... trigrams, tells its mean and standard deviation at each
+    scale (length as a power of two); the bound is ``min_score`` or, where less, the mean without
+    ``spreads`` deviations. A scale of fewer than ``least`` texts takes the bound of the next shorter
+    one; without any there is no bound, -1.
     """
-    labelled = docs.select(F.col(id_col).alias("key"), F.col(text).alias("text"), F.col(lang).alias("lang")) \
-        .where(F.col("lang").isNotNull() & F.col("text").isNotNull())
+    labelled = _labelled(docs, text, lang, id_col)
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, rows = np.zeros(0x110000, dtype=bool), Counter()
+        for batch in batches:
+            rows.update(batch.column("lang").to_pylist())
+            for piece in pieces(batch, "text", _PIECE):
+                for t in piece.column("text").to_pylist():
+                    for first in range(0, len(t), _SLICE):
+                        found[np.frombuffer(t[first:first + _SLICE].lower().encode("utf-32-le", "surrogatepass"), dtype=np.uint32)] = True
+        letters = np.flatnonzero(found & _letter_table()).tolist()
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([*rows, *[None] * len(letters)], pa.string()), pa.array([*[-1] * len(rows), *letters], pa.int32()),
+             pa.array([*rows.values(), *[0] * len(letters)], pa.int64())], names=["lang", "letter", "n"])
+
+    seen = stage(labelled.select("lang", "text").mapInArrow(look, "lang string, letter int, n long")
+                 .groupBy("lang", "letter").agg(F.sum("n").alias("n_rows")), "labelled-letters")
+    letters = np.array(sorted(r.letter for r in seen.where("letter > 0").select("letter").collect()), dtype=np.int64)  # no more than Unicode has
+    found = _bounded(seen.where("letter < 0").select("lang", "n_rows"), max_languages)
+    sample = stage(_sampled(labelled, found, per_language), "labelled-sample") if found else None
+    prototypes = _train(sample, dimensions, seed) if found else {}
+    return Model(prototypes, _length_bounds(sample, prototypes, min_score, spreads, least, seed), letters)
+
+
+def _length_bounds(sample: DataFrame | None, prototypes: dict[str, np.ndarray], min_score: float, spreads: float, least: int, seed: int) -> np.ndarray:
     bounds, last = np.full(SCALES, -1.0), -1.0
-    counts = labelled.groupBy("lang").agg(F.count("*").alias("n_rows")).collect() if prototypes else []
-    if not counts:
+    if not prototypes:
         return bounds
-    shared = docs.sparkSession.sparkContext.broadcast(np.stack([*prototypes.values()]))
+    shared = sample.sparkSession.sparkContext.broadcast(np.stack([*prototypes.values()]))
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals = np.zeros((3, SCALES), dtype=np.int64)
+
+        def add(some: list[np.ndarray]) -> None:
+            vectors = _encode(some, shared.value.shape[1], seed)
+            scale = _scale(vectors, np.array([len(g) for g in some], np.int64))
+            best = np.rint((_unit(vectors) @ shared.value.T).max(axis=1, initial=-1.0).astype(np.float64) * (1 << 20)).astype(np.int64)
+            for row, value in enumerate((np.ones_like(best), best, best * best >> 20)):
+                np.add.at(totals[row], scale, value)
+
         for batch in batches:
-            for piece in pieces(batch, "text", 1 << 20):
-                parts = [g for t in piece.column("text").to_pylist() if len(g := letter_grams(t))]
-                cut = [g[:1 << k] for g in parts for k in range((len(g) - 1).bit_length())]
-                for some in (parts, cut):
-                    vectors = _encode(some, shared.value.shape[1], seed)
-                    scale = _scale(vectors, np.array([len(g) for g in some]))
-                    best = np.rint((_unit(vectors) @ shared.value.T).max(axis=1, initial=-1.0).astype(np.float64) * (1 << 20)).astype(np.int64)
-                    for row, value in enumerate((np.ones_like(best), best, best * best >> 20)):
-                        np.add.at(totals[row], scale, value)
+            for piece in pieces(batch, "text", _PIECE):
+                texts = piece.column("text").to_pylist()
+                vectors, sizes, _ = _measure(texts, shared.value.shape[1], seed)
+                scale, best = _scale(vectors, sizes), (_unit(vectors) @ shared.value.T).max(axis=1, initial=-1.0)
+                best = np.rint(best.astype(np.float64) * (1 << 20)).astype(np.int64)
+                told = sizes > 0
+                for row, value in enumerate((np.ones_like(best), best, best * best >> 20)):
+                    np.add.at(totals[row], scale[told], value[told])
+                some, held = [], 0
+                for t in texts:
+                    grams = _grams(next(_letters(t))[0])  # cuts of the first slice
+                    cuts = [grams[:1 << k] for k in range((len(grams) - 1).bit_length())] if len(grams) else []
+                    some, held = some + cuts, held + sum(map(len, cuts))
+                    if held >= 2 * _SLICE:
+                        add(some)
+                        some, held = [], 0
+                if some:
+                    add(some)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(SCALES), pa.int64()), *map(pa.array, totals)], names=["scale", "n", "s", "q"])
 
-    rows = _sampled(labelled, counts, per_language).mapInArrow(sums, "scale long, n long, s long, q long") \
+    rows = sample.mapInArrow(sums, "scale long, n long, s long, q long") \
         .groupBy("scale").agg(F.sum("n").alias("n"), F.sum("s").alias("s"), F.sum("q").alias("q")).orderBy("scale").collect()
     for r in rows:
         if r.n >= least:
@@ -250,30 +352,25 @@ def keep_identified(
     """Rows of ``docs``, with all their columns, whose text is of some language with ``min_score`` or more.
 
     Rows whose text is null, has no letter, or is less like every prototype go. With ``bounds`` (of
-    ``length_bounds``) the cosine to reach is that of the text's own length, and with ``letters``
-    (of ``known_letters``) texts of which most letters are none of these go too, however short.
-    Nothing is shuffled.
+    ``learn``) the cosine to reach is that of the text's own length, and with ``letters`` texts of
+    which most letters are none of these go too, however short. Nothing is shuffled.
     """
     context = docs.sparkSession.sparkContext
     shared = context.broadcast((np.stack([*prototypes.values()]) if prototypes else None, bounds, letters))
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matrix, bounds, letters = shared.value
-        known = np.ones(0x110000, dtype=bool)
+        known = None
         if letters is not None:
-            known[:] = False
+            known = np.zeros(0x110000, dtype=bool)
             known[letters] = True
         for batch in batches:
-            for piece in pieces(batch, text):
+            for piece in pieces(batch, text, _PIECE):
                 if matrix is not None:
-                    codes = [_letters(t) for t in piece.column(text).to_pylist()]
-                    parts = [_grams(c) for c in codes]
-                    vectors, sizes = _encode(parts, matrix.shape[1], SEED), np.array([len(g) for g in parts])
+                    vectors, sizes, balance = _measure(piece.column(text).to_pylist(), matrix.shape[1], SEED, known)
                     best = (_unit(vectors) @ matrix.T).max(axis=1)
                     enough = best >= (min_score if bounds is None else bounds[_scale(vectors, sizes)])
-                    if letters is not None:
-                        enough &= np.array([2 * known[c].sum() >= (c != 0).sum() for c in codes], dtype=bool)
-                    yield piece.filter(pa.array(enough & (np.abs(vectors).sum(axis=1) > 0)))
+                    yield piece.filter(pa.array(enough & (balance >= 0) & (np.abs(vectors).sum(axis=1) > 0)))
 
     return docs.mapInArrow(keep, docs.schema)
 

@@ -256,3 +256,21 @@ def test_overlapping_sources(spark):
     # 3000 words, of which x gets 2250 at most from itself and the overlap, y 750
     assert sum(taken.values()) == pytest.approx(3000, abs=20)
     assert all(r.copies <= 1 or sum(taken.values()) > 2990 for r in got.values())
+
+
+def test_long_texts_are_read_in_slices(monkeypatch, documents, spoken):
+    """Slices of a few characters give the trigrams, vectors, sizes and letters of whole texts."""
+    import numpy as np
+
+    texts = [r[1] for r in spoken[:20]] + ["", None, "..", "a", "ab cd", "x" * 300, "Ünï çödé — ß! " * 40, " a ", "中文没有空格" * 50, "1 2 3 b"]
+    known = np.zeros(0x110000, bool)
+    known[[ord(c) for c in "abcdefghij中"]] = True
+    whole = [language.letter_grams(t).tolist() for t in texts], language._measure(texts, 64, 1, known)
+    for size in (3, 10, 64):
+        monkeypatch.setattr(language, "_SLICE", size)
+        assert [language.letter_grams(t).tolist() for t in texts] == whole[0]
+        for a, b in zip(language._measure(texts, 64, 1, known), whole[1]):
+            assert (a == b).all()
+    monkeypatch.undo()
+    rows = [*spoken, (9000, " ".join(r[1] for r in spoken[:10]) * 200, "aa")]
+    assert {r.doc_id: r.lang_pred for r in language.op8_language_id(documents(rows)).where("doc_id = 9000").collect()}[9000] != "und"
