@@ -28,9 +28,8 @@ def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of a language that the labelled ones teach; those without letters or clearly like none go."""
-    prototypes = language.train_prototypes(docs)
-    return language.keep_identified(
-        docs, prototypes, MIN_COSINE, bounds=language.length_bounds(docs, prototypes, MIN_COSINE), letters=language.known_letters(docs))
+    model = language.learn(docs, MIN_COSINE)
+    return language.keep_identified(docs, model.prototypes, MIN_COSINE, bounds=model.bounds, letters=model.letters)
 
 
 def keep_one_of_each_class(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,9 +47,10 @@ def mix_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """Documents as often as the mixture takes them."""
     sized = docs.select("doc_id", F.array("source").alias("members"), mixture.word_count("text").alias("size"))
     mixed = mixture.mix(sized, mixture.source_weights(docs)).where("copies > 0")
-    mixed = mixed.groupBy(F.col("doc_id").alias("mixed_id")).agg(F.max("copies").alias("mixed_copies"))
-    joined = docs.join(mixed, docs["doc_id"].eqNullSafe(mixed["mixed_id"]))
-    return joined.withColumn("mixed_copy", F.explode(F.sequence(F.lit(1).cast("long"), "mixed_copies"))).select(*docs.columns)
+    # the mixture's columns come in one struct, beside the documents' own in another
+    mixed = mixed.groupBy("doc_id").agg(F.max("copies").alias("copies")).select(F.struct("doc_id", "copies").alias("mixed"))
+    joined = docs.select(F.struct("*").alias("doc")).join(mixed, F.col("doc.doc_id").eqNullSafe(F.col("mixed.doc_id")))
+    return joined.select("doc", F.explode(F.sequence(F.lit(1).cast("long"), F.col("mixed.copies"))).alias("copy")).select("doc.*")
 
 
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
