@@ -3,7 +3,8 @@
 Documents are sets of shingles of five words. A minhash signature turns the similarity of two sets
 into the share of places at which their signatures agree. Each run splits all sets on a few sampled
 places: sets that share a value there share a bucket, and buckets that are still large are split
-again on places sampled for them. Small buckets are compared in full. Runs repeat until a pair at
+again on places sampled for them, as often as it takes. Small buckets are compared in full; a large one
+first has its centre taken out, the sets that are like its commonest sketch. Runs repeat until a pair at
 the threshold is missed with less than the allowed chance. All pairs of a class of candidates are
 then compared exactly by their shingles.
 
@@ -26,7 +27,8 @@ from newsloom.llm.common import as_bytes, pieces, words_of
 from newsloom.llm.components import components
 from newsloom.session import broadcast_if_small, stage
 
-SHINGLE, PLACES, LIMIT, LEVELS = 5, 128, 128, 3
+SHINGLE, PLACES, LIMIT = 5, 128, 128
+BRANCHING = 2.0  # places of a split at which a pair at the threshold agrees, on average
 _ODD = np.random.Generator(np.random.PCG64(97)).integers(0, 1 << 63, PLACES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -56,15 +58,16 @@ def signature(grams: np.ndarray) -> np.ndarray:
     return out
 
 
-def runs_needed(recall: float, threshold: float, levels: int = LEVELS) -> int:
-    """Runs until a pair at the threshold is found with chance ``recall``, at the full depth.
+def runs_needed(recall: float) -> int:
+    """Runs until a pair at the threshold is found with chance ``recall``, however often its buckets are split.
 
-    The number of places at which a node is split and the pair agrees is Poisson with mean 1.
+    The number of places at which a bucket is split and the pair agrees is Poisson, with mean 1 at the
+    root and ``BRANCHING`` below it. From the deepest level up, the chance to meet settles above 0.
     """
     met = 1.0
-    for _ in range(levels):
-        met = 1 - math.exp(-met)
-    return math.ceil(math.log(1 - recall) / math.log(1 - met))
+    for _ in range(200):
+        met = 1 - math.exp(-BRANCHING * met)
+    return math.ceil(-math.log(1 - recall) / met)
 
 
 def root_places(runs: int, threshold: float, seed: int) -> list[tuple[int, int]]:
@@ -179,7 +182,7 @@ def _alike(a: str, b: str) -> Column:
 
 
 def _finish(rows: DataFrame, sizes: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Deal a large bucket into groups in which each far member meets every member, ``LIMIT`` of each kind at a time."""
+    """Deal a bucket of few far members into groups in which each of these meets ``LIMIT`` other members."""
     n_far, n_all = (F.ceil(F.col(c) / LIMIT).cast("int") for c in ("n_far", "n"))
     rows = rows.join(sizes, "b")
     for column, n in (("in_all", n_all), ("in_far", n_far)):
@@ -195,48 +198,66 @@ def _finish(rows: DataFrame, sizes: DataFrame, nodes: DataFrame) -> DataFrame:
         nodes.select("node", "sketch"), "node")
 
 
-def candidate_links(nodes: DataFrame, threshold: float, recall: float, seed: int, levels: int = LEVELS) -> DataFrame:
+def _centres(rows: DataFrame, large: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``b, centre``: per place the commonest byte among about 64 members of each large bucket, chosen by a hash."""
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for held in batch.column("held").to_pylist():
+                marks = np.frombuffer(b"".join(held), np.uint8).reshape(-1, PLACES)
+                counts = np.zeros((PLACES, 256), np.int32)
+                np.add.at(counts, (np.arange(PLACES)[None, :], marks), 1)
+                out.append(counts.argmax(axis=1).astype(np.uint8).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column("b"), pa.array(out, pa.binary())], names=["b", "centre"])
+
+    some = rows.join(large, "b").where(F.pmod(F.xxhash64("b", "node"), F.ceil(F.col("n") / 64)) == 0).select("b", "node")
+    held = some.join(nodes.select("node", "sketch"), "node").groupBy("b").agg(F.collect_list("sketch").alias("held"))
+    return held.mapInArrow(work, "b long, centre binary")
+
+
+def candidate_links(nodes: DataFrame, threshold: float, recall: float, seed: int) -> DataFrame:
     """``u, v`` of nodes that met in a bucket and seem alike, as stars.
 
-    A large bucket has a leader. Members like it are linked to it and carry its tag from then on:
-    in the buckets split off they are known to be of one class, so only pairs with a far member,
-    one of another tag and unlike the leader, are still of interest.
+    A large bucket has a centre. Members like it are linked to one of them and carry its tag from then
+    on: in the buckets split off they are known to be of one class, so only pairs with a far member,
+    one of another tag and unlike the centre, are still of interest. Few far members meet all members
+    of the bucket; more of them are split. Each step takes work in proportion to a bucket's members.
     """
     least = threshold - 0.15  # over four standard errors of a sketch of 128 places
-    places = root_places(runs_needed(recall, threshold, levels), threshold, seed)
+    places = root_places(runs_needed(recall), threshold, seed)
     keys = F.array(*[F.xxhash64(F.lit(r), F.lit(i), F.substring("sig", 4 * i + 1, 4)) for r, i in places])
     rows = nodes.select("node", F.col("node").alias("tag"), F.explode(keys).alias("b"))
-    found = []
-    for level in range(1, levels + 1):
+    found, level = [], 0
+    while True:
+        level += 1
         sizes = stage(rows.groupBy("b").agg(
             F.count("*").alias("n"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("y"),
-            F.min(F.struct((F.col("tag") == F.col("node")).alias("own"), "node", "tag")).alias("lead")).where("n > 1"), "bucket-sizes")
+            ).where("n > 1"), "bucket-sizes")
         # buckets of several runs with the same members are compared once
         small = sizes.where(F.col("n") <= LIMIT).groupBy("n", "x", "y").agg(F.min("b").alias("b")).select("b")
         members = rows.join(small, "b").join(nodes.select("node", "sketch"), "node").withColumn("far", F.lit(True))
         found.append(stage(_bucket_links(members, least), "bucket-links"))
-        large = sizes.where(F.col("n") > LIMIT).select(
-            "b", F.col("lead.node").alias("leader"), F.col("lead.tag").alias("leader_tag"))
+        large = sizes.where(F.col("n") > LIMIT).select("b", "n")
         if large.isEmpty():
             break
-        leaders = large.join(nodes.select(F.col("node").alias("leader"), F.col("sketch").alias("leader_sketch")), "leader")
-        crowd = rows.join(leaders, "b").join(nodes.select("node", "sketch"), "node")
-        crowd = stage(crowd.select("b", "node", "tag", "leader_tag", _alike("sketch", "leader_sketch").alias("near")), "large-buckets")
+        centres = stage(_centres(rows, large, nodes), "bucket-centres")
+        crowd = rows.join(broadcast_if_small(centres), "b").join(nodes.select("node", "sketch"), "node")
+        crowd = stage(crowd.select("b", "node", "tag", _alike("sketch", "centre").alias("near")), "large-buckets")
         alike = F.col("near") >= least
-        found.append(crowd.where(alike & (F.col("tag") != F.col("leader_tag"))).select(
-            F.col("leader_tag").alias("u"), F.col("tag").alias("v")))
-        crowd = crowd.withColumn("far", ~alike & (F.col("tag") != F.col("leader_tag"))).withColumn(
-            "tag", F.when(F.col("far"), F.col("tag")).otherwise(F.col("leader_tag")))
+        leads = crowd.groupBy("b").agg(F.min(F.when(alike, F.struct((F.col("tag") == F.col("node")).alias("own"), "node", "tag"))).alias("lead"))
+        crowd = crowd.join(broadcast_if_small(stage(leads.select("b", F.col("lead.tag").alias("lead_tag")), "bucket-leads")), "b")
+        other = ~F.col("tag").eqNullSafe(F.col("lead_tag"))
+        found.append(crowd.where(alike & other).select(F.col("lead_tag").alias("u"), F.col("tag").alias("v")))
+        crowd = crowd.withColumn("far", ~alike & other).withColumn("tag", F.when(F.col("far"), F.col("tag")).otherwise(F.col("lead_tag")))
         counts = stage(crowd.groupBy("b").agg(F.count("*").alias("n"), F.sum(F.col("far").cast("long")).alias("n_far")).where("n_far > 0"), "far-sizes")
-        last = counts if level == levels else counts.where(F.col("n_far") <= LIMIT)
-        found.append(stage(_bucket_links(_finish(crowd, last, nodes), least), "bucket-links"))
+        found.append(stage(_bucket_links(_finish(crowd, counts.where(F.col("n_far") <= LIMIT), nodes), least), "bucket-links"))
         deeper = counts.where(F.col("n_far") > LIMIT).select("b")
-        if level == levels or deeper.isEmpty():
+        if deeper.isEmpty():
             break
-        # Members almost equal to the leader cannot be like a far one, so they need no further split.
+        # Members almost equal to the centre cannot be like a far one, so they need no further split.
         left = crowd.where(F.col("near") < 0.95).join(deeper, "b").join(nodes.select("node", "sig"), "node")
-        step = int((1 << 32) / (threshold * PLACES))
-        chosen = F.filter(F.sequence(F.lit(0), F.lit(PLACES - 1)), lambda i: F.xxhash64("b", i).bitwiseAND(F.lit((1 << 32) - 1)) < step)
+        step = int((1 << 32) * BRANCHING / (threshold * PLACES))
+        chosen = F.filter(F.sequence(F.lit(0), F.lit(PLACES - 1)), lambda i: F.xxhash64(F.lit(level), "b", i).bitwiseAND(F.lit((1 << 32) - 1)) < step)
         rows = stage(left.select("node", "tag", F.explode(F.transform(chosen, lambda i: F.xxhash64(
             F.lit(level), "b", i, F.substring(F.col("sig"), i * 4 + 1, F.lit(4))))).alias("b")), "split-buckets")
     out = found[0]

@@ -5,6 +5,7 @@ import random
 import re
 from collections import defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -118,16 +119,62 @@ def test_near_duplicates_of_nothing(documents):
     assert chosen_path.near_duplicates(documents([])).count() == 0
 
 
+def test_many_variants_of_a_text_that_is_not_there(documents, prose):
+    """Every pair of variants is near the threshold, and most are unlike any one of them by a sketch's estimate."""
+    draw, base = random.Random(5), prose(77, 150).split()
+    rows = []
+    for i in range(450):
+        words = list(base)
+        for k in draw.sample(range(0, 150, 15), 2):
+            words[k] = prose(5000 + 200 * i + k, 1)
+        rows.append((i, " ".join(words)))
+    rows += [(1000 + i, " ".join(base[:80]) + " " + prose(9000 + i, 90)) for i in range(200)]  # share half of it, alike to none
+    rows += [(2000 + i, prose(12_000 + i // 2, 60)) for i in range(20)]
+    want = brute_near(rows)
+    got = near_rows(chosen_path.near_duplicates(documents(rows)))
+    assert got == want and max(r[2] for r in want) > 100
+
+
+def test_work_on_a_large_bucket_grows_with_its_members(spark, documents, prose):
+    """Rows dealt to groups of far members: at most two for each member of the bucket."""
+    n = 3000
+    marks = spark.range(n).select(F.col("id").cast("string").cast("binary").alias("node"), F.lit(1).cast("long").alias("b"),
+                                  F.col("id").cast("string").cast("binary").alias("tag"), (F.col("id") < chosen_path.LIMIT).alias("far"),
+                                  F.lit(b"x" * 128).alias("sketch"))
+    sizes = spark.createDataFrame([(1, n, chosen_path.LIMIT)], "b long, n long, n_far long")
+    assert chosen_path._finish(marks.drop("sketch"), sizes, marks.select("node", "sketch")).count() <= 2 * n + 2 * chosen_path.LIMIT
+
+
+def test_recall_on_the_given_documents(spark):
+    """All pairs by brute force; no link too many, and nine in ten found at least."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    texts = [(r.doc_id, r.text) for r in docs.collect()]
+    sets = [set(chosen_path.shingles((t or "").encode()).tolist()) for _, t in texts]
+    order = sorted(range(len(sets)), key=lambda i: len(sets[i]))
+    want = dict.fromkeys((d for d, _ in texts), 0)
+    for x, i in enumerate(order):
+        for j in order[x + 1:]:
+            if len(sets[j]) * 0.8 > len(sets[i]) + 1e-9:
+                break
+            both = len(sets[i] & sets[j])
+            if sets[i] and both >= 0.8 * (len(sets[i]) + len(sets[j]) - both) - 1e-9:
+                want[texts[i][0]] += 1
+                want[texts[j][0]] += 1
+    got = {r.doc_id: r.n_links for r in chosen_path.op4_near_duplicates(docs).collect()}
+    assert all(got[d] <= n for d, n in want.items()) and sum(got.values()) >= 0.9 * sum(want.values()) > 0
+
+
 def test_runs_reach_the_recall():
-    """A pair at the threshold is missed in every run with the stated chance at most, at the full depth."""
-    import math
-    met = 1.0
-    for _ in range(chosen_path.LEVELS):
-        met = 1 - math.exp(-met)
-    runs = chosen_path.runs_needed(0.999, 0.8)
-    assert (1 - met) ** runs <= 0.001 < (1 - met) ** (runs - 1)
-    places = chosen_path.root_places(runs, 0.8, 5)
-    assert {r for r, _ in places} == set(range(runs))
+    """By drawing how often a pair agrees at the places of each level, however deep its buckets are split."""
+    draw = np.random.Generator(np.random.PCG64(3))
+    for depth in (1, 3, 12):
+        missed = 0
+        for _ in range(4000):
+            hits = draw.poisson(chosen_path.runs_needed(0.999))
+            for _ in range(depth - 1):
+                hits = draw.poisson(chosen_path.BRANCHING * hits) if hits < 50 else hits
+            missed += hits == 0
+        assert missed / 4000 <= 0.003
 
 
 def test_components_of_a_chain_and_a_star(spark):
