@@ -3,8 +3,9 @@
 Documents are sets of shingles of five words. A minhash signature turns the similarity of two sets
 into the share of places at which their signatures agree. Each run splits all sets on a few sampled
 places: sets that share a value there share a bucket, and buckets that are still large are split
-again on places sampled for them, as often as it takes. Small buckets are compared in full; a large one
-first has its centre taken out, the sets that are like its commonest sketch. Runs repeat until a pair at
+again on places sampled for them. Small buckets are compared in full; a large one first has its centre
+taken out, the sets that are like its commonest sketch. What is still in large buckets at the last
+level, sets like neither, is split at once on several places together, as often as the recall asks. Runs repeat until a pair at
 the threshold is missed with less than the allowed chance. All pairs of a class of candidates are
 then compared exactly by their shingles.
 
@@ -27,8 +28,8 @@ from newsloom.llm.common import as_bytes, pieces, words_of
 from newsloom.llm.components import components
 from newsloom.session import broadcast_if_small, stage
 
-SHINGLE, PLACES, LIMIT = 5, 128, 128
-BRANCHING = 2.0  # places of a split at which a pair at the threshold agrees, on average
+SHINGLE, PLACES, LIMIT, LEVELS = 5, 128, 128, 3
+TOGETHER = 6  # places of a split of what is left at the last level
 _ODD = np.random.Generator(np.random.PCG64(97)).integers(0, 1 << 63, PLACES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -58,16 +59,20 @@ def signature(grams: np.ndarray) -> np.ndarray:
     return out
 
 
-def runs_needed(recall: float) -> int:
-    """Runs until a pair at the threshold is found with chance ``recall``, however often its buckets are split.
+def runs_needed(recall: float, levels: int = LEVELS) -> int:
+    """Runs until a pair at the threshold is found with chance ``recall``, at the full depth.
 
-    The number of places at which a bucket is split and the pair agrees is Poisson, with mean 1 at the
-    root and ``BRANCHING`` below it. From the deepest level up, the chance to meet settles above 0.
+    The number of places at which a node is split and the pair agrees is Poisson with mean 1.
     """
     met = 1.0
-    for _ in range(200):
-        met = 1 - math.exp(-BRANCHING * met)
-    return math.ceil(-math.log(1 - recall) / met)
+    for _ in range(levels):
+        met = 1 - math.exp(-met)
+    return math.ceil(math.log(1 - recall) / math.log(1 - met))
+
+
+def splits_needed(recall: float, threshold: float, together: int = TOGETHER) -> int:
+    """Splits on ``together`` places each until a pair at the threshold agrees at all of one, with chance ``recall``."""
+    return math.ceil(math.log(1 - recall) / math.log(1 - threshold ** together))
 
 
 def root_places(runs: int, threshold: float, seed: int) -> list[tuple[int, int]]:
@@ -215,7 +220,7 @@ def _centres(rows: DataFrame, large: DataFrame, nodes: DataFrame) -> DataFrame:
     return held.mapInArrow(work, "b long, centre binary")
 
 
-def candidate_links(nodes: DataFrame, threshold: float, recall: float, seed: int) -> DataFrame:
+def candidate_links(nodes: DataFrame, threshold: float, recall: float, seed: int, levels: int = LEVELS) -> DataFrame:
     """``u, v`` of nodes that met in a bucket and seem alike, as stars.
 
     A large bucket has a centre. Members like it are linked to one of them and carry its tag from then
@@ -224,12 +229,11 @@ def candidate_links(nodes: DataFrame, threshold: float, recall: float, seed: int
     of the bucket; more of them are split. Each step takes work in proportion to a bucket's members.
     """
     least = threshold - 0.15  # over four standard errors of a sketch of 128 places
-    places = root_places(runs_needed(recall), threshold, seed)
+    places = root_places(runs_needed(recall, levels), threshold, seed)
     keys = F.array(*[F.xxhash64(F.lit(r), F.lit(i), F.substring("sig", 4 * i + 1, 4)) for r, i in places])
     rows = nodes.select("node", F.col("node").alias("tag"), F.explode(keys).alias("b"))
-    found, level = [], 0
-    while True:
-        level += 1
+    found = []
+    for level in range(1, levels + 1):
         sizes = stage(rows.groupBy("b").agg(
             F.count("*").alias("n"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("y"),
             ).where("n > 1"), "bucket-sizes")
@@ -255,8 +259,12 @@ def candidate_links(nodes: DataFrame, threshold: float, recall: float, seed: int
         if deeper.isEmpty():
             break
         # Members almost equal to the centre cannot be like a far one, so they need no further split.
-        left = crowd.where(F.col("near") < 0.95).join(deeper, "b").join(nodes.select("node", "sig"), "node")
-        step = int((1 << 32) * BRANCHING / (threshold * PLACES))
+        left = crowd.where(F.col("near") < 0.95).join(deeper, "b")
+        if level == levels:
+            found.append(_last_links(stage(left.select("node").distinct(), "hard-sets"), nodes, threshold, recall, seed, least))
+            break
+        left = left.join(nodes.select("node", "sig"), "node")
+        step = int((1 << 32) / (threshold * PLACES))
         chosen = F.filter(F.sequence(F.lit(0), F.lit(PLACES - 1)), lambda i: F.xxhash64(F.lit(level), "b", i).bitwiseAND(F.lit((1 << 32) - 1)) < step)
         rows = stage(left.select("node", "tag", F.explode(F.transform(chosen, lambda i: F.xxhash64(
             F.lit(level), "b", i, F.substring(F.col("sig"), i * 4 + 1, F.lit(4))))).alias("b")), "split-buckets")
@@ -266,6 +274,30 @@ def candidate_links(nodes: DataFrame, threshold: float, recall: float, seed: int
     return out
 
 
+def _last_links(hard: DataFrame, nodes: DataFrame, threshold: float, recall: float, seed: int, least: float) -> DataFrame:
+    """Links among the sets left in large buckets, each set once whatever the number of these.
+
+    Sets that agree at several places together share a bucket, and most that do are alike. A bucket
+    that is large all the same is linked to its least member where alike; the others are compared in blocks.
+    """
+    draw = random.Random(seed + 1)
+    groups = [draw.sample(range(PLACES), TOGETHER) for _ in range(splits_needed(recall, threshold))]
+    keys = F.array(*[F.xxhash64(F.lit(-1 - r), *[F.substring("sig", 4 * i + 1, 4) for i in group]) for r, group in enumerate(groups)])
+    rows = stage(hard.join(nodes.select("node", "sig"), "node").select("node", F.explode(keys).alias("b")), "hard-buckets")
+    sizes = stage(rows.groupBy("b").agg(F.count("*").alias("n"), F.min("node").alias("lead"), F.bit_xor(F.xxhash64("node")).alias("x"),
+                                        F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("y")).where("n > 1"), "hard-sizes")
+    once = sizes.groupBy("n", "x", "y").agg(F.min(F.struct("b", "lead")).alias("k")).select("k.b", "k.lead", "n")
+    members = rows.join(once.where(F.col("n") <= LIMIT).select("b"), "b").join(nodes.select("node", "sketch"), "node")
+    small = _bucket_links(members.withColumn("tag", F.col("node")).withColumn("far", F.lit(True)), least)
+    leads = once.where(F.col("n") > LIMIT).join(nodes.select(F.col("node").alias("lead"), F.col("sketch").alias("lead_sketch")), "lead")
+    crowd = rows.join(leads, "b").join(nodes.select("node", "sketch"), "node").withColumn("alike", _alike("sketch", "lead_sketch") >= least)
+    crowd = stage(crowd.select("b", "node", "lead", F.when(F.col("alike"), F.col("lead")).otherwise(F.col("node")).alias("tag"),
+                               (~F.col("alike")).alias("far")), "hard-crowds")
+    counts = crowd.groupBy("b").agg(F.count("*").alias("n"), F.sum(F.col("far").cast("long")).alias("n_far")).where("n_far > 0")
+    return small.unionByName(crowd.where(~F.col("far")).select(F.col("lead").alias("u"), F.col("node").alias("v"))).unionByName(
+        _bucket_links(_finish(crowd.drop("lead"), stage(counts, "far-sizes"), nodes), least))
+
+
 def shared_counts(sets: list[np.ndarray]) -> np.ndarray:
     """Sizes of all pairs' intersections, by products of slices of the incidence table."""
     values, at = np.unique(np.concatenate(sets), return_inverse=True)

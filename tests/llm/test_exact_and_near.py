@@ -165,16 +165,16 @@ def test_recall_on_the_given_documents(spark):
 
 
 def test_runs_reach_the_recall():
-    """By drawing how often a pair agrees at the places of each level, however deep its buckets are split."""
+    """By drawing how often a pair at the threshold agrees at the places of each level, and of the last splits."""
     draw = np.random.Generator(np.random.PCG64(3))
-    for depth in (1, 3, 12):
-        missed = 0
-        for _ in range(4000):
-            hits = draw.poisson(chosen_path.runs_needed(0.999))
-            for _ in range(depth - 1):
-                hits = draw.poisson(chosen_path.BRANCHING * hits) if hits < 50 else hits
-            missed += hits == 0
-        assert missed / 4000 <= 0.003
+    missed = 0
+    for _ in range(4000):
+        hits = draw.poisson(chosen_path.runs_needed(0.999))
+        for _ in range(chosen_path.LEVELS - 1):
+            hits = draw.poisson(hits)
+        missed += hits == 0
+    assert missed / 4000 <= 0.003
+    assert (1 - 0.8 ** chosen_path.TOGETHER) ** chosen_path.splits_needed(0.999, 0.8) <= 0.001
 
 
 def test_components_of_a_chain_and_a_star(spark):
