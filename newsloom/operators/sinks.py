@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from newsloom.operators.tables import to_export
-from newsloom.session import remove
+from newsloom.session import broadcast_if_small, remove, stage
 
 MAX_ROWS = 100
 
@@ -44,6 +44,27 @@ def write_feed(df: DataFrame, root: str, run_ts: str, layout: tuple[str, ...] =
     writer.mode("overwrite").partitionBy(*layout).format(fmt).save(root)
 
 
+def with_row_offset(df: DataFrame, group: str, order: list[str], chunk: int = MAX_ROWS) -> DataFrame:
+    """``df`` with ``row`` (its number from 1 in its group, by ``order``) and ``offset`` (rows before its chunk).
+
+    Rows are dealt in ranges of group and order, numbered inside each part, and the parts' counts are
+    added up before them. A group that holds most rows is spread over many parts, so no task sees it
+    whole, and only one row per group and part meets in a window. Rows that ``order`` leaves equal share
+    a part and are numbered in any order. A null group is a group.
+    """
+    keys = [F.col(group), *order]
+    dealt = df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("part", F.spark_partition_id())
+    dealt = stage(dealt, "numbered-rows")
+    counts = dealt.groupBy(F.col(group).alias("of"), F.col("part").alias("of_part")).agg(F.count("*").alias("n"))
+    ahead = F.sum("n").over(Window.partitionBy("of").orderBy("of_part").rowsBetween(Window.unboundedPreceding, -1))
+    counts = broadcast_if_small(stage(counts.select("of", "of_part", F.coalesce(ahead, F.lit(0)).alias("ahead")), "rows-before"))
+    inside = F.row_number().over(Window.partitionBy(group, "part").orderBy(*order))
+    numbered = dealt.withColumn("row", inside.cast("long")).join(
+        counts, F.col(group).eqNullSafe(F.col("of")) & (F.col("part") == F.col("of_part")))
+    row = F.col("ahead") + F.col("row")
+    return numbered.select(*df.columns, row.alias("row"), (row - 1 - (row - 1) % chunk).alias("offset"))
+
+
 def write_articles(df: DataFrame, root: str, mode: str = "overwrite") -> None:
     """The article table as Parquet by source, so that reading one source prunes the others."""
     df.hint("rebalance", "source").write.mode(mode).partitionBy("source").parquet(root)

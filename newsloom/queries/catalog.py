@@ -20,6 +20,8 @@ from newsloom.operators import articles as A
 from newsloom.operators import discovery as S
 from newsloom.operators import links as L
 from newsloom.operators import sinks, tables
+from newsloom.operators.block_search import search_blocks, write_blocks
+from newsloom.operators.periods import distinct_over, term_bitmaps
 from newsloom.plans.articles import build_articles, card_table
 from newsloom.plans.recommend import recommend
 from newsloom.queries.site_pages import site_pages
@@ -27,8 +29,8 @@ from newsloom.session import settle, shared_dir, spread, stage
 from newsloom.sources import changes as C
 from newsloom.sources import pages as P
 from newsloom.sources.sites import at, listing_table, site_table
-from newsloom.streaming.changes import apply_changes_stream, compact_log, read_state
-from newsloom.streaming.links import dedupe_links_stream, trending_stream, with_open_windows
+from newsloom.streaming.changes import apply_changes_stream, compact_log, latest_by_state, read_state, read_stream_state
+from newsloom.streaming.links import attach_card_stream, dedupe_links_stream, trending_stream, with_open_windows
 
 RUN_DATE = date(2024, 1, 15)
 
@@ -219,6 +221,27 @@ def attach_card(spark, sf):
     return L.attach_card(pages, cards).select("page_id", "url", F.col("card.title").alias("card_title"))
 
 
+def attach_card_stream_query(spark, sf):
+    """Each page as a card two hours after midnight and as articles some hours before or after that, on two streams.
+
+    A last row far ahead on either side moves the watermark past all others, so every article leaves.
+    """
+    root = shared_dir(spark, "card-stream")
+    day = F.lit("2024-01-01 00:00:00").cast("timestamp")
+    hours = lambda n: F.make_interval(hours=n)
+    pages = _pages(spark, sf).select("page_id", "url", (day + hours(F.col("page_id").cast("int"))).alias("at"))
+    cards = pages.where("page_id % 3 < 2").select(F.concat(F.lit("card "), "page_id").alias("title"), "url", (F.col("at") + hours(F.lit(2))).alias("seen"))
+    fetched = pages.withColumn("at", F.explode(F.array(F.col("at"), F.col("at") + hours(F.lit(4)), F.col("at") + hours(F.lit(40)))))
+    ahead = F.lit("2100-01-01 00:00:00").cast("timestamp")
+    cards.unionByName(spark.range(1).select(F.lit("none").alias("title"), F.lit("about:end").alias("url"), ahead.alias("seen"))).write.parquet(f"{root}/cards")
+    fetched.unionByName(spark.range(1).select(F.lit(-1).cast("long").alias("page_id"), F.lit("about:end").alias("url"), ahead.alias("at"))).write.parquet(f"{root}/articles")
+    streams = [spark.readStream.schema(spark.read.parquet(f"{root}/{name}").schema).parquet(f"{root}/{name}") for name in ("articles", "cards")]
+    joined = attach_card_stream(*streams, "at", "seen").select("page_id", "url", F.date_format("at", "yyyy-MM-dd HH:mm").alias("at"), F.col("card.title").alias("card_title"))
+    joined.writeStream.format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/checkpoint") \
+        .trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{root}/out").where("page_id >= 0")
+
+
 def _clean(spark, sf):
     return _pages(spark, sf).select("page_id", "url", H.strip_markup(F.col("html")).alias("html"))
 
@@ -432,14 +455,12 @@ def apply_changes(spark, sf):
 
 
 def apply_changes_stream_query(spark, sf):
-    """The events as a stream of four files, a batch each, with a compaction after the second; read back as state."""
+    """The events as a stream in four quarters, a batch each, with a compaction after the second; read back as state."""
     events, root = _table(spark, sf, "events"), shared_dir(spark, "change-log")
     op = F.when(F.col("event_type") == "error", "REMOVE").otherwise("MODIFY")
     for part in range(4):
-        events.where(F.col("event_id") % 4 == part).coalesce(1).write.mode("append").parquet(f"{root}/in")
-        if part % 2 == 0:
-            continue
-        stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+        events.where(F.col("event_id") % 4 == part).write.mode("append").parquet(f"{root}/in")
+        stream = spark.readStream.schema(events.schema).parquet(f"{root}/in")
         changes = stream.select("user_id", F.col("event_id").alias("seq"), op.alias("event_name"), "event_type", "value")
         apply_changes_stream(changes, f"{root}/log", f"{root}/checkpoint", "user_id").awaitTermination()
         if part == 1:
@@ -447,6 +468,21 @@ def apply_changes_stream_query(spark, sf):
     return read_state(spark, f"{root}/log", "user_id").select("user_id", "seq", "event_name", "event_type", "value")
 
 
+def apply_changes_state(spark, sf):
+    """The same by the stream's own state: four quarters, a run each from the same checkpoint, the newest first."""
+    events, root = _table(spark, sf, "events"), shared_dir(spark, "change-state")
+    op = F.when(F.col("event_type") == "error", "REMOVE").otherwise("MODIFY")
+    store = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    with_conf = spark.newSession()
+    with_conf.conf.set("spark.sql.streaming.stateStore.providerClass", store)
+    for part in (3, 1, 0, 2):
+        events.where(F.col("event_id") % 4 == part).write.mode("append").parquet(f"{root}/in")
+        stream = with_conf.readStream.schema(events.schema).parquet(f"{root}/in")
+        changes = stream.select("user_id", F.col("event_id").alias("seq"), op.alias("event_name"), "event_type", "value")
+        latest_by_state(changes, f"{root}/checkpoint", "user_id").awaitTermination()
+    return read_stream_state(with_conf, f"{root}/checkpoint", "user_id").select("user_id", "seq", "event_name", "event_type", "value")
+
+
 def to_search_doc(spark, sf):
     return tables.to_search_doc(tables.apply_changes(_decoded(spark, sf), "key"))
 
@@ -472,6 +508,11 @@ def write_feed(spark, sf):
         "doc_id", "text", "lang", "n_chars", "source", "run_ts")
 
 
+def write_feed_chunks(spark, sf):
+    numbered = sinks.with_row_offset(_documents(spark, sf), "source", ["doc_id"])
+    return numbered.select("source", "doc_id", "offset", "row")
+
+
 def encode_temporal(spark, sf):
     return tables.encode_temporal(_table(spark, sf, "events").withColumn("day", F.to_date("ts")))
 
@@ -516,6 +557,15 @@ def trending_stream_query(spark, sf):
     return with_open_windows(spark.read.parquet(f"{root}/out"), rows, "ts")
 
 
+def trending_periods(spark, sf):
+    """Keywords of articles that come twice, some hours apart: different articles in every 24 hours."""
+    words = S.keywords(_documents(spark, sf)).where("rank <= 3").select("doc_id", "term")
+    first = F.lit("2024-01-01 00:00:00").cast("timestamp") + F.make_interval(hours=(F.col("doc_id") % 60).cast("int"))
+    seen = F.explode(F.array(first, first + F.make_interval(hours=(F.col("doc_id") % 7 * 5).cast("int"))))
+    bitmaps = stage(term_bitmaps(words.withColumn("at", seen), "at"), "term-bitmaps")
+    return distinct_over(bitmaps, 24).select(F.date_format("start", "yyyy-MM-dd HH:mm").alias("start"), "term", "n")
+
+
 def dedupe_links_stream_query(spark, sf):
     """The events as a stream of visits, each user once within the watermark."""
     schema = _table(spark, sf, "events").schema
@@ -547,6 +597,15 @@ def search_index(spark, sf):
     return S.search(spark.read.parquet(f"{root}/postings"), stored, S.query_terms(queries))
 
 
+def search_by_blocks(spark, sf):
+    """The same by an index of blocks, of which those out of reach stay unread."""
+    documents, root = _documents(spark, sf), shared_dir(spark, "blocks")
+    size = stage(S.corpus_size(documents), "corpus-size")
+    write_blocks(documents, size, f"{root}/blocks")
+    queries = _table(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), "text")
+    return search_blocks(spark.read.parquet(f"{root}/blocks"), size, S.query_terms(queries))
+
+
 def recommend_query(spark, sf):
     return recommend(_documents(spark, sf))
 
@@ -571,6 +630,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "b09_expand_frontier": expand_frontier,
     "b09_expand_frontier_hops": expand_frontier_hops,
     "b10_attach_card": attach_card,
+    "b10_attach_card_stream": attach_card_stream_query,
     "c01_strip_markup": strip_markup,
     "c02_body_text_all": body_text_all,
     "c02_body_text_direct": body_text_direct,
@@ -599,10 +659,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "e01_upsert_latest": upsert_latest,
     "e02_apply_changes": apply_changes,
     "e03_apply_changes_stream": apply_changes_stream_query,
+    "e03_apply_changes_state": apply_changes_state,
     "e04_to_search_doc": to_search_doc,
     "e05_change_counts": change_counts,
     "e06_write_jsonl": write_jsonl,
     "e07_write_feed": write_feed,
+    "e07_write_feed_chunks": write_feed_chunks,
     "e08_encode_temporal": encode_temporal,
     "f01_keywords": keywords,
     "f02_summary": summary,
@@ -610,7 +672,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "f03_trending_daily": _as_text(trending_daily),
     "f03_trending_hourly": trending_hourly,
     "f03_trending_stream": _as_text(trending_stream_query),
+    "f03_trending_periods": trending_periods,
     "f04_search": search,
     "f04_search_index": search_index,
+    "f04_search_blocks": search_by_blocks,
     "f05_recommend": recommend_query,
 }

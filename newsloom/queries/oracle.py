@@ -271,6 +271,12 @@ ORACLE = {
     "b10_attach_card": """
       SELECT p.page_id, p.url, 'card ' || (c.page_id - 1) AS card_title FROM pages p
       JOIN pages c ON split_part(p.url, '#', 1) = split_part(c.url, '#', 1) WHERE c.page_id > 0""",
+    "b10_attach_card_stream": """
+      WITH p AS (SELECT page_id, url, TIMESTAMP '2024-01-01' + to_hours(page_id) AS moment FROM pages),
+      a AS (SELECT page_id, url, unnest([moment, moment + INTERVAL 4 HOUR, moment + INTERVAL 40 HOUR]) AS moment FROM p),
+      c AS (SELECT 'card ' || page_id AS title, split_part(url, '#', 1) AS key, moment + INTERVAL 2 HOUR AS seen FROM p WHERE page_id % 3 < 2)
+      SELECT a.page_id, a.url, strftime(a.moment, '%Y-%m-%d %H:%M') AS "at", c.title AS card_title FROM a
+      LEFT JOIN c ON split_part(a.url, '#', 1) = c.key AND a.moment BETWEEN c.seen AND c.seen + INTERVAL 1 DAY""",
     "c01_strip_markup": f"SELECT page_id, html FROM ({PAGES})",
     "c02_body_text_all": f"SELECT page_id, {text_all('body')} AS text FROM ({REGION})",
     "c02_body_text_direct": f"""
@@ -375,6 +381,7 @@ ORACLE = {
         FROM (SELECT page_id, url, {title('html')} AS title FROM ({PAGES})) WHERE title IS NOT NULL) WHERE rn = 1""",
     "e02_apply_changes": STATE,
     "e03_apply_changes_stream": STATE,
+    "e03_apply_changes_state": STATE,
     "e04_to_search_doc": f"""
       SELECT strftime(date, '%d/%m/%Y') AS date, url, text, blurp, imgurl, title, tags, category FROM (
         SELECT *, row_number() OVER (PARTITION BY key ORDER BY seq DESC) AS rn FROM ({DECODED}))
@@ -382,6 +389,9 @@ ORACLE = {
     "e05_change_counts": f"SELECT event_name, count(*) AS n FROM ({EVENT_CHANGES}) GROUP BY event_name",
     "e06_write_jsonl": "SELECT * FROM documents",
     "e07_write_feed": "SELECT doc_id, text, lang, n_chars, source, '2024-01-15T00-00-00' AS run_ts FROM documents",
+    "e07_write_feed_chunks": """
+      SELECT source, doc_id, (rn - 1) // 100 * 100 AS "offset", rn AS "row" FROM (
+        SELECT source, doc_id, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS rn FROM documents)""",
     "e08_encode_temporal": """
       SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, user_id, event_type, value, props,
         strftime(ts, '%Y-%m-%d') AS day FROM events""",
@@ -414,10 +424,17 @@ ORACLE = {
       SELECT hour, CAST(rn AS INTEGER) AS rank, term, n, growth FROM g WHERE rn <= 3""",
     "f03_trending_stream": """
       SELECT date_trunc('day', ts)::TIMESTAMP AS window_start, event_type AS term, count(*) AS n FROM events GROUP BY 1, 2""",
+    "f03_trending_periods": f"""
+      WITH w AS MATERIALIZED (SELECT doc_id, term, TIMESTAMP '2024-01-01' + to_hours(doc_id % 60) AS moment FROM ({KEYWORDS}) WHERE rank <= 3),
+      s AS (SELECT doc_id, term, moment FROM w UNION ALL SELECT doc_id, term, moment + to_hours(doc_id % 7 * 5) FROM w),
+      p AS (SELECT doc_id, term, moment - to_hours(h) AS start FROM s, (SELECT unnest(range(24)) AS h))
+      SELECT strftime(start, '%Y-%m-%d %H:%M') AS start, term, count(DISTINCT doc_id) AS n FROM p GROUP BY ALL""",
     "f04_search": bm25(
         r"SELECT DISTINCT item_id AS query_id, unnest(list_filter(string_split_regex(lower(text), '[^\p{L}\p{N}]+'), lambda w: w <> '')) AS term FROM benchmark", 10),
     "f04_search_index": bm25(
         r"SELECT DISTINCT item_id AS query_id, unnest(list_filter(string_split_regex(lower(text), '[^\p{L}\p{N}]+'), lambda w: w <> '')) AS term FROM benchmark", 10),
+    "f04_search_blocks": bm25(
+        r"SELECT DISTINCT item_id AS query_id, unnest(list_filter(string_split_regex(lower(text), '[^\p{L}\p{N}]+'), lambda w: w <> '')) AS term FROM benchmark", 10),
     "f05_recommend": f"""
       WITH q0 AS (SELECT term, row_number() OVER (ORDER BY n DESC, term) AS rn FROM ({TOP})),
       hits AS ({bm25("SELECT CAST(rn AS INTEGER) AS query_id, term FROM q0 WHERE rn <= 10", 5)})

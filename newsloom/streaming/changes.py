@@ -73,6 +73,30 @@ def apply_changes_stream(stream: DataFrame, log: str, checkpoint: str, key: str
     return writer.start()
 
 
+def latest_by_state(stream: DataFrame, checkpoint: str, key: str = "title", seq: str = "seq", available_now: bool = True,
+                    interval: str = "1 minute") -> StreamingQuery:
+    """Keep the latest change per key in the stream's own state instead of a log of files.
+
+    The state store holds one row per key, changed in place, so nothing needs compacting. Records may
+    come in any order: the greatest ``seq`` stands. Removals stay as tombstones, as in the log. The
+    session must name a state store that ``read_stream_state`` can read; RocksDB keeps it off the heap.
+    A restart from the checkpoint goes on where the last batch ended.
+    """
+    rest = [c for c in stream.columns if c != key]
+    latest = stream.where(F.col(key).isNotNull()).groupBy(key).agg(F.max_by(F.struct(*rest), F.col(seq)).alias("latest"))
+    writer = latest.writeStream.outputMode("update").format("noop").option("checkpointLocation", checkpoint)
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)
+    return writer.start()
+
+
+def read_stream_state(spark: SparkSession, checkpoint: str, key: str = "title", op: str = "event_name") -> DataFrame:
+    """Current rows of ``latest_by_state``, read from the state of its last finished batch."""
+    state = spark.read.format("statestore").load(checkpoint)
+    names = state.schema["value"].dataType.names  # the aggregate's buffer: the value, and what it is ordered by
+    rows = state.select(F.col(f"key.{key}").alias(key), F.col("value").getField(names[0]).alias("latest"))
+    return rows.select(key, "latest.*").where(F.coalesce(F.col(op), F.lit("")) != "REMOVE")
+
+
 def read_log(spark: SparkSession, log: str) -> DataFrame:
     """All changes that still count, tombstones included."""
     return spark.read.parquet(*_parts(spark, log)[0])
