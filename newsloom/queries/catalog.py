@@ -29,7 +29,7 @@ from newsloom.session import settle, shared_dir, spread, stage
 from newsloom.sources import changes as C
 from newsloom.sources import pages as P
 from newsloom.sources.sites import at, listing_table, site_table
-from newsloom.streaming.changes import apply_changes_stream, compact_log, latest_by_state, read_state, read_stream_state
+from newsloom.streaming.changes import ChangeCounter, apply_changes_stream, compact_log, counted, counts_of, latest_by_state, read_state, read_stream_state
 from newsloom.streaming.links import attach_card_stream, dedupe_links_stream, trending_stream, with_open_windows
 
 RUN_DATE = date(2024, 1, 15)
@@ -138,6 +138,25 @@ def read_changes(spark, sf):
                         F.coalesce(F.size("image"), F.lit(-1)).cast("long").alias("n_fields"))
 
 
+def _damaged(spark, sf):
+    """The batches, some cut off, some with a record that is a number, or a number that is none."""
+    number, value = F.col("n"), F.col("value")
+    numbered = _batches(spark, sf).withColumn("n", F.regexp_extract("value", r"example\.com/([0-9]+)", 1).cast("long"))
+    return numbered.select(
+        F.when(number % 7 == 0, F.substr(value, F.lit(1), F.length(value) - 5))
+        .when(number % 7 == 1, F.regexp_replace(value, r"^\{\"Records\":\[", '{"Records":[5,'))
+        .when(number % 7 == 2, F.regexp_replace(value, '"SequenceNumber":"0*9', '"SequenceNumber":"x'))
+        .when(number % 7 == 3, F.lit('{"Other":1}')).otherwise(value).alias("value"))
+
+
+def sort_changes(spark, sf):
+    sound, bad = C.sort_changes(_damaged(spark, sf))
+    good = sound.select(F.lit("sound").alias("kind"), F.col("seq.digits").alias("seq"), F.lit(None).cast("string").alias("text"))
+    return good.unionByName(bad.select(F.col("reason").alias("kind"), F.lit(None).cast("string").alias("seq"), F.when(
+        F.col("reason") == "batch", F.regexp_extract("value", r"example\.com/([0-9]+)", 1)).when(F.col("reason") == "record", F.col("record")).otherwise(
+        F.get_json_object("record", "$.dynamodb.SequenceNumber")).alias("text")))
+
+
 def _decoded(spark, sf):
     return C.decode_attributes(C.explode_changes(_batches(spark, sf)).withColumn(
         "key", F.col("keys")["title"]["S"]).drop("keys"))
@@ -491,6 +510,25 @@ def change_counts(spark, sf):
     return tables.change_counts(_event_changes(spark, sf))
 
 
+def change_counts_stream(spark, sf):
+    """The events as a stream, stopped and started again, counted batch by batch while it runs."""
+    events, root = _table(spark, sf, "events"), shared_dir(spark, "counted-stream")
+    op = F.when(F.col("event_type") == "error", "REMOVE").otherwise("MODIFY")
+    counter = ChangeCounter(spark, f"{root}/counts")
+    spark.streams.addListener(counter)
+    try:
+        for part in range(3):
+            events.where(F.col("event_id") % 3 == part).write.mode("append").parquet(f"{root}/in")
+            stream = spark.readStream.schema(events.schema).parquet(f"{root}/in")
+            changes = counted(stream.select("user_id", F.col("event_id").alias("seq"), op.alias("event_name")))
+            counter.wait(apply_changes_stream(changes, f"{root}/log", f"{root}/checkpoint", "user_id"))
+    finally:
+        spark.streams.removeListener(counter)
+    counts = counts_of(spark, f"{root}/counts")
+    both = F.array(F.struct(F.lit("MODIFY").alias("event_name"), F.col("upserted").alias("n")), F.struct(F.lit("REMOVE").alias("event_name"), F.col("removed").alias("n")))
+    return counts.select(F.inline(both)).groupBy("event_name").agg(F.sum("n").alias("n")).where("n > 0")
+
+
 def write_jsonl(spark, sf):
     path = shared_dir(spark, "jsonl") + ".gz"
     documents = _documents(spark, sf)
@@ -615,6 +653,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "a02_with_source": with_source,
     "a03_select_source": select_source,
     "a04_read_changes": read_changes,
+    "a04_sort_changes": sort_changes,
     "a05_decode_attributes": _as_text(decode_attributes),
     "b01_extract_links": extract_links,
     "b01_extract_cards": extract_cards,
@@ -662,6 +701,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "e03_apply_changes_state": apply_changes_state,
     "e04_to_search_doc": to_search_doc,
     "e05_change_counts": change_counts,
+    "e05_change_counts_stream": change_counts_stream,
     "e06_write_jsonl": write_jsonl,
     "e07_write_feed": write_feed,
     "e07_write_feed_chunks": write_feed_chunks,

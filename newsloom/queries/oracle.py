@@ -221,6 +221,13 @@ ORACLE = {
     "a04_read_changes": f"""
       SELECT event_name, {SEQ} AS seq, 'user ' || user_id AS title,
         CASE WHEN event_name = 'REMOVE' THEN -1 ELSE 7 END::BIGINT AS n_fields FROM ({CHANGES})""",
+    "a04_sort_changes": f"""
+      WITH c AS (SELECT n, event_id, event_id % 7 AS k, event_name, {SEQ} AS seq, '00' || {SEQ} AS padded FROM ({CHANGES})),
+      s AS (SELECT *, CASE WHEN n % 6 < 2 THEN padded ELSE seq END AS written FROM c)
+      SELECT 'sound' AS kind, seq, CAST(NULL AS VARCHAR) AS text FROM s WHERE k IN (1, 4, 5, 6)
+      UNION ALL SELECT 'record', NULL, '5' FROM s WHERE k = 1 AND event_name = 'MODIFY'
+      UNION ALL SELECT 'sequence', NULL, regexp_replace(written, '^0*9', 'x') FROM s WHERE k = 2
+      UNION ALL SELECT 'batch', NULL, CASE WHEN k = 0 THEN event_id::VARCHAR ELSE '' END FROM s WHERE k IN (0, 3) AND event_name = 'MODIFY'""",
     "a05_decode_attributes": DECODED,
     "b01_extract_links": f"""
       SELECT page_id, page_url, CAST(pos + 6 AS INTEGER) AS pos, href, anchor FROM ({LINKS})
@@ -387,6 +394,7 @@ ORACLE = {
         SELECT *, row_number() OVER (PARTITION BY key ORDER BY seq DESC) AS rn FROM ({DECODED}))
       WHERE rn = 1 AND event_name <> 'REMOVE'""",
     "e05_change_counts": f"SELECT event_name, count(*) AS n FROM ({EVENT_CHANGES}) GROUP BY event_name",
+    "e05_change_counts_stream": f"SELECT event_name, count(*) AS n FROM ({EVENT_CHANGES}) GROUP BY event_name",
     "e06_write_jsonl": "SELECT * FROM documents",
     "e07_write_feed": "SELECT doc_id, text, lang, n_chars, source, '2024-01-15T00-00-00' AS run_ts FROM documents",
     "e07_write_feed_chunks": """

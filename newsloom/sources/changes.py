@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
 from newsloom.schemas import ARTICLE, CHANGE_BATCH
+from newsloom.session import shared_dir
 
 
 def sequence_order(text: Column) -> Column:
@@ -36,6 +37,39 @@ def explode_changes(df: DataFrame, column: str = "value") -> DataFrame:
     )
 
 
+def sort_changes(df: DataFrame, column: str = "value") -> tuple[DataFrame, DataFrame]:
+    """``(changes, quarantine)``: what ``explode_changes`` gives of every sound record, and what is not sound.
+
+    A batch that is bad in part loses its bad records only. The quarantine has ``value, pos, record, reason``: the
+    batch, the place of the record in it, the record's own text, and why it was put aside: ``batch`` (not
+    JSON, or without records; place and record are null), ``record`` (not of a change record's shape) or
+    ``sequence`` (its number is missing or not one). Both come from one pass over ``df``, which is
+    stored in the shared folder by sound and unsound rows. A null batch is none.
+    """
+    spark, kept = df.sparkSession, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "corrupt"}
+    record_type = CHANGE_BATCH[len("Records array<struct<"):-2]
+    batch = df.where(F.col(column).isNotNull()).select(
+        F.col(column).alias("value"), F.from_json(F.col(column), "Records array<string>, corrupt string", kept).alias("batch"))
+    # a batch without sound records is one row without a record
+    sound = F.col("batch.corrupt").isNull() & F.col("batch.Records").isNotNull()
+    rows = batch.select("value", sound.alias("sound"), F.posexplode_outer(F.when(sound, F.col("batch.Records"))).alias("pos", "record"))
+    rows = rows.where(~F.col("sound") | F.col("pos").isNotNull()).withColumn("r", F.from_json("record", f"struct<{record_type}, corrupt: string>", kept))
+    number = F.col("r.dynamodb.SequenceNumber")
+    reason = (F.when(~F.col("sound"), "batch").when(F.col("record").isNull() | F.col("r.corrupt").isNotNull() | F.col("r.dynamodb").isNull(), "record")
+              .when(number.isNull() | ~F.regexp_like(number, F.lit("^[0-9]+$")), "sequence"))
+    rows = rows.withColumn("reason", reason)
+    bad = F.col("reason").isNotNull()
+    told = rows.select(
+        "reason", F.when(bad, F.col("value")).alias("value"), F.when(bad, F.col("pos")).alias("pos"), F.when(bad, F.col("record")).alias("record"),
+        F.col("r.eventName").alias("event_name"), sequence_order(F.when(~bad, number)).alias("seq"),
+        F.col("r.dynamodb.Keys").alias("keys"), F.col("r.dynamodb.NewImage").alias("image"), bad.alias("unsound"))
+    path = shared_dir(spark, "sorted-changes")
+    told.write.partitionBy("unsound").parquet(path)
+    stored = spark.read.schema(told.schema).parquet(path)
+    return (stored.where("NOT unsound").select("event_name", "seq", "keys", "image"),
+            stored.where("unsound").select("value", "pos", "record", "reason"))
+
+
 def read_changes(spark: SparkSession, path: str, streaming: bool = False,
                  one_batch_per_file: bool = False) -> DataFrame:
     """Change rows from JSON files that hold one batch per line, or one per file."""

@@ -10,15 +10,17 @@ on writing while the log is compacted.
 
 from __future__ import annotations
 
+import time
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from newsloom.operators.tables import apply_changes
 
 BATCHES, COMPACTED = "_batches", "_compacted"
+COUNTS = "run string, batch long, processed long, removed long, upserted long"
 
 
 def _folder(spark: SparkSession, path: str):
@@ -73,6 +75,55 @@ def apply_changes_stream(stream: DataFrame, log: str, checkpoint: str, key: str
     return writer.start()
 
 
+class ChangeCounter(StreamingQueryListener):
+    """Appends the counts of every batch of a counted stream to a table: ``run, batch, processed, removed, upserted``.
+
+    ``counted`` puts the counters on the stream. A batch that runs again after a failure is appended
+    again only if it ended before, so readers take one row a batch (``counts_of``).
+    """
+
+    def __init__(self, spark: SparkSession, table: str, name: str = "changes"):
+        super().__init__()
+        self.spark, self.table, self.name, self.seen = spark, table, name, {}
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        found = progress.observedMetrics.get(self.name)
+        if found is not None:
+            row = (str(progress.id), progress.batchId, found["processed"], found["removed"], found["upserted"])
+            self.spark.createDataFrame([row], COUNTS).coalesce(1).write.mode("append").parquet(self.table)
+        self.seen[str(progress.runId)] = progress.batchId
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self.seen[str(event.runId)] = None
+
+    def wait(self, query: StreamingQuery, seconds: float = 60.0) -> None:
+        """Until the listener has heard the end of a query; events come a moment after the batches."""
+        query.awaitTermination()
+        until = time.monotonic() + seconds
+        while self.seen.get(str(query.runId), -1) is not None:
+            if time.monotonic() > until:
+                raise TimeoutError("the stream's last counts did not arrive")
+            time.sleep(0.05)
+
+
+def counted(changes: DataFrame, op: str = "event_name", name: str = "changes") -> DataFrame:
+    """The stream with counters of processed, removed and upserted records, told at the end of each batch."""
+    removed = F.coalesce(F.col(op) == "REMOVE", F.lit(False))
+    return changes.observe(name, F.count(F.lit(1)).alias("processed"), F.count_if(removed).alias("removed"), F.count_if(~removed).alias("upserted"))
+
+
+def counts_of(spark: SparkSession, table: str) -> DataFrame:
+    """One row per batch of the table a ``ChangeCounter`` fills."""
+    return spark.read.schema(COUNTS).parquet(table).dropDuplicates(["run", "batch"])
+
+
 def latest_by_state(stream: DataFrame, checkpoint: str, key: str = "title", seq: str = "seq", available_now: bool = True,
                     interval: str = "1 minute") -> StreamingQuery:
     """Keep the latest change per key in the stream's own state instead of a log of files.
