@@ -14,7 +14,7 @@ from newsloom.schemas import SEARCH_FIELDS
 from newsloom.session import broadcast_if_small, is_small, shared_dir, spread
 from newsloom.sources import changes as C
 from newsloom.sources.pages import read_pages, select_source
-from newsloom.streaming.changes import apply_changes_stream, compact_log, read_log, read_state
+from newsloom.streaming.changes import ChangeCounter, apply_changes_stream, compact_log, counted, counts_of, read_log, read_state
 from newsloom.streaming.links import dedupe_links_stream, trending_stream
 
 CHANGES = "title string, seq bigint, event_name string, text string"
@@ -254,3 +254,37 @@ def test_a_hot_url_keeps_every_card(spark):
     joined = L.attach_card(pages, cards).select("card.card_id", "url")
     assert joined.count() == 300 and joined.select("card_id").distinct().count() == 300
     assert joined.where("url = 'http://example.com/hot?x=1#top'").count() == 100
+
+
+def test_unsound_records_leave_the_others(spark):
+    record = lambda seq, name="MODIFY": {"eventName": name, "dynamodb": {"SequenceNumber": seq, "Keys": {"title": {"S": f"t{seq}"}}}}
+    batch = lambda *records: json.dumps({"Records": list(records)})
+    rows = [batch(record("7"), record("08")), batch(record("9"), 5, record("x1"), {"eventName": "INSERT"}, record("10", "REMOVE"), "text", None),
+            "not json", '{"Records": 3}', "{}", batch(), None, "", batch(record(None)), batch({"eventName": "MODIFY", "dynamodb": 4})]
+    frame = spark.createDataFrame([(r,) for r in rows], "value string")
+    sound, bad = C.sort_changes(frame)
+    assert sorted((r.seq.digits, r.event_name, r["keys"]["title"].S) for r in sound.collect()) == [
+        ("10", "REMOVE", "t10"), ("7", "MODIFY", "t7"), ("8", "MODIFY", "t08"), ("9", "MODIFY", "t9")]
+    found = sorted((rows.index(r.value), -1 if r.pos is None else r.pos, r.reason) for r in bad.collect())
+    assert [f for f in found if f[0] == 1] == [(1, 1, "record"), (1, 2, "sequence"), (1, 3, "record"), (1, 5, "record"), (1, 6, "record")]
+    assert [f for f in found if f[0] != 1] == [(2, -1, "batch"), (3, -1, "batch"), (4, -1, "batch"), (7, -1, "batch"), (8, 0, "sequence"), (9, 0, "record")]
+    with pytest.raises(Exception):
+        C.explode_changes(frame).collect()  # strict reading stays the default
+    sound, bad = C.sort_changes(frame.limit(0))
+    assert sound.count() == bad.count() == 0
+
+
+def test_counts_of_a_stream_after_a_restart(spark, tmp_path):
+    counter = ChangeCounter(spark, f"{tmp_path}/counts")
+    spark.streams.addListener(counter)
+    try:
+        for part in (history(n=40), history(n=25, seed=2)):
+            spark.createDataFrame(part, CHANGES).write.mode("append").parquet(f"{tmp_path}/in")
+            stream = counted(spark.readStream.schema(CHANGES).parquet(f"{tmp_path}/in"))
+            counter.wait(apply_changes_stream(stream, f"{tmp_path}/log", f"{tmp_path}/checkpoint"))
+    finally:
+        spark.streams.removeListener(counter)
+    rows = counts_of(spark, f"{tmp_path}/counts").orderBy("batch").collect()
+    removed = [sum(r[2] == "REMOVE" for r in part) for part in (history(n=40), history(n=25, seed=2))]
+    told = [(r.processed, r.removed, r.upserted) for r in rows if r.processed]
+    assert told == [(40, removed[0], 40 - removed[0]), (25, removed[1], 25 - removed[1])]
