@@ -251,8 +251,12 @@ def candidate_links(nodes: DataFrame, threshold: float, recall: float, seed: int
         leads = crowd.groupBy("b").agg(F.min(F.when(alike, F.struct((F.col("tag") == F.col("node")).alias("own"), "node", "tag"))).alias("lead"))
         crowd = crowd.join(broadcast_if_small(stage(leads.select("b", F.col("lead.tag").alias("lead_tag")), "bucket-leads")), "b")
         other = ~F.col("tag").eqNullSafe(F.col("lead_tag"))
-        found.append(crowd.where(alike & other).select(F.col("lead_tag").alias("u"), F.col("tag").alias("v")))
-        crowd = crowd.withColumn("far", ~alike & other).withColumn("tag", F.when(F.col("far"), F.col("tag")).otherwise(F.col("lead_tag")))
+        # stored once: links, counts, comparisons and splits all read it
+        crowd = stage(crowd.select(
+            "b", "node", "near", F.when(alike & other, F.col("tag")).alias("linked"), (~alike & other).alias("far"),
+            F.when(~alike & other, F.col("tag")).otherwise(F.col("lead_tag")).alias("tag")), "led-buckets")
+        found.append(crowd.where("linked IS NOT NULL").select(F.col("tag").alias("u"), F.col("linked").alias("v")))
+        crowd = crowd.drop("linked")
         counts = stage(crowd.groupBy("b").agg(F.count("*").alias("n"), F.sum(F.col("far").cast("long")).alias("n_far")).where("n_far > 0"), "far-sizes")
         found.append(stage(_bucket_links(_finish(crowd, counts.where(F.col("n_far") <= LIMIT), nodes), least), "bucket-links"))
         deeper = counts.where(F.col("n_far") > LIMIT).select("b")
