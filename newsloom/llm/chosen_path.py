@@ -245,15 +245,17 @@ def candidate_links(nodes: DataFrame, threshold: float, recall: float, seed: int
         if large.isEmpty():
             break
         centres = stage(_centres(rows, large, nodes), "bucket-centres")
-        crowd = rows.join(broadcast_if_small(centres), "b").join(nodes.select("node", "sketch"), "node")
-        crowd = stage(crowd.select("b", "node", "tag", _alike("sketch", "centre").alias("near")), "large-buckets")
+        crowd = rows.join(broadcast_if_small(centres), "b").join(nodes.select("node", "sketch", "sig"), "node")
+        crowd = crowd.select("b", "node", "tag", "sig", _alike("sketch", "centre").alias("near"))
+        # members almost equal to the centre cannot be like a far one, so they need no further split
+        crowd = stage(crowd.withColumn("sig", F.when(F.col("near") < 0.95, F.col("sig"))), "large-buckets")
         alike = F.col("near") >= least
         leads = crowd.groupBy("b").agg(F.min(F.when(alike, F.struct((F.col("tag") == F.col("node")).alias("own"), "node", "tag"))).alias("lead"))
         crowd = crowd.join(broadcast_if_small(stage(leads.select("b", F.col("lead.tag").alias("lead_tag")), "bucket-leads")), "b")
         other = ~F.col("tag").eqNullSafe(F.col("lead_tag"))
         # stored once: links, counts, comparisons and splits all read it
         crowd = stage(crowd.select(
-            "b", "node", "near", F.when(alike & other, F.col("tag")).alias("linked"), (~alike & other).alias("far"),
+            "b", "node", "sig", F.when(alike & other, F.col("tag")).alias("linked"), (~alike & other).alias("far"),
             F.when(~alike & other, F.col("tag")).otherwise(F.col("lead_tag")).alias("tag")), "led-buckets")
         found.append(crowd.where("linked IS NOT NULL").select(F.col("tag").alias("u"), F.col("linked").alias("v")))
         crowd = crowd.drop("linked")
@@ -262,12 +264,10 @@ def candidate_links(nodes: DataFrame, threshold: float, recall: float, seed: int
         deeper = counts.where(F.col("n_far") > LIMIT).select("b")
         if deeper.isEmpty():
             break
-        # Members almost equal to the centre cannot be like a far one, so they need no further split.
-        left = crowd.where(F.col("near") < 0.95).join(deeper, "b")
+        left = crowd.where("sig IS NOT NULL").join(deeper, "b")
         if level == levels:
             found.append(_last_links(stage(left.select("node").distinct(), "hard-sets"), nodes, threshold, recall, seed, least))
             break
-        left = left.join(nodes.select("node", "sig"), "node")
         step = int((1 << 32) / (threshold * PLACES))
         chosen = F.filter(F.sequence(F.lit(0), F.lit(PLACES - 1)), lambda i: F.xxhash64(F.lit(level), "b", i).bitwiseAND(F.lit((1 << 32) - 1)) < step)
         rows = stage(left.select("node", "tag", F.explode(F.transform(chosen, lambda i: F.xxhash64(
