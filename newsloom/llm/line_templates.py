@@ -1,16 +1,18 @@
 """Line deduplication by a log-template tree.
 
 A line's tokens with a digit are variable fields. Lines descend a tree of fixed depth by their
-number of tokens and their leading tokens. A node whose lines agree at most of their places is one
-template, with the places where they differ as further variable fields; the lines of other nodes
-descend to the next level and at last are templates of their own. Lines of a template that many
-documents have are dropped. Agreement is counted over constant tokens: not over variable fields,
-and not by the node's own leading tokens alone. Lines of variable fields alone, as rows of numbers
-are, recur only when their texts are equal.
-
-A node that few documents have needs no further look, since those below it have no more. Whether a
-node's lines agree is told by the least and the greatest token of each place, which are summed up
-before the shuffle: a node with a third of all lines costs no more than its lines.
+number of tokens and their leading tokens. A token that most lines of a node have at a place is
+constant there, and the constants are the node's template; a line is of the template when it has
+the constants at most of its places. Lines that differ from it, and those of nodes without a
+template, descend to the next level, where those left have constants of their own; at last equal
+lines are templates. Lines of a template that many documents have are dropped. Agreement is counted
+over constant tokens: not over variable fields, and not by the node's own leading tokens alone.
+Lines of variable fields alone, as rows of numbers are, recur only when their texts are equal.
+
+Shares of lines decide, so a template found among few copies is found among any number of them. A
+node that few documents have needs no further look, since those below it have no more. Tokens are
+counted by place before the shuffle, and only counts that can be constants are kept after it: a node
+with a third of all lines costs no more than its lines.
 """
 
 from __future__ import annotations
@@ -48,19 +50,36 @@ def _many(lines: DataFrame, key: str, min_docs: int) -> DataFrame:
     return lines.select(key, "doc").distinct().groupBy(key).agg(F.count("*").alias("n_docs")).where(F.col("n_docs") >= min_docs).select(key)
 
 
-def _agreeing(lines: DataFrame, key: str, agree: float, depth: int) -> DataFrame:
-    """Keys of nodes whose lines have the same token at a share of at least ``agree`` of their places.
+def _templates(lines: DataFrame, agree: float, depth: int, min_docs: int) -> DataFrame:
+    """Constants of the nodes that can have a template: ``key, places``, an array of place and token's hash.
 
-    Places that are variable fields in every line say nothing and do not count, and the tokens that
-    make the node are the same by construction: one beyond them must be the same too.
+    A constant is the token of at least a share ``agree`` of the node's lines, so a place has one at
+    most. The tokens that make the node are constant by construction: one beyond them must be too.
     """
-    places = lines.select(key, F.posexplode("words").alias("place", "token"))
-    same = places.groupBy(key, "place").agg(F.min("token").alias("least"), F.max("token").alias("greatest"))
-    same = same.select(key, "place", (F.col("least") == F.col("greatest")).alias("same"), (F.col("greatest") != FIELD).alias("told"))
-    constant, counted = F.col("same") & F.col("told"), ~F.col("same") | F.col("told")
-    return same.groupBy(key).agg(
-        F.count_if(constant).alias("k"), F.count_if(counted).alias("n"), F.count_if(constant & (F.col("place") >= depth)).alias("beyond"),
-    ).where((F.col("k") >= agree * F.col("n")) & (F.col("beyond") > 0)).select(key)
+    nodes = lines.groupBy("key").agg(F.count("*").alias("n_lines"), F.max(F.size("words")).alias("n_words"))
+    counts = lines.select("key", F.posexplode("words").alias("place", "token")).groupBy(
+        "key", "place", F.xxhash64("token").alias("code")).agg(F.count("*").alias("n_same"))
+    common = counts.where(F.col("n_same") >= agree * min_docs).join(nodes, "key").where(F.col("n_same") >= agree * F.col("n_lines"))
+    told = F.col("code") != _field_code()
+    return common.groupBy("key").agg(
+        F.collect_list(F.struct("place", "code")).alias("places"), F.max("n_words").alias("n_words"), F.count_if(told).alias("k"),
+        F.count_if(~told).alias("n_fields"), F.count_if(told & (F.col("place") >= depth)).alias("beyond"),
+    ).where((F.col("k") >= agree * (F.col("n_words") - F.col("n_fields"))) & (F.col("beyond") > 0)).select("key", "places")
+
+
+def _field_code() -> Column:
+    return F.xxhash64(F.lit(FIELD))
+
+
+def _fits(agree: float, depth: int) -> Column:
+    """Whether ``words`` have the constants of ``places`` at most places, of those that are not fields in both."""
+    met = F.filter("places", lambda p: F.xxhash64(F.get("words", p["place"])) == p["code"])
+
+    def share(met: Column) -> Column:
+        same = F.filter(met, lambda p: p["code"] != _field_code())
+        return (F.size(same) >= agree * (F.size("words") - F.size(met) + F.size(same))) & F.exists(same, lambda p: p["place"] >= depth)
+
+    return F.coalesce(let(met, share), F.lit(False))
 
 
 def recurring_lines(
@@ -89,9 +108,12 @@ def recurring_lines(
     own = F.when(F.forall("words", lambda t: t == FIELD), F.xxhash64("line"))
     lines, found = stage(lines.withColumn("own", own).drop("line"), "recurring-lines"), []
     for above, depth in zip(depths, (*depths[1:], None)):
-        agreeing = stage(_agreeing(lines.dropDuplicates(["key", "words"]) if depth is None else lines, "key", agree, above), "templates")
-        found.append(lines.join(agreeing, "key", "left_semi").select("id", "text_key", "pos"))
-        rest = lines.join(agreeing, "key", "left_anti").drop("key")
+        templates = stage(_templates(lines, agree, above, min_docs), "templates")
+        marked = lines.join(templates, "key", "left").withColumn("fits", _fits(agree, above)).drop("places")
+        recur = stage(_many(marked.where("fits"), "key", min_docs).withColumn("recurs", F.lit(True)), "recurring-templates")
+        marked = marked.join(recur, "key", "left").withColumn("gone", F.col("fits") & F.coalesce("recurs", F.lit(False)))
+        found.append(marked.where("gone").select("id", "text_key", "pos"))
+        rest = marked.where(~F.col("gone")).drop("key", "fits", "recurs", "gone")
         deeper = F.coalesce("own", F.xxhash64("words")) if depth is None else node(F.col("words"), depth)
         rest = rest.withColumn("key", deeper)
         many = _many(rest, "key", min_docs)
@@ -134,35 +156,38 @@ def op3_line_templates(docs: DataFrame) -> DataFrame:
     return drop_recurring_lines(docs)
 
 
-# For given tables. It still counts fields and leading tokens as agreeing, so it drops lines that op 3 keeps where a table
-# has lines of fields alone, or of one token more than the node's that differ in the last.
+def _level_sql(lines: str, d: int, min_docs: int = 3, agree: float = 0.7) -> str:
+    """CTEs of a level: ``r{d}`` its lines of frequent nodes, ``d{d}`` those of templates, ``rest{d}`` the others."""
+    return f"""
+m{d} AS (SELECT n, k{d} FROM {lines} GROUP BY ALL HAVING count(DISTINCT doc_id) >= {min_docs}),
+r{d} AS (SELECT * FROM {lines} SEMI JOIN m{d} USING (n, k{d})),
+u{d} AS (SELECT doc_id, pos, n, k{d}, unnest(w) AS token, generate_subscripts(w, 1) - 1 AS place FROM r{d}),
+c{d} AS (
+  SELECT n, k{d}, place, token FROM (SELECT n, k{d}, place, token, count(*) AS same FROM u{d} GROUP BY ALL)
+  JOIN (SELECT n, k{d}, count(*) AS n_lines FROM r{d} GROUP BY ALL) USING (n, k{d}) WHERE same >= CAST({agree} AS DOUBLE) * n_lines
+), f{d} AS (
+  SELECT doc_id, pos, n, k{d} FROM u{d} SEMI JOIN c{d} USING (n, k{d}, place, token) GROUP BY ALL
+  HAVING count(*) FILTER (token <> '<*>') >= CAST({agree} AS DOUBLE) * (n - count(*) FILTER (token = '<*>'))
+    AND count(*) FILTER (token <> '<*>' AND place >= {d}) > 0
+), d{d} AS (
+  SELECT doc_id, pos FROM f{d} SEMI JOIN (SELECT n, k{d} FROM f{d} GROUP BY ALL HAVING count(DISTINCT doc_id) >= {min_docs}) USING (n, k{d})
+), rest{d} AS (SELECT * FROM r{d} ANTI JOIN d{d} USING (doc_id, pos)),"""
+
+
+# For given tables, in which a document is its id.
 OP3_SQL = r"""
 WITH lines AS (
-  SELECT doc_id, pos, list_transform(regexp_extract_all(line, '[^\x20\x09-\x0D]+'),
+  SELECT doc_id, pos, line, list_transform(regexp_extract_all(line, '[^\x20\x09-\x0D]+'),
     lambda t: CASE WHEN regexp_matches(t, '[0-9]') THEN '<*>' ELSE t END) AS w
   FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
           generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) - 1 AS pos FROM documents)
-), l2 AS (
+), all_lines AS (
   SELECT *, len(w) AS n, list_slice(w, 1, 2) AS k2, list_slice(w, 1, 4) AS k4 FROM lines WHERE len(w) > 0
-), m2 AS (SELECT n, k2 FROM l2 GROUP BY ALL HAVING count(DISTINCT doc_id) >= 3),
-r2 AS (SELECT * FROM l2 SEMI JOIN m2 USING (n, k2)),
-t2 AS (
-  SELECT n, k2 FROM (SELECT n, k2, place, min(token) = max(token) AS same
-    FROM (SELECT n, k2, unnest(w) AS token, generate_subscripts(w, 1) AS place FROM r2) GROUP BY ALL)
-  GROUP BY n, k2 HAVING sum(CAST(same AS INT)) >= 0.7 * n
-), d2 AS (SELECT doc_id, pos FROM r2 SEMI JOIN t2 USING (n, k2)),
-l4 AS (SELECT * FROM r2 ANTI JOIN t2 USING (n, k2)),
-m4 AS (SELECT n, k4 FROM l4 GROUP BY ALL HAVING count(DISTINCT doc_id) >= 3),
-r4 AS (SELECT * FROM l4 SEMI JOIN m4 USING (n, k4)),
-t4 AS (
-  SELECT n, k4 FROM (SELECT n, k4, place, min(token) = max(token) AS same
-    FROM (SELECT n, k4, unnest(w) AS token, generate_subscripts(w, 1) AS place FROM r4) GROUP BY ALL)
-  GROUP BY n, k4 HAVING sum(CAST(same AS INT)) >= 0.7 * n
-), d4 AS (SELECT doc_id, pos FROM r4 SEMI JOIN t4 USING (n, k4)),
-l0 AS (SELECT * FROM r4 ANTI JOIN t4 USING (n, k4)),
-m0 AS (SELECT w FROM l0 GROUP BY w HAVING count(DISTINCT doc_id) >= 3),
+),""" + _level_sql("all_lines", 2) + _level_sql("rest2", 4) + r"""
+l0 AS (SELECT *, CASE WHEN len(list_filter(w, lambda t: t <> '<*>')) = 0 THEN [line] ELSE w END AS own FROM rest4),
+m0 AS (SELECT own FROM l0 GROUP BY own HAVING count(DISTINCT doc_id) >= 3),
 gone AS (
-  SELECT * FROM d2 UNION ALL SELECT * FROM d4 UNION ALL SELECT doc_id, pos FROM l0 SEMI JOIN m0 USING (w)
+  SELECT * FROM d2 UNION ALL SELECT * FROM d4 UNION ALL SELECT doc_id, pos FROM l0 SEMI JOIN m0 USING (own)
 ), kept AS (
   SELECT doc_id, string_agg(line, chr(10) ORDER BY pos) AS text FROM (
     SELECT doc_id, unnest(string_split(text, chr(10))) AS line,

@@ -3,7 +3,7 @@
 import hashlib
 import random
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 from newsloom.llm import decontaminate, line_templates
 
@@ -74,22 +74,33 @@ def brute_lines(docs, min_docs=3, agree=0.7):
     for d, t, *_ in docs:
         for pos, line in enumerate((t or "").split("\n")):
             w = tuple("<*>" if re.search("[0-9]", x) else x for x in re.findall(r"[^\x20\x09-\x0D]+", line))
-            lines.append((d, t, pos, w))
+            lines.append((d, t, pos, w, line))
+    many = lambda xs: len({x[:2] for x in xs})
     gone, left = set(), [x for x in lines if x[3]]
     for depth in (2, 4, None):
-        key = (lambda x: x[3]) if depth is None else (lambda x: (len(x[3]), x[3][:depth]))
+        key = (lambda x: x[4] if set(x[3]) == {"<*>"} else x[3]) if depth is None else (lambda x: (len(x[3]), x[3][:depth]))
         nodes = defaultdict(list)
         for x in left:
             nodes[key(x)].append(x)
         left = []
         for xs in nodes.values():
-            if len({(d, t) for d, t, *_ in xs}) < min_docs:
+            if many(xs) < min_docs:
                 continue
-            same = sum(len(set(place)) == 1 for place in zip(*(x[3] for x in xs)))
-            if depth is None or same >= agree * len(xs[0][3]):
+            if depth is None:
                 gone |= {x[:3] for x in xs}
-            else:
-                left += xs
+                continue
+            constant = [Counter(place).most_common(1)[0] for place in zip(*(x[3] for x in xs))]
+            constant = [token if n >= agree * len(xs) else None for token, n in constant]
+            fit = []
+            for x in xs:
+                same = [i for i, (a, b) in enumerate(zip(x[3], constant)) if a == b != "<*>"]
+                counted = sum((a, b) != ("<*>", "<*>") for a, b in zip(x[3], constant))
+                if len(same) >= agree * counted and any(i >= depth for i in same):
+                    fit.append(x)
+            if many(fit) < min_docs:
+                fit = []
+            gone |= {x[:3] for x in fit}
+            left += [x for x in xs if x not in fit]
     out = []
     for d, t, *_ in docs:
         parts = (t or "").split("\n")
@@ -136,3 +147,39 @@ def test_numbers_that_recur_word_for_word_go(documents):
     docs = [(k, f"1 2 3\n1  2 3\n{k} 2 3") for k in range(2)] + [(5, "1 2 3"), (6, "4 4 4 4\nown"), (7, "4 4 4 4"), (8, "4 4 4 4")]
     got = {r.doc_id: r.text for r in line_templates.drop_recurring_lines(documents(docs)).collect()}
     assert got == {0: "1  2 3\n0 2 3", 1: "1  2 3", 5: "", 6: "own", 7: "", 8: ""}
+
+
+def test_a_template_is_dropped_whatever_the_number_of_its_copies(documents):
+    """One of eleven free places is another in each document."""
+    for n in (3, 30, 300):
+        docs = []
+        for k in range(n):
+            line = "this site is now run by people who read all your mail twice".split()
+            line[2 + k % 11] = "x" + "abcdefghij"[k % 10] + "klmnopqrst"[k // 10 % 10] + "uvwxyz"[k // 100]
+            docs.append((k, f"{chr(97 + k % 26)}{chr(97 + k // 26)} alone\n" + " ".join(line)))
+        got = line_rows(line_templates.drop_recurring_lines(documents(docs)))
+        assert got == brute_lines(docs)
+        assert [r[3] for r in got] == [1] * n
+
+
+def test_lines_beside_the_majority_have_templates_of_their_own(documents):
+    docs = [(k, "we are glad to see you here today" if k < 8 else "we are not open on any such day") for k in range(11)]
+    docs += [(20 + k, f"we are glad that {w} came by yesterday") for k, w in enumerate(["nobody", "Anna"])]
+    got = line_rows(line_templates.drop_recurring_lines(documents(docs)))
+    assert got == brute_lines(docs)
+    assert {r[0]: r[3] for r in got} == {k: 1 for k in range(11)} | {20: 0, 21: 0}
+
+
+def test_line_templates_match_sql(documents, prose):
+    import duckdb
+
+    draw, docs = random.Random(9), [(1, None), (2, ""), (3, "1 2\n3"), (4, "1 2"), (5, "1 2"), (6, "1 2")]
+    for k in range(80):
+        lines = [" ".join(draw.choices("a b c d 7".split(), k=draw.randint(1, 6))) for _ in range(6)] + [prose(k, 8)]
+        docs.append((100 + k, "\n".join(lines)))
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", [list(r) for r in docs])
+    want = sorted(con.sql(line_templates.OP3_SQL).fetchall(), key=str)
+    got = line_rows(line_templates.op3_line_templates(documents(docs)))
+    assert got == want == brute_lines(docs)
