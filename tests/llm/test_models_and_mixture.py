@@ -6,6 +6,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from newsloom.llm import language, licences, mixture, toxicity
 from newsloom.llm.common import words_of
@@ -190,12 +191,13 @@ def brute_targets(sizes, weights, total, cap):
     return got
 
 
-def test_targets_share_the_excess_anew():
+def test_targets_share_the_excess_anew(spark):
     for seed in range(30):
         draw = random.Random(seed)
         sizes = {s: draw.randint(0, 50) for s in "abcdef"}
         weights = {s: draw.choice([5, 2, 1]) for s in sizes}
-        got = mixture.capped_targets(sizes, weights, 1.5 * sum(sizes.values()), 2)
+        sources = spark.createDataFrame([(s, float(weights[s]), n) for s, n in sizes.items()], "source string, weight double, source_size long")
+        got = {r.source: r.target for r in mixture.source_targets(sources, 1.5 * sum(sizes.values()), 2).collect()}
         assert got == pytest.approx(brute_targets(sizes, weights, 1.5 * sum(sizes.values()), 2))
 
 
@@ -245,6 +247,55 @@ def test_mixture_of_documents(documents, prose):
     assert mixture.op10_mix_sources(documents([])).count() == 0
 
 
+def test_rows_that_share_an_id_are_drawn_apart(documents, prose):
+    """A source whose rows have no id or one id; rows alike in id and text too."""
+    rows = [(None, prose(i, 20 + i % 3), None, "a") for i in range(200)] + [(7, prose(900 + i, 30), None, "b") for i in range(300)]
+    rows += [(8, prose(5000, 25), None, "c")] * 400 + [(20 + i, prose(i, 40), None, "d") for i in range(10)]
+    source, taken, targets = {None: "a", 7: "b", 8: "c"}, defaultdict(int), {}
+    got = mixture.op10_mix_sources(documents(rows)).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        s = source.get(r.doc_id, "d")
+        taken[s] += r.taken
+        targets[s] = r.target
+    assert all(abs(taken[s] - targets[s]) <= 20 for s in "abcd"), (taken, targets)
+    assert sorted(map(tuple, got), key=str) == sorted(map(tuple, mixture.op10_mix_sources(documents(rows)).collect()), key=str)
+
+
+def test_sources_and_targets_match_sql(documents, prose):
+    import duckdb
+
+    draw = random.Random(14)
+    rows = [(i, prose(i, draw.randint(0, 30)), None, draw.choice(["a", "B", "é", "", None, "zz"])) for i in range(300)] + [(400, None, None, "only null")]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR, source VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?, ?)", [(i, t, s) for i, t, _, s in rows])
+    want = con.sql(r"""
+        WITH RECURSIVE d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size FROM documents),
+        s AS (SELECT source, sum(size) AS n, [5, 2, 1][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS w FROM d GROUP BY source),
+        level AS (
+          SELECT 0 AS step, 1.5 * (SELECT sum(n) FROM s) / (SELECT sum(w) FROM s) AS unit
+          UNION ALL
+          SELECT step + 1, (1.5 * (SELECT sum(n) FROM s) - (SELECT coalesce(sum(2 * n) FILTER (w * unit > 2 * n), 0) FROM s))
+            / (SELECT sum(w) FILTER (w * unit <= 2 * n) FROM s) FROM level WHERE step < 8)
+        SELECT doc_id, size, CAST(n AS BIGINT), least(2.0 * n, w * (SELECT max(unit) FROM level))
+        FROM d JOIN s ON d.source IS NOT DISTINCT FROM s.source ORDER BY doc_id""").fetchall()
+    got = sorted((r.doc_id, r.size, r.source_size, r.target) for r in mixture.op10_mix_sources(documents(rows)).collect())
+    assert [r[:3] for r in got] == [r[:3] for r in want]
+    assert [r[3] for r in got] == pytest.approx([float(r[3]) for r in want])
+
+
+def test_two_hundred_thousand_sources(spark):
+    docs = spark.range(200_000).select(F.col("id").alias("doc_id"), F.format_string("s%06d", "id").alias("source"), F.lit(3).alias("size"))
+    weights = mixture.source_weights(docs)
+    mixed, sources = mixture.mix_with_sources(docs.select("doc_id", F.array("source").alias("members"), "size"), weights)
+    assert sources.count() == 200_000 and {r.weight: r.n for r in sources.groupBy("weight").agg(F.count("*").alias("n")).collect()} == {
+        5.0: 66_667, 2.0: 66_667, 1.0: 66_666}
+    assert sources.agg(F.sum("target")).first()[0] == pytest.approx(900_000)
+    joined = mixed.join(sources, F.get("members", F.lit(0)) == F.col("source"))
+    assert joined.count() == 200_000 and joined.where(F.abs(F.col("copies") * 3 - F.col("target")) > 1.5).count() == 0
+
+
 def test_overlapping_sources(spark):
     rows = [(i, [["x"], ["y"], ["y", "x", "x"], [], None][i % 5], 10) for i in range(500)]
     docs = spark.createDataFrame(rows, "doc_id long, members array<string>, size long")
