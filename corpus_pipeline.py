@@ -45,11 +45,14 @@ def keep_clean_of_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 def mix_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mixture takes them."""
-    sized = docs.select("doc_id", F.array("source").alias("members"), mixture.word_count("text").alias("size"))
-    mixed = mixture.mix(sized, mixture.source_weights(docs)).where("copies > 0")
+    key = F.xxhash64("text").alias("text_key")
+    sized = docs.select("doc_id", F.array("source").alias("members"), mixture.word_count("text").alias("size"), key)
+    mixed = mixture.mix(sized, mixture.source_weights(docs), told_by=["text_key"]).where("copies > 0")
     # the mixture's columns come in one struct, beside the documents' own in another
-    mixed = mixed.groupBy("doc_id").agg(F.max("copies").alias("copies")).select(F.struct("doc_id", "copies").alias("mixed"))
-    joined = docs.select(F.struct("*").alias("doc")).join(mixed, F.col("doc.doc_id").eqNullSafe(F.col("mixed.doc_id")))
+    mixed = mixed.groupBy("doc_id", "text_key").agg(F.max("copies").alias("copies")).select(
+        F.struct("doc_id", "text_key", "copies").alias("mixed"))
+    joined = docs.select(F.struct("*").alias("doc"), key).join(
+        mixed, F.col("doc.doc_id").eqNullSafe(F.col("mixed.doc_id")) & (F.col("text_key") == F.col("mixed.text_key")))
     return joined.select("doc", F.explode(F.sequence(F.lit(1).cast("long"), F.col("mixed.copies"))).alias("copy")).select("doc.*")
 
 
