@@ -21,6 +21,7 @@ from newsloom.operators import discovery as S
 from newsloom.operators import links as L
 from newsloom.operators import sinks, tables
 from newsloom.operators.block_search import search_blocks, write_blocks
+from newsloom.operators.history import add_seen, unseen
 from newsloom.operators.periods import distinct_over, term_bitmaps
 from newsloom.plans.articles import build_articles, card_table
 from newsloom.plans.recommend import recommend
@@ -233,6 +234,18 @@ def expand_frontier_hops(spark, sf):
     return L.expand_frontier(edges, seeds, seeds, hops=3)
 
 
+def unseen_links(spark, sf):
+    """Links of the pages, then of the page chain, that are new to a history of all pages' addresses and earlier links."""
+    root = shared_dir(spark, "seen-links")
+    add_seen(_pages(spark, sf).select(U.canonical_url(F.col("url")).alias("url")), root, "pages")
+    found = []
+    for run, links in (("links", _nav(spark, sf)), ("chain", _chain(spark, sf).select("url").unionByName(_nav(spark, sf).select("url")))):
+        new = stage(unseen(links, root), "unseen-links")
+        add_seen(new, root, run)
+        found.append(new.withColumn("run", F.lit(run)))
+    return found[0].unionByName(found[1])
+
+
 def attach_card(spark, sf):
     pages = _pages(spark, sf).select("page_id", "url")
     cards = pages.select(F.concat(F.lit("card "), F.col("page_id") - 1).alias("title"),
@@ -293,6 +306,10 @@ def dense_text(spark, sf):
     return _clean(spark, sf).select("page_id", H.dense_text(F.col("html")).alias("text"))
 
 
+def scored_text(spark, sf):
+    return _clean(spark, sf).select("page_id", H.scored_text(F.col("html")).alias("text"))
+
+
 def page_title(spark, sf):
     return _clean(spark, sf).select("page_id", H.page_title(F.col("html")).alias("title"))
 
@@ -668,6 +685,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "b08_dedupe_links_stream": dedupe_links_stream_query,
     "b09_expand_frontier": expand_frontier,
     "b09_expand_frontier_hops": expand_frontier_hops,
+    "b09_unseen_links": unseen_links,
     "b10_attach_card": attach_card,
     "b10_attach_card_stream": attach_card_stream_query,
     "c01_strip_markup": strip_markup,
@@ -676,6 +694,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "c03_body_text_first": body_text_first,
     "c04_main_text": main_text,
     "c04_dense_text": dense_text,
+    "c04_scored_text": scored_text,
     "c05_page_title": page_title,
     "c06_meta_content": meta_content,
     "c07_lead_image": lead_image,

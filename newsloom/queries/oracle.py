@@ -275,6 +275,12 @@ ORACLE = {
       h3 AS (SELECT DISTINCT e.url FROM h2 JOIN edges e ON e.page_url = h2.url
         WHERE e.url NOT IN (FROM h0 UNION ALL FROM h1 UNION ALL FROM h2))
       SELECT url, 1 AS hop FROM h1 UNION ALL SELECT url, 2 FROM h2 UNION ALL SELECT url, 3 FROM h3""",
+    "b09_unseen_links": f"""
+      WITH own AS MATERIALIZED (SELECT {canonical('url')} AS url FROM pages),
+      one AS MATERIALIZED (SELECT DISTINCT url FROM ({NAV}) WHERE url IS NOT NULL AND url NOT IN (SELECT url FROM own WHERE url IS NOT NULL))
+      SELECT url, 'links' AS run FROM one UNION ALL
+      SELECT DISTINCT url, 'chain' FROM (SELECT url FROM ({CHAIN}) UNION ALL SELECT url FROM ({NAV})) WHERE url IS NOT NULL
+        AND url NOT IN (SELECT url FROM own WHERE url IS NOT NULL) AND url NOT IN (SELECT url FROM one)""",
     "b10_attach_card": """
       SELECT p.page_id, p.url, 'card ' || (c.page_id - 1) AS card_title FROM pages p
       JOIN pages c ON split_part(p.url, '#', 1) = split_part(c.url, '#', 1) WHERE c.page_id > 0""",
@@ -309,6 +315,21 @@ ORACLE = {
           THEN words > 16 OR words_after > 15 OR words_before > 4 ELSE words > 40 OR words_after > 17 END
         GROUP BY page_id)
       SELECT p.page_id, coalesce(kept.text, '') AS text FROM pages p LEFT JOIN kept ON kept.page_id = p.page_id""",
+    "c04_scored_text": rf"""
+      WITH token AS (
+        SELECT page_id, unnest(parts) AS part, generate_subscripts(parts, 1) AS i FROM (
+          SELECT page_id, regexp_extract_all(html, '<[^>]*>|[^<\x09-\x0D\x20]+') AS parts FROM ({PAGES}))),
+      total AS (SELECT *, sum(CASE WHEN part LIKE '<%' THEN -13 ELSE 4 END) OVER (PARTITION BY page_id ORDER BY i) AS upto FROM token),
+      ahead AS (SELECT *, coalesce(lag(upto) OVER (PARTITION BY page_id ORDER BY i), 0) AS before FROM total),
+      low AS (SELECT *, min(before) OVER (PARTITION BY page_id ORDER BY i) AS least FROM ahead),
+      ends AS (
+        SELECT page_id, i AS last, least, row_number() OVER (PARTITION BY page_id ORDER BY upto - least DESC, i) AS rank
+        FROM low QUALIFY rank = 1 AND upto > least),
+      starts AS (SELECT page_id, last, max(i) AS first FROM ahead JOIN ends USING (page_id) WHERE i <= last AND before = least GROUP BY ALL),
+      run AS (
+        SELECT page_id, string_agg(part, ' ' ORDER BY i) AS text FROM token JOIN starts USING (page_id)
+        WHERE i BETWEEN first AND last AND part NOT LIKE '<%' GROUP BY page_id)
+      SELECT page_id, coalesce({unescape('text')}, '') AS text FROM pages LEFT JOIN run USING (page_id)""",
     "c05_page_title": f"SELECT page_id, {title('html')} AS title FROM ({PAGES})",
     "c06_meta_content": f"""
       SELECT page_id, image, {host('url')} AS section, url AS link_image, CAST(NULL AS VARCHAR) AS keywords FROM ({FIELDS})""",
