@@ -203,21 +203,34 @@ def _finish(rows: DataFrame, sizes: DataFrame, nodes: DataFrame) -> DataFrame:
         nodes.select("node", "sketch"), "node")
 
 
-def _centres(rows: DataFrame, large: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``b, centre``: per place the commonest byte among about 64 members of each large bucket, chosen by a hash."""
+def _centres(rows: DataFrame, large: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
+    """``b, centre, lead, deep`` of each large bucket, from about 64 of its members, chosen by a hash.
+
+    The centre has the commonest byte of each place. ``lead`` is the tag of the member nearest to it,
+    null where none is like it. ``deep`` tells that the far ones among the 64 stand for more than
+    twice ``LIMIT``, so that the bucket is to be split without counting them.
+    """
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for held in batch.column("held").to_pylist():
-                marks = np.frombuffer(b"".join(held), np.uint8).reshape(-1, PLACES)
+            centres, leads, deep = [], [], []
+            for n, held in zip(batch.column("n").to_pylist(), batch.column("held").to_pylist()):
+                held.sort(key=lambda h: (h["tag"], h["sketch"]))
+                marks = np.frombuffer(b"".join(h["sketch"] for h in held), np.uint8).reshape(-1, PLACES)
                 counts = np.zeros((PLACES, 256), np.int32)
                 np.add.at(counts, (np.arange(PLACES)[None, :], marks), 1)
-                out.append(counts.argmax(axis=1).astype(np.uint8).tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column("b"), pa.array(out, pa.binary())], names=["b", "centre"])
+                centre = counts.argmax(axis=1).astype(np.uint8)
+                near = estimate(marks, centre)
+                lead = held[int(near.argmax())]["tag"] if near.max() >= least else None
+                far = sum(h["tag"] != lead and (lead is None or x < least) for h, x in zip(held, near))
+                centres.append(centre.tobytes())
+                leads.append(lead)
+                deep.append(far * n > 2 * LIMIT * len(held))
+            yield pa.RecordBatch.from_arrays([batch.column("b"), pa.array(centres, pa.binary()), pa.array(leads, pa.binary()),
+                                              pa.array(deep, pa.bool_())], names=["b", "centre", "lead", "deep"])
 
-    some = rows.join(large, "b").where(F.pmod(F.xxhash64("b", "node"), F.ceil(F.col("n") / 64)) == 0).select("b", "node")
-    held = some.join(nodes.select("node", "sketch"), "node").groupBy("b").agg(F.collect_list("sketch").alias("held"))
-    return held.mapInArrow(work, "b long, centre binary")
+    some = rows.join(large, "b").where(F.pmod(F.xxhash64("b", "node"), F.ceil(F.col("n") / 64)) == 0).select("b", "n", "node", "tag")
+    held = some.join(nodes.select("node", "sketch"), "node").groupBy("b", "n").agg(F.collect_list(F.struct("tag", "sketch")).alias("held"))
+    return held.mapInArrow(work, "b long, centre binary, lead binary, deep boolean")
 
 
 def candidate_links(nodes: DataFrame, threshold: float, recall: float, seed: int, levels: int = LEVELS) -> DataFrame:
@@ -226,7 +239,9 @@ def candidate_links(nodes: DataFrame, threshold: float, recall: float, seed: int
     A large bucket has a centre. Members like it are linked to one of them and carry its tag from then
     on: in the buckets split off they are known to be of one class, so only pairs with a far member,
     one of another tag and unlike the centre, are still of interest. Few far members meet all members
-    of the bucket; more of them are split. Each step takes work in proportion to a bucket's members.
+    of the bucket; more of them are split. Each step takes work in proportion to a bucket's members:
+    one join with the centres, and one with the counts of far members where the centre's sample does
+    not already tell that they are many.
     """
     least = threshold - 0.15  # over four standard errors of a sketch of 128 places
     places = root_places(runs_needed(recall, levels), threshold, seed)
@@ -244,27 +259,25 @@ def candidate_links(nodes: DataFrame, threshold: float, recall: float, seed: int
         large = sizes.where(F.col("n") > LIMIT).select("b", "n")
         if large.isEmpty():
             break
-        centres = stage(_centres(rows, large, nodes), "bucket-centres")
+        centres = stage(_centres(rows, large, nodes, least), "bucket-centres")
         crowd = rows.join(broadcast_if_small(centres), "b").join(nodes.select("node", "sketch", "sig"), "node")
-        crowd = crowd.select("b", "node", "tag", "sig", _alike("sketch", "centre").alias("near"))
-        # members almost equal to the centre cannot be like a far one, so they need no further split
-        crowd = stage(crowd.withColumn("sig", F.when(F.col("near") < 0.95, F.col("sig"))), "large-buckets")
-        alike = F.col("near") >= least
-        leads = crowd.groupBy("b").agg(F.min(F.when(alike, F.struct((F.col("tag") == F.col("node")).alias("own"), "node", "tag"))).alias("lead"))
-        crowd = crowd.join(broadcast_if_small(stage(leads.select("b", F.col("lead.tag").alias("lead_tag")), "bucket-leads")), "b")
-        other = ~F.col("tag").eqNullSafe(F.col("lead_tag"))
-        # stored once: links, counts, comparisons and splits all read it
+        crowd = crowd.select("b", "node", "tag", "sig", "lead", "deep", _alike("sketch", "centre").alias("near"))
+        alike, other = F.col("lead").isNotNull() & (F.col("near") >= least), ~F.col("tag").eqNullSafe(F.col("lead"))
+        # stored once: links, counts, comparisons and splits all read it. Members almost equal to a
+        # centre that leads cannot be like a far one, so they need no further split and lose their signature
         crowd = stage(crowd.select(
-            "b", "node", "sig", F.when(alike & other, F.col("tag")).alias("linked"), (~alike & other).alias("far"),
-            F.when(~alike & other, F.col("tag")).otherwise(F.col("lead_tag")).alias("tag")), "led-buckets")
+            "b", "node", "deep", F.when(F.col("lead").isNull() | (F.col("near") < 0.95), F.col("sig")).alias("sig"),
+            F.when(alike & other, F.col("tag")).alias("linked"), (~alike & other).alias("far"),
+            F.when(~alike & other, F.col("tag")).otherwise(F.col("lead")).alias("tag")), "led-buckets")
         found.append(crowd.where("linked IS NOT NULL").select(F.col("tag").alias("u"), F.col("linked").alias("v")))
-        crowd = crowd.drop("linked")
-        counts = stage(crowd.groupBy("b").agg(F.count("*").alias("n"), F.sum(F.col("far").cast("long")).alias("n_far")).where("n_far > 0"), "far-sizes")
-        found.append(stage(_bucket_links(_finish(crowd, counts.where(F.col("n_far") <= LIMIT), nodes), least), "bucket-links"))
+        counted = crowd.where("NOT deep").select("b", "node", "tag", "sig", "far")
+        counts = stage(counted.groupBy("b").agg(F.count("*").alias("n"), F.sum(F.col("far").cast("long")).alias("n_far")).where("n_far > 0"), "far-sizes")
+        found.append(stage(_bucket_links(_finish(counted, counts.where(F.col("n_far") <= LIMIT), nodes), least), "bucket-links"))
         deeper = counts.where(F.col("n_far") > LIMIT).select("b")
-        if deeper.isEmpty():
+        left = counted.where("sig IS NOT NULL").join(deeper, "b").select("b", "node", "tag", "sig").unionByName(
+            crowd.where("deep AND sig IS NOT NULL").select("b", "node", "tag", "sig"))
+        if left.isEmpty():
             break
-        left = crowd.where("sig IS NOT NULL").join(deeper, "b")
         if level == levels:
             found.append(_last_links(stage(left.select("node").distinct(), "hard-sets"), nodes, threshold, recall, seed, least))
             break
