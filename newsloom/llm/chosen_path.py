@@ -24,11 +24,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.llm.common import as_bytes, pieces, words_of
+from newsloom.llm.common import FOLD, as_bytes, pieces
 from newsloom.llm.components import components
 from newsloom.session import broadcast_if_small, stage
 
 SHINGLE, PLACES, LIMIT, LEVELS = 5, 128, 128, 3
+SLICE = 1 << 16  # bytes of a text whose words are held at a time
 TOGETHER = 6  # places of a split of what is left at the last level
 _ODD = np.random.Generator(np.random.PCG64(97)).integers(0, 1 << 63, PLACES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -39,12 +40,24 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+def _word_hashes(text: bytes | None) -> np.ndarray:
+    """A hash of each word. Words are held for a slice of the text at a time, cut where one ends."""
+    if not text:
+        return np.zeros(0, np.uint64)
+    folded, out, at = text.translate(FOLD), [], 0
+    while at < len(folded):
+        end = folded.find(b" ", at + SLICE)
+        words = folded[at:end if end >= 0 else len(folded)].split()
+        out.append(np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words)))
+        at = end if end >= 0 else len(folded)
+    return np.concatenate(out)
+
+
 def shingles(text: bytes | None, size: int = SHINGLE) -> np.ndarray:
     """Sorted different 64-bit hashes of all runs of ``size`` words; fewer words are one run."""
-    words = words_of(text)
-    if not words:
+    each = _word_hashes(text)
+    if not len(each):
         return np.zeros(0, np.uint64)
-    each = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
     n = min(size, len(each))
     runs = np.full(len(each) - n + 1, n, np.uint64)
     for k in range(n):

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 # Word characters are ASCII letters and digits and everything beyond ASCII. In UTF-8 every byte of
 # a character beyond ASCII is at least 0x80, so one byte table lower-cases and separates.
-_FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
+FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -20,7 +20,7 @@ ASCII_UPPER, ASCII_LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuv
 
 def words_of(text: bytes | None) -> list[bytes]:
     """Words of a UTF-8 text, A-Z in lower case. Null has none."""
-    return text.translate(_FOLD).split() if text else []
+    return text.translate(FOLD).split() if text else []
 
 
 def lower_ascii(text: Column) -> Column:

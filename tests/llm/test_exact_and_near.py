@@ -88,6 +88,15 @@ def test_shingles_of_short_texts():
     assert chosen_path.shingles(b"ab c").tolist() != chosen_path.shingles(b"a bc").tolist()
 
 
+def test_words_of_long_texts_are_read_in_slices(monkeypatch):
+    text = ("Ünï çödé  one-two\tTHREE " * 500 + "x" * 900 + " the end").encode()
+    whole = chosen_path.shingles(text).tolist()
+    for size in (1, 7, 1000):
+        monkeypatch.setattr(chosen_path, "SLICE", size)
+        assert chosen_path.shingles(text).tolist() == whole
+        assert len(chosen_path.shingles(b"one two")) == 1 and len(chosen_path.shingles(b" .,; " * 9)) == 0
+
+
 def test_near_duplicates_match_brute_force(documents, prose):
     rows = [(1, None), (2, ""), (3, "?!"), (4, "two words"), (5, "Two, words"), (None, "two words"), (6, "one two three four")]
     for g in range(12):
