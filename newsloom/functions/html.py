@@ -7,13 +7,10 @@ Patterns may be columns, so that each row can follow the rules of its own source
 
 from __future__ import annotations
 
-from html import unescape
-from html.entities import name2codepoint
+from html.entities import html5, name2codepoint
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from newsloom.functions.text import blank_to_null, clean_space, let
 from newsloom.functions.urls import resolve_url
@@ -86,10 +83,55 @@ def unescape_entities(text: Column) -> Column:
         t.contains("&"), F.array_join(F.transform(F.split(t, "&"), decode), "")).otherwise(t))
 
 
-@F.pandas_udf(StringType())
-def unescape_html5(text: pd.Series) -> pd.Series:
-    """The full HTML 5 set, with the old references that need no ``;``."""
-    return text.map(unescape, na_action="ignore")
+def _html5_table() -> str:
+    """``\\x01name;\\x02letters`` for every HTML 5 name, the ones also known without ``;`` twice."""
+    return "".join(f"\x01{name}\x02{letters}" for name, letters in html5.items()) + "\x01"
+
+
+def _cp1252(number: int) -> str:
+    """What a reference to 0x80 to 0x9F stands for: the letter of that byte in Windows' Latin, where it has one."""
+    return bytes([number]).decode("cp1252", "ignore") or chr(number)
+
+
+def unescape_html5(text: Column) -> Column:
+    """Decode character references as HTML 5 does, each exactly once.
+
+    All HTML 5 names closed by ``;`` count; the old names also without it, the longest that fits.
+    Numbers of no character become U+FFFD, those of control characters and non-characters vanish, and
+    those of 0x80 to 0x9F are read as Windows' Latin. What is no reference stays as it is.
+    """
+    table = F.lit(_html5_table())
+    old = "|".join(sorted((name for name in html5 if not name.endswith(";")), key=lambda name: (-len(name), name)))
+    latin = F.lit("".join(map(_cp1252, range(0x80, 0xA0))))
+
+    def named(name: Column) -> Column:
+        place = F.call_function("instr", table, F.concat(F.lit("\x01"), name, F.lit("\x02")))
+        return F.when((name != "") & (place > 0), F.substring_index(F.substr(table, place + F.length(name) + 2, F.lit(3)), "\x01", 1))
+
+    def numbered(reference: Column) -> Column:
+        hexadecimal = F.lower(F.substring(reference, 2, 1)) == "x"
+        digits = F.ltrim(F.regexp_extract(reference, "^#[xX]?([0-9A-Fa-f]+)", 1), F.lit("0"))
+        # more digits than the last code point has are beyond it
+        number = F.when(digits == "", 0).when(F.length(digits) <= 7, F.when(
+            hexadecimal, F.conv(digits, 16, 10)).otherwise(digits).cast("int")).otherwise(0x110000)
+        return let(number, lambda n: F.when((n == 0) | n.between(0xD800, 0xDFFF) | (n > 0x10FFFF), F.lit("�"))
+                   .when(n.between(0x80, 0x9F), F.substr(latin, n - 0x7F, F.lit(1)))
+                   .when(n.between(0x01, 0x08) | (n == 0x0B) | n.between(0x0E, 0x1F) | (n == 0x7F) | n.between(0xFDD0, 0xFDEF)
+                         | (n.bitwiseAND(0xFFFE) == 0xFFFE), F.lit(""))
+                   .otherwise(F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")))
+
+    def after(piece: Column, reference: Column, letters: Column) -> Column:
+        return F.concat(letters, F.substr(piece, F.length(reference) + 1))
+
+    def decode(piece: Column, i: Column) -> Column:
+        parts = F.array(F.regexp_extract(piece, r"^#(?:[0-9]+|[xX][0-9A-Fa-f]+);?", 0),
+                        F.regexp_extract(piece, r"^[A-Za-z][A-Za-z0-9]{1,30};", 0), F.regexp_extract(piece, f"^(?:{old})", 0))
+        found = let(parts, lambda p: F.coalesce(
+            F.when(p[0] != "", after(piece, p[0], numbered(p[0]))), after(piece, p[1], named(p[1])), after(piece, p[2], named(p[2]))))
+        return F.when(i == 0, piece).otherwise(F.coalesce(found, F.concat(F.lit("&"), piece)))
+
+    return let(text, lambda t: F.when(
+        t.contains("&"), F.array_join(F.transform(F.split(t, "&"), decode), "")).otherwise(t))
 
 
 def inner_to_close(piece: Column, tag: Column) -> Column:

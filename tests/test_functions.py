@@ -1,6 +1,8 @@
 """Column functions on hand-written input."""
 
 import html as stdlib_html
+import html.entities
+import random
 from datetime import date
 
 import pytest
@@ -86,6 +88,18 @@ def test_entities_decode_once(spark):
     assert one(spark, None, H.unescape_entities) is None
 
 
+def test_html5_references_are_those_of_the_standard_library(spark):
+    """Every name with and without its end, every kind of number, and random mixtures."""
+    names, draw = stdlib_html.entities.html5, random.Random(1)
+    texts = [f"a&{n}b" for n in names] + [f"x&{n[:-1]} y" for n in names if n.endswith(";")]
+    texts += [f"&#{n};|&#x{n:X}z|&#X{n:x};" for n in [
+        *range(0x110), 0xD7FF, 0xD800, 0xDFFF, 0xE000, 0xFDD0, 0xFDEF, 0xFFFD, 0xFFFE, 0x1F600, 0x1FFFE, 0x10FFFF, 0x110000, 10**9]]
+    parts = ["&", "#", "x", "amp", "lt", ";", "not", "notit", "in", "000", "65", " ", "<", "copy", "é", "\x01", "\x02", "frac12", "A"]
+    texts += ["".join(draw.choices(parts, k=12)) for _ in range(1000)] + ["&", "", "&;", "&#;", "&#x;", "&#0000000000065;", "&#x000000041 "]
+    assert column(spark, texts, H.unescape_html5) == [stdlib_html.unescape(t) for t in texts]
+    assert one(spark, None, H.unescape_html5) is None
+
+
 def test_every_html4_name(spark):
     from html.entities import name2codepoint
     text = "".join(f"&{n};" for n in name2codepoint)
