@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.llm.common import as_bytes, words_of
+from newsloom.llm.common import as_bytes, pieces, words_of
 
 # The phrases that every scan counts.
 BASE_PHRASES = {
@@ -36,14 +36,24 @@ NOTICE_PHRASES = {
     "cc0": "cc0",
     "public domain": "public-domain",
     "all rights reserved": "proprietary",
+    "artistic license": "artistic",
+    "boost software license": "bsl",
+    "gnu free documentation license": "gfdl",
+    "server side public license": "sspl",
+    "european union public licence": "eupl",
+    "permission is hereby granted free of charge to any person obtaining a copy": "mit",
+    "permission to use copy modify and or distribute this software for any purpose": "isc",
+    "redistribution and use in source and binary forms": "bsd",
+    "permission is granted to anyone to use this software for any purpose": "zlib",
+    "this is free and unencumbered software released into the public domain": "unlicense",
 }
 TAG = "spdx license identifier"
 # Licences of each family by the start of their identifier, the longest first.
 FAMILIES = (
     "agpl", "lgpl", "gpl", "apache", "mit", "mpl", "epl", "bsd", "isc", "cc-by-nc-nd", "cc-by-nc-sa", "cc-by-nc",
-    "cc-by-nd", "cc-by-sa", "cc-by", "cc0", "unlicense",
+    "cc-by-nd", "cc-by-sa", "cc-by", "cc0", "unlicense", "artistic", "bsl", "eupl", "gfdl", "sspl", "zlib",
 )
-PERMISSIVE = {"apache", "mit", "bsd", "isc", "cc-by", "cc0", "unlicense", "public-domain"}
+PERMISSIVE = {"apache", "mit", "bsd", "bsl", "isc", "cc-by", "cc0", "unlicense", "public-domain", "zlib"}
 _BINDS = {"or": 1, "and": 2, "with": 3}
 _TAGGED = re.compile(r"spdx-license-identifier\s*:\s*([^\r\n]*)")
 _TOKEN = re.compile(r"[()]|[a-z0-9.+:-]+")
@@ -174,10 +184,11 @@ def scan_licences(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -
     def scan_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = _automaton()
         for batch in batches:
-            rows = [scan(t, automaton) for t in as_bytes(batch.column("text"))]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *(pa.array([r[n] for r in rows], t) for n, t in _FIELDS)],
-                names=[id_col, *(n for n, _ in _FIELDS)])
+            for piece in pieces(batch, "text"):
+                rows = [scan(t, automaton) for t in as_bytes(piece.column("text"))]
+                yield pa.RecordBatch.from_arrays(
+                    [piece.column(0), *(pa.array([r[n] for r in rows], t) for n, t in _FIELDS)],
+                    names=[id_col, *(n for n, _ in _FIELDS)])
 
     return docs.select(F.col(id_col), F.col(text).alias("text")).mapInArrow(
         scan_all, f"`{id_col}` {kind}, n_words long, n_base long, first_word long, last_word long, base_labels string, "

@@ -123,8 +123,8 @@ def test_toxic_documents_and_spans_are_found(scored):
     held = [r for r in got if r.held_out and r.doc_id < 500]
     assert len(held) > 60 and np.mean([r.predicted == int(r.doc_id % 6 == 0) for r in held]) > 0.97
     assert [by_id[i].predicted for i in (900, 901, 902, 903, 904, 905, None)] == [0, 0, 0, 1, 0, 1, 1]
-    spans = toxicity.score_toxicity(docs, toxicity.train_field(docs, marks)).where("doc_id = 905").first().spans
-    assert [dict(rows)[905][s.start:s.end] for s in spans] == ["snark"]
+    assert [dict(rows)[905][s.start:s.end] for s in by_id[905].spans] == ["snark"]
+    assert [by_id[i].spans for i in (900, 901, 902, 904)] == [[]] * 4 and all(0.5 <= s.p <= 1 for r in got for s in r.spans)
 
 
 def test_toxicity_without_labels_or_documents(spark, documents, scored):
@@ -152,6 +152,20 @@ def test_broken_licence_expressions(expression):
     assert licences.evaluate(expression) is None
 
 
+@pytest.mark.parametrize("text, labels, free", [
+    ("Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software", {"mit"}, True),
+    ("Redistribution and use in source and binary forms, with or without", {"bsd"}, True),
+    ("Permission to use, copy, modify, and/or distribute this software for any purpose", {"isc"}, True),
+    ("Permission is granted to anyone to use this software for any purpose", {"zlib"}, True),
+    ("Distributed under the Boost Software License, Version 1.0.", {"bsl"}, True),
+    ("This is free and unencumbered software released into the public domain.", {"unlicense", "public-domain"}, True),
+    ("under the Artistic License", {"artistic"}, False), ("Permission is hereby granted", set(), None),
+])
+def test_openings_of_licence_texts(text, labels, free):
+    got = licences.scan(text.encode(), licences._automaton())
+    assert (set(filter(None, got["labels"].split(","))), got["permissive"], got["n_base"]) == (labels, free, 0)
+
+
 def brute_licences(text):
     w = [x.decode() for x in words_of(text.encode() if text else None)]
     places = [(i, label) for phrase, label in licences.BASE_PHRASES.items() for i in range(len(w)) if w[i:i + len(phrase.split())] == phrase.split()]
