@@ -232,7 +232,9 @@ def search(index: DataFrame, queries: DataFrame, text: str = "text", id_col: str
     lists = lists.join(broadcast_if_small(stage(frequent.select("term", weight.alias("w")), "term-weights")), "term").drop("df")
     blocks = uses.select("block").distinct().agg(F.array_sort(F.collect_list("block")).alias("block")).first()["block"]
     shards = index.where("term IS NULL").select(F.col("shard").alias("in_shard"), "ids", "nulls", "lengths")
-    shards = shards.withColumn("in_block", F.explode(F.array(*map(F.lit, blocks))) if blocks else F.lit(None).cast("long"))
+    # a long as in ``lists``: an int of the same value hashes to another partition, and the groups would not meet
+    numbers = F.array(*map(F.lit, blocks)).cast("array<long>")
+    shards = shards.withColumn("in_block", F.explode(numbers) if blocks else F.lit(None).cast("long"))
 
     def work(docs: pa.Table, terms: pa.Table) -> pa.Table:
         out: list[tuple] = []

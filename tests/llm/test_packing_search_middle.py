@@ -183,6 +183,22 @@ def test_search_equals_brute_force(spark, documents, corpus, shard, block):
     assert sorted(map(tuple, got.collect()), key=str) == brute_search(docs, items)
 
 
+def test_search_over_many_shuffle_partitions(spark, documents, corpus):
+    """Groups of a shard and a block meet though no partitions are put together."""
+    docs, items = corpus
+    frame = spark.createDataFrame([(*i, "x", 1, 1) for i in items], ITEMS)
+    changed = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "32"}
+    before = {key: spark.conf.get(key) for key in changed}
+    try:
+        for key, value in changed.items():
+            spark.conf.set(key, value)
+        got = ranked_search.search(ranked_search.build_index(documents(docs), shard_docs=100), frame, block=10).collect()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert sorted(map(tuple, got), key=str) == brute_search(docs, items)
+
+
 def test_search_of_nothing(spark, documents, corpus):
     docs, items = corpus
     empty = spark.createDataFrame([(*i, "x", 1, 1) for i in items], ITEMS)
