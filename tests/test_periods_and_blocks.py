@@ -64,6 +64,16 @@ def test_distinct_articles_of_periods(spark, length):
     assert got == {k: len(v) for k, v in want.items()}
 
 
+def test_bitmaps_of_rare_terms_are_small(spark):
+    """A set of one article takes a few bytes, ids below 0 count too, and sets that are stored twice count once."""
+    frame = spark.range(-500, 500).select(F.col("id").alias("doc_id"), F.concat(F.lit("t"), F.pmod("id", F.lit(300))).alias("term"), F.lit(
+        "2024-01-01 05:00:00").cast("timestamp").alias("at"))
+    bitmaps = term_bitmaps(frame, "at")
+    assert bitmaps.agg(F.max(F.length(F.to_json(F.struct("*"))))).first()[0] < 200
+    got = distinct_over(bitmaps.unionByName(bitmaps), 3).groupBy("start").agg(F.count("*"), F.sum("n")).collect()
+    assert sorted((r[0].hour, r[1], r[2]) for r in got) == [(h, 300, 1000) for h in (3, 4, 5)]
+
+
 def test_row_offsets_of_a_hot_group(spark):
     rows = [(i, "hot" if i % 10 else None) for i in range(2000)] + [(5000 + i, f"s{i}") for i in range(5)] + [(7, "hot"), (7, "hot")]
     frame = spark.createDataFrame(rows, "n long, source string").repartition(5)
