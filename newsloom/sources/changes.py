@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
 from newsloom.schemas import ARTICLE, CHANGE_BATCH
-from newsloom.session import shared_dir
+from newsloom.session import stage
 
 
 def sequence_order(text: Column) -> Column:
@@ -44,9 +44,9 @@ def sort_changes(df: DataFrame, column: str = "value") -> tuple[DataFrame, DataF
     batch, the place of the record in it, the record's own text, and why it was put aside: ``batch`` (not
     JSON, or without records; place and record are null), ``record`` (not of a change record's shape) or
     ``sequence`` (its number is missing or not one). Both come from one pass over ``df``, which is
-    stored in the shared folder by sound and unsound rows. A null batch is none.
+    stored in the shared folder with a mark on unsound rows. A null batch is none.
     """
-    spark, kept = df.sparkSession, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "corrupt"}
+    kept = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "corrupt"}
     record_type = CHANGE_BATCH[len("Records array<struct<"):-2]
     batch = df.where(F.col(column).isNotNull()).select(
         F.col(column).alias("value"), F.from_json(F.col(column), "Records array<string>, corrupt string", kept).alias("batch"))
@@ -63,9 +63,8 @@ def sort_changes(df: DataFrame, column: str = "value") -> tuple[DataFrame, DataF
         "reason", F.when(bad, F.col("value")).alias("value"), F.when(bad, F.col("pos")).alias("pos"), F.when(bad, F.col("record")).alias("record"),
         F.col("r.eventName").alias("event_name"), sequence_order(F.when(~bad, number)).alias("seq"),
         F.col("r.dynamodb.Keys").alias("keys"), F.col("r.dynamodb.NewImage").alias("image"), bad.alias("unsound"))
-    path = shared_dir(spark, "sorted-changes")
-    told.write.partitionBy("unsound").parquet(path)
-    stored = spark.read.schema(told.schema).parquet(path)
+    # a mark and not a folder for each kind: rows written by folder are sorted first, a whole task's with their maps
+    stored = stage(told, "sorted-changes")
     return (stored.where("NOT unsound").select("event_name", "seq", "keys", "image"),
             stored.where("unsound").select("value", "pos", "record", "reason"))
 
