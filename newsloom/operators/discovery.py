@@ -20,6 +20,9 @@ B = 0.75
 # Up to this many distinct query terms are passed to the scan as a filter.
 FEW_TERMS = 200
 
+# Scores that one task adds up: pairs of a query and an article, once for each term they share.
+TASK_PAIRS = 1 << 20
+
 
 def top_terms(text: Column, k: int, stopwords: Sequence[str] = STOPWORDS) -> Column:
     """``array<struct<term, n, score>>``: the ``k`` most frequent terms, ties by term.
@@ -181,6 +184,12 @@ def query_terms(queries: DataFrame, query: str = "query_id", text: str = "text")
         F.col(query).alias("query_id"), F.explode(F.array_distinct(tokens(F.col(text)))).alias("term"))
 
 
+def by_article(matching: DataFrame, weighted: DataFrame, by: str) -> DataFrame:
+    """``matching`` dealt by a column, so that about ``TASK_PAIRS`` uses of a posting (``weighted`` has ``df``) are one task's."""
+    pairs = weighted.agg(F.sum("df")).first()[0] or 0
+    return matching.repartition(max(1, -(-pairs // TASK_PAIRS)), by)
+
+
 def search(index: DataFrame, size: DataFrame | Observation, terms: DataFrame, k: int = 10, doc: str = "doc_id") -> DataFrame:
     """Best ``k`` articles per query by BM25: ``query_id, rank, doc, score``.
 
@@ -189,8 +198,9 @@ def search(index: DataFrame, size: DataFrame | Observation, terms: DataFrame, k:
     The matching postings are staged, since both the term frequencies and the scores need them.
     ``size`` is one row, read once, or what the index tells of itself when it runs here; both a
     stored row and the latter spare a pass over the texts.
-    An article's terms lie together, so scores are summed per task before the shuffle. Ranks use
-    the score rounded to 6 places, ties by article.
+    Matching postings cross the network once, by article. There they meet the queries and their
+    scores are summed, so the pairs of queries and articles, far more than the postings, stay in their
+    task. Ranks use the score rounded to 6 places, ties by article.
     """
     # Each small side below has at most one row per row of ``terms``.
     side = F.broadcast if is_small(terms) else (lambda df: df)
@@ -205,10 +215,10 @@ def search(index: DataFrame, size: DataFrame | Observation, terms: DataFrame, k:
         n_docs, mean_length = size.get.get("n_docs", 0), size.get.get("mean_length")
     else:
         n_docs, mean_length = size.select("n_docs", "mean_length").first()
-    weighted = terms.join(frequency, "term").select(
-        "query_id", "term", F.log(1 + (n_docs - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf"))
+    weighted = stage(terms.join(frequency, "term").select(
+        "query_id", "term", "df", F.log(1 + (n_docs - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf")), "weighted-terms")
     norm = F.col("tf") + K1 * (1 - B + B * F.col("length") / F.lit(mean_length))
-    scored = matching.withColumn("weight", F.col("tf") * (K1 + 1) / norm).join(side(weighted), "term")
+    scored = by_article(matching, weighted, doc).withColumn("weight", F.col("tf") * (K1 + 1) / norm).join(side(weighted.drop("df")), "term")
     totals = scored.groupBy("query_id", doc).agg(F.round(F.sum(F.col("idf") * F.col("weight")), 6).alias("score"))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), doc)
     return totals.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select(
