@@ -1,10 +1,12 @@
 """Block-max search, distinct articles over periods, row offsets, streams that keep state."""
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
+from newsloom.operators import block_search
 from newsloom.operators import discovery as S
 from newsloom.operators.block_search import block_bounds, blocks_within_reach, search_blocks, weighted_terms, write_blocks
 from newsloom.operators.periods import distinct_over, term_bitmaps
@@ -33,6 +35,31 @@ def test_blocks_give_the_same_ranks(spark, corpus, tmp_path, block_docs, first):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
 
 
+def test_many_blocks_within_reach_give_the_same_ranks(spark, corpus, tmp_path, monkeypatch):
+    """Where they are too many to broadcast, postings are dealt by block."""
+    docs, queries = corpus
+    size, terms = S.corpus_size(docs), S.query_terms(queries)
+    write_blocks(docs, size, f"{tmp_path}/b", block_docs=8)
+    monkeypatch.setattr(block_search, "is_small", lambda df: False)
+    got = search_blocks(spark.read.parquet(f"{tmp_path}/b"), size, terms, k=5, first=1)
+    want = S.search(S.postings(docs), size, terms, k=5)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_pairs_of_queries_stay_in_their_task(spark, corpus, tmp_path, monkeypatch):
+    """What crosses the network before the ranking is postings, dealt by article or block, not a row for each query."""
+    docs, queries = corpus
+    size, terms = S.corpus_size(docs), S.query_terms(queries)
+    monkeypatch.setattr(S, "TASK_PAIRS", 50)
+    write_blocks(docs, size, f"{tmp_path}/b")
+    index = spark.read.parquet(f"{tmp_path}/b")
+    weighted = F.broadcast(weighted_terms(index, terms, size.first().n_docs).localCheckpoint())
+    for found in (S.search(S.postings(docs), size, terms), block_bounds(index, weighted)):
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        dealt = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
+        assert [d for d in dealt if "query_id" in d and ("doc_id" in d or "block" in d)] == [] and any("query_id" not in d for d in dealt)
+
+
 def test_blocks_out_of_reach_are_skipped(spark, corpus, tmp_path):
     docs, queries = corpus
     size, terms = S.corpus_size(docs), S.query_terms(queries.where("query_id = 90")).unionByName(
