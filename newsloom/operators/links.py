@@ -53,9 +53,10 @@ def extract_cards(pages: DataFrame, listings: DataFrame) -> DataFrame:
     their like to any depth; a card stands once, and one around another holds all of it.
     """
     layouts = broadcast_if_small(listings.select(F.col("source").alias("_source"), F.struct("*").alias("lay")))
-    cleaned = pages.withColumn("body", H.strip_markup(F.col("html"))).drop("html")
-    page = with_tree(cleaned, "body").drop("body").join(layouts, (F.col("source") == F.col("_source")) & (
-        F.col("lay.page").isNull() | F.regexp_like(F.col("url"), F.col("lay.page"))))
+    of_source = (F.col("source") == F.col("_source")) & (F.col("lay.page").isNull() | F.regexp_like(F.col("url"), F.col("lay.page")))
+    # pages without a layout go before their markup is read
+    cleaned = pages.join(layouts, of_source, "left_semi").withColumn("body", H.strip_markup(F.col("html"))).drop("html")
+    page = with_tree(cleaned, "body").drop("body").join(layouts, of_source)
     lay = F.col("lay")
     names = ["link", "title", "blurp", "after_blurp", "date", "image"]
     page = settle(page.withColumn("cards", card_regions("lay")), "cards").where(

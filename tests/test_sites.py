@@ -1,11 +1,12 @@
 """All site layouts end to end: one listing and one article page each, in our own words."""
 
+import re
 from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
 
-from newsloom.operators.links import next_pages
+from newsloom.operators.links import extract_cards, next_pages
 from newsloom.plans.articles import build_articles, card_table, extract_articles
 from newsloom.sources.pages import with_source
 from newsloom.sources.sites import listing_table, site_table, start_pages
@@ -185,6 +186,13 @@ def test_card_positions(cards):
     assert rows["Zero"].blurp is None and rows["Three"].blurp == "Third blurp"
 
 
+def test_only_listing_pages_are_read_for_cards(spark, pages):
+    """Pages that no layout is for go before their element trees are made."""
+    found = extract_cards(with_source(pages, site_table(spark)), listing_table(spark))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"Generate inline.*\bnodes\b.*Join [^\n]*LeftSemi", plan, re.S)  # the tree's generator stands above the join
+
+
 def test_card_links_are_absolute_and_on_site(cards):
     urls = {r.url for r in cards.collect()}
     assert "https://www.govtech.com/e1" in urls and "https://en.yna.co.kr/view/n1" in urls
