@@ -4,10 +4,11 @@ Documents are sets of shingles of five words. A minhash signature turns the simi
 into the share of places at which their signatures agree. Each run splits all sets on a few sampled
 places: sets that share a value there share a bucket, and buckets that are still large are split
 again on places sampled for them. Small buckets are compared in full; a large one first has its centre
-taken out, the sets that are like its commonest sketch. What is still in large buckets at the last
-level, sets like neither, is split at once on several places together, as often as the recall asks. Runs repeat until a pair at
-the threshold is missed with less than the allowed chance. All pairs of a class of candidates are
-then compared exactly by their shingles.
+taken out, the sets that are like its commonest sketch. Single places hardly part a large bucket of which
+most sets are like its centre, and all runs hold it: its sets, and what is still in large buckets at the last level,
+are split on several places together, each set once whatever the number of its buckets, as often as the recall asks.
+Runs repeat until a pair at the threshold is missed with less than the allowed chance. All pairs of a
+class of candidates are then compared exactly by their shingles.
 
 Equal sets are one node throughout. A bucket gives a star of candidate links, not all its pairs.
 """
@@ -17,6 +18,7 @@ from __future__ import annotations
 import math
 import random
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +32,7 @@ from newsloom.session import broadcast_if_small, stage
 
 SHINGLE, PLACES, LIMIT, LEVELS = 5, 128, 128, 3
 SLICE = 1 << 16  # bytes of a text whose words are held at a time
-TOGETHER = 6  # places of a split of what is left at the last level
+TOGETHER = 6  # places of a split of what single places do not part
 _ODD = np.random.Generator(np.random.PCG64(97)).integers(0, 1 << 63, PLACES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -217,15 +219,16 @@ def _finish(rows: DataFrame, sizes: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def _centres(rows: DataFrame, large: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
-    """``b, centre, lead, deep`` of each large bucket, from about 64 of its members, chosen by a hash.
+    """``b, centre, lead, deep, kindred`` of each large bucket, from about 64 of its members, chosen by a hash.
 
     The centre has the commonest byte of each place. ``lead`` is the tag of the member nearest to it,
     null where none is like it. ``deep`` tells that the far ones among the 64 stand for more than
-    twice ``LIMIT``, so that the bucket is to be split without counting them.
+    twice ``LIMIT``, so that the bucket is to be split without counting them, ``kindred`` that at least
+    half of the 64 are not far.
     """
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            centres, leads, deep = [], [], []
+            centres, leads, deep, kindred = [], [], [], []
             for n, held in zip(batch.column("n").to_pylist(), batch.column("held").to_pylist()):
                 held.sort(key=lambda h: (h["tag"], h["sketch"]))
                 marks = np.frombuffer(b"".join(h["sketch"] for h in held), np.uint8).reshape(-1, PLACES)
@@ -238,12 +241,14 @@ def _centres(rows: DataFrame, large: DataFrame, nodes: DataFrame, least: float)
                 centres.append(centre.tobytes())
                 leads.append(lead)
                 deep.append(far * n > 2 * LIMIT * len(held))
-            yield pa.RecordBatch.from_arrays([batch.column("b"), pa.array(centres, pa.binary()), pa.array(leads, pa.binary()),
-                                              pa.array(deep, pa.bool_())], names=["b", "centre", "lead", "deep"])
+                kindred.append(lead is not None and 2 * far <= len(held))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("b"), pa.array(centres, pa.binary()), pa.array(leads, pa.binary()), pa.array(deep, pa.bool_()),
+                 pa.array(kindred, pa.bool_())], names=["b", "centre", "lead", "deep", "kindred"])
 
     some = rows.join(large, "b").where(F.pmod(F.xxhash64("b", "node"), F.ceil(F.col("n") / 64)) == 0).select("b", "n", "node", "tag")
     held = some.join(nodes.select("node", "sketch"), "node").groupBy("b", "n").agg(F.collect_list(F.struct("tag", "sketch")).alias("held"))
-    return held.mapInArrow(work, "b long, centre binary, lead binary, deep boolean")
+    return held.mapInArrow(work, "b long, centre binary, lead binary, deep boolean, kindred boolean")
 
 
 def candidate_links(nodes: DataFrame, threshold: float, recall: float, seed: int, levels: int = LEVELS) -> DataFrame:
@@ -252,7 +257,8 @@ def candidate_links(nodes: DataFrame, threshold: float, recall: float, seed: int
     A large bucket has a centre. Members like it are linked to one of them and carry its tag from then
     on: in the buckets split off they are known to be of one class, so only pairs with a far member,
     one of another tag and unlike the centre, are still of interest. Few far members meet all members
-    of the bucket; more of them are split. Each step takes work in proportion to a bucket's members:
+    of the bucket; more of them are split, on sampled places or, where most members are like the centre,
+    at the end with the other hard sets. Each step takes work in proportion to a bucket's members:
     one join with the centres, and one with the counts of far members where the centre's sample does
     not already tell that they are many.
     """
@@ -260,7 +266,7 @@ def candidate_links(nodes: DataFrame, threshold: float, recall: float, seed: int
     places = root_places(runs_needed(recall, levels), threshold, seed)
     keys = F.array(*[F.xxhash64(F.lit(r), F.lit(i), F.substring("sig", 4 * i + 1, 4)) for r, i in places])
     rows = nodes.select("node", F.col("node").alias("tag"), F.explode(keys).alias("b"))
-    found = []
+    found, hard = [], []
     for level in range(1, levels + 1):
         sizes = stage(rows.groupBy("b").agg(
             F.count("*").alias("n"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("y"),
@@ -274,34 +280,34 @@ def candidate_links(nodes: DataFrame, threshold: float, recall: float, seed: int
             break
         centres = stage(_centres(rows, large, nodes, least), "bucket-centres")
         crowd = rows.join(broadcast_if_small(centres), "b").join(nodes.select("node", "sketch", "sig"), "node")
-        crowd = crowd.select("b", "node", "tag", "sig", "lead", "deep", _alike("sketch", "centre").alias("near"))
+        crowd = crowd.select("b", "node", "tag", "sig", "lead", "deep", "kindred", _alike("sketch", "centre").alias("near"))
         alike, other = F.col("lead").isNotNull() & (F.col("near") >= least), ~F.col("tag").eqNullSafe(F.col("lead"))
         # stored once: links, counts, comparisons and splits all read it. Members almost equal to a
         # centre that leads cannot be like a far one, so they need no further split and lose their signature
         crowd = stage(crowd.select(
-            "b", "node", "deep", F.when(F.col("lead").isNull() | (F.col("near") < 0.95), F.col("sig")).alias("sig"),
+            "b", "node", "deep", "kindred", F.when(F.col("lead").isNull() | (F.col("near") < 0.95), F.col("sig")).alias("sig"),
             F.when(alike & other, F.col("tag")).alias("linked"), (~alike & other).alias("far"),
             F.when(~alike & other, F.col("tag")).otherwise(F.col("lead")).alias("tag")), "led-buckets")
         found.append(crowd.where("linked IS NOT NULL").select(F.col("tag").alias("u"), F.col("linked").alias("v")))
-        counted = crowd.where("NOT deep").select("b", "node", "tag", "sig", "far")
+        counted = crowd.where("NOT deep").select("b", "node", "tag", "sig", "far", "kindred")
         counts = stage(counted.groupBy("b").agg(F.count("*").alias("n"), F.sum(F.col("far").cast("long")).alias("n_far")).where("n_far > 0"), "far-sizes")
         found.append(stage(_bucket_links(_finish(counted, counts.where(F.col("n_far") <= LIMIT), nodes), least), "bucket-links"))
         deeper = counts.where(F.col("n_far") > LIMIT).select("b")
-        left = counted.where("sig IS NOT NULL").join(deeper, "b").select("b", "node", "tag", "sig").unionByName(
-            crowd.where("deep AND sig IS NOT NULL").select("b", "node", "tag", "sig"))
-        if left.isEmpty():
-            break
-        if level == levels:
-            found.append(_last_links(stage(left.select("node").distinct(), "hard-sets"), nodes, threshold, recall, seed, least))
+        left = counted.where("sig IS NOT NULL").join(deeper, "b").select("b", "node", "tag", "sig", "kindred").unionByName(
+            crowd.where("deep AND sig IS NOT NULL").select("b", "node", "tag", "sig", "kindred"))
+        hard.append((left if level == levels else left.where("kindred")).select("node"))
+        left = left.where("NOT kindred")
+        if level == levels or left.isEmpty():
             break
         step = int((1 << 32) / (threshold * PLACES))
         chosen = F.filter(F.sequence(F.lit(0), F.lit(PLACES - 1)), lambda i: F.xxhash64(F.lit(level), "b", i).bitwiseAND(F.lit((1 << 32) - 1)) < step)
         rows = stage(left.select("node", "tag", F.explode(F.transform(chosen, lambda i: F.xxhash64(
             F.lit(level), "b", i, F.substring(F.col("sig"), i * 4 + 1, F.lit(4))))).alias("b")), "split-buckets")
-    out = found[0]
-    for more in found[1:]:
-        out = out.unionByName(more)
-    return out
+    if hard:
+        sets = stage(reduce(DataFrame.unionByName, hard).distinct(), "hard-sets")
+        if not sets.isEmpty():
+            found.append(_last_links(sets, nodes, threshold, recall, seed, least))
+    return reduce(DataFrame.unionByName, found)
 
 
 def _last_links(hard: DataFrame, nodes: DataFrame, threshold: float, recall: float, seed: int, least: float) -> DataFrame:

@@ -144,6 +144,26 @@ def test_many_variants_of_a_text_that_is_not_there(documents, prose):
     assert got == want and max(r[2] for r in want) > 100
 
 
+def test_a_large_group_of_near_copies_is_split_once(documents, prose, monkeypatch):
+    """Buckets of mostly near copies with many unlike their centre: rows once a set, not in each bucket of each level."""
+    draw, base, rows = random.Random(9), prose(60, 150).split(), []
+    for i in range(750):
+        words = base[:]
+        for k in draw.sample(range(0, 150, 10), 1 if i < 450 else 8):
+            words[k] = f"w{i}x{k}"
+        rows.append((i, " ".join(words)))
+    made, stage = {}, chosen_path.stage
+
+    def counted(df, purpose):
+        out = stage(df, purpose)
+        made[purpose] = made.get(purpose, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(chosen_path, "stage", counted)
+    assert near_rows(chosen_path.near_duplicates(documents(rows))) == brute_near(rows)
+    assert 0 < made["hard-sets"] <= len(rows) and made.get("split-buckets", 0) <= len(rows)
+
+
 def test_work_on_a_large_bucket_grows_with_its_members(spark, documents, prose):
     """Rows dealt to groups of far members: at most two for each member of the bucket."""
     n = 3000
