@@ -19,15 +19,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.llm.common import hash_share, pieces, remainder, share
+from newsloom.llm.common import hash_share, hold_for, pieces, remainder, share
 from newsloom.session import stage
 
 DIMENSIONS = 1024
 SEED = 20240229
 UNKNOWN = "und"
 SCALES = 40  # powers of two that tell lengths of texts
-_GRAMS = 8192  # trigram vectors held at a time
-_CELLS = 1 << 20  # counts held at a time
+_GRAMS = 2048  # trigram vectors held at a time
+_CELLS = 1 << 19  # counts held at a time
+_ROWS = 1024  # texts measured at a time, each of which has a vector
 _SLICE = 1 << 18  # characters of text encoded at a time
 _PIECE = 1 << 20  # bytes of text decoded at a time
 
@@ -89,9 +90,10 @@ def _grams(codes: np.ndarray) -> np.ndarray:
 def _measure(texts: list[str | None], dimensions: int, seed: int, known: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of each text the sum of its trigrams' vectors, their number, and how many letters are ``known`` less the others.
 
-    About ``_SLICE`` characters are worked on at a time, so memory grows neither with the number of
-    texts nor with their lengths.
+    About ``_SLICE`` characters are worked on at a time, so memory does not grow with the lengths of
+    texts; callers give about ``_ROWS`` texts, since each has a vector.
     """
+    hold_for("language", _letter.cache_clear)
     out, sizes, balance = np.zeros((len(texts), dimensions), np.float32), np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64)
     rows: list[int] = []
     parts: list[np.ndarray] = []
@@ -187,7 +189,7 @@ def _train(sample: DataFrame, dimensions: int, seed: int) -> dict[str, np.ndarra
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[str, np.ndarray] = {}
         for batch in batches:
-            for piece in pieces(batch, "text", _PIECE):
+            for piece in pieces(batch, "text", _PIECE, _ROWS):
                 vectors = np.rint(_unit(encode(piece.column("text").to_pylist(), dimensions, seed)) * (1 << 24))
                 names = np.array(piece.column("lang").to_pylist(), dtype=object)
                 for name in set(names):
@@ -221,7 +223,7 @@ def identify(
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, matrix = shared.value
         for batch in batches:
-            for piece in pieces(batch, "text", _PIECE):
+            for piece in pieces(batch, "text", _PIECE, _ROWS):
                 vectors = encode(piece.column("text").to_pylist(), dimensions, seed)
                 known = np.abs(vectors).sum(axis=1) > 0
                 cosines = _unit(vectors) @ matrix.T if names else np.zeros((len(vectors), 1))
@@ -247,7 +249,7 @@ def _scale(vectors: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     The length is the number of trigrams over their mean count in the text, so that repeating a
     text does not make it longer. A sum's square is ``dimensions`` times the counts' squares.
     """
-    squares = np.maximum((vectors.astype(np.float64) ** 2).sum(axis=1) / vectors.shape[1], 1e-9)
+    squares = np.maximum(np.einsum("ij,ij->i", vectors, vectors, dtype=np.float64) / vectors.shape[1], 1e-9)
     return np.rint(np.log2(np.clip(sizes.astype(np.float64) ** 2 / squares, 1.0, 2.0 ** (SCALES - 1)))).astype(np.int64)
 
 
@@ -315,7 +317,7 @@ def _length_bounds(sample: DataFrame | None, prototypes: dict[str, np.ndarray],
                 np.add.at(totals[row], scale, value)
 
         for batch in batches:
-            for piece in pieces(batch, "text", _PIECE):
+            for piece in pieces(batch, "text", _PIECE, _ROWS):
                 texts = piece.column("text").to_pylist()
                 vectors, sizes, _ = _measure(texts, shared.value.shape[1], seed)
                 scale, best = _scale(vectors, sizes), (_unit(vectors) @ shared.value.T).max(axis=1, initial=-1.0)
@@ -328,7 +330,7 @@ def _length_bounds(sample: DataFrame | None, prototypes: dict[str, np.ndarray],
                     grams = _grams(next(_letters(t))[0])  # cuts of the first slice
                     cuts = [grams[:1 << k] for k in range((len(grams) - 1).bit_length())] if len(grams) else []
                     some, held = some + cuts, held + sum(map(len, cuts))
-                    if held >= 2 * _SLICE:
+                    if held >= 2 * _SLICE or len(some) >= _ROWS:
                         add(some)
                         some, held = [], 0
                 if some:
@@ -365,7 +367,7 @@ def keep_identified(
             known = np.zeros(0x110000, dtype=bool)
             known[letters] = True
         for batch in batches:
-            for piece in pieces(batch, text, _PIECE):
+            for piece in pieces(batch, text, _PIECE, _ROWS):
                 if matrix is not None:
                     vectors, sizes, balance = _measure(piece.column(text).to_pylist(), matrix.shape[1], SEED, known)
                     best = (_unit(vectors) @ matrix.T).max(axis=1)

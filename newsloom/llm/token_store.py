@@ -28,7 +28,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from newsloom.llm.common import as_bytes, hash_share, pieces
+from newsloom.llm.common import as_bytes, hash_share, hold_for, pieces
 from newsloom.llm.files import codec, create, open_random, train_dictionary
 from newsloom.session import shared_dir, stage
 
@@ -98,11 +98,16 @@ class WordEncoder:
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> WordEncoder:
-    """One per worker process, which keeps its words from task to task."""
+def _encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
 
 
+def encoder(path: str) -> WordEncoder:
+    """One per worker process, which keeps its words from task to task, until another operator's tables take their place."""
+    hold_for("words", _encoder.cache_clear)
+    return _encoder(path)
+
+
 class StoreWriter:
     """Files of one task, in the order the documents come; a new file after ``max_bytes``."""
 

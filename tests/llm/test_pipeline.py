@@ -2,14 +2,18 @@
 
 import random
 import struct
+import tracemalloc
+import weakref
 import zlib
 from collections import Counter
 
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
+from newsloom.llm import common, language, token_store
 from test_decontaminate_and_lines import brute_hits
 from test_exact_and_near import brute_near
 
@@ -100,3 +104,29 @@ def test_rows_that_share_an_id_are_told_apart_by_their_text(spark, prose, tmp_pa
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
     clean = sorted(map(tuple, corpus_pipeline.keep_clean_of_benchmark(spark, docs, str(tmp_path)).collect()), key=str)
     assert clean == sorted([rows[0], rows[2], rows[4]], key=str)
+
+
+def test_a_worker_does_not_hold_the_words_of_an_earlier_stage():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    held = weakref.ref(token_store.encoder(path))
+    ids = token_store.encoder(path).encode(b"some words")
+    assert token_store.encoder(path) is held()
+    language.encode(["some words"])
+    assert held() is None
+    assert token_store.encoder(path).encode(b"some words") == ids
+
+
+def test_measuring_texts_of_many_trigrams_takes_little_memory(prose):
+    texts = [prose(i, 60, "abcdefghijklmnopqrstuvwxyz") for i in range(600)]
+    language.encode(texts[:1])
+    tracemalloc.start()
+    vectors, sizes, _ = language._measure(texts, language.DIMENSIONS, language.SEED)
+    language._scale(vectors, sizes)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 36 << 20
+
+
+def test_pieces_are_bounded_in_rows_and_bytes():
+    batch = pa.RecordBatch.from_pydict({"text": pa.array(["ab", None, "", "abcdefgh", "a", "b", "c", "d"])})
+    assert [p.column("text").to_pylist() for p in common.pieces(batch, "text", 6, 3)] == [["ab", None, ""], ["abcdefgh"], ["a", "b", "c"], ["d"]]
